@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def all_sql() -> dict[str, str]:
-    from oracle import analytics
+    from oracle import analytics, kpis
 
-    return {**analytics.SQL}
+    return {**analytics.SQL, **kpis.SQL}

@@ -3,7 +3,31 @@
 from __future__ import annotations
 
 from salesmart.operators import series
-from salesmart.plans import analytics
+from pyspark.sql import functions as F
+
+from salesmart.functions.rounding import money_sum
+from salesmart.operators import security
+from salesmart.plans import analytics, kpis, reports
+
+
+def _regions_seen(lines):
+    return lines.groupBy("region").agg(
+        money_sum(F.col("net_sales")).alias("net_sales"),
+        F.count("*").cast("bigint").alias("sales_line_count"),
+    )
+
+
+def _user_region(star):
+    """Mapping table derived from the stores: each city's manager sees the city's region."""
+    return star.dim_store.select(
+        F.concat(F.lower("city"), F.lit("@example.com")).alias("email"), "region"
+    ).distinct()
+
+
+# Fixed slicer and role values that occur in the given tables.
+SLICERS = {"year": 1997, "region": "ASIA", "category": ["PROMO", "SMALL"]}
+ROLE_REGION = "ASIA"
+ROLE_USER = "nation_7@example.com"
 
 QUERIES = {
     # star tables
@@ -21,6 +45,31 @@ QUERIES = {
     "sales_ma7": analytics.sales_ma7,
     "rfm_segments": analytics.rfm_segments,
     "rfm_matrix": analytics.rfm_matrix,
+    # measures and time intelligence
+    "kpi_base": kpis.kpi_base,
+    "kpi_sliced": lambda star: kpis.kpi_sliced(star, SLICERS),
+    "sales_to_date": kpis.sales_to_date,
+    "kpi_yoy": kpis.kpi_yoy,
+    "kpi_yoy_daily": kpis.kpi_yoy_daily,
+    "kpi_mom": kpis.kpi_mom,
+    "rolling_months": kpis.rolling_months,
+    "new_returning": kpis.new_returning,
+    "kpi_labels": kpis.kpi_labels,
+    # report pages
+    "exec_cards": reports.exec_cards,
+    "exec_trend": reports.exec_trend,
+    "product_matrix": reports.product_matrix,
+    "product_scatter": reports.product_scatter,
+    "store_yoy": reports.store_yoy,
+    "customer_cards": reports.customer_cards,
+    "loyalty_age_sales": reports.loyalty_age_sales,
+    # row-level security
+    "rls_static": lambda star: _regions_seen(
+        security.for_region(star, ROLE_REGION, ["region", "net_sales"])
+    ),
+    "rls_dynamic": lambda star: _regions_seen(
+        security.for_user(star, ROLE_USER, _user_region(star), ["region", "net_sales"])
+    ),
     # daily series
     "daily_sales": series.daily_sales,
 }
