@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def all_sql() -> dict[str, str]:
-    from oracle import analytics, kpis
+    from oracle import analytics, detection, kpis
 
-    return {**analytics.SQL, **kpis.SQL}
+    return {**analytics.SQL, **kpis.SQL, **detection.SQL}

@@ -47,26 +47,24 @@ def year_month(date: Column) -> Column:
     return F.format_string("%d-%02d", F.year(date), F.month(date))
 
 
-def date_attributes(date: Column) -> dict[str, Column]:
-    """Every column of the date dimension (and the month grain keys) for a date column."""
-    weekday = F.weekday(date)
-    return {
-        "date_key": date_key(date),
-        "date": date,
-        "year": F.year(date),
-        "quarter": F.quarter(date),
-        "month": F.month(date),
-        "month_name": _pick(MONTHS, F.month(date)),
-        "month_name_it": _pick(MONTHS_IT, F.month(date)),
-        "week": F.weekofyear(date),
-        "day_of_week": weekday + 1,
-        "day_name": _pick(DAYS, weekday + 1),
-        "is_weekend": (weekday >= 5).cast("int"),
-        "is_holiday": (F.month(date) * 100 + F.day(date)).isin(HOLIDAYS).cast("int"),
-        "season": _pick(SEASONS, F.floor(F.month(date) % 12 / 3).cast("int") + 1),
-        "month_idx": month_index(date),
-        "year_month": year_month(date),
-    }
+# Every column of the date dimension, and the month grain keys, as functions of a date.
+CALENDAR = {
+    "date_key": date_key,
+    "date": lambda d: d,
+    "year": F.year,
+    "quarter": F.quarter,
+    "month": F.month,
+    "month_name": lambda d: _pick(MONTHS, F.month(d)),
+    "month_name_it": lambda d: _pick(MONTHS_IT, F.month(d)),
+    "week": F.weekofyear,
+    "day_of_week": lambda d: F.weekday(d) + 1,
+    "day_name": lambda d: _pick(DAYS, F.weekday(d) + 1),
+    "is_weekend": lambda d: (F.weekday(d) >= 5).cast("int"),
+    "is_holiday": lambda d: (F.month(d) * 100 + F.day(d)).isin(HOLIDAYS).cast("int"),
+    "season": lambda d: _pick(SEASONS, F.floor(F.month(d) % 12 / 3).cast("int") + 1),
+    "month_idx": month_index,
+    "year_month": year_month,
+}
 
 
 DIM_DATE_COLUMNS = [
@@ -82,5 +80,4 @@ def build_dim_date(span: DataFrame, horizon_days: int) -> DataFrame:
             F.sequence("first_date", F.date_add("last_date", horizon_days))
         ).alias("date")
     )
-    attributes = date_attributes(F.col("date"))
-    return days.select(*[attributes[c].alias(c) for c in DIM_DATE_COLUMNS])
+    return days.select(*[CALENDAR[c](F.col("date")).alias(c) for c in DIM_DATE_COLUMNS])

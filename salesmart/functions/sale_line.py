@@ -21,22 +21,39 @@ INPUTS = {
 }
 
 
-def line_measures() -> dict[str, Column]:
-    """Each amount is computed from unrounded inputs, signed, and rounded last."""
-    quantity = F.col("quantity").cast("double")
-    sign = F.when(F.col("is_return") == 1, -1.0).otherwise(1.0)
-    gross = quantity * F.col("unit_price")
-    discount = gross * F.col("discount_pct")
-    net = gross - discount
-    cost = quantity * F.col("unit_cost")
-    return {
-        "quantity": (quantity * sign).cast("int"),
-        "unit_price": F.col("unit_price"),
-        "discount_pct": F.col("discount_pct"),
-        "gross_sales": round_cents(gross * sign),
-        "discount_amount": round_cents(discount * sign),
-        "net_sales": round_cents(net * sign),
-        "cost_amount": round_cents(cost * sign),
-        "gross_margin": round_cents((net - cost) * sign),
-        "is_return": F.col("is_return").cast("int"),
-    }
+def _sign() -> Column:
+    return F.when(F.col("is_return") == 1, -1.0).otherwise(1.0)
+
+
+def _quantity() -> Column:
+    return F.col("quantity").cast("double")
+
+
+def _gross() -> Column:
+    return _quantity() * F.col("unit_price")
+
+
+def _discount() -> Column:
+    return _gross() * F.col("discount_pct")
+
+
+def _net() -> Column:
+    return _gross() - _discount()
+
+
+def _cost() -> Column:
+    return _quantity() * F.col("unit_cost")
+
+
+# Each amount is computed from unrounded inputs, signed, and rounded last.
+LINE_MEASURES = {
+    "quantity": lambda: (_quantity() * _sign()).cast("int"),
+    "unit_price": lambda: F.col("unit_price"),
+    "discount_pct": lambda: F.col("discount_pct"),
+    "gross_sales": lambda: round_cents(_gross() * _sign()),
+    "discount_amount": lambda: round_cents(_discount() * _sign()),
+    "net_sales": lambda: round_cents(_net() * _sign()),
+    "cost_amount": lambda: round_cents(_cost() * _sign()),
+    "gross_margin": lambda: round_cents((_net() - _cost()) * _sign()),
+    "is_return": lambda: F.col("is_return").cast("int"),
+}

@@ -48,6 +48,8 @@ def attach(
     dim: DataFrame,
     key: str,
     how: str = "inner",
+    skewed: bool = True,
+    probe_from: DataFrame | None = None,
     share: float = HOT_SHARE,
     probe: float = HOT_PROBE,
 ) -> DataFrame:
@@ -58,10 +60,15 @@ def attach(
     are taken out of the shuffle and joined to their few dimension rows by broadcast.  The
     two branches cover every line exactly once.  Without hot keys adaptive execution drops
     the hot branch before it reads anything.
+
+    ``skewed=False`` says the lines are already summed per key.  ``probe_from`` is a cheaper
+    frame with the same keys to look for hot ones.
     """
     if fits_broadcast(dim):
         return lines.join(F.broadcast(dim), key, how)
-    hot = hot_keys(lines, key, share, probe)
+    if not skewed:
+        return lines.join(dim, key, how)
+    hot = hot_keys(lines if probe_from is None else probe_from, key, share, probe)
     hot_rows = dim.join(F.broadcast(hot), key, "left_semi")
     # only keys found in the dimension leave the shuffled branch, so unmatched lines stay whole
     hot_found = hot_rows.select(key)

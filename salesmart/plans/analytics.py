@@ -83,7 +83,7 @@ def store_rank(star) -> DataFrame:
     )
     stores = star.dim_store.select("store_key", "store_name", "region", "store_type")
     return (
-        attach(ranked, stores, "store_key")
+        attach(ranked, stores, "store_key", skewed=False)
         .withColumn("net_sales", round_half_up(F.col("total"), 0))
         .orderBy("sales_rank", "store_key")
         .select("store_name", "region", "store_type", "net_sales", "sales_rank")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from salesmart.operators import series
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from salesmart.functions.rounding import money_sum
-from salesmart.operators import security
+from salesmart.operators import anomalies, quality, scenario, security, series
 from salesmart.plans import analytics, kpis, reports
+from salesmart.sources import extracts
 
 
 def _regions_seen(lines):
@@ -28,6 +30,22 @@ def _user_region(star):
 SLICERS = {"year": 1997, "region": "ASIA", "category": ["PROMO", "SMALL"]}
 ROLE_REGION = "ASIA"
 ROLE_USER = "nation_7@example.com"
+PERIOD = scenario.Period(date(1998, 3, 10), date(1998, 3, 24))
+SPIKE_PERIOD = scenario.Period(date(1997, 11, 15), date(1997, 12, 15))
+DIP_PERIOD = scenario.Period(date(1998, 9, 1), date(1998, 9, 10))
+CLOSED_STORE = 3
+REQUIRED = ["date", "product_key", "store_key", "customer_key", "quantity"]
+
+
+def _totals(star, by):
+    return kpis.kpi(star, [by], ["total_net_sales", "total_quantity", "sales_line_count"])
+
+
+def _text_lines(star):
+    """The fact's amounts as the text an export holds."""
+    types = {"date": "date", "product_key": "bigint", "quantity": "int", "net_sales": "double"}
+    lines = star.sales(*types)
+    return lines.select(*[F.col(c).cast("string").alias(c) for c in types]), types
 
 QUERIES = {
     # star tables
@@ -72,4 +90,40 @@ QUERIES = {
     ),
     # daily series
     "daily_sales": series.daily_sales,
+    "store_daily": series.store_daily,
+    "daily_dense": lambda star: series.dense_daily(series.daily_sales(star), [], star.span()),
+    "store_daily_dense": lambda star: series.dense_daily(
+        series.daily_by(star, ["store_key"]), ["store_key"], star.span()
+    ),
+    # anomalies
+    "anomalies": anomalies.anomalies,
+    "region_anomalies": lambda star: anomalies.entity_anomalies(star, "region"),
+    "anomaly_monitor": lambda star: anomalies.monitor(star, anomalies.anomalies(star)),
+    "anomaly_counts": lambda star: anomalies.counts(anomalies.anomalies(star), "region"),
+    "top_anomaly_stores": lambda star: anomalies.top_entities(
+        anomalies.anomalies(star), "store_name"
+    ),
+    "anomaly_summary": lambda star: anomalies.summary(anomalies.anomalies(star)),
+    # scenarios
+    "scenario_closure": lambda star: _totals(
+        scenario.closure(star, "store_key", CLOSED_STORE, PERIOD), "store_key"
+    ),
+    "scenario_spike": lambda star: _totals(scenario.spike(star, SPIKE_PERIOD, 5), "product_key"),
+    "scenario_dip": lambda star: _totals(
+        scenario.dip(star, ROLE_REGION, DIP_PERIOD, 0.7, 42), "date"
+    ),
+    "promo_tag": scenario.promo_sales,
+    "detector_recall": lambda star: scenario.detector_recall(star, "region", ROLE_REGION, PERIOD),
+    # data quality
+    "load_audit": quality.load_audit,
+    "raw_profile": lambda star: extracts.profile(
+        star.extracts.lines(set(REQUIRED)), REQUIRED, 1000
+    ),
+    "lookup_audit": quality.lookup_audit,
+    "dq_orphans": quality.orphans,
+    "dq_returns_sign": quality.returns_sign,
+    "dq_calendar_cover": quality.calendar_cover,
+    "dq_constraints": quality.constraints,
+    "dq_anomalies": lambda star: quality.anomaly_checks(anomalies.anomalies(star)),
+    "mart_type_check": lambda star: quality.type_check(*_text_lines(star)),
 }

@@ -39,7 +39,7 @@ def product_facts(star) -> DataFrame:
         F.sum("quantity").alias("quantity"),
     )
     names = star.dim_product.select("product_key", "product_name", "category", "subcategory")
-    return attach(totals, names, "product_key")
+    return attach(totals, names, "product_key", skewed=False)
 
 
 def product_matrix(star) -> DataFrame:
@@ -95,6 +95,7 @@ def store_yoy(star) -> DataFrame:
         yearly.withColumn("sales_py", money_over(F.col("net_sales"), year_before)),
         stores,
         "store_key",
+        skewed=False,
     ).select(
         "store_name",
         "region",
@@ -130,6 +131,7 @@ def loyalty_age_sales(star) -> DataFrame:
         money_sum(F.col("net_sales")).alias("net_sales")
     )
     people = star.dim_customer.select("customer_key", "loyalty_tier", "age_band")
-    return attach(totals, people, "customer_key").groupBy("loyalty_tier", "age_band").agg(
+    summed = attach(totals, people, "customer_key", skewed=False)
+    return summed.groupBy("loyalty_tier", "age_band").agg(
         money_sum(F.col("net_sales")).alias("net_sales")
     )

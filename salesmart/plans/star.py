@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.functions.calendar import build_dim_date, date_attributes, date_of_key
-from salesmart.functions.sale_line import INPUTS, line_measures
+from salesmart.functions.calendar import CALENDAR, build_dim_date, date_of_key
+from salesmart.functions.sale_line import INPUTS, LINE_MEASURES
 from salesmart.operators.lookup import attach
 from salesmart.operators.ranking import with_position, with_surrogate_key
 from salesmart.schema import FACT_SALES
@@ -20,40 +23,53 @@ DIMENSIONS = {"product": PRODUCT, "store": STORE, "customer": CUSTOMER}
 KEYS = {"product": "product_key", "store": "store_key", "customer": "customer_key"}
 
 
-def _keyed(dim: DataFrame, name: str, settings: Settings) -> DataFrame:
-    key, natural_id = KEYS[name], DIMENSIONS[name][0]
-    if key in dim.columns:
-        return dim
-    return with_surrogate_key(dim, key, natural_id, settings.single_task_rows)
+def _column(name: str, derived: dict) -> Column:
+    if name in derived:
+        return derived[name]()
+    return CALENDAR[name](F.col("date")) if name in CALENDAR else F.col(name)
 
 
 class Star:
     """Base of the two stars; a subclass says where dimensions and sale lines come from."""
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        dims: dict[str, DataFrame],
-        settings: Settings = DEFAULTS,
-    ):
+    def __init__(self, spark: SparkSession, settings: Settings = DEFAULTS):
         self.spark = spark
         self.settings = settings
-        self.dims = dims
 
-    @property
+    def _build_dim(self, name: str) -> DataFrame:
+        raise NotImplementedError
+
+    @cached_property
     def dim_product(self) -> DataFrame:
-        return self.dims["product"]
+        return self._build_dim("product")
 
-    @property
+    @cached_property
     def dim_store(self) -> DataFrame:
-        return self.dims["store"]
+        return self._build_dim("store")
 
-    @property
+    @cached_property
     def dim_customer(self) -> DataFrame:
-        return self.dims["customer"]
+        return self._build_dim("customer")
+
+    def dim(self, name: str) -> DataFrame:
+        return getattr(self, f"dim_{name}")
 
     @property
     def dim_date(self) -> DataFrame:
+        return build_dim_date(self.span(), self.settings.horizon_days)
+
+    def calendar_end(self) -> DataFrame:
+        """One row, one column: the last day of the date dimension."""
+        last = F.date_add("last_date", self.settings.horizon_days)
+        return self.span().select(last.alias("last_date"))
+
+    @property
+    def line_id(self) -> list[str]:
+        """Columns that together identify a sale line."""
+        raise NotImplementedError
+
+    def references(self, name: str) -> tuple[DataFrame, DataFrame, str]:
+        """The lines' references to a dimension before any look-up, the dimension, the column."""
         raise NotImplementedError
 
     def fact_sales(self) -> DataFrame:
@@ -74,30 +90,26 @@ class Star:
             F.min("date").alias("first_date"), F.max("date").alias("last_date")
         )
 
-    def calendar_end(self) -> DataFrame:
-        """One row, one column: the last day of the date dimension."""
-        return self.dim_date.agg(F.max("date").alias("last_date"))
-
     def dim_rows(self, name: str) -> int:
         """Row count of a dimension: the bound used to choose between rank strategies."""
-        return self.dims[name].count()
+        return self.dim(name).count()
 
 
 class ExtractStar(Star):
     """A star derived from source extracts on the fly."""
 
     def __init__(self, spark: SparkSession, extracts: Extracts, settings: Settings = DEFAULTS):
-        super().__init__(
-            spark,
-            {
-                "product": _keyed(extracts.products, "product", settings),
-                "store": _keyed(extracts.stores, "store", settings),
-                "customer": _keyed(extracts.customers, "customer", settings),
-            },
-            settings,
-        )
+        super().__init__(spark, settings)
         self.extracts = extracts
 
+    def _build_dim(self, name: str) -> DataFrame:
+        """The master with its key first; a master that brings no key is numbered by its id."""
+        master = getattr(self.extracts, f"{name}s")()
+        key, natural_id = KEYS[name], DIMENSIONS[name][0]
+        if key in master.columns:
+            return master
+        return with_surrogate_key(master, key, natural_id, self.settings.single_task_rows)
+
     def _raw_lines(self, needed: set[str], how: str) -> DataFrame:
         """Raw sale lines plus the dimension columns in ``needed``, one join per dimension."""
         at_list = "unit_price" in needed and not self.extracts.has_price
@@ -116,36 +128,30 @@ class ExtractStar(Star):
             extra = [c for c in cols if c != on]
             if extra or how != "inner":
                 marker = [F.lit(1).alias(f"_{name}")] if how != "inner" else []
-                dim = self.dims[name].select(on, *extra, *marker)
-                lines = attach(lines, dim, on, how)
+                dim = self.dim(name).select(on, *extra, *marker)
+                lines = attach(lines, dim, on, how, probe_from=self.extracts.lines({on}))
         if at_list:
             lines = lines.withColumn("unit_price", F.col("list_price"))
         return lines
 
     def sales(self, *columns: str) -> DataFrame:
         derived = [c for c in columns if c in INPUTS]
-        calendar = date_attributes(F.col("date"))
-        needed = set(columns) - set(derived) - set(calendar)
+        needed = set(columns) - set(derived) - set(CALENDAR)
         needed = needed.union(*[INPUTS[c] for c in derived])
-        if any(c in calendar for c in columns):
+        if any(c in CALENDAR for c in columns):
             needed.add("date")
         lines = self._raw_lines(needed, "inner")
-        amounts = line_measures()
-        return lines.select(
-            *[
-                (amounts[c] if c in derived else calendar[c] if c in calendar else F.col(c)).alias(c)
-                for c in columns
-            ]
-        )
+        return lines.select(*[_column(c, LINE_MEASURES).alias(c) for c in columns])
 
     @property
-    def dim_date(self) -> DataFrame:
-        return build_dim_date(self.span(), self.settings.horizon_days)
+    def line_id(self) -> list[str]:
+        return ["date", *[c for c in self.extracts.line_order if c != "date"]]
 
-    def calendar_end(self) -> DataFrame:
-        """Without building the calendar: one scan of the date column."""
-        last = F.date_add("last_date", self.settings.horizon_days)
-        return self.span().select(last.alias("last_date"))
+    def references(self, name: str) -> tuple[DataFrame, DataFrame, str]:
+        key, natural_id = KEYS[name], DIMENSIONS[name][0]
+        lines = self.extracts.lines({key})
+        on = key if key in lines.columns else natural_id
+        return lines.select(on), self.dim(name).select(on), on
 
     def fact_lines(self) -> DataFrame:
         """The fact before numbering: its columns plus the ones that order the lines."""
@@ -177,24 +183,33 @@ class WarehouseStar(Star):
     def __init__(
         self, spark: SparkSession, tables: dict[str, DataFrame], settings: Settings = DEFAULTS
     ):
-        super().__init__(
-            spark,
-            {name: tables[f"dim_{name}"] for name in DIMENSIONS},
-            settings,
-        )
+        super().__init__(spark, settings)
         self.tables = tables
 
+    def _build_dim(self, name: str) -> DataFrame:
+        return self.tables[f"dim_{name}"]
+
     @property
     def dim_date(self) -> DataFrame:
         return self.tables["dim_date"]
 
+    def calendar_end(self) -> DataFrame:
+        return self.dim_date.agg(F.max("date").alias("last_date"))
+
+    @property
+    def line_id(self) -> list[str]:
+        return ["sale_key"]
+
+    def references(self, name: str) -> tuple[DataFrame, DataFrame, str]:
+        key = KEYS[name]
+        return self.tables["fact_sales"].select(key), self.dim(name).select(key), key
+
     def fact_sales(self) -> DataFrame:
         return self.tables["fact_sales"].select(*FACT_SALES.names)
 
     def sales(self, *columns: str) -> DataFrame:
-        calendar = date_attributes(F.col("date"))
-        needed = set(columns) - set(calendar)
-        if any(c in calendar for c in columns):
+        needed = set(columns) - set(CALENDAR)
+        if any(c in CALENDAR for c in columns):
             needed.add("date_key")
         attributes = {
             name: [c for c in DIMENSIONS[name] if c in needed] for name in DIMENSIONS
@@ -204,9 +219,28 @@ class WarehouseStar(Star):
         lines = fact.select(*[c for c in FACT_SALES.names if c in needed])
         for name, cols in attributes.items():
             if cols:
-                lines = attach(lines, self.dims[name].select(KEYS[name], *cols), KEYS[name])
+                lines = attach(lines, self.dim(name).select(KEYS[name], *cols), KEYS[name])
         if "date_key" in needed:
             lines = lines.withColumn("date", date_of_key(F.col("date_key")))
-        return lines.select(
-            *[(calendar[c] if c in calendar else F.col(c)).alias(c) for c in columns]
-        )
+        return lines.select(*[_column(c, {}).alias(c) for c in columns])
+
+
+class ScenarioStar(Star):
+    """A star whose sale lines went through ``change``; ``reads`` are the columns it needs."""
+
+    def __init__(self, base: Star, reads: list[str], change: Callable[[DataFrame], DataFrame]):
+        super().__init__(base.spark, base.settings)
+        self.base = base
+        self.reads = reads
+        self.change = change
+
+    def _build_dim(self, name: str) -> DataFrame:
+        return self.base.dim(name)
+
+    @property
+    def line_id(self) -> list[str]:
+        return self.base.line_id
+
+    def sales(self, *columns: str) -> DataFrame:
+        read = list(dict.fromkeys([*columns, *self.reads]))
+        return self.change(self.base.sales(*read)).select(*columns)

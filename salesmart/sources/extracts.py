@@ -16,15 +16,17 @@ CORRUPT = "_corrupt_record"
 
 @dataclass(frozen=True)
 class Extracts:
-    """``lines(columns)`` returns the sale lines with at least the requested raw columns.
+    """The masters are built when first asked for.
+
+    ``lines(columns)`` returns the sale lines with at least the requested raw columns.
 
     A source passes natural ids (``product_id``) or ready keys (``product_key``); look-ups
     use whichever the sale lines carry.
     """
 
-    products: DataFrame
-    stores: DataFrame
-    customers: DataFrame
+    products: Callable[[], DataFrame]
+    stores: Callable[[], DataFrame]
+    customers: Callable[[], DataFrame]
     lines: Callable[[set[str]], DataFrame]
     line_order: tuple[str, ...]  # unique within the lines; numbering breaks ties by it
     has_price: bool = True  # without a price of their own, lines sell at the list price
@@ -68,9 +70,9 @@ def read_extracts(spark: SparkSession, folder: str, fmt: str = "csv") -> Extract
         else:
             frames[name] = spark.read.schema(struct).format(fmt).load(f"{folder}/{name}")
     return Extracts(
-        frames["products"],
-        frames["stores"],
-        frames["customers"],
+        lambda: frames["products"],
+        lambda: frames["stores"],
+        lambda: frames["customers"],
         lambda columns: frames["transactions"],
         ("transaction_id",),
         corrupt=corrupt,

@@ -29,82 +29,119 @@ def _by_value(column: Column, values: dict[str, float]) -> Column:
     return F.element_at(F.create_map(*items), column)
 
 
-def order_table_extracts(spark: SparkSession, folder: str) -> Extracts:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-
-    nation = table("nation")
-    places = nation.join(
-        table("region"), F.col("n_regionkey") == F.col("r_regionkey")
-    ).select("n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("region"))
-
-    price = F.col("p_retailprice")
-    size = F.col("p_size")
-    products = table("part").select(
-        F.col("p_partkey").cast("bigint").alias("product_key"),
-        F.col("p_partkey").cast("string").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.when(size <= 15, "S").when(size <= 35, "M").otherwise("L").alias("subcategory"),
-        F.col("p_brand").alias("brand"),
-        price.alias("list_price"),
-        round_cents(price * (1 - _by_value(F.col("p_type"), MARGINS))).alias("unit_cost"),
-    )
+# Declared, so that opening a table starts no job to read its footer.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+        "c_mktsegment string"
+    ),
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
 
-    balance = F.col("s_acctbal")
-    stores = attach(
-        table("supplier").withColumnRenamed("s_nationkey", "n_nationkey"), places, "n_nationkey"
-    ).select(
-        F.col("s_suppkey").cast("bigint").alias("store_key"),
-        F.col("s_suppkey").cast("string").alias("store_id"),
-        F.col("s_name").alias("store_name"),
-        "city",
-        "region",
-        F.when(balance >= 7000, "Flagship")
-        .when(balance < 1000, "Outlet")
-        .otherwise("Standard")
-        .alias("store_type"),
-        F.lit(None).cast("date").alias("open_date"),
-    )
 
-    balance = F.col("c_acctbal")
-    customers = attach(
-        table("customer").withColumnRenamed("c_nationkey", "n_nationkey"),
-        nation.select("n_nationkey", F.col("n_name").alias("city")),
-        "n_nationkey",
-    ).select(
-        F.col("c_custkey").cast("bigint").alias("customer_key"),
-        F.col("c_custkey").cast("string").alias("customer_id"),
-        F.lit("N/D").alias("gender"),
-        F.col("c_mktsegment").alias("age_band"),
-        "city",
-        F.when(balance < 2500, "Bronze")
-        .when(balance < 5500, "Silver")
-        .when(balance < 8500, "Gold")
-        .otherwise("Platinum")
-        .alias("loyalty_tier"),
-        F.lit(None).cast("date").alias("signup_date"),
-    )
+class OrderTables:
+    """The tables of one folder, mapped to products, stores, customers and sale lines."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
+
+    def products(self) -> DataFrame:
+        price = F.col("p_retailprice")
+        size = F.col("p_size")
+        return self.table("part").select(
+            F.col("p_partkey").alias("product_key"),
+            F.col("p_partkey").cast("string").alias("product_id"),
+            F.col("p_name").alias("product_name"),
+            F.col("p_type").alias("category"),
+            F.when(size <= 15, "S").when(size <= 35, "M").otherwise("L").alias("subcategory"),
+            F.col("p_brand").alias("brand"),
+            price.alias("list_price"),
+            round_cents(price * (1 - _by_value(F.col("p_type"), MARGINS))).alias("unit_cost"),
+        )
+
+    def stores(self) -> DataFrame:
+        balance = F.col("s_acctbal")
+        nation = self.table("nation").withColumnRenamed("n_nationkey", "s_nationkey")
+        region = self.table("region").withColumnRenamed("r_regionkey", "n_regionkey")
+        places = attach(nation, region, "n_regionkey")
+        return attach(self.table("supplier"), places, "s_nationkey").select(
+            F.col("s_suppkey").alias("store_key"),
+            F.col("s_suppkey").cast("string").alias("store_id"),
+            F.col("s_name").alias("store_name"),
+            F.col("n_name").alias("city"),
+            F.col("r_name").alias("region"),
+            F.when(balance >= 7000, "Flagship")
+            .when(balance < 1000, "Outlet")
+            .otherwise("Standard")
+            .alias("store_type"),
+            F.lit(None).cast("date").alias("open_date"),
+        )
+
+    def customers(self) -> DataFrame:
+        balance = F.col("c_acctbal")
+        nation = self.table("nation").withColumnRenamed("n_nationkey", "c_nationkey")
+        return attach(self.table("customer"), nation, "c_nationkey").select(
+            F.col("c_custkey").alias("customer_key"),
+            F.col("c_custkey").cast("string").alias("customer_id"),
+            F.lit("N/D").alias("gender"),
+            F.col("c_mktsegment").alias("age_band"),
+            F.col("n_name").alias("city"),
+            F.when(balance < 2500, "Bronze")
+            .when(balance < 5500, "Silver")
+            .when(balance < 8500, "Gold")
+            .otherwise("Platinum")
+            .alias("loyalty_tier"),
+            F.lit(None).cast("date").alias("signup_date"),
+        )
 
-    def lines(columns: set[str]) -> DataFrame:
+    def lines(self, columns: set[str]) -> DataFrame:
         """The order header is joined only for the customer, the one column it adds."""
-        items = table("lineitem")
         raw = {
             "date": F.to_date("l_shipdate"),
-            "product_key": F.col("l_partkey").cast("bigint"),
-            "store_key": F.col("l_suppkey").cast("bigint"),
+            "product_key": F.col("l_partkey"),
+            "store_key": F.col("l_suppkey"),
             "quantity": F.col("l_quantity").cast("int"),
             "discount_pct": F.col("l_discount") + F.lit(0.0),
             "is_return": (F.col("l_returnflag") == "R").cast("int"),
         }
         wanted = [raw[c].alias(c) for c in raw if c in columns]
         wanted += [F.col(c) for c in LINE_ORDER if c in columns]
+        items = self.table("lineitem")
         if "customer_key" not in columns:
             return items.select(*wanted)
-        orders = table("orders").select(
+        orders = self.table("orders").select(
             F.col("o_orderkey").alias("_order"), F.col("o_custkey").alias("customer_key")
         )
-        lines = items.select(F.col("l_orderkey").alias("_order"), *wanted)
-        return attach(lines, orders, "_order", "left").drop("_order")
+        items = items.select(F.col("l_orderkey").alias("_order"), *wanted)
+        return attach(items, orders, "_order", "left").drop("_order")
+
 
-    return Extracts(products, stores, customers, lines, LINE_ORDER, has_price=False)
+def order_table_extracts(spark: SparkSession, folder: str) -> Extracts:
+    tables = OrderTables(spark, folder)
+    return Extracts(
+        tables.products,
+        tables.stores,
+        tables.customers,
+        tables.lines,
+        LINE_ORDER,
+        has_price=False,
+    )
