@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def all_sql() -> dict[str, str]:
-    from oracle import analytics, detection, kpis
+    from oracle import analytics, detection, forecast, kpis
 
-    return {**analytics.SQL, **kpis.SQL, **detection.SQL}
+    return {**analytics.SQL, **kpis.SQL, **detection.SQL, **forecast.SQL}

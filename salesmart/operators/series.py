@@ -40,6 +40,11 @@ def dense_daily(
     """
     first_day = span.select("first_date").scalar()
     last_day = span.select("last_date").scalar()
+    if entity:
+        # a fixed partition count: adaptive execution would merge these partitions by their
+        # size before the days are filled in, and leave few tasks for many filled rows
+        count = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        daily = daily.repartition(count, *entity)
     by_date = Window.partitionBy(*entity).orderBy("date")
     start = F.when(F.row_number().over(by_date) == 1, first_day).otherwise(F.col("date"))
     following = F.lead("date").over(by_date)

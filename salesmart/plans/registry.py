@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from salesmart.functions.rounding import money_sum
-from salesmart.operators import anomalies, quality, scenario, security, series
+from salesmart.operators import anomalies, forecast, quality, scenario, security, series
 from salesmart.plans import analytics, kpis, reports
 from salesmart.sources import extracts
 
@@ -104,6 +104,18 @@ QUERIES = {
         anomalies.anomalies(star), "store_name"
     ),
     "anomaly_summary": lambda star: anomalies.summary(anomalies.anomalies(star)),
+    # forecast
+    "forecast_daily": forecast.forecast_daily,
+    "forecast_by_category": lambda star: forecast.forecast_daily(star, ("category",)),
+    "forecast_backtest": forecast.forecast_backtest,
+    "forecast_summary": forecast.forecast_summary,
+    "forecast_totals": lambda star: reports.forecast_totals(forecast.forecast_daily(star)),
+    "actual_vs_forecast": lambda star: reports.actual_vs_forecast(
+        star, forecast.forecast_daily(star)
+    ),
+    "dq_forecast": lambda star: quality.forecast_checks(
+        forecast.forecast_daily(star), star.settings.horizon_days
+    ),
     # scenarios
     "scenario_closure": lambda star: _totals(
         scenario.closure(star, "store_key", CLOSED_STORE, PERIOD), "store_key"

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.functions.calendar import year_month
 from salesmart.functions.rounding import money_over, money_sum, ratio
 from salesmart.operators.lookup import attach
+from salesmart.operators.series import daily_sales
 from salesmart.plans.kpis import kpi, monthly_time_intelligence, new_returning
 
 CARD_MEASURES = ["total_net_sales", "gross_margin_pct", "avg_order_value", "return_rate_pct"]
@@ -122,6 +124,25 @@ def customer_cards(star) -> DataFrame:
     )
 
 
+def forecast_totals(forecast: DataFrame) -> DataFrame:
+    """Forecast and band per month; past months hold the fitted values and have no band."""
+    return forecast.groupBy(year_month(F.col("date")).alias("ym")).agg(
+        money_sum(F.col("forecast")).alias("forecast_sales"),
+        money_sum(F.col("lower_bound")).alias("forecast_lower"),
+        money_sum(F.col("upper_bound")).alias("forecast_upper"),
+    )
+
+
+def actual_vs_forecast(star, forecast: DataFrame) -> DataFrame:
+    """Every calendar day with its sales, its forecast and the band."""
+    ahead = forecast.select("date", "forecast", "lower_bound", "upper_bound")
+    return (
+        star.dim_date.select("date")
+        .join(daily_sales(star), "date", "left")
+        .join(ahead, "date", "left")
+    )
+
+
 def loyalty_age_sales(star) -> DataFrame:
     """Net sales by loyalty tier and age band.
 
