@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,6 +76,20 @@ DIM_DATE_COLUMNS = [
 ]
 
 
+@dataclass(frozen=True)
+class Period:
+    """A range of days, both ends included."""
+
+    first: datetime.date
+    last: datetime.date
+
+    def covers(self, day: Column) -> Column:
+        return day.between(F.lit(self.first), F.lit(self.last))
+
+    def keys(self) -> tuple[int, int]:
+        return tuple(int(d.strftime("%Y%m%d")) for d in (self.first, self.last))
+
+
 def build_dim_date(span: DataFrame, horizon_days: int) -> DataFrame:
     """One row per day from ``first_date`` to ``last_date`` plus the horizon (a one-row frame)."""
     days = span.select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.rounding import round_cents
 from salesmart.operators.lookup import attach
-from salesmart.operators.series import daily_by, dense_daily, rolling_median
+from salesmart.operators.series import daily_by, dense_daily, with_rolling_median
 from salesmart.settings import Settings
 
 
@@ -21,12 +21,9 @@ def robust_scores(dense: DataFrame, entity: list[str], settings: Settings) -> Da
     z = (F.col("net_sales") - F.col("expected")) / (
         settings.mad_scale * F.nullif("mad", F.lit(0.0))
     )
-    return (
-        dense.withColumn("expected", rolling_median(F.col("net_sales"), entity, rows, least))
-        .withColumn("deviation", F.abs(F.col("net_sales") - F.col("expected")))
-        .withColumn("mad", rolling_median(F.col("deviation"), entity, rows, least))
-        .withColumn("z", z)
-    )
+    based = with_rolling_median(dense, "net_sales", "expected", entity, rows, least)
+    based = based.withColumn("deviation", F.abs(F.col("net_sales") - F.col("expected")))
+    return with_rolling_median(based, "deviation", "mad", entity, rows, least).withColumn("z", z)
 
 
 def flagged(scored: DataFrame, entity: list[str], settings: Settings) -> DataFrame:

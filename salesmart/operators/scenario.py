@@ -2,26 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import date
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.functions.calendar import Period
 from salesmart.functions.rounding import money_sum, ratio
 from salesmart.operators.anomalies import entity_anomalies
 from salesmart.plans.star import ScenarioStar
 
 
-@dataclass(frozen=True)
-class Period:
-    first: date
-    last: date
-
-    def covers(self, day: Column) -> Column:
-        return day.between(F.lit(self.first), F.lit(self.last))
-
-
 def closure(star, column: str, value, period: Period) -> ScenarioStar:
     """Remove the lines of one store (or any other entity) in a period."""
     closed = period.covers(F.col("date")) & F.col(column).eqNullSafe(F.lit(value))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.functions.calendar import month_index, year_month
+from salesmart.functions.calendar import Period, month_index, year_month
 from salesmart.functions.measures import MEASURES, aggregates, fact_columns, margin_status, trend_label
 from salesmart.functions.rounding import money_over, money_sum, ratio
 from salesmart.operators.series import daily_sales
@@ -17,8 +19,9 @@ def kpi(
     by: list[str],
     measures: list[str] | None = None,
     slicers: dict[str, object] | None = None,
+    during: Period | None = None,
 ) -> DataFrame:
-    """Evaluate measures per group of ``by`` under equality or ``IN`` slicers.
+    """Evaluate measures per group of ``by`` under equality or ``IN`` slicers and in a period.
 
     ``by`` and the slicers take any key, attribute or calendar column of the star.  Only the
     columns the measures read are scanned, and only the dimensions named are joined.
@@ -27,7 +30,7 @@ def kpi(
     slicers = slicers or {}
     facts = sorted(fact_columns(names) - set(by) - set(slicers))
     extra = [c for c in slicers if c not in by]
-    lines = star.sales(*by, *extra, *facts)
+    lines = star.sales(*by, *extra, *facts, during=during)
     for column, allowed in slicers.items():
         values = allowed if isinstance(allowed, (list, tuple, set)) else [allowed]
         lines = lines.where(F.col(column).isin(list(values)))
@@ -38,12 +41,14 @@ def kpi_base(star) -> DataFrame:
     return kpi(star, ["category", "month_idx"])
 
 
-def kpi_sliced(star, slicers: dict[str, object]) -> DataFrame:
+def kpi_sliced(star, year: int, slicers: dict[str, object]) -> DataFrame:
+    """Months of one year under slicers; the year is a range of days, so the scan is pruned."""
     return kpi(
         star,
         ["month"],
         ["total_net_sales", "gross_margin", "gross_margin_pct", "total_quantity", "return_lines"],
         slicers,
+        Period(datetime.date(year, 1, 1), datetime.date(year, 12, 31)),
     )
 
 

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from salesmart.functions.calendar import Period
 from salesmart.functions.rounding import money_sum
 from salesmart.operators import anomalies, forecast, quality, scenario, security, series
 from salesmart.plans import analytics, kpis, reports
@@ -27,12 +28,13 @@ def _user_region(star):
 
 
 # Fixed slicer and role values that occur in the given tables.
-SLICERS = {"year": 1997, "region": "ASIA", "category": ["PROMO", "SMALL"]}
+SLICER_YEAR = 1997
+SLICERS = {"region": "ASIA", "category": ["PROMO", "SMALL"]}
 ROLE_REGION = "ASIA"
 ROLE_USER = "nation_7@example.com"
-PERIOD = scenario.Period(date(1998, 3, 10), date(1998, 3, 24))
-SPIKE_PERIOD = scenario.Period(date(1997, 11, 15), date(1997, 12, 15))
-DIP_PERIOD = scenario.Period(date(1998, 9, 1), date(1998, 9, 10))
+PERIOD = Period(date(1998, 3, 10), date(1998, 3, 24))
+SPIKE_PERIOD = Period(date(1997, 11, 15), date(1997, 12, 15))
+DIP_PERIOD = Period(date(1998, 9, 1), date(1998, 9, 10))
 CLOSED_STORE = 3
 REQUIRED = ["date", "product_key", "store_key", "customer_key", "quantity"]
 
@@ -65,7 +67,7 @@ QUERIES = {
     "rfm_matrix": analytics.rfm_matrix,
     # measures and time intelligence
     "kpi_base": kpis.kpi_base,
-    "kpi_sliced": lambda star: kpis.kpi_sliced(star, SLICERS),
+    "kpi_sliced": lambda star: kpis.kpi_sliced(star, SLICER_YEAR, SLICERS),
     "sales_to_date": kpis.sales_to_date,
     "kpi_yoy": kpis.kpi_yoy,
     "kpi_yoy_daily": kpis.kpi_yoy_daily,

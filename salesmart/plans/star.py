@@ -8,10 +8,11 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.functions.calendar import CALENDAR, build_dim_date, date_of_key
+from salesmart.functions.calendar import CALENDAR, Period, build_dim_date, date_of_key
 from salesmart.functions.sale_line import INPUTS, LINE_MEASURES
 from salesmart.operators.lookup import attach
-from salesmart.operators.ranking import with_position, with_surrogate_key
+from salesmart.operators.numbering import number_lines
+from salesmart.operators.ranking import with_surrogate_key
 from salesmart.schema import FACT_SALES
 from salesmart.settings import DEFAULTS, Settings
 from salesmart.sources.extracts import Extracts
@@ -75,8 +76,8 @@ class Star:
     def fact_sales(self) -> DataFrame:
         raise NotImplementedError
 
-    def sales(self, *columns: str) -> DataFrame:
-        """One row per sale line with exactly ``columns``.
+    def sales(self, *columns: str, during: Period | None = None) -> DataFrame:
+        """One row per sale line with exactly ``columns``, optionally of a period of days.
 
         A column may be a fact column, a key, an attribute of the product, store or customer,
         or any calendar attribute.  Only the look-ups that the columns need are joined, and
@@ -98,9 +99,16 @@ class Star:
 class ExtractStar(Star):
     """A star derived from source extracts on the fly."""
 
-    def __init__(self, spark: SparkSession, extracts: Extracts, settings: Settings = DEFAULTS):
+    def __init__(
+        self,
+        spark: SparkSession,
+        extracts: Extracts,
+        settings: Settings = DEFAULTS,
+        only_accepted: bool = False,
+    ):
         super().__init__(spark, settings)
         self.extracts = extracts
+        self.only_accepted = only_accepted
 
     def _build_dim(self, name: str) -> DataFrame:
         """The master with its key first; a master that brings no key is numbered by its id."""
@@ -119,6 +127,8 @@ class ExtractStar(Star):
             name: [c for c in [KEYS[name], *DIMENSIONS[name]] if c in needed]
             for name in DIMENSIONS
         }
+        if self.only_accepted:
+            wanted = {n: cols or [KEYS[n]] for n, cols in wanted.items()}
         lines = self.extracts.lines(needed | {KEYS[n] for n, cols in wanted.items() if cols})
         for name, cols in wanted.items():
             if not cols:
@@ -126,7 +136,7 @@ class ExtractStar(Star):
             key, natural_id = KEYS[name], DIMENSIONS[name][0]
             on = key if key in lines.columns else natural_id
             extra = [c for c in cols if c != on]
-            if extra or how != "inner":
+            if extra or how != "inner" or self.only_accepted:
                 marker = [F.lit(1).alias(f"_{name}")] if how != "inner" else []
                 dim = self.dim(name).select(on, *extra, *marker)
                 lines = attach(lines, dim, on, how, probe_from=self.extracts.lines({on}))
@@ -134,13 +144,15 @@ class ExtractStar(Star):
             lines = lines.withColumn("unit_price", F.col("list_price"))
         return lines
 
-    def sales(self, *columns: str) -> DataFrame:
+    def sales(self, *columns: str, during: Period | None = None) -> DataFrame:
         derived = [c for c in columns if c in INPUTS]
         needed = set(columns) - set(derived) - set(CALENDAR)
         needed = needed.union(*[INPUTS[c] for c in derived])
-        if any(c in CALENDAR for c in columns):
+        if during or any(c in CALENDAR for c in columns):
             needed.add("date")
         lines = self._raw_lines(needed, "inner")
+        if during:
+            lines = lines.where(during.covers(F.col("date")))
         return lines.select(*[_column(c, LINE_MEASURES).alias(c) for c in columns])
 
     @property
@@ -153,17 +165,19 @@ class ExtractStar(Star):
         on = key if key in lines.columns else natural_id
         return lines.select(on), self.dim(name).select(on), on
 
-    def fact_lines(self) -> DataFrame:
-        """The fact before numbering: its columns plus the ones that order the lines."""
-        order = [c for c in self.extracts.line_order if c not in FACT_SALES.names]
-        return self.sales("date", *FACT_SALES.names[1:], *order)
-
-    def fact_sales(self) -> DataFrame:
-        """The fact with dense keys 1..n in date order, ties by the lines' own identity."""
-        order = [F.asc("date"), *[F.asc(c) for c in self.extracts.line_order]]
-        numbered = with_position(self.fact_lines(), order, "sale_key")
+    def fact_sales(self, during: Period | None = None, after: int = 0) -> DataFrame:
+        """The fact with dense keys in date order, ties by the lines' own identity."""
+        identity = self.line_id[1:]
+        extra = [c for c in identity if c not in FACT_SALES.names]
+        lines = self.sales("date", *FACT_SALES.names[1:], *extra, during=during)
+        keys = self.sales(*self.line_id, during=during)
+        numbered = number_lines(lines, keys, identity, "sale_key", after)
         return numbered.select(*FACT_SALES.names)
 
+    def accepted(self) -> ExtractStar:
+        """The same star over only those lines whose look-ups all succeed."""
+        return ExtractStar(self.spark, self.extracts, self.settings, only_accepted=True)
+
     def rejects(self) -> DataFrame:
         """Sale lines whose product, store or customer is unknown, with the reasons."""
         needed = set(KEYS.values()) | set(self.extracts.line_order) | {"date"}
@@ -207,7 +221,7 @@ class WarehouseStar(Star):
     def fact_sales(self) -> DataFrame:
         return self.tables["fact_sales"].select(*FACT_SALES.names)
 
-    def sales(self, *columns: str) -> DataFrame:
+    def sales(self, *columns: str, during: Period | None = None) -> DataFrame:
         needed = set(columns) - set(CALENDAR)
         if any(c in CALENDAR for c in columns):
             needed.add("date_key")
@@ -216,6 +230,10 @@ class WarehouseStar(Star):
         }
         needed |= {KEYS[n] for n, cols in attributes.items() if cols}
         fact = self.tables["fact_sales"]
+        if during:  # whole months are pruned as partitions, the days by file statistics
+            first, last = during.keys()
+            fact = fact.where(F.col("year_month").between(first // 100, last // 100))
+            fact = fact.where(F.col("date_key").between(first, last))
         lines = fact.select(*[c for c in FACT_SALES.names if c in needed])
         for name, cols in attributes.items():
             if cols:
@@ -241,6 +259,9 @@ class ScenarioStar(Star):
     def line_id(self) -> list[str]:
         return self.base.line_id
 
-    def sales(self, *columns: str) -> DataFrame:
-        read = list(dict.fromkeys([*columns, *self.reads]))
-        return self.change(self.base.sales(*read)).select(*columns)
+    def sales(self, *columns: str, during: Period | None = None) -> DataFrame:
+        read = list(dict.fromkeys([*columns, *self.reads, *(["date"] if during else [])]))
+        lines = self.change(self.base.sales(*read))
+        if during:
+            lines = lines.where(during.covers(F.col("date")))
+        return lines.select(*columns)
