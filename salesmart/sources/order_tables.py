@@ -20,7 +20,7 @@ MARGINS = {
 }
 # Columns that together identify a sale line in these tables.
 LINE_ORDER = (
-    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+    "l_orderkey", "l_linenumber", "product_key", "store_key", "l_quantity", "l_extendedprice",
 )
 
 
@@ -124,7 +124,7 @@ class OrderTables:
             "is_return": (F.col("l_returnflag") == "R").cast("int"),
         }
         wanted = [raw[c].alias(c) for c in raw if c in columns]
-        wanted += [F.col(c) for c in LINE_ORDER if c in columns]
+        wanted += [F.col(c) for c in LINE_ORDER if c in columns and c not in raw]
         items = self.table("lineitem")
         if "customer_key" not in columns:
             return items.select(*wanted)
