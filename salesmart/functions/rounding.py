@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -38,6 +40,12 @@ def round_half_up(value: Column, digits: int) -> Column:
     return F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / scale + F.lit(0.0)
 
 
+def side_by_side(singles: list[DataFrame]) -> DataFrame:
+    """One row with the columns of several one-row frames, without a cross join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), singles)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division that is null, not an error, on a zero denominator."""
     return F.try_divide(numerator, denominator)

@@ -35,12 +35,13 @@ def fits_broadcast(df: DataFrame) -> bool:
     return source_bytes(df) <= broadcast_limit(df)
 
 
-def hot_keys(lines: DataFrame, key: str, share: float, probe: float) -> DataFrame:
-    """Keys that hold at least ``share`` of the probed lines (at most 1 / share of them)."""
+def hot_keys(lines: DataFrame, key: str, share: float, probe: float) -> list:
+    """Keys that hold at least ``share`` of the probed lines: at most 1 / share values."""
     probed = lines.select(key) if probe >= 1 else lines.select(key).sample(probe, seed=7)
     counts = probed.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_lines"))
     total = counts.agg(F.sum("_lines").alias("total"))
-    return counts.where(F.col("_lines") >= share * total.scalar()).select(key)
+    hot = counts.where(F.col("_lines") >= share * total.scalar()).select(key)
+    return [row[0] for row in hot.collect()]
 
 
 def attach(
@@ -58,8 +59,8 @@ def attach(
     A dimension below the session's broadcast threshold is broadcast.  A larger one is
     shuffled, and then keys that hold a large share of the lines would end in one task: they
     are taken out of the shuffle and joined to their few dimension rows by broadcast.  The
-    two branches cover every line exactly once.  Without hot keys adaptive execution drops
-    the hot branch before it reads anything.
+    hot keys are fetched once, as a bounded list, so both branches split the lines the same
+    way and every line is in exactly one of them.
 
     ``skewed=False`` says the lines are already summed per key.  ``probe_from`` is a cheaper
     frame with the same keys to look for hot ones.
@@ -69,9 +70,9 @@ def attach(
     if not skewed:
         return lines.join(dim, key, how)
     hot = hot_keys(lines if probe_from is None else probe_from, key, share, probe)
-    hot_rows = dim.join(F.broadcast(hot), key, "left_semi")
-    # only keys found in the dimension leave the shuffled branch, so unmatched lines stay whole
-    hot_found = hot_rows.select(key)
-    from_hot = lines.join(F.broadcast(hot_rows), key, "inner")
-    rest = lines.join(F.broadcast(hot_found), key, "left_anti").join(dim, key, how)
+    if not hot:
+        return lines.join(dim, key, how)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))  # a null key stays in the rest
+    from_hot = lines.where(is_hot).join(F.broadcast(dim.where(is_hot)), key, how)
+    rest = lines.where(~is_hot).join(dim.where(~is_hot), key, how)
     return from_hot.unionByName(rest)

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.functions.rounding import side_by_side
+from salesmart.functions.typing import misfits, typed
 from salesmart.plans.star import DIMENSIONS, KEYS
 
 
@@ -56,12 +58,12 @@ def lookup_audit(star) -> DataFrame:
     """One row: sale lines, and how many have no known product, store or customer."""
     parts = {row: star.references(row) for row in DIMENSIONS}
     counts = [
-        _orphan_count(name, *pair).select(F.lit(1).alias("_one"), F.col("orphans").alias(f"missing_{name}"))
+        _orphan_count(name, *pair).select(F.col("orphans").alias(f"missing_{name}"))
         for name, pair in parts.items()
     ]
     first = next(iter(parts.values()))[0]
-    total = first.agg(F.count("*").cast("bigint").alias("line_count")).withColumn("_one", F.lit(1))
-    return reduce(lambda a, b: a.join(b, "_one"), [total, *counts]).drop("_one")
+    total = first.agg(F.count("*").cast("bigint").alias("line_count"))
+    return side_by_side([total, *counts])
 
 
 def returns_sign(star) -> DataFrame:
@@ -146,9 +148,9 @@ def forecast_checks(forecast: DataFrame, horizon: int) -> DataFrame:
 
 def type_check(raw: DataFrame, types: dict[str, str]) -> DataFrame:
     """Per column of a text table: filled values and values its type cannot hold."""
-    typed = [F.col(c).try_cast(t) for c, t in types.items()]
     checks: list[Column] = []
-    for (column, kind), value in zip(types.items(), typed):
+    for column, kind in types.items():
+        value = F.col(column).try_cast(kind)
         filled = F.col(column).isNotNull()
         checks += [
             F.count_if(filled).alias(f"{column}_filled"),
@@ -171,9 +173,5 @@ def type_check(raw: DataFrame, types: dict[str, str]) -> DataFrame:
 
 def typed_or_rejected(raw: DataFrame, types: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """Rows that cast cleanly, and the raw rows with at least one value that does not."""
-    bad = reduce(
-        lambda a, b: a | b,
-        [F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in types.items()],
-    )
-    clean = raw.where(~bad).select(*[F.col(c).try_cast(t).alias(c) for c, t in types.items()])
-    return clean, raw.where(bad)
+    bad = misfits(types)
+    return raw.where(~bad).select(*typed(types)), raw.where(bad)

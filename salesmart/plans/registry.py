@@ -20,13 +20,6 @@ def _regions_seen(lines):
     )
 
 
-def _user_region(star):
-    """Mapping table derived from the stores: each city's manager sees the city's region."""
-    return star.dim_store.select(
-        F.concat(F.lower("city"), F.lit("@example.com")).alias("email"), "region"
-    ).distinct()
-
-
 # Fixed slicer and role values that occur in the given tables.
 SLICER_YEAR = 1997
 SLICERS = {"region": "ASIA", "category": ["PROMO", "SMALL"]}
@@ -88,7 +81,7 @@ QUERIES = {
         security.for_region(star, ROLE_REGION, ["region", "net_sales"])
     ),
     "rls_dynamic": lambda star: _regions_seen(
-        security.for_user(star, ROLE_USER, _user_region(star), ["region", "net_sales"])
+        security.for_user(star, ROLE_USER, star.extracts.user_region(), ["region", "net_sales"])
     ),
     # daily series
     "daily_sales": series.daily_sales,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.calendar import year_month
-from salesmart.functions.rounding import money_over, money_sum, ratio
+from salesmart.functions.rounding import money_over, money_sum, ratio, side_by_side
 from salesmart.operators.lookup import attach
 from salesmart.operators.series import daily_sales
 from salesmart.plans.kpis import kpi, monthly_time_intelligence, new_returning
@@ -23,8 +23,7 @@ def exec_cards(star) -> DataFrame:
         .select(F.col("ym").alias("last_month"), "sales_yoy_pct", "sales_mom_pct", "rolling_3m")
     )
     totals = kpi(star, [], CARD_MEASURES)
-    one = F.lit(1).alias("_one")  # both sides are a single row
-    return totals.select(one, "*").join(latest.select(one, "*"), "_one").drop("_one")
+    return side_by_side([totals, latest])
 
 
 def exec_trend(star) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart import schema
+from salesmart.functions.typing import as_text, column_types, misfits, typed
 
 CORRUPT = "_corrupt_record"
 
@@ -31,22 +32,31 @@ class Extracts:
     line_order: tuple[str, ...]  # unique within the lines; numbering breaks ties by it
     has_price: bool = True  # without a price of their own, lines sell at the list price
     corrupt: DataFrame | None = None
+    user_region: Callable[[], DataFrame] | None = None  # email, region: who may see what
 
 
-def _with_corrupt(struct: T.StructType) -> T.StructType:
-    return T.StructType([*struct.fields, T.StructField(CORRUPT, T.StringType())])
+def read_csv(
+    spark: SparkSession, path: str, struct: T.StructType
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows of a CSV file, and the records that are malformed or hold a wrong value.
 
-
-def read_csv(spark: SparkSession, path: str, struct: T.StructType) -> DataFrame:
-    """All columns are parsed, so that a bad value is caught in any of them."""
-    return (
-        spark.read.schema(_with_corrupt(struct))
+    The test names every column, so that the parser checks whole records even when a query
+    needs few columns.
+    """
+    text = T.StructType([*as_text(struct).fields, T.StructField(CORRUPT, T.StringType())])
+    types = column_types(struct)
+    raw = (
+        spark.read.schema(text)
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("columnPruning", False)
         .csv(path)
     )
+    unreadable = F.col(CORRUPT).isNotNull() | misfits(types)
+    record = F.coalesce(F.col(CORRUPT), F.concat_ws(",", *types))
+    return raw.where(~unreadable).select(*typed(types)), raw.where(unreadable).select(
+        record.alias("record")
+    )
 
 
 def read_extracts(spark: SparkSession, folder: str, fmt: str = "csv") -> Extracts:
@@ -61,12 +71,9 @@ def read_extracts(spark: SparkSession, folder: str, fmt: str = "csv") -> Extract
     frames = {}
     for name, struct in files.items():
         if fmt == "csv":
-            raw = read_csv(spark, f"{folder}/{name}.csv", struct)
-            bad = raw.where(F.col(CORRUPT).isNotNull()).select(
-                F.lit(name).alias("extract"), F.col(CORRUPT).alias("record")
-            )
+            frames[name], bad = read_csv(spark, f"{folder}/{name}.csv", struct)
+            bad = bad.select(F.lit(name).alias("extract"), "record")
             corrupt = bad if corrupt is None else corrupt.unionByName(bad)
-            frames[name] = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
         else:
             frames[name] = spark.read.schema(struct).format(fmt).load(f"{folder}/{name}")
     return Extracts(

@@ -55,7 +55,10 @@ TABLES = {
 
 
 class OrderTables:
-    """The tables of one folder, mapped to products, stores, customers and sale lines."""
+    """The tables of one folder, mapped to products, stores, customers and sale lines.
+
+    Nations and regions are fixed lists of 25 and 5 rows at any scale, so they are broadcast.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -78,12 +81,19 @@ class OrderTables:
             round_cents(price * (1 - _by_value(F.col("p_type"), MARGINS))).alias("unit_cost"),
         )
 
+    def _places(self) -> DataFrame:
+        region = self.table("region").withColumnRenamed("r_regionkey", "n_regionkey")
+        return self.table("nation").join(F.broadcast(region), "n_regionkey")
+
+    def user_region(self) -> DataFrame:
+        """One manager per nation, who sees the nation's region."""
+        email = F.concat(F.lower("n_name"), F.lit("@example.com"))
+        return self._places().select(email.alias("email"), F.col("r_name").alias("region"))
+
     def stores(self) -> DataFrame:
         balance = F.col("s_acctbal")
-        nation = self.table("nation").withColumnRenamed("n_nationkey", "s_nationkey")
-        region = self.table("region").withColumnRenamed("r_regionkey", "n_regionkey")
-        places = attach(nation, region, "n_regionkey")
-        return attach(self.table("supplier"), places, "s_nationkey").select(
+        places = self._places().withColumnRenamed("n_nationkey", "s_nationkey")
+        return self.table("supplier").join(F.broadcast(places), "s_nationkey").select(
             F.col("s_suppkey").alias("store_key"),
             F.col("s_suppkey").cast("string").alias("store_id"),
             F.col("s_name").alias("store_name"),
@@ -99,7 +109,7 @@ class OrderTables:
     def customers(self) -> DataFrame:
         balance = F.col("c_acctbal")
         nation = self.table("nation").withColumnRenamed("n_nationkey", "c_nationkey")
-        return attach(self.table("customer"), nation, "c_nationkey").select(
+        return self.table("customer").join(F.broadcast(nation), "c_nationkey").select(
             F.col("c_custkey").alias("customer_key"),
             F.col("c_custkey").cast("string").alias("customer_id"),
             F.lit("N/D").alias("gender"),
@@ -144,4 +154,5 @@ def order_table_extracts(spark: SparkSession, folder: str) -> Extracts:
         tables.lines,
         LINE_ORDER,
         has_price=False,
+        user_region=tables.user_region,
     )

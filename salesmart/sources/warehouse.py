@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from salesmart import schema
 from salesmart.functions.calendar import Period
+from salesmart.functions.typing import as_text, column_types
 from salesmart.operators import quality
 from salesmart.plans.star import DIMENSIONS, ExtractStar, WarehouseStar
 from salesmart.settings import DEFAULTS, Settings
@@ -139,10 +140,8 @@ def export_marts(star: WarehouseStar, path: str) -> None:
 def read_mart(spark: SparkSession, path: str, name: str) -> tuple[DataFrame, DataFrame]:
     """A CSV mart with its declared types, and the rows that do not fit them."""
     struct = {**schema.STAR_TABLES, **schema.MART_TABLES}[name]
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in struct.fields])
-    raw = spark.read.schema(text).option("header", True).csv(f"{path}/{name}")
-    types = {f.name: f.dataType.simpleString() for f in struct.fields}
-    return quality.typed_or_rejected(raw, types)
+    raw = spark.read.schema(as_text(struct)).option("header", True).csv(f"{path}/{name}")
+    return quality.typed_or_rejected(raw, column_types(struct))
 
 
 def table_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
