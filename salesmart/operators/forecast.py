@@ -6,7 +6,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.rounding import round_cents
@@ -155,11 +155,11 @@ def fitted_sales(star, keys: list[str], backtest: bool = False) -> DataFrame:
     return fit_series(dense_daily(daily, keys, star.span()), keys, star.settings, backtest)
 
 
-def forecast_daily(star, keys: tuple[str, ...] = ()) -> DataFrame:
+def as_mart(fitted: DataFrame, keys: list[str]) -> DataFrame:
     """History with one-step predictions, then the forecast with its constant band."""
     value, band = F.col("prediction"), F.col("band")
     ahead = F.col("segment") == "forecast"
-    return fitted_sales(star, list(keys)).select(
+    return fitted.select(
         *keys,
         "date",
         round_cents(F.col("actual")).alias("actual"),
@@ -170,27 +170,41 @@ def forecast_daily(star, keys: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def backtest_error(fitted: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean absolute percentage error on the held-out days with sales."""
-    tested = fitted.where(F.col("held_out").isNotNull() & (F.col("actual") > 0))
+def _tested() -> Column:
+    """Held-out days with sales; days without do not count in the error."""
+    return F.col("held_out").isNotNull() & (F.col("actual") > 0)
+
+
+def _mape(tested: Column) -> Column:
     miss = F.abs((F.col("actual") - F.col("held_out")) / F.col("actual"))
-    return tested.groupBy(*keys).agg(
-        F.count("*").cast("bigint").alias("tested_days"),
-        round_cents(F.avg(miss) * 100).alias("mape_pct"),
-    )
+    return round_cents(F.avg(F.when(tested, miss)) * 100)
 
 
-def forecast_backtest(star, keys: tuple[str, ...] = ()) -> DataFrame:
-    return backtest_error(fitted_sales(star, list(keys), backtest=True), list(keys))
+def backtest_error(fitted: DataFrame, keys: list[str]) -> DataFrame:
+    """Mean absolute percentage error on the held-out days."""
+    return fitted.groupBy(*keys).agg(
+        F.count_if(_tested()).cast("bigint").alias("tested_days"),
+        _mape(_tested()).alias("mape_pct"),
+    )
 
 
-def forecast_summary(star) -> DataFrame:
-    """One row: days ahead, their total, and the error of the back-test; one fitting pass."""
+def summary(fitted: DataFrame) -> DataFrame:
+    """One row: days ahead, their total, and the error of the back-test."""
     ahead = F.col("segment") == "forecast"
-    tested = F.col("held_out").isNotNull() & (F.col("actual") > 0)
-    miss = F.abs((F.col("actual") - F.col("held_out")) / F.col("actual"))
-    return fitted_sales(star, [], backtest=True).agg(
+    return fitted.agg(
         F.count_if(ahead).cast("bigint").alias("horizon_days"),
         F.rint(F.sum(F.when(ahead, F.col("prediction")))).alias("forecast_total"),
-        round_cents(F.avg(F.when(tested, miss)) * 100).alias("backtest_mape_30d"),
+        _mape(_tested()).alias("backtest_mape_30d"),
     )
+
+
+def forecast_daily(star, keys: tuple[str, ...] = ()) -> DataFrame:
+    return as_mart(fitted_sales(star, list(keys)), list(keys))
+
+
+def forecast_backtest(star, keys: tuple[str, ...] = ()) -> DataFrame:
+    return backtest_error(fitted_sales(star, list(keys), backtest=True), list(keys))
+
+
+def forecast_summary(star) -> DataFrame:
+    return summary(fitted_sales(star, [], backtest=True))

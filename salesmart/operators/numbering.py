@@ -41,7 +41,7 @@ def number_lines(
     the order is plainly date and identity.
     """
     per_day = keys.groupBy("date").agg(F.count("*").alias("_lines"))
-    total = per_day.agg(F.sum("_lines").alias("total")).scalar()
+    total = F.sum("_lines").over(Window.partitionBy())  # over one row per day
     size = F.greatest(F.lit(float(group_lines)), total / F.lit(float(MAX_GROUPS)))
     buckets = per_day.select("date", F.ceil(F.col("_lines") / size).alias("_buckets"))
     counts = _group_of(keys, buckets, identity).groupBy("date", "_bucket").agg(

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,14 +36,20 @@ class LoadError(ValueError):
     """The extracts would break the star; nothing has been written to the fact."""
 
 
+def together(*actions: Callable[[], object]) -> list:
+    """Run independent Spark actions at the same time; the first failure is raised."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        return [job.result() for job in [pool.submit(action) for action in actions]]
+
+
 def check_dimensions(star: ExtractStar) -> None:
     """Keys and natural ids must be unique and present, or look-ups would multiply lines."""
-    for name in DIMENSIONS:
-        broken = quality.dimension_constraints(name, star.dim(name)).where(
-            "null_count > 0 OR duplicate_count > 0"
-        ).collect()  # two rows at most
-        if broken:
-            raise LoadError(f"dim_{name}: {[r.asDict() for r in broken]}")
+    checks = [quality.dimension_constraints(name, star.dim(name)) for name in DIMENSIONS]
+    broken = reduce(DataFrame.unionByName, checks).where(
+        "null_count > 0 OR duplicate_count > 0"
+    ).collect()  # two rows per dimension at most
+    if broken:
+        raise LoadError(str([r.asDict() for r in broken]))
 
 
 def check_lines(star: ExtractStar, rejects_path: str | None) -> None:
@@ -72,14 +81,18 @@ def write_star(star: ExtractStar, path: str, rejects_path: str | None = None) ->
     Without ``rejects_path`` a line with an unknown reference stops the load; with it, such
     lines are written there and the rest is loaded.
     """
-    check_dimensions(star)
-    check_lines(star, rejects_path)
-    if rejects_path:
-        star = star.accepted()
-    for name in ["dim_date", *[f"dim_{n}" for n in DIMENSIONS]]:
-        frame = getattr(star, name)
-        _shaped(frame, schema.STAR_TABLES[name]).write.mode("overwrite").parquet(f"{path}/{name}")
-    _write_fact(star.fact_sales(), path, "static")
+    together(lambda: check_dimensions(star), lambda: check_lines(star, rejects_path))
+    loaded = star.accepted() if rejects_path else star
+
+    def write_dim(name: str) -> None:
+        frame = _shaped(getattr(loaded, name), schema.STAR_TABLES[name])
+        frame.write.mode("overwrite").parquet(f"{path}/{name}")
+
+    together(
+        lambda: _write_fact(loaded.fact_sales(), path, "static"),
+        lambda: write_dim("dim_date"),
+        *[partial(write_dim, f"dim_{n}") for n in DIMENSIONS],
+    )
     return read_star(star.spark, path, star.settings)
 
 
@@ -132,9 +145,10 @@ def export_csv(frame: DataFrame, path: str) -> None:
 
 
 def export_marts(star: WarehouseStar, path: str) -> None:
-    for name in schema.STAR_TABLES:
-        table = star.tables[name]
-        export_csv(table.select(*schema.STAR_TABLES[name].names), f"{path}/{name}")
+    def export(name: str) -> None:
+        export_csv(star.tables[name].select(*schema.STAR_TABLES[name].names), f"{path}/{name}")
+
+    together(*[partial(export, name) for name in schema.STAR_TABLES])
 
 
 def read_mart(spark: SparkSession, path: str, name: str) -> tuple[DataFrame, DataFrame]:
