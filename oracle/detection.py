@@ -118,6 +118,10 @@ SQL = {
            FROM named JOIN dim_date USING (date) WHERE is_anomaly = 1""",
         "dim_date",
     ),
+    "anomaly_line": store_sql(
+        f"""SELECT date, {money('net_sales')} AS net_sales, {money('expected')} AS expected
+            FROM named WHERE region = 'ASIA' GROUP BY date"""
+    ),
     "anomaly_counts": store_sql(
         """SELECT region, CAST(sum(is_anomaly) AS BIGINT) AS anomaly_count,
                   CAST(count(*) FILTER (is_anomaly = 1 AND direction = 'dip') AS BIGINT)

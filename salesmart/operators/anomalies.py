@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions.rounding import round_cents
+from salesmart.functions.rounding import money_sum, round_cents
 from salesmart.operators.lookup import attach
 from salesmart.operators.series import daily_by, dense_daily, with_rolling_median
 from salesmart.settings import Settings
@@ -70,6 +70,14 @@ def monitor(star, found: DataFrame) -> DataFrame:
     return hits.join(F.broadcast(calendar), "date")  # one row per day
 
 
+def expected_line(found: DataFrame, column: str, value) -> DataFrame:
+    """Actual and expected sales per day of the sliced entities."""
+    return found.where(F.col(column) == value).groupBy("date").agg(
+        money_sum(F.col("net_sales")).alias("net_sales"),
+        money_sum(F.col("expected")).alias("expected"),
+    )
+
+
 def counts(found: DataFrame, by: str) -> DataFrame:
     hit = F.col("is_anomaly") == 1
     return found.groupBy(by).agg(

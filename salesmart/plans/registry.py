@@ -94,6 +94,9 @@ QUERIES = {
     "anomalies": anomalies.anomalies,
     "region_anomalies": lambda star: anomalies.entity_anomalies(star, "region"),
     "anomaly_monitor": lambda star: anomalies.monitor(star, anomalies.anomalies(star)),
+    "anomaly_line": lambda star: anomalies.expected_line(
+        anomalies.anomalies(star), "region", ROLE_REGION
+    ),
     "anomaly_counts": lambda star: anomalies.counts(anomalies.anomalies(star), "region"),
     "top_anomaly_stores": lambda star: anomalies.top_entities(
         anomalies.anomalies(star), "store_name"

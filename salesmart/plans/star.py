@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from copy import copy
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,6 +77,15 @@ class Star:
     def fact_sales(self) -> DataFrame:
         raise NotImplementedError
 
+    def tables_by_name(self) -> dict[str, DataFrame]:
+        dims = {f"dim_{name}": self.dim(name) for name in DIMENSIONS}
+        return {"dim_date": self.dim_date, **dims, "fact_sales": self.fact_sales()}
+
+    def register_views(self, prefix: str = "") -> None:
+        """Make the five tables available to ``spark.sql`` under their own names."""
+        for name, frame in self.tables_by_name().items():
+            frame.createOrReplaceTempView(f"{prefix}{name}")
+
     def sales(self, *columns: str, during: Period | None = None) -> DataFrame:
         """One row per sale line with exactly ``columns``, optionally of a period of days.
 
@@ -104,11 +114,10 @@ class ExtractStar(Star):
         spark: SparkSession,
         extracts: Extracts,
         settings: Settings = DEFAULTS,
-        only_accepted: bool = False,
     ):
         super().__init__(spark, settings)
         self.extracts = extracts
-        self.only_accepted = only_accepted
+        self.only_accepted = False
 
     def _build_dim(self, name: str) -> DataFrame:
         """The master with its key first; a master that brings no key is numbered by its id."""
@@ -176,7 +185,9 @@ class ExtractStar(Star):
 
     def accepted(self) -> ExtractStar:
         """The same star over only those lines whose look-ups all succeed."""
-        return ExtractStar(self.spark, self.extracts, self.settings, only_accepted=True)
+        same = copy(self)  # keeps dimensions that are already numbered
+        same.only_accepted = True
+        return same
 
     def rejects(self) -> DataFrame:
         """Sale lines whose product, store or customer is unknown, with the reasons."""

@@ -89,6 +89,18 @@ def test_written_star_answers_like_the_extracts(build, tmp_path):
     }
 
 
+def test_sql_over_the_tables(spark, build, tmp_path):
+    written = warehouse.write_star(build(SALES), str(tmp_path))
+    written.register_views()
+    rows = spark.sql(
+        "SELECT p.category, count(*) AS n, cast(sum(f.net_sales) AS decimal(18,2)) AS net "
+        "FROM fact_sales f JOIN dim_product p USING (product_key) "
+        "JOIN dim_date d USING (date_key) JOIN dim_store s USING (store_key) "
+        "JOIN dim_customer c USING (customer_key) WHERE d.year = 2024 GROUP BY p.category"
+    ).collect()
+    assert [(r.category, r.n, float(r.net)) for r in rows] == [("Home", 4, 100.0)]
+
+
 def test_period_prunes_partitions(build, tmp_path):
     written = warehouse.write_star(build(SALES), str(tmp_path))
     february = Period(day("2024-02-01"), day("2024-02-29"))
