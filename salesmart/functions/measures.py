@@ -1,4 +1,4 @@
-"""The measure library: named aggregate columns that can be evaluated at any grain."""
+"""The measure library: named measures over a few aggregates that work at any grain."""
 
 from __future__ import annotations
 
@@ -7,46 +7,52 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.rounding import money_sum, ratio, round_half_up
 
-_net = lambda: money_sum(F.col("net_sales"))
-_lines = lambda: F.count(F.lit(1))
-_customers = lambda: F.count_distinct("customer_key")
-_returns = lambda: F.count_if(F.col("is_return") == 1)
+# name -> (fact columns it reads, aggregate); all of them add up from partial results
+SUMS = {
+    "net": ({"net_sales"}, lambda: money_sum(F.col("net_sales"))),
+    "gross": ({"gross_sales"}, lambda: money_sum(F.col("gross_sales"))),
+    "cost": ({"cost_amount"}, lambda: money_sum(F.col("cost_amount"))),
+    "margin": ({"gross_margin"}, lambda: money_sum(F.col("gross_margin"))),
+    "discount": ({"discount_amount"}, lambda: money_sum(F.col("discount_amount"))),
+    "units": ({"quantity"}, lambda: F.sum("quantity")),
+    "lines": (set(), lambda: F.count(F.lit(1))),
+    "returns": ({"is_return"}, lambda: F.count_if(F.col("is_return") == 1)),
+}
+# the one base that does not add up: distinct customers
+CUSTOMERS = "customers"
 
-# name -> (fact columns it reads, aggregate)
+# measure -> (numerator, denominator or None) over the bases
 MEASURES = {
-    "total_net_sales": ({"net_sales"}, _net),
-    "total_gross_sales": ({"gross_sales"}, lambda: money_sum(F.col("gross_sales"))),
-    "total_cost": ({"cost_amount"}, lambda: money_sum(F.col("cost_amount"))),
-    "gross_margin": ({"gross_margin"}, lambda: money_sum(F.col("gross_margin"))),
-    "gross_margin_pct": (
-        {"gross_margin", "net_sales"},
-        lambda: ratio(money_sum(F.col("gross_margin")), _net()),
-    ),
-    "total_quantity": ({"quantity"}, lambda: F.sum("quantity")),
-    "total_discount": ({"discount_amount"}, lambda: money_sum(F.col("discount_amount"))),
-    "discount_rate_pct": (
-        {"discount_amount", "gross_sales"},
-        lambda: ratio(money_sum(F.col("discount_amount")), money_sum(F.col("gross_sales"))),
-    ),
-    "sales_line_count": (set(), _lines),
-    "customer_count": ({"customer_key"}, _customers),
-    "avg_order_value": ({"net_sales"}, lambda: ratio(_net(), _lines())),
-    "sales_per_customer": (
-        {"net_sales", "customer_key"},
-        lambda: ratio(_net(), _customers()),
-    ),
-    "return_lines": ({"is_return"}, _returns),
-    "return_rate_pct": ({"is_return"}, lambda: ratio(_returns(), _lines())),
+    "total_net_sales": ("net", None),
+    "total_gross_sales": ("gross", None),
+    "total_cost": ("cost", None),
+    "gross_margin": ("margin", None),
+    "gross_margin_pct": ("margin", "net"),
+    "total_quantity": ("units", None),
+    "total_discount": ("discount", None),
+    "discount_rate_pct": ("discount", "gross"),
+    "sales_line_count": ("lines", None),
+    "customer_count": (CUSTOMERS, None),
+    "avg_order_value": ("net", "lines"),
+    "sales_per_customer": ("net", CUSTOMERS),
+    "return_lines": ("returns", None),
+    "return_rate_pct": ("returns", "lines"),
 }
 
 
-def fact_columns(names: list[str]) -> set[str]:
-    """Fact columns the named measures read, so that the scan can be pruned to them."""
-    return set().union(*[MEASURES[n][0] for n in names])
+def bases_of(names: list[str]) -> list[str]:
+    """The bases the named measures are made of, each once."""
+    parts = [base for name in names for base in MEASURES[name] if base]
+    return list(dict.fromkeys(parts))
 
 
-def aggregates(names: list[str]) -> list[Column]:
-    return [MEASURES[n][1]().alias(n) for n in names]
+def measure(name: str) -> Column:
+    """A measure as an expression over the columns of its bases."""
+    numerator, denominator = MEASURES[name]
+    value = F.col(numerator)
+    if denominator:
+        value = ratio(value.cast("double"), F.col(denominator).cast("double"))
+    return value.alias(name)
 
 
 def trend_label(change: Column) -> Column:

@@ -3,13 +3,22 @@
 from __future__ import annotations
 
 import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.calendar import Period, month_index, year_month
-from salesmart.functions.measures import MEASURES, aggregates, fact_columns, margin_status, trend_label
-from salesmart.functions.rounding import money_over, money_sum, ratio
+from salesmart.functions.measures import (
+    CUSTOMERS,
+    MEASURES,
+    SUMS,
+    bases_of,
+    margin_status,
+    measure,
+    trend_label,
+)
+from salesmart.functions.rounding import money_over, money_sum, ratio, side_by_side
 from salesmart.operators.series import daily_sales
 from salesmart.plans.analytics import monthly_sales
 
@@ -25,16 +34,51 @@ def kpi(
 
     ``by`` and the slicers take any key, attribute or calendar column of the star.  Only the
     columns the measures read are scanned, and only the dimensions named are joined.
+
+    Distinct customers are counted in a pass of their own over nothing but the groups and the
+    customer.  In one pass with the sums, every amount would be shuffled per customer; apart,
+    the sums shrink to the groups before they are shuffled.
     """
     names = measures or list(MEASURES)
+    bases = bases_of(names)
+    sums = [b for b in bases if b != CUSTOMERS]
+    parts = []
+    if sums:
+        columns = sorted(set().union(*[SUMS[b][0] for b in sums]) - set(by))
+        lines = _sliced(star, [*by, *columns], slicers, during)
+        parts.append(lines.groupBy(*by).agg(*[SUMS[b][1]().alias(b) for b in sums]))
+    if CUSTOMERS in bases:
+        lines = _sliced(star, list(dict.fromkeys([*by, "customer_key"])), slicers, during)
+        parts.append(
+            lines.distinct().groupBy(*by).agg(F.count("customer_key").alias(CUSTOMERS))
+        )
+    return _by_group(parts, by).select(*by, *[measure(n) for n in names])
+
+
+def _sliced(
+    star, columns: list[str], slicers: dict[str, object] | None, during: Period | None
+) -> DataFrame:
     slicers = slicers or {}
-    facts = sorted(fact_columns(names) - set(by) - set(slicers))
-    extra = [c for c in slicers if c not in by]
-    lines = star.sales(*by, *extra, *facts, during=during)
+    extra = [c for c in slicers if c not in columns]
+    lines = star.sales(*columns, *extra, during=during)
     for column, allowed in slicers.items():
         values = allowed if isinstance(allowed, (list, tuple, set)) else [allowed]
         lines = lines.where(F.col(column).isin(list(values)))
-    return lines.groupBy(*by).agg(*aggregates(names))
+    return lines.select(*columns)
+
+
+def _by_group(parts: list[DataFrame], by: list[str]) -> DataFrame:
+    """Results over the same groups side by side; a group's key may be null."""
+    if len(parts) == 1:
+        return parts[0]
+    if not by:
+        return side_by_side(parts)
+    first, second = parts
+    second = second.withColumnsRenamed({c: f"_{c}" for c in by})
+    same = reduce(
+        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    )
+    return first.join(second, same).drop(*[f"_{c}" for c in by])
 
 
 def kpi_base(star) -> DataFrame:
