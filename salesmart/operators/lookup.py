@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +52,7 @@ def attach(
     key: str,
     how: str = "inner",
     skewed: bool = True,
-    probe_from: DataFrame | None = None,
+    probe_from: Callable[[], DataFrame] | None = None,
     share: float = HOT_SHARE,
     probe: float = HOT_PROBE,
 ) -> DataFrame:
@@ -62,14 +64,14 @@ def attach(
     hot keys are fetched once, as a bounded list, so both branches split the lines the same
     way and every line is in exactly one of them.
 
-    ``skewed=False`` says the lines are already summed per key.  ``probe_from`` is a cheaper
-    frame with the same keys to look for hot ones.
+    ``skewed=False`` says the lines are already summed per key.  ``probe_from`` gives a
+    cheaper frame with the same keys to look for hot ones.
     """
     if fits_broadcast(dim):
         return lines.join(F.broadcast(dim), key, how)
     if not skewed:
         return lines.join(dim, key, how)
-    hot = hot_keys(lines if probe_from is None else probe_from, key, share, probe)
+    hot = hot_keys(lines if probe_from is None else probe_from(), key, share, probe)
     if not hot:
         return lines.join(dim, key, how)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))  # a null key stays in the rest

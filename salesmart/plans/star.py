@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from copy import copy
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,7 +148,7 @@ class ExtractStar(Star):
             if extra or how != "inner" or self.only_accepted:
                 marker = [F.lit(1).alias(f"_{name}")] if how != "inner" else []
                 dim = self.dim(name).select(on, *extra, *marker)
-                lines = attach(lines, dim, on, how, probe_from=self.extracts.lines({on}))
+                lines = attach(lines, dim, on, how, probe_from=partial(self.extracts.lines, {on}))
         if at_list:
             lines = lines.withColumn("unit_price", F.col("list_price"))
         return lines

@@ -29,6 +29,14 @@ def _by_value(column: Column, values: dict[str, float]) -> Column:
     return F.element_at(F.create_map(*items), column)
 
 
+LINE_COLUMNS = {
+    "date": lambda: F.to_date("l_shipdate"),
+    "product_key": lambda: F.col("l_partkey"),
+    "store_key": lambda: F.col("l_suppkey"),
+    "quantity": lambda: F.col("l_quantity").cast("int"),
+    "discount_pct": lambda: F.col("l_discount") + F.lit(0.0),
+    "is_return": lambda: (F.col("l_returnflag") == "R").cast("int"),
+}
 # Declared, so that opening a table starts no job to read its footer.
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -125,16 +133,8 @@ class OrderTables:
 
     def lines(self, columns: set[str]) -> DataFrame:
         """The order header is joined only for the customer, the one column it adds."""
-        raw = {
-            "date": F.to_date("l_shipdate"),
-            "product_key": F.col("l_partkey"),
-            "store_key": F.col("l_suppkey"),
-            "quantity": F.col("l_quantity").cast("int"),
-            "discount_pct": F.col("l_discount") + F.lit(0.0),
-            "is_return": (F.col("l_returnflag") == "R").cast("int"),
-        }
-        wanted = [raw[c].alias(c) for c in raw if c in columns]
-        wanted += [F.col(c) for c in LINE_ORDER if c in columns and c not in raw]
+        wanted = [LINE_COLUMNS[c]().alias(c) for c in LINE_COLUMNS if c in columns]
+        wanted += [F.col(c) for c in LINE_ORDER if c in columns and c not in LINE_COLUMNS]
         items = self.table("lineitem")
         if "customer_key" not in columns:
             return items.select(*wanted)
