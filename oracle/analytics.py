@@ -94,6 +94,9 @@ SQL = {
         customers=CUSTOMERS,
         rfm=RFM,
     ),
+    "rfm_scores": star_sql(
+        "fact dim_date", "SELECT * FROM rfm", customers=CUSTOMERS, rfm=RFM
+    ),
     "rfm_matrix": star_sql(
         "fact dim_date",
         f"""SELECT r_score, f_score, m_score, CAST(count(*) AS BIGINT) AS customer_count,

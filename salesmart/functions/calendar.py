@@ -18,8 +18,11 @@ MONTHS_IT = [
     "Luglio", "Agosto", "Settembre", "Ottobre", "Novembre", "Dicembre",
 ]
 DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
-# month * 100 + day of the fixed Italian public holidays
-HOLIDAYS = [101, 106, 425, 501, 602, 815, 1101, 1208, 1225, 1226]
+# month-day of the fixed Italian public holidays
+HOLIDAYS = [
+    "01-01", "01-06", "04-25", "05-01", "06-02",
+    "08-15", "11-01", "12-08", "12-25", "12-26",
+]
 # meteorological quarter starting in December
 SEASONS = ["Inverno", "Primavera", "Estate", "Autunno"]
 
@@ -63,7 +66,7 @@ CALENDAR = {
     "day_of_week": lambda d: F.weekday(d) + 1,
     "day_name": lambda d: _pick(DAYS, F.weekday(d) + 1),
     "is_weekend": lambda d: (F.weekday(d) >= 5).cast("int"),
-    "is_holiday": lambda d: (F.month(d) * 100 + F.day(d)).isin(HOLIDAYS).cast("int"),
+    "is_holiday": lambda d: F.date_format(d, "MM-dd").isin(HOLIDAYS).cast("int"),
     "season": lambda d: _pick(SEASONS, F.floor(F.month(d) % 12 / 3).cast("int") + 1),
     "month_idx": month_index,
     "year_month": year_month,

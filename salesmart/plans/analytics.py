@@ -121,12 +121,14 @@ def sales_ma7(star) -> DataFrame:
     )
 
 
-def rfm_scores(star) -> DataFrame:
+def rfm_scores(star, single_task_rows: int | None = None) -> DataFrame:
     """Recency, frequency and monetary scores of every customer with a non-return line.
 
     Recency counts from the end of the calendar, which lies a forecast horizon after the
-    last sale.  All ties are broken by the customer key.
+    last sale.  All ties are broken by the customer key.  ``single_task_rows`` replaces the
+    setting above which scores come from a distributed sort.
     """
+    limit = star.settings.single_task_rows if single_task_rows is None else single_task_rows
     bought = star.sales("customer_key", "date", "net_sales", "is_return").where(
         F.col("is_return") == 0
     )
@@ -154,9 +156,7 @@ def rfm_scores(star) -> DataFrame:
         ("f_score", F.asc("frequency")),
         ("m_score", F.asc("monetary")),
     ]:
-        customers = add_tile(
-            customers, [order, tie], tiles, name, rows, star.settings.single_task_rows
-        )
+        customers = add_tile(customers, [order, tie], tiles, name, rows, limit)
     return customers
 
 

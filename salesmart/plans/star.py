@@ -91,7 +91,8 @@ class Star:
 
         A column may be a fact column, a key, an attribute of the product, store or customer,
         or any calendar attribute.  Only the look-ups that the columns need are joined, and
-        calendar attributes are computed from the date instead of being joined.
+        calendar attributes are computed from the date instead of being joined.  References
+        that a query does not look up are not checked here; the load checks them all.
         """
         raise NotImplementedError
 
@@ -218,6 +219,15 @@ class WarehouseStar(Star):
     def dim_date(self) -> DataFrame:
         return self.tables["dim_date"]
 
+    def span(self) -> DataFrame:
+        keys = self.tables["fact_sales"].agg(
+            F.min("date_key").alias("first"), F.max("date_key").alias("last")
+        )
+        return keys.select(
+            date_of_key(F.col("first")).alias("first_date"),
+            date_of_key(F.col("last")).alias("last_date"),
+        )
+
     def calendar_end(self) -> DataFrame:
         return self.dim_date.agg(F.max("date").alias("last_date"))
 

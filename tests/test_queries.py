@@ -53,6 +53,17 @@ def test_zero_denominator_is_null(build):
     assert row.return_rate_pct == 0.5 and row.sales_line_count == 2
 
 
+def test_groups_with_a_null_key_keep_their_customers(build):
+    people = [("C1", None, "25-34", "Roma", "Gold", None), ("C2", "F", "25-34", "Roma", "Gold", None)]
+    star = build(
+        [sale(1, "2024-01-01"), sale(2, "2024-01-02"), sale(3, "2024-01-02", customer="C2")],
+        customers=people,
+    )
+    rows = kpis.kpi(star, ["gender"], ["customer_count", "total_net_sales", "sales_per_customer"])
+    assert {r.gender: (r.customer_count, r.total_net_sales, r.sales_per_customer)
+            for r in rows.collect()} == {None: (1, 20.0, 20.0), "F": (1, 10.0, 10.0)}
+
+
 def test_labels(spark):
     rows = spark.createDataFrame(
         [(0.123,), (-0.0449,), (0.0,), (None,), (0.40,), (0.30,)], "v double"
