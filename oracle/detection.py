@@ -259,6 +259,12 @@ SQL = {
                 column_check("fact_sales", "refs", "store_key", False),
                 column_check("fact_sales", "refs", "customer_key", False),
                 column_check("fact_sales", "refs", "date_key", False),
+                """SELECT 'fact_sales' AS table_name, 'sale_key' AS column_name,
+                          CAST(0 AS BIGINT) AS null_count,
+                          CAST((SELECT count(*) FROM lineitem) - count(*) AS BIGINT)
+                              AS duplicate_count
+                   FROM (SELECT DISTINCT l_shipdate, l_orderkey, l_linenumber, l_partkey,
+                                         l_suppkey, l_quantity, l_extendedprice FROM lineitem)""",
             ]
         ),
         refs=REFS,

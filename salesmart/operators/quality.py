@@ -107,6 +107,20 @@ def _column_check(table: str, frame: DataFrame, column: str, unique: bool) -> Da
     )
 
 
+def _identity_check(star) -> DataFrame:
+    """Lines that share their identity; the fact's key is numbered by it and must be unique."""
+    per_line = star.sales(*star.line_id).groupBy(*star.line_id).agg(F.count("*").alias("n"))
+    incomplete = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in star.line_id])
+    nulls = F.sum(F.when(incomplete, F.col("n")).otherwise(0))
+    extra = F.sum(F.when(incomplete, 0).otherwise(F.col("n") - 1))
+    return per_line.agg(nulls.alias("nulls"), extra.alias("duplicates")).select(
+        F.lit("fact_sales").alias("table_name"),
+        F.lit("sale_key").alias("column_name"),
+        F.coalesce(F.col("nulls"), F.lit(0)).cast("bigint").alias("null_count"),
+        F.coalesce(F.col("duplicates"), F.lit(0)).cast("bigint").alias("duplicate_count"),
+    )
+
+
 def dimension_constraints(name: str, dim: DataFrame) -> DataFrame:
     """Key and natural id of a dimension must be present and unique."""
     columns = [c for c in [KEYS[name], DIMENSIONS[name][0]] if c in dim.columns]
@@ -121,6 +135,7 @@ def constraints(star) -> DataFrame:
         lines, _, on = star.references(name)
         parts.append(_column_check("fact_sales", lines, on, False))
     parts.append(_column_check("fact_sales", star.sales("date_key"), "date_key", False))
+    parts.append(_identity_check(star))
     return _union(parts)
 
 
