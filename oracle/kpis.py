@@ -60,7 +60,7 @@ NEW = """
                       FROM fact GROUP BY customer_key) b USING (customer_key)
     GROUP BY 1"""
 PRODUCTS = f"""
-    SELECT category, subcategory, product_key, product_name,
+    SELECT category, subcategory, product_key, product_id, product_name,
            {money('net_sales')} AS net_sales, {money('gross_margin')} AS gross_margin,
            CAST(sum(quantity) AS BIGINT) AS quantity
     FROM fact JOIN dim_product USING (product_key) GROUP BY ALL"""
@@ -137,14 +137,14 @@ SQL = {
     ),
     "product_matrix": star_sql(
         "fact",
-        f"""SELECT CAST(CASE grouping(category, subcategory, product_key)
+        f"""SELECT CAST(CASE grouping(category, subcategory, product_id)
                      WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 3 THEN 1 ELSE 0 END AS INTEGER) AS level,
-                   category, subcategory, product_key,
-                   CASE WHEN grouping(product_key) = 0 THEN min(product_name) END AS product_name,
+                   category, subcategory, product_id,
+                   CASE WHEN grouping(product_id) = 0 THEN min(product_name) END AS product_name,
                    {money('net_sales')} AS net_sales, {money('gross_margin')} AS gross_margin,
                    {money('gross_margin')} / nullif({money('net_sales')}, 0) AS gross_margin_pct,
                    CAST(sum(quantity) AS BIGINT) AS quantity
-            FROM products GROUP BY ROLLUP (category, subcategory, product_key)""",
+            FROM products GROUP BY ROLLUP (category, subcategory, product_id)""",
         products=PRODUCTS,
     ),
     "product_scatter": star_sql(

@@ -39,19 +39,21 @@ def product_facts(star) -> DataFrame:
         money_sum(F.col("gross_margin")).alias("gross_margin"),
         F.sum("quantity").alias("quantity"),
     )
-    names = star.dim_product.select("product_key", "product_name", "category", "subcategory")
+    names = star.dim_product.select(
+        "product_key", "product_id", "product_name", "category", "subcategory"
+    )
     return attach(totals, names, "product_key", skewed=False)
 
 
 def product_matrix(star) -> DataFrame:
     """Category, subcategory and product with subtotals; ``level`` counts the open columns.
 
-    The rollup expands product totals, not sale lines.  A product is named by its key, since
-    different products may share a name.
+    The rollup expands product totals, not sale lines.  A product is told apart by its
+    id, since different products may share a name.
     """
     rolled = (
         product_facts(star)
-        .rollup("category", "subcategory", "product_key")
+        .rollup("category", "subcategory", "product_id")
         .agg(
             F.grouping_id().alias("grouping"),
             F.min("product_name").alias("any_name"),
@@ -66,7 +68,7 @@ def product_matrix(star) -> DataFrame:
         level.cast("int").alias("level"),
         "category",
         "subcategory",
-        "product_key",
+        "product_id",
         F.when(F.col("grouping") == 0, F.col("any_name")).alias("product_name"),
         "net_sales",
         "gross_margin",
