@@ -52,16 +52,28 @@ def check_dimensions(star: ExtractStar) -> None:
         raise LoadError(str([r.asDict() for r in broken]))
 
 
+def _examples(rows: DataFrame) -> list[dict]:
+    return [r.asDict() for r in rows.limit(5).collect()]
+
+
 def check_lines(star: ExtractStar, rejects_path: str | None) -> None:
-    """Unknown references and unreadable records stop the load, or go to ``rejects_path``."""
-    rejected = {"lookup": star.rejects()}
-    if star.extracts.corrupt is not None:
-        rejected["corrupt"] = star.extracts.corrupt
-    for reason, rows in rejected.items():
-        if rejects_path:
-            rows.write.mode("overwrite").parquet(f"{rejects_path}/{reason}")
-        elif not rows.isEmpty():
-            raise LoadError(f"{reason}: {[r.asDict() for r in rows.limit(5).collect()]}")
+    """Unknown references and unreadable records stop the load, or go to ``rejects_path``.
+
+    To stop, it is enough to know that there are any: references are counted per key and only
+    the keys meet the dimensions.  Whole lines are joined only to be written or shown.
+    """
+    corrupt = star.extracts.corrupt
+    if rejects_path:
+        star.rejects().write.mode("overwrite").parquet(f"{rejects_path}/lookup")
+        if corrupt is not None:
+            corrupt.write.mode("overwrite").parquet(f"{rejects_path}/corrupt")
+        return
+    audit = quality.lookup_audit(star).first().asDict()
+    missing = {k: v for k, v in audit.items() if k.startswith("missing_") and v}
+    if missing:
+        raise LoadError(f"lookup: {missing}, such as {_examples(star.rejects())}")
+    if corrupt is not None and not corrupt.isEmpty():
+        raise LoadError(f"corrupt: {_examples(corrupt)}")
 
 
 def _write_fact(fact: DataFrame, path: str, mode: str) -> None:

@@ -7,7 +7,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from conftest import STORES, day, sale
+from conftest import day, sale
 
 from salesmart.functions.calendar import Period
 from salesmart.operators import anomalies, forecast, quality, scenario

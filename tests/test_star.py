@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from conftest import PRODUCTS, day, sale
 from pyspark.sql import functions as F
@@ -58,6 +59,13 @@ def test_rounding(spark):
     assert [r.up for r in rows[6:]] == [1.0, -1.0]
 
 
+def test_rounding_equals_numpy(spark):
+    values = np.round(np.random.default_rng(1).uniform(-5000, 5000, 20000), 3)
+    frame = spark.createDataFrame([(float(v),) for v in values], "v double")
+    rounded = [r.r for r in frame.select(round_cents(F.col("v")).alias("r")).collect()]
+    np.testing.assert_array_equal(rounded, values.round(2))
+
+
 def test_return_reverses_the_sale(build):
     star = build(
         [

@@ -53,7 +53,8 @@ def test_parquet_extracts(spark, csv_folder, tmp_path):
 
 def test_unreadable_records_stop_the_load(spark, csv_folder, tmp_path):
     with open(csv_folder / "transactions.csv", "a") as file:
-        file.write("5,2024-99-99,P1,S1,C1,1,0.0,0,10.0\n6,2024-01-06,P1,S1,C1,many,0.0,0,10.0\n7,2024-01-07,P1\n")
+        file.write("5,2024-99-99,P1,S1,C1,1,0.0,0,10.0\n")
+        file.write("6,2024-01-06,P1,S1,C1,many,0.0,0,10.0\n7,2024-01-07,P1\n")
     star = ExtractStar(spark, extracts.read_extracts(spark, str(csv_folder)))
     assert {r.extract for r in star.extracts.corrupt.collect()} == {"transactions"}
     assert star.extracts.corrupt.count() == 3
