@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import bpe, pii, simhash
+from salesmart.llm import bpe, pii, simhash, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -24,13 +24,30 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(_table(spark, sf_dir, "pages"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(documents, public_tokenizers.path(VOCABULARY))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_pii, op4_simhash, op10_bpe)
+    f.__name__: f for f in (op3_pii, op4_simhash, op8_warc, op10_bpe)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_warc": """
+        WITH payloads AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), firsts AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM payloads
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM firsts
+    """,
+}
