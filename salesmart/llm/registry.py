@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import bpe, pii, simhash, warc
+from salesmart.llm import ann, bpe, pii, simhash, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -24,6 +24,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(_table(spark, sf_dir, "pages"))
 
@@ -34,10 +38,25 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_pii, op4_simhash, op8_warc, op10_bpe)
+    f.__name__: f for f in (op3_pii, op4_simhash, op7_neighbours, op8_warc, op10_bpe)
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_neighbours": """
+        WITH usable AS (
+            SELECT vec_id, min(embedding)::DOUBLE[] AS embedding FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+            GROUP BY vec_id
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.embedding, c.embedding) AS score
+            FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.embedding) = len(c.embedding)
+        ), ranked AS (
+            SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id))::INTEGER AS rank FROM pairs
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
     "op8_warc": """
         WITH payloads AS (
             SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
