@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesmart.llm import ann, bpe, pii, simhash, warc
+from salesmart.llm import ann, bpe, language, main_text, pii, simhash, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -16,6 +17,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; keep says whether the filtering stage keeps it."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return language.identify(documents, declared=F.col("lang"), host=F.col("source"), keep_text=False)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -38,7 +49,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_pii, op4_simhash, op7_neighbours, op8_warc, op10_bpe)
+    f.__name__: f for f in (op1_main_text, op2_language, op3_pii, op4_simhash, op7_neighbours, op8_warc, op10_bpe)
 }
 
 ORACLE_SQL: dict[str, str] = {
