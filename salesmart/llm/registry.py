@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import ann, bpe, language, main_text, pii, simhash, warc
+from salesmart.llm import ann, bpe, decontaminate, katz, language, main_text, pii, simhash, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -35,6 +35,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(_table(spark, sf_dir, "documents"))
+
+
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(_table(spark, sf_dir, "embeddings"))
 
@@ -43,13 +47,18 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(_table(spark, sf_dir, "pages"))
 
 
+def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of the benchmark, with the items they hold."""
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(documents, public_tokenizers.path(VOCABULARY))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_main_text, op2_language, op3_pii, op4_simhash, op7_neighbours, op8_warc, op10_bpe)
+    f.__name__: f for f in (op1_main_text, op2_language, op3_pii, op4_simhash, op5_katz, op7_neighbours, op8_warc, op9_leaks, op10_bpe)
 }
 
 ORACLE_SQL: dict[str, str] = {
