@@ -1,10 +1,69 @@
-"""A training corpus from raw documents: five stages, each written as a table before the next one."""
+"""A training corpus from raw documents: five stages, each written as a table before the next one.
+
+Every stage takes (spark, docs, sf_dir) and returns a frame.  All but the last return the columns of
+their input.  Nothing is learnt from rows that an earlier stage has dropped.
+
+Rows without an id take part in every stage; stages that drop rows by id keep them.  Rows that
+repeat an id are copies of one document: near_duplicates keeps the first of them by text.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from salesmart.llm import bpe, decontaminate, language, pii, simhash
+from salesmart.llm.common import cut
+
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known; the declared one and the source are evidence."""
+    found = language.identify(docs, declared=F.col("lang"), host=F.col("source"))
+    return found.where("keep").select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id."""
+    found = cut(simhash.near_duplicates(docs).select("doc_id", "component_id"))
+    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(copies, "doc_id", "left_anti")
+    repeated = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
+    if not repeated.isEmpty():
+        least = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id")
+        first = least.agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("r"))
+        kept = kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(
+            first.select("doc_id", "r.*").select(docs.columns)
+        )
+    return kept.select(docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    leaks = decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    clean = pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.select(docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document instead of its text, with digests that a reader can verify."""
+    return bpe.digests(docs, public_tokenizers.path(VOCABULARY), with_ids="ids")
+
 
-STAGES: list = []
+STAGES = [
+    ("known_language", known_language),
+    ("near_duplicates", near_duplicates),
+    ("without_benchmark", without_benchmark),
+    ("without_personal_data", without_personal_data),
+    ("tokens", tokens),
+]
 
 #: SQL cannot express the stages; tests hold them against brute force.
 ORACLE_SQL = None
@@ -13,4 +72,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

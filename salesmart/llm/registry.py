@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import ann, bpe, decontaminate, katz, language, main_text, pii, simhash, warc
+from salesmart.llm import ann, bpe, cotrain, decontaminate, katz, language, main_text, pii, simhash, warc
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -39,6 +39,13 @@ def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; keep says whether a filter would keep it."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    views = cotrain.learn(documents, _table(spark, sf_dir, "labels"))
+    return cotrain.score(documents, views, keep_text=False)
+
+
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(_table(spark, sf_dir, "embeddings"))
 
@@ -58,7 +65,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_main_text, op2_language, op3_pii, op4_simhash, op5_katz, op7_neighbours, op8_warc, op9_leaks, op10_bpe)
+    f.__name__: f for f in (op1_main_text, op2_language, op3_pii, op4_simhash, op5_katz, op6_quality, op7_neighbours, op8_warc, op9_leaks, op10_bpe)
 }
 
 ORACLE_SQL: dict[str, str] = {
