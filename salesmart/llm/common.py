@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +21,19 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one the cluster shares; only a local session may lack that setting."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = local_folder(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+@cache
+def local_folder(application: str) -> str:
+    """The folder of a session of one machine."""
+    return tempfile.mkdtemp(prefix="llm-")
+
+
 def cut(frame: DataFrame) -> DataFrame:
     """The frame as a written table of the shared folder, without its lineage."""
     spark = frame.sparkSession
