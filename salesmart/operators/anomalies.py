@@ -50,7 +50,7 @@ def anomalies(star) -> DataFrame:
     """Store-day anomalies over the whole calendar of sales, with the store's names."""
     names = star.dim_store.select("store_key", "store_id", "store_name", "region")
     scored = entity_anomalies(star, "store_key")
-    return attach(scored, names, "store_key", skewed=False).select(
+    return attach(scored, names, "store_key").select(
         "date",
         "store_id",
         "store_name",

@@ -47,9 +47,9 @@ def _smooth(values: np.ndarray, points: np.ndarray, season_days: int):
     level, trend and season per row.  The level starts at the first season's mean, the trend
     at zero and the season at each day's mean deviation from its own season, in whole cents.
     """
-    m = season_days
+    m = season_days if len(values) >= season_days else 1  # a part of a season has no pattern yet
     cents = np.rint(values * 100).astype(np.int64)
-    seasons = max(1, len(values) // m)
+    seasons = len(values) // m
     blocks = cents[: seasons * m].reshape(seasons, m)
     deviation = m * blocks - blocks.sum(axis=1, keepdims=True)
     start = deviation.sum(axis=0) / (100.0 * m * seasons)
@@ -85,7 +85,7 @@ def _fit(values: np.ndarray, horizon: int, season_days: int):
     for h in range(horizon):
         power *= best[3]
         growth += power
-        ahead[h] = level[0] + growth * trend[0] + season[(len(values) + h) % season_days, 0]
+        ahead[h] = level[0] + growth * trend[0] + season[(len(values) + h) % len(season), 0]
     return best, fitted, ahead
 
 
@@ -96,8 +96,8 @@ def fit_series(
 
     A group is one series, bounded by the length of the calendar; groups are spread over the
     cluster by their key.  ``held_out`` is the prediction of the last days by a fit that has
-    not seen them.  A series needs two whole seasons, and the held-out days on top of them to
-    be back-tested; a shorter one gives no rows or no held-out values.
+    not seen them.  A short series is fitted and tested like a long one: below one season there is
+    no seasonal pattern, and at most half of its days are held out.
     """
     horizon, m, held = settings.horizon_days, settings.season_days, settings.backtest_days
     width = settings.band_width
@@ -121,12 +121,11 @@ def fit_series(
         group = group.sort_values("date")
         values = group["net_sales"].to_numpy(dtype=float)
         n = len(values)
-        if n < 2 * m:
-            return pd.DataFrame()
         best, fitted, ahead = _fit(values, horizon, m)
         tested = np.full(n, np.nan)
-        if backtest and n >= held + 2 * m:
-            tested[n - held :] = _fit(values[: n - held], held, m)[2]
+        out_of = min(held, n // 2)
+        if backtest and out_of:
+            tested[n - out_of :] = _fit(values[: n - out_of], out_of, m)[2]
         days = pd.to_datetime(group["date"])
         future = pd.date_range(days.iloc[-1] + pd.Timedelta(days=1), periods=horizon)
         none = np.full(horizon, np.nan)

@@ -2,17 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key holding at least this share of the lines is joined apart from the rest.  At most
-# 1 / HOT_SHARE keys can reach it, so the broadcast of the hot rows has a fixed bound.
-HOT_SHARE = 0.001
-# Share of lines read to find the hot keys.  It only steers the split; no row is lost by it.
-HOT_PROBE = 0.02
-
 _UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -37,44 +29,11 @@ def fits_broadcast(df: DataFrame) -> bool:
     return source_bytes(df) <= broadcast_limit(df)
 
 
-def hot_keys(lines: DataFrame, key: str, share: float, probe: float) -> list:
-    """Keys that hold at least ``share`` of the probed lines: at most 1 / share values."""
-    probed = lines.select(key) if probe >= 1 else lines.select(key).sample(probe, seed=7)
-    counts = probed.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_lines"))
-    total = counts.agg(F.sum("_lines").alias("total"))
-    hot = counts.where(F.col("_lines") >= share * total.scalar()).select(key)
-    return [row[0] for row in hot.collect()]
-
-
-def attach(
-    lines: DataFrame,
-    dim: DataFrame,
-    key: str,
-    how: str = "inner",
-    skewed: bool = True,
-    probe_from: Callable[[], DataFrame] | None = None,
-    share: float = HOT_SHARE,
-    probe: float = HOT_PROBE,
-) -> DataFrame:
-    """Join ``lines`` to the unique rows of ``dim`` on ``key``.
-
-    A dimension below the session's broadcast threshold is broadcast.  A larger one is
-    shuffled, and then keys that hold a large share of the lines would end in one task: they
-    are taken out of the shuffle and joined to their few dimension rows by broadcast.  The
-    hot keys are fetched once, as a bounded list, so both branches split the lines the same
-    way and every line is in exactly one of them.
+def attach(lines: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join ``lines`` to the unique rows of ``dim`` on ``key``: one scan and one join.
 
-    ``skewed=False`` says the lines are already summed per key.  ``probe_from`` gives a
-    cheaper frame with the same keys to look for hot ones.
+    A dimension below the session's broadcast threshold is broadcast.  A larger one is a plain
+    shuffled join, whose partitions adaptive execution splits where a key holds many lines:
+    each line meets one dimension row, so a split costs no more than that row again.
     """
-    if fits_broadcast(dim):
-        return lines.join(F.broadcast(dim), key, how)
-    if not skewed:
-        return lines.join(dim, key, how)
-    hot = hot_keys(lines if probe_from is None else probe_from(), key, share, probe)
-    if not hot:
-        return lines.join(dim, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))  # a null key stays in the rest
-    from_hot = lines.where(is_hot).join(F.broadcast(dim.where(is_hot)), key, how)
-    rest = lines.where(~is_hot).join(dim.where(~is_hot), key, how)
-    return from_hot.unionByName(rest)
+    return lines.join(F.broadcast(dim) if fits_broadcast(dim) else dim, key, how)

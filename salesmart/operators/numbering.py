@@ -1,65 +1,19 @@
-"""Dense numbering of sale lines in date order without a global sort."""
+"""Dense numbering of sale lines in date order."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lines numbered together.  It grows with the table so that there are never more than
-# MAX_GROUPS groups besides the days; this bounds the broadcast of the groups' offsets.
-GROUP_LINES = 250_000
-MAX_GROUPS = 1_000_000
+from salesmart.operators.ranking import with_position
 
 
-def _group_of(
-    lines: DataFrame, buckets: DataFrame, identity: list[str]
-) -> DataFrame:
-    """Add the bucket of a line inside its day: a hash of the line, so every pass agrees."""
-    place = F.pmod(F.xxhash64(*identity), F.col("_buckets"))
-    return (
-        lines.join(F.broadcast(buckets), "date")  # one row per day
-        .withColumn("_bucket", place)
-        .drop("_buckets")
-    )
+def number_lines(lines: DataFrame, identity: list[str], name: str, after: int = 0) -> DataFrame:
+    """Number the lines ``after + 1 ...`` by date and identity, at every size.
 
-
-def number_lines(
-    lines: DataFrame,
-    keys: DataFrame,
-    identity: list[str],
-    name: str,
-    after: int = 0,
-    group_lines: int = GROUP_LINES,
-) -> DataFrame:
-    """Number the lines ``after + 1 ...`` by date, bucket and identity.
-
-    ``keys`` has the date and identity of the same lines and is cheaper to read.  A day with
-    many lines is split into buckets; counting them gives every (day, bucket) its first
-    number, and lines are numbered inside it.  The lines are shuffled once, by month and
-    bucket, which is also the layout a monthly partitioned table is written in.  A group is
-    at most a month of one bucket.  Up to ``group_lines`` a day there is a single bucket, so
-    the order is plainly date and identity.
+    The lines are sorted once, in ranges of date and identity, so a day with very many lines
+    is spread over several tasks; what each range holds tells where its numbers start.
     """
-    per_day = keys.groupBy("date").agg(F.count("*").alias("_lines"))
-    total = F.sum("_lines").over(Window.partitionBy())  # over one row per day
-    size = F.greatest(F.lit(float(group_lines)), total / F.lit(float(MAX_GROUPS)))
-    buckets = per_day.select("date", F.ceil(F.col("_lines") / size).alias("_buckets"))
-    counts = _group_of(keys, buckets, identity).groupBy("date", "_bucket").agg(
-        F.count("*").alias("_lines")
-    )
-    before = Window.orderBy("date", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "date",
-        "_bucket",
-        F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_offset"),
-    )
-    grouped = (
-        _group_of(lines, buckets, identity)
-        .join(F.broadcast(offsets), ["date", "_bucket"])
-        .withColumn("_month", F.year("date") * 100 + F.month("date"))
-        .repartition("_month", "_bucket")
-    )
-    inside = Window.partitionBy("_month", "_bucket", "date").orderBy(*identity)
-    return grouped.withColumn(
-        name, F.col("_offset") + F.row_number().over(inside) + F.lit(after)
-    ).drop("_bucket", "_offset", "_month")
+    order = [F.asc(c) for c in dict.fromkeys(["date", *identity])]
+    placed = with_position(lines, order, name)
+    return placed.withColumn(name, F.col(name) + F.lit(after))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,40 +12,40 @@ from pyspark.sql import functions as F
 from salesmart.operators.lookup import attach
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; only a local session gets its own."""
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster shares; only a session of one machine may lack the setting."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="salesmart-checkpoint-")
-    context.setCheckpointDir(shared)
+    if shared:
+        return shared.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return local_folder(spark.sparkContext.applicationId)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+@cache
+def local_folder(application: str) -> str:
+    """The folder of a session of one machine."""
+    return tempfile.mkdtemp(prefix="salesmart-")
 
 
-def with_position(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Add the 1-based position of every row in a total order.
+def written(df: DataFrame) -> DataFrame:
+    """The frame as a written table: computed once, and read again whatever executor is lost."""
+    path = f"{shared_folder(df.sparkSession)}/salesmart-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    The sort is range-partitioned.  ``monotonically_increasing_id`` gives the partition in its
-    upper bits and the place inside the partition in its lower 33 bits; adding the sizes of
-    the partitions before it makes the place global.  The sorted rows are checkpointed between
-    the two passes, so both see the same partitions even when an executor is lost.
-    ``order`` must end in a unique column, which also splits runs of equal leading values.
-    """
-    placed = checkpointed(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
+
+def _placed(df: DataFrame, order: list[Column], name: str, total: str | None) -> DataFrame:
+    placed = written(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
     part = F.shiftright("_id", 33)
     place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(  # one row per sort partition
-        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
+        "_part",
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
+        *([F.sum("_size").over(Window.partitionBy()).alias(total)] if total else []),
     )
     return (
         placed.withColumn("_part", part)
@@ -53,6 +55,18 @@ def with_position(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     )
 
 
+def with_position(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Add the 1-based position of every row in a total order.
+
+    The sort is range-partitioned.  ``monotonically_increasing_id`` gives the partition in its
+    upper bits and the place inside the partition in its lower 33 bits; adding the sizes of
+    the partitions before it makes the place global.  The sorted rows are a written table, so
+    both passes see the same partitions even when an executor is lost.
+    ``order`` must end in a unique column, which also splits runs of equal leading values.
+    """
+    return _placed(df, order, name, None)
+
+
 def tile_of(position: Column, rows: Column, tiles: int) -> Column:
     """NTILE bucket of a position: the first ``rows % tiles`` buckets hold one row more."""
     size = F.floor(rows / tiles)
@@ -63,38 +77,20 @@ def tile_of(position: Column, rows: Column, tiles: int) -> Column:
     ).cast("int")
 
 
-def add_tile(
-    df: DataFrame, order: list[Column], tiles: int, name: str, rows: int, single_task_rows: int
-) -> DataFrame:
-    """NTILE over the whole frame; ``rows`` is an upper bound of its size."""
-    if rows <= single_task_rows:
-        return df.withColumn(name, F.ntile(tiles).over(Window.orderBy(*order)))
-    placed = with_position(df, order, "_position")
-    exact = placed.count()
-    return placed.withColumn(
-        name, tile_of(F.col("_position"), F.lit(exact), tiles)
-    ).drop("_position")
+def add_tile(df: DataFrame, order: list[Column], tiles: int, name: str) -> DataFrame:
+    """NTILE over the whole frame."""
+    placed = _placed(df, order, "_position", "_rows")
+    tile = tile_of(F.col("_position"), F.col("_rows"), tiles)
+    return placed.withColumn(name, tile).drop("_position", "_rows")
 
 
-def add_rank(
-    df: DataFrame, value: str, tie: str, name: str, rows: int, single_task_rows: int
-) -> DataFrame:
+def add_rank(df: DataFrame, value: str, tie: str, name: str) -> DataFrame:
     """RANK over the whole frame by ``value`` descending, leaving gaps after ties."""
-    if rows <= single_task_rows:
-        return df.withColumn(name, F.rank().over(Window.orderBy(F.desc(value))).cast("bigint"))
     placed = with_position(df, [F.desc(value), F.asc(tie)], "_position")
     first = placed.groupBy(value).agg(F.min("_position").alias(name))
     return attach(placed, first, value).drop("_position")
 
 
-def with_surrogate_key(
-    dim: DataFrame, key: str, natural_id: str, single_task_rows: int
-) -> DataFrame:
+def with_surrogate_key(dim: DataFrame, key: str, natural_id: str) -> DataFrame:
     """Dense key 1..n in the order of the natural id, as the first column."""
-    if dim.count() <= single_task_rows:
-        keyed = dim.withColumn(
-            key, F.row_number().over(Window.orderBy(natural_id)).cast("bigint")
-        )
-    else:
-        keyed = with_position(dim, [F.asc(natural_id)], key)
-    return keyed.select(key, *dim.columns)
+    return with_position(dim, [F.asc(natural_id)], key).select(key, *dim.columns)

@@ -73,17 +73,10 @@ def store_rank(star) -> DataFrame:
     totals = star.sales("store_key", "net_sales").groupBy("store_key").agg(
         money_sum(F.col("net_sales")).alias("total")
     )
-    ranked = add_rank(
-        totals,
-        "total",
-        "store_key",
-        "sales_rank",
-        star.dim_rows("store"),
-        star.settings.single_task_rows,
-    )
+    ranked = add_rank(totals, "total", "store_key", "sales_rank")
     stores = star.dim_store.select("store_key", "store_name", "region", "store_type")
     return (
-        attach(ranked, stores, "store_key", skewed=False)
+        attach(ranked, stores, "store_key")
         .withColumn("net_sales", round_half_up(F.col("total"), 0))
         .orderBy("sales_rank", "store_key")
         .select("store_name", "region", "store_type", "net_sales", "sales_rank")
@@ -91,11 +84,11 @@ def store_rank(star) -> DataFrame:
 
 
 def share_by(star, attribute: str) -> DataFrame:
-    """Net sales of each value of a low-cardinality attribute and its share of the total."""
+    """Net sales of each value of an attribute and its share of the total, a sum of its own."""
     totals = star.sales(attribute, "net_sales").groupBy(attribute).agg(
         money_sum(F.col("net_sales")).alias("net")
     )
-    whole = money_over(F.col("net"), Window.partitionBy())
+    whole = totals.agg(money_sum(F.col("net")).alias("whole")).scalar()
     return (
         totals.select(
             attribute,
@@ -121,14 +114,12 @@ def sales_ma7(star) -> DataFrame:
     )
 
 
-def rfm_scores(star, single_task_rows: int | None = None) -> DataFrame:
+def rfm_scores(star) -> DataFrame:
     """Recency, frequency and monetary scores of every customer with a non-return line.
 
     Recency counts from the end of the calendar, which lies a forecast horizon after the
-    last sale.  All ties are broken by the customer key.  ``single_task_rows`` replaces the
-    setting above which scores come from a distributed sort.
+    last sale.  All ties are broken by the customer key.
     """
-    limit = star.settings.single_task_rows if single_task_rows is None else single_task_rows
     bought = star.sales("customer_key", "date", "net_sales", "is_return").where(
         F.col("is_return") == 0
     )
@@ -148,7 +139,6 @@ def rfm_scores(star, single_task_rows: int | None = None) -> DataFrame:
             "monetary",
         )
     )
-    rows = star.dim_rows("customer")
     tie = F.asc("customer_key")
     tiles = star.settings.rfm_tiles
     for name, order in [
@@ -156,7 +146,7 @@ def rfm_scores(star, single_task_rows: int | None = None) -> DataFrame:
         ("f_score", F.asc("frequency")),
         ("m_score", F.asc("monetary")),
     ]:
-        customers = add_tile(customers, [order, tie], tiles, name, rows, limit)
+        customers = add_tile(customers, [order, tie], tiles, name)
     return customers
 
 

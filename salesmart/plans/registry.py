@@ -57,8 +57,7 @@ QUERIES = {
     "region_sales": lambda star: analytics.share_by(star, "region"),
     "sales_ma7": analytics.sales_ma7,
     "rfm_segments": analytics.rfm_segments,
-    # all customers, always by the distributed sort that large customer tables take
-    "rfm_scores": lambda star: analytics.rfm_scores(star, single_task_rows=0),
+    "rfm_scores": analytics.rfm_scores,
     "rfm_matrix": analytics.rfm_matrix,
     # measures and time intelligence
     "kpi_base": kpis.kpi_base,

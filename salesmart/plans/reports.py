@@ -42,7 +42,7 @@ def product_facts(star) -> DataFrame:
     names = star.dim_product.select(
         "product_key", "product_id", "product_name", "category", "subcategory"
     )
-    return attach(totals, names, "product_key", skewed=False)
+    return attach(totals, names, "product_key")
 
 
 def product_matrix(star) -> DataFrame:
@@ -98,7 +98,6 @@ def store_yoy(star) -> DataFrame:
         yearly.withColumn("sales_py", money_over(F.col("net_sales"), year_before)),
         stores,
         "store_key",
-        skewed=False,
     ).select(
         "store_name",
         "region",
@@ -153,7 +152,7 @@ def loyalty_age_sales(star) -> DataFrame:
         money_sum(F.col("net_sales")).alias("net_sales")
     )
     people = star.dim_customer.select("customer_key", "loyalty_tier", "age_band")
-    summed = attach(totals, people, "customer_key", skewed=False)
+    summed = attach(totals, people, "customer_key")
     return summed.groupBy("loyalty_tier", "age_band").agg(
         money_sum(F.col("net_sales")).alias("net_sales")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from copy import copy
-from functools import cached_property, partial
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,10 +102,6 @@ class Star:
             F.min("date").alias("first_date"), F.max("date").alias("last_date")
         )
 
-    def dim_rows(self, name: str) -> int:
-        """Row count of a dimension: the bound used to choose between rank strategies."""
-        return self.dim(name).count()
-
 
 class ExtractStar(Star):
     """A star derived from source extracts on the fly."""
@@ -126,7 +122,7 @@ class ExtractStar(Star):
         key, natural_id = KEYS[name], DIMENSIONS[name][0]
         if key in master.columns:
             return master
-        return with_surrogate_key(master, key, natural_id, self.settings.single_task_rows)
+        return with_surrogate_key(master, key, natural_id)
 
     def _raw_lines(self, needed: set[str], how: str) -> DataFrame:
         """Raw sale lines plus the dimension columns in ``needed``, one join per dimension."""
@@ -149,7 +145,7 @@ class ExtractStar(Star):
             if extra or how != "inner" or self.only_accepted:
                 marker = [F.lit(1).alias(f"_{name}")] if how != "inner" else []
                 dim = self.dim(name).select(on, *extra, *marker)
-                lines = attach(lines, dim, on, how, probe_from=partial(self.extracts.lines, {on}))
+                lines = attach(lines, dim, on, how)
         if at_list:
             lines = lines.withColumn("unit_price", F.col("list_price"))
         return lines
@@ -180,8 +176,7 @@ class ExtractStar(Star):
         identity = self.line_id[1:]
         extra = [c for c in identity if c not in FACT_SALES.names]
         lines = self.sales("date", *FACT_SALES.names[1:], *extra, during=during)
-        keys = self.sales(*self.line_id, during=during)
-        numbered = number_lines(lines, keys, identity, "sale_key", after)
+        numbered = number_lines(lines, identity, "sale_key", after)
         return numbered.select(*FACT_SALES.names)
 
     def accepted(self) -> ExtractStar:
@@ -281,8 +276,25 @@ class ScenarioStar(Star):
         return self.base.line_id
 
     def sales(self, *columns: str, during: Period | None = None) -> DataFrame:
-        read = list(dict.fromkeys([*columns, *self.reads, *(["date"] if during else [])]))
-        lines = self.change(self.base.sales(*read))
-        if during:
-            lines = lines.where(during.covers(F.col("date")))
-        return lines.select(*columns)
+        # A change keeps a line's date, so that the period prunes what the base reads.
+        read = list(dict.fromkeys([*columns, *self.reads]))
+        return self.change(self.base.sales(*read, during=during)).select(*columns)
+
+    @property
+    def extracts(self) -> Extracts:
+        """The masters and raw lines stay those of the base."""
+        return self.base.extracts
+
+    def references(self, name: str) -> tuple[DataFrame, DataFrame, str]:
+        key = KEYS[name]
+        return self.sales(key), self.dim(name).select(key), key
+
+    def fact_sales(self) -> DataFrame:
+        """The changed lines, numbered anew in date order."""
+        extra = [c for c in self.line_id if c not in FACT_SALES.names[1:] and c != "date"]
+        lines = self.sales("date", *FACT_SALES.names[1:], *extra)
+        return number_lines(
+            lines.withColumnRenamed("sale_key", "_line"),
+            ["_line" if c == "sale_key" else c for c in self.line_id],
+            "sale_key",
+        ).select(*FACT_SALES.names)

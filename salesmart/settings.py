@@ -21,8 +21,6 @@ class Settings:
     top_products: int = 10
     top_customers: int = 25
     rfm_tiles: int = 5
-    # largest row count that may be ordered inside one task
-    single_task_rows: int = 1_000_000
 
 
 DEFAULTS = Settings()

@@ -35,16 +35,27 @@ class Extracts:
     user_region: Callable[[], DataFrame] | None = None  # email, region: who may see what
 
 
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """The column names that a CSV file brings."""
+    return spark.read.option("header", True).csv(path).columns
+
+
 def read_csv(
     spark: SparkSession, path: str, struct: T.StructType
 ) -> tuple[DataFrame, DataFrame]:
     """Typed rows of a CSV file, and the records that are malformed or hold a wrong value.
 
-    The test names every column, so that the parser checks whole records even when a query
+    Columns are found by the names in the header, in whatever order the file has them; a missing
+    one is an error.  The test names every column, so that the parser checks whole records even when a query
     needs few columns.
     """
-    text = T.StructType([*as_text(struct).fields, T.StructField(CORRUPT, T.StringType())])
     types = column_types(struct)
+    header = csv_header(spark, path)
+    if missing := [c for c in types if c not in header]:
+        raise ValueError(f"{path} lacks {', '.join(missing)}")
+    own = {f.name: f for f in as_text(struct).fields}
+    found = [own.get(c, T.StructField(c, T.StringType())) for c in header]
+    text = T.StructType([*found, T.StructField(CORRUPT, T.StringType())])
     raw = (
         spark.read.schema(text)
         .option("header", True)
@@ -86,15 +97,21 @@ def read_extracts(spark: SparkSession, folder: str, fmt: str = "csv") -> Extract
     )
 
 
-def profile(frame: DataFrame, required: list[str], minimum_rows: int) -> DataFrame:
-    """One row per required column: present, and enough rows in the extract."""
+def profile(
+    frame: DataFrame, required: list[str], minimum_rows: int, header: list[str] | None = None
+) -> DataFrame:
+    """One row per required column: present, and enough rows in the extract.
+
+    ``header`` holds the names that the source itself brings, where the frame names more.
+    """
+    there = frame.columns if header is None else header
     rows = frame.agg(F.count("*").cast("bigint").alias("row_count"))
     checks = F.explode(
         F.array(
             *[
                 F.struct(
                     F.lit(c).alias("column_name"),
-                    F.lit(int(c in frame.columns)).alias("is_present"),
+                    F.lit(int(c in there)).alias("is_present"),
                 )
                 for c in required
             ]

@@ -117,7 +117,7 @@ class OrderTables:
     def customers(self) -> DataFrame:
         balance = F.col("c_acctbal")
         nation = self.table("nation").withColumnRenamed("n_nationkey", "c_nationkey")
-        return self.table("customer").join(F.broadcast(nation), "c_nationkey").select(
+        return self.table("customer").join(F.broadcast(nation), "c_nationkey", "left").select(
             F.col("c_custkey").alias("customer_key"),
             F.col("c_custkey").cast("string").alias("customer_id"),
             F.lit("N/D").alias("gender"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from copy import copy
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart import schema
-from salesmart.functions.calendar import Period
+from salesmart.functions.calendar import Period, build_dim_date
 from salesmart.functions.typing import as_text, column_types
 from salesmart.operators import quality
-from salesmart.plans.star import DIMENSIONS, ExtractStar, WarehouseStar
+from salesmart.operators.ranking import with_position, written
+from salesmart.plans.star import DIMENSIONS, KEYS, ExtractStar, WarehouseStar
 from salesmart.settings import DEFAULTS, Settings
 
 PARTITION = "year_month"  # yyyymm, the upper part of date_key
@@ -127,14 +129,51 @@ def _whole_months(period: Period) -> Period:
     return Period(period.first.replace(day=1), after - datetime.timedelta(days=1))
 
 
-def refresh_fact(star: ExtractStar, path: str, period: Period) -> list[int]:
-    """Replace the months a period touches with the extract's lines of these months.
+def _kept_keys(star: ExtractStar, old: WarehouseStar, name: str) -> DataFrame:
+    """The dimension after a refresh: known ids keep their keys, new ones follow the highest key.
 
-    Only the touched partitions are written, in one job.  New lines get keys above every kept
-    key; they stay unique and rise with the date inside the refresh.  A month without lines in
-    the extract is overwritten as empty.  Returns the replaced months.
+    A row of the new master replaces the old one; members that the master no longer has stay,
+    since kept lines may refer to them.
     """
-    check_lines(star, None)
+    key, natural_id = KEYS[name], DIMENSIONS[name][0]
+    struct = schema.STAR_TABLES[f"dim_{name}"]
+    before, master = old.dim(name), getattr(star.extracts, f"{name}s")()
+    if key not in master.columns:
+        known = before.select(natural_id, key)
+        top = before.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]  # one row
+        fresh = with_position(master.join(known, natural_id, "left_anti"), [F.asc(natural_id)], key)
+        master = master.join(known, natural_id).unionByName(
+            fresh.withColumn(key, F.col(key) + F.lit(top))
+        )
+    gone = before.join(master.select(natural_id), natural_id, "left_anti")
+    return written(_shaped(master, struct).unionByName(_shaped(gone, struct)))
+
+
+def refresh(star: ExtractStar, path: str, period: Period) -> list[int]:
+    """Replace the months a period touches with the extract's lines, after dimensions and calendar.
+
+    Ids keep the keys that they have in the warehouse, so kept and new lines mean the same by a
+    key.  Checks run before anything is replaced.  Dimensions and calendar are written first; a
+    reader meets at most members without lines.  Only the touched months are written, in one job.
+    New lines get keys above every kept key; they stay unique and rise with the date inside the
+    refresh.  A month without lines in the extract is overwritten as empty.  Returns the replaced months.
+    """
+    old = read_star(star.spark, path, star.settings)
+    star = copy(star)
+    for name in DIMENSIONS:
+        setattr(star, f"dim_{name}", _kept_keys(star, old, name))
+    together(lambda: check_dimensions(star), lambda: check_lines(star, None))
+    days = old.dim_date.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+    days = days.select("first_date", F.date_sub("last_date", star.settings.horizon_days).alias("last_date"))
+    spans = days.unionByName(star.span())
+    span = spans.agg(F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
+    calendar = written(_shaped(build_dim_date(span, star.settings.horizon_days), schema.STAR_TABLES["dim_date"]))
+    tables = {f"dim_{name}": star.dim(name) for name in DIMENSIONS} | {"dim_date": calendar}
+    together(*[partial(f.write.mode("overwrite").parquet, f"{path}/{t}") for t, f in tables.items()])
+    return _refresh_fact(star, path, period)
+
+
+def _refresh_fact(star: ExtractStar, path: str, period: Period) -> list[int]:
     period = _whole_months(period)
     months = _months(period)
     kept = read_star(star.spark, path).tables["fact_sales"].where(~F.col(PARTITION).isin(months))

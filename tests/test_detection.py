@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime
 import math
+import statistics
 
 import numpy as np
-import pandas as pd
+import pytest
 from conftest import day, sale
 
 from salesmart.functions.calendar import Period
@@ -66,18 +67,30 @@ def test_closed_and_late_stores_are_filled_with_zero(spark):
     assert found["open"]["is_anomaly"].sum() == 0
 
 
-def test_scores_equal_pandas_rolling(spark):
+def test_scores_follow_the_definition(spark):
     rng = np.random.default_rng(3)
     values = np.round(rng.normal(500, 90, 200), 2)
     values[[60, 150]] = [3000.0, 0.0]
-    series = pd.Series(values)
-    median = series.rolling(28, min_periods=10).median()
-    mad = (series - median).abs().rolling(28, min_periods=10).median()
-    z = (series - median) / (1.4826 * mad.replace(0, np.nan))
     found = score(spark, {"a": values.tolist()})["a"]
-    np.testing.assert_array_equal(found["expected"], median.to_numpy().round(2))
-    np.testing.assert_array_equal(found["robust_z"], z.to_numpy().round(2))
-    assert found["is_anomaly"].tolist() == (z.abs() >= 3.5).astype(int).tolist()
+    middle, distance = {}, {}  # by day; a day has neither before ten values are there
+    for today in range(200):
+        window = values[max(0, today - 27) : today + 1]
+        if len(window) >= 10:
+            middle[today] = statistics.median(window)
+            distance[today] = abs(values[today] - middle[today])
+    for today in range(200):
+        row = found.iloc[today]
+        spread = [distance[d] for d in range(max(0, today - 27), today + 1) if d in distance]
+        if today not in middle:
+            assert math.isnan(row.expected)
+        else:
+            assert row.expected == pytest.approx(middle[today], abs=0.0051)
+        if len(spread) < 10:
+            assert math.isnan(row.robust_z) and row.is_anomaly == 0
+            continue
+        score_today = (values[today] - middle[today]) / (1.4826 * statistics.median(spread))
+        assert row.robust_z == pytest.approx(score_today, abs=0.0051)
+        assert row.is_anomaly == int(abs(score_today) >= 3.5)
 
 
 def daily_sales_rows(days, quantity, stores=("S1",)):
@@ -167,9 +180,14 @@ def test_days_without_sales_do_not_count_in_the_error(build):
     assert error.tested_days == 30 - 3
 
 
-def test_short_series_gives_no_forecast(build):
-    star, rows = fitted(build, 10, lambda i: 1)
-    assert rows.count() == 0
+@pytest.mark.parametrize("days", [1, 5, 10, 20])
+def test_short_series_gives_all_horizon_rows(build, days):
+    star, rows = fitted(build, days, lambda i: 1)
+    found = rows.collect()
+    ahead = [r for r in found if r.segment == "forecast"]
+    assert len(ahead) == star.settings.horizon_days and len(found) == days + len(ahead)
+    assert all(r.prediction == pytest.approx(found[0].actual) for r in ahead)
+    assert sum(r.held_out is not None for r in found) == days // 2
 
 
 def test_one_fit_per_series(build):

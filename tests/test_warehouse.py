@@ -7,7 +7,7 @@ from conftest import CUSTOMERS, PRODUCTS, STORES, day, sale
 
 from salesmart import jobs, schema
 from salesmart.functions.calendar import Period
-from salesmart.operators import quality
+from salesmart.operators import quality, scenario
 from salesmart.plans import analytics, kpis, reports
 from salesmart.plans.star import ExtractStar
 from salesmart.sources import extracts, warehouse
@@ -121,7 +121,7 @@ def test_refresh_replaces_only_the_touched_months(build, tmp_path):
         sale(7, "2024-02-28", quantity=6),
     ]
     star = build(changed)
-    months = warehouse.refresh_fact(star, path, Period(day("2024-02-15"), day("2024-03-02")))
+    months = warehouse.refresh(star, path, Period(day("2024-02-15"), day("2024-03-02")))
     assert months == [202402, 202403]
     rows = warehouse.read_star(star.spark, path).fact_sales().collect()
     assert sorted((r.date_key, r.quantity) for r in rows) == [
@@ -131,6 +131,60 @@ def test_refresh_replaces_only_the_touched_months(build, tmp_path):
     assert keys == {20240105: 1, 20240211: 2, 20240228: 3}
 
 
+def test_refresh_keeps_keys_and_takes_in_new_members(spark, build, tmp_path):
+    """A new id between known ones, a changed and a vanished member, and a later last day."""
+    path = str(tmp_path)
+    first, third, second = PRODUCTS[0], PRODUCTS[2], PRODUCTS[1]
+    gone = ("P0", "Old", "Home", "Light", "Vela", 1.0, 1.0)
+    warehouse.write_star(
+        build([sale(1, "2024-01-05", "P1"), sale(2, "2024-01-06", "P3", price=5.0), sale(3, "2024-01-07", "P0")],
+              products=[gone, first, third]),
+        path,
+    )
+    renamed = ("P1", "Lantern", *first[2:])
+    star = build(
+        [sale(4, "2024-02-01", "P3", price=5.0), sale(5, "2024-02-02", "P2", price=100.0), sale(6, "2024-06-30", "P1")],
+        products=[renamed, second, third],
+    )
+    warehouse.refresh(star, path, Period(day("2024-02-01"), day("2024-06-30")))
+    after = warehouse.read_star(spark, path)
+    keys = {r.product_id: r.product_key for r in after.dim_product.collect()}
+    assert keys == {"P0": 1, "P1": 2, "P3": 3, "P2": 4}
+    assert quality.orphans(after).where("orphans > 0").count() == 0
+    assert quality.calendar_cover(after).first().is_covered == 1
+    sold = after.sales("product_id", "product_name", "net_sales").collect()
+    assert sorted(map(tuple, sold)) == [
+        ("P0", "Old", 10.0), ("P1", "Lantern", 10.0), ("P1", "Lantern", 10.0), ("P2", "Sofa", 100.0),
+        ("P3", "Ball", 5.0), ("P3", "Ball", 5.0),
+    ]
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    struct = schema.STORES
+    rows = [("S1", "North", "Milano", "Lombardia", "Flagship", "2015-01-01")]
+    shuffled = ["region", "city", "store_id", "extra", "open_date", "store_type", "store_name"]
+    text = dict(zip(struct.names, rows[0], strict=True)) | {"extra": "x"}
+    (tmp_path / "stores.csv").write_text(",".join(shuffled) + "\n" + ",".join(text[c] for c in shuffled) + "\n")
+    good, bad = extracts.read_csv(spark, str(tmp_path / "stores.csv"), struct)
+    assert [tuple(map(str, r)) for r in good.collect()] == rows and bad.count() == 0
+    (tmp_path / "less.csv").write_text("store_id,city\nS1,Milano\n")
+    with pytest.raises(ValueError, match="store_name"):
+        extracts.read_csv(spark, str(tmp_path / "less.csv"), struct)
+    frame = good.select("store_id", "region")
+    found = extracts.profile(frame, ["store_id", "region"], 0, extracts.csv_header(spark, str(tmp_path / "less.csv"))).collect()
+    assert {r.column_name: r.is_present for r in found} == {"store_id": 1, "region": 0}
+
+
+def test_a_scenario_is_a_whole_star(spark, build):
+    star = build(SALES)
+    changed = scenario.spike(star, Period(day("2024-01-01"), day("2024-12-31")), 2)
+    fact = changed.fact_sales().collect()
+    assert sorted(r.sale_key for r in fact) == list(range(1, changed.sales("date").count() + 1))
+    assert quality.orphans(changed).where("orphans > 0").count() == 0
+    changed.register_views("what_if_")
+    assert spark.sql("SELECT count(*) FROM what_if_fact_sales").first()[0] == len(fact)
+
+
 def test_marts_keep_their_types_and_report_bad_values(spark, build, tmp_path):
     written = warehouse.write_star(build(SALES), str(tmp_path / "w"))
     warehouse.export_marts(written, str(tmp_path / "m"))
