@@ -27,21 +27,30 @@ def measures(*names: str) -> str:
     return ", ".join(f"{MEASURES[n]} AS {n}" for n in names or MEASURES)
 
 
+GRID = """
+    SELECT c.month_idx, c.ym, m.net_sales
+    FROM (SELECT DISTINCT CAST(year(date) * 12 + month(date) AS INTEGER) AS month_idx,
+                          strftime(date, '%Y-%m') AS ym FROM dim_date) c
+    LEFT JOIN monthly m USING (month_idx)"""
+DAYS = "SELECT c.date, d.net_sales FROM dim_date c LEFT JOIN daily d USING (date)"
 TIME = """
     SELECT m.month_idx, m.ym, m.net_sales, y.net_sales AS sales_py, p.net_sales AS sales_pm,
-           m.net_sales - coalesce(y.net_sales, 0) AS sales_yoy,
-           (m.net_sales - coalesce(y.net_sales, 0)) / nullif(y.net_sales, 0) AS sales_yoy_pct,
-           (m.net_sales - p.net_sales) / nullif(p.net_sales, 0) AS sales_mom_pct,
+           CASE WHEN m.net_sales IS NOT NULL OR y.net_sales IS NOT NULL
+                THEN coalesce(m.net_sales, 0) - coalesce(y.net_sales, 0) END AS sales_yoy,
+           (coalesce(m.net_sales, 0) - y.net_sales) / nullif(y.net_sales, 0) AS sales_yoy_pct,
+           (coalesce(m.net_sales, 0) - p.net_sales) / nullif(p.net_sales, 0) AS sales_mom_pct,
            (SELECT CAST(sum(CAST(r.net_sales AS DECIMAL(18,2))) AS DOUBLE) FROM monthly r
              WHERE r.month_idx BETWEEN m.month_idx - 2 AND m.month_idx) AS rolling_3m,
            (SELECT CAST(sum(CAST(r.net_sales AS DECIMAL(18,2))) AS DOUBLE) FROM monthly r
              WHERE r.month_idx BETWEEN m.month_idx - 11 AND m.month_idx) AS rolling_12m
-    FROM monthly m LEFT JOIN monthly y ON y.month_idx = m.month_idx - 12
+    FROM grid m LEFT JOIN monthly y ON y.month_idx = m.month_idx - 12
                    LEFT JOIN monthly p ON p.month_idx = m.month_idx - 1"""
 
 
 def time_sql(columns: str, tail: str = "") -> str:
-    return star_sql("fact", f"SELECT {columns} FROM months {tail}", monthly=MONTHLY, months=TIME)
+    return star_sql(
+        "fact dim_date", f"SELECT {columns} FROM months {tail}", monthly=MONTHLY, grid=GRID, months=TIME
+    )
 
 
 def running(period: str) -> str:
@@ -85,25 +94,28 @@ SQL = {
             GROUP BY 1""",
     ),
     "sales_to_date": star_sql(
-        "fact",
+        "fact dim_date",
         f"""SELECT date, net_sales, {running('year(date)')} AS sales_ytd,
                    {running('year(date), quarter(date)')} AS sales_qtd,
-                   {running('year(date), month(date)')} AS sales_mtd FROM daily""",
+                   {running('year(date), month(date)')} AS sales_mtd FROM days""",
         daily=DAILY,
+        days=DAYS,
     ),
     "kpi_yoy": time_sql("ym, net_sales, sales_py, sales_yoy, sales_yoy_pct"),
     "kpi_mom": time_sql("ym, net_sales, sales_pm, sales_mom_pct"),
     "rolling_months": time_sql("ym, net_sales, rolling_3m, rolling_12m"),
     "exec_trend": time_sql("ym, net_sales, sales_py"),
     "kpi_yoy_daily": star_sql(
-        "fact",
+        "fact dim_date",
         """SELECT d.date, d.net_sales, y.net_sales AS sales_py,
-                  d.net_sales - coalesce(y.net_sales, 0) AS sales_yoy,
-                  (d.net_sales - coalesce(y.net_sales, 0)) / nullif(y.net_sales, 0)
+                  CASE WHEN d.net_sales IS NOT NULL OR y.net_sales IS NOT NULL
+                       THEN coalesce(d.net_sales, 0) - coalesce(y.net_sales, 0) END AS sales_yoy,
+                  (coalesce(d.net_sales, 0) - y.net_sales) / nullif(y.net_sales, 0)
                       AS sales_yoy_pct
-           FROM daily d LEFT JOIN daily y
+           FROM days d LEFT JOIN daily y
                 ON y.date = CAST(d.date - INTERVAL 1 YEAR AS DATE)""",
         daily=DAILY,
+        days=DAYS,
     ),
     "new_returning": star_sql(
         "fact",
@@ -121,16 +133,17 @@ SQL = {
                        AS margin_status
             FROM (SELECT m.ym, (m.net_sales - y.net_sales) / nullif(y.net_sales, 0) AS g,
                          m.margin / nullif(m.net_sales, 0) AS margin_pct
-                  FROM monthly m LEFT JOIN monthly y ON y.month_idx = m.month_idx - 12)""",
+                  FROM grid m LEFT JOIN monthly y ON y.month_idx = m.month_idx - 12)""",
         monthly=f"""SELECT month_idx, strftime(min(date), '%Y-%m') AS ym,
                            {money('net_sales')} AS net_sales, {money('gross_margin')} AS margin
                     FROM fact GROUP BY month_idx""",
     ),
     "exec_cards": star_sql(
-        "fact",
+        "fact dim_date",
         """SELECT t.*, m.ym AS last_month, sales_yoy_pct, sales_mom_pct, rolling_3m
-           FROM totals t, (SELECT * FROM months ORDER BY month_idx DESC LIMIT 1) m""",
+           FROM totals t, (SELECT * FROM months WHERE net_sales IS NOT NULL ORDER BY month_idx DESC LIMIT 1) m""",
         monthly=MONTHLY,
+        grid=GRID,
         months=TIME,
         totals=f"""SELECT {measures('total_net_sales', 'gross_margin_pct', 'avg_order_value',
                                     'return_rate_pct')} FROM fact""",

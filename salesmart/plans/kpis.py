@@ -96,8 +96,29 @@ def kpi_sliced(star, year: int, slicers: dict[str, object]) -> DataFrame:
     )
 
 
+def calendar_days(star) -> DataFrame:
+    """Every day of the calendar with its net sales, blank (null) on days without sales."""
+    return star.dim_date.select("date").join(daily_sales(star), "date", "left")
+
+
+def calendar_months(star) -> DataFrame:
+    """Every month of the calendar with its net sales, blank (null) in months without sales."""
+    day = F.col("date")
+    months = star.dim_date.select(month_index(day).alias("month_idx"), year_month(day).alias("ym"))
+    return months.distinct().join(monthly_sales(star).drop("ym"), "month_idx", "left")
+
+
+def _difference(current: Column, before: Column) -> Column:
+    """Change in which one blank side counts as nothing; blank if both sides are."""
+    change = F.coalesce(current, F.lit(0.0)) - F.coalesce(before, F.lit(0.0))
+    return F.when(current.isNotNull() | before.isNotNull(), change)
+
+
 def sales_to_date(star) -> DataFrame:
-    """Running totals since the start of the year, quarter and month, per day with sales."""
+    """Running totals since the start of the year, quarter and month, per day of the calendar.
+
+    A total is blank until the first sale of its period and is carried over days without sales.
+    """
     year, quarter, month = F.year("date"), F.quarter("date"), F.month("date")
 
     def running(*period: Column) -> Column:
@@ -106,7 +127,7 @@ def sales_to_date(star) -> DataFrame:
             F.col("net_sales"), days.rowsBetween(Window.unboundedPreceding, 0)
         )
 
-    return daily_sales(star).select(
+    return calendar_days(star).select(
         "date",
         "net_sales",
         running(year).alias("sales_ytd"),
@@ -122,22 +143,22 @@ def _months_back(first: int, last: int) -> Column:
 
 
 def monthly_time_intelligence(star) -> DataFrame:
-    """Per month with sales: prior year, prior month, rolling 3 and 12 months and growth.
+    """Per month of the calendar: prior year, prior month, rolling 3 and 12 months and growth.
 
-    Frames run over consecutive month numbers, so a missing month counts as missing and is
-    not replaced by the row before it.
+    The calendar runs on after the last sale.  A month without sales is blank itself, and has the
+    comparisons and rolling sums that its date gives it.
     """
     current, year_ago, month_ago = F.col("net_sales"), F.col("sales_py"), F.col("sales_pm")
-    change = current - F.coalesce(year_ago, F.lit(0.0))
+    change = _difference(current, year_ago)
     return (
-        monthly_sales(star)
+        calendar_months(star)
         .withColumn("sales_py", _months_back(12, 12))
         .withColumn("sales_pm", _months_back(1, 1))
         .withColumn("rolling_3m", _months_back(2, 0))
         .withColumn("rolling_12m", _months_back(11, 0))
         .withColumn("sales_yoy", change)
         .withColumn("sales_yoy_pct", ratio(change, year_ago))
-        .withColumn("sales_mom_pct", ratio(current - month_ago, month_ago))
+        .withColumn("sales_mom_pct", ratio(_difference(current, month_ago), month_ago))
     )
 
 
@@ -156,14 +177,13 @@ def rolling_months(star) -> DataFrame:
 
 
 def kpi_yoy_daily(star) -> DataFrame:
-    """Each day against the same day a year before; 29 February meets 28 February."""
-    daily = daily_sales(star)
-    year_ago = daily.select(
+    """Each calendar day against the day a year before; 29 February meets 28 February."""
+    year_ago = daily_sales(star).select(
         F.col("date").alias("day_py"), F.col("net_sales").alias("sales_py")
     )
-    change = F.col("net_sales") - F.coalesce("sales_py", F.lit(0.0))
+    change = _difference(F.col("net_sales"), F.col("sales_py"))
     return (
-        daily.withColumn("day_py", F.add_months("date", -12))
+        calendar_days(star).withColumn("day_py", F.add_months("date", -12))
         .join(year_ago, "day_py", "left")
         .select(
             "date",

@@ -15,9 +15,10 @@ CARD_MEASURES = ["total_net_sales", "gross_margin_pct", "avg_order_value", "retu
 
 
 def exec_cards(star) -> DataFrame:
-    """One row: totals over everything, growth and rolling sales as of the last month."""
+    """One row: totals over everything, growth and rolling sales as of the last month with sales."""
     latest = (
         monthly_time_intelligence(star)
+        .where(F.col("net_sales").isNotNull())
         .orderBy(F.desc("month_idx"))
         .limit(1)
         .select(F.col("ym").alias("last_month"), "sales_yoy_pct", "sales_mom_pct", "rolling_3m")

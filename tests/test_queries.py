@@ -38,12 +38,28 @@ def test_rolling_months_count_missing_months(build):
     assert prior["2022-05"] is None and prior["2022-06"] == 50.0
 
 
+def test_calendar_rows_without_sales(build):
+    """Gap months, and days and months after the last sale, have rows of their own."""
+    star = build([sale(1, "2023-02-10"), sale(2, "2024-01-05"), sale(3, "2024-03-05", quantity=2)])
+    months = {r.ym: r for r in kpis.monthly_time_intelligence(star).collect()}
+    assert len(months) == 17  # to the end of the calendar, 90 days after the last sale
+    gap = months["2024-02"]
+    assert (gap.net_sales, gap.sales_py, gap.sales_pm, gap.rolling_3m) == (None, 10.0, 10.0, 10.0)
+    assert (gap.sales_yoy, gap.sales_yoy_pct, gap.sales_mom_pct) == (-10.0, -1.0, -1.0)
+    assert months["2024-06"].rolling_12m == 30.0 and months["2024-06"].sales_yoy is None
+    days = {r.date.isoformat(): r for r in kpis.sales_to_date(star).collect()}
+    assert days["2024-03-31"].sales_ytd == 30.0 and days["2024-03-31"].net_sales is None
+    assert days["2024-04-01"].sales_mtd is None and days["2024-01-04"].sales_ytd is None
+    assert reports.exec_cards(star).first().last_month == "2024-03"
+
+
 def test_leap_day_meets_28_february(build):
     star = build(
         [sale(1, "2023-02-28", quantity=2), sale(2, "2024-02-28"), sale(3, "2024-02-29")]
     )
     rows = {r.date.isoformat(): r.sales_py for r in kpis.kpi_yoy_daily(star).collect()}
-    assert rows == {"2023-02-28": None, "2024-02-28": 20.0, "2024-02-29": 20.0}
+    assert rows["2023-02-28"] is None and rows["2024-02-28"] == rows["2024-02-29"] == 20.0
+    assert len(rows) == 457  # two leap-day years to the end of the calendar
 
 
 def test_zero_denominator_is_null(build):
