@@ -213,6 +213,7 @@ def identify(
         places,
         lambda i: F.log((others[i] + PARENT_ROWS * F.col("__t_host_parent")[i]) / (F.aggregate(others, F.lit(0.0), lambda a, x: a + x) + PARENT_ROWS)),
     )
+    prior = F.when(F.col("__t_host_rows").isNotNull(), prior)
     total = functools.reduce(
         lambda a, b: F.zip_with(a, b, lambda x, y: x + y),
         [F.coalesce(c, zeros) for c in (own, prior, F.col("__t_suffix_logs"), F.col("__t_declared_logs"))],

@@ -31,7 +31,7 @@ from salesmart.llm.common import pieces, schema_with, with_columns
 from salesmart.llm.dom import Tree, attributes_of, parse
 
 #: Labelled pages that the weights are fitted on.
-TRAINING_PAGES = 160
+TRAINING_PAGES = 200
 ROUNDS = 40
 
 # What words in class, id and role say about an element.
