@@ -11,7 +11,7 @@ DATES = {
         [
             "dim_date", "sales_ma7", "sales_to_date", "kpi_yoy_daily", "daily_sales",
             "store_daily", "daily_dense", "store_daily_dense", "anomalies", "region_anomalies",
-            "anomaly_monitor", "anomaly_line", "forecast_daily", "forecast_by_category",
+            "anomaly_monitor", "anomaly_line", "rls_anomalies", "forecast_daily", "forecast_by_category",
             "actual_vs_forecast", "scenario_dip",
         ],
         ["date"],

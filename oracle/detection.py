@@ -111,6 +111,8 @@ SQL = {
     ),
     "store_daily_dense": star_sql("fact span", "SELECT * FROM dense", **panel("store_key")),
     "anomalies": store_sql("SELECT * FROM named"),
+    # a store's series does not depend on other stores
+    "rls_anomalies": store_sql("SELECT * FROM named WHERE region = 'ASIA'"),
     "region_anomalies": star_sql("fact span dim_store", "SELECT * FROM found", **BY_REGION),
     "anomaly_monitor": store_sql(
         """SELECT date, store_id, store_name, region, net_sales, expected, robust_z, direction,

@@ -78,7 +78,65 @@ USERS = """
     SELECT lower(n_name) || '@example.com' AS email, r_name AS region
     FROM nation JOIN region ON n_regionkey = r_regionkey"""
 
+VISIBLE = """
+    SELECT f.* FROM fact f JOIN dim_store USING (store_key) JOIN dim_product p USING (product_key)
+    WHERE region = 'ASIA' AND p.category IN ('PROMO', 'SMALL')"""
+
 SQL = {
+    "rls_kpi": star_sql(
+        "fact dim_store",
+        f"""SELECT category, {measures()}
+            FROM fact JOIN dim_product USING (product_key) JOIN dim_store USING (store_key)
+            WHERE region = 'ASIA' GROUP BY category""",
+    ),
+    "rls_user_kpi": star_sql(
+        "fact dim_store",
+        f"""SELECT region, CAST(year(date) AS INTEGER) AS year, {measures()}
+            FROM fact JOIN dim_store USING (store_key)
+            WHERE region IN (SELECT region FROM users WHERE email = 'nation_7@example.com')
+            GROUP BY ALL""",
+        users=USERS,
+    ),
+    "exec_trend_sliced": star_sql(
+        "fact dim_date dim_store",
+        "SELECT ym, net_sales, sales_py FROM months",
+        visible=VISIBLE,
+        monthly=MONTHLY.replace("FROM fact", "FROM visible"),
+        grid=GRID,
+        months=TIME,
+    ),
+    "product_matrix_sliced": star_sql(
+        "fact dim_store",
+        f"""SELECT CAST(CASE grouping(category, subcategory, product_id)
+                     WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 3 THEN 1 ELSE 0 END AS INTEGER) AS level,
+                   category, subcategory, product_id,
+                   CASE WHEN grouping(product_id) = 0 THEN min(product_name) END AS product_name,
+                   {money('net_sales')} AS net_sales, {money('gross_margin')} AS gross_margin,
+                   {money('gross_margin')} / nullif({money('net_sales')}, 0) AS gross_margin_pct,
+                   CAST(sum(quantity) AS BIGINT) AS quantity
+            FROM products GROUP BY ROLLUP (category, subcategory, product_id)""",
+        visible=VISIBLE,
+        products=PRODUCTS.replace("FROM fact", "FROM visible"),
+    ),
+    "category_share_sliced": star_sql(
+        "fact dim_store",
+        f"""SELECT category, {half_up('net', 0)} AS net_sales,
+                   {half_up('100.0::DOUBLE * net / nullif(whole, 0)', 1)} AS pct_of_total
+            FROM (SELECT category, {money('net_sales')} AS net,
+                         CAST(sum(sum(CAST(net_sales AS DECIMAL(18,2)))) OVER () AS DOUBLE) AS whole
+                  FROM fact JOIN dim_product USING (product_key) JOIN dim_store USING (store_key)
+                  WHERE region = 'ASIA' AND year(date) = 1997 GROUP BY category)""",
+    ),
+    "store_yoy_sliced": star_sql(
+        "fact dim_store",
+        """SELECT store_name, region, store_type, c.year, c.net_sales, p.net_sales AS sales_py,
+                  (c.net_sales - p.net_sales) / nullif(p.net_sales, 0) AS sales_yoy_pct
+           FROM yearly c JOIN dim_store USING (store_key)
+           LEFT JOIN yearly p ON p.store_key = c.store_key AND p.year = c.year - 1""",
+        visible=VISIBLE,
+        yearly=f"""SELECT store_key, CAST(year(date) AS INTEGER) AS year,
+                          {money('net_sales')} AS net_sales FROM visible GROUP BY ALL""",
+    ),
     "kpi_base": star_sql(
         "fact",
         f"""SELECT category, month_idx, {measures()}

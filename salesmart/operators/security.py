@@ -1,4 +1,4 @@
-"""Row-level security: sales restricted to the regions a user may see."""
+"""Row-level security: sales, or a whole star, restricted to the regions a user may see."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.operators.lookup import attach, fits_broadcast
+from salesmart.plans.star import ViewStar
 
 
 def _lines_of(star, stores: DataFrame, columns: list[str]) -> DataFrame:
@@ -26,3 +27,19 @@ def for_user(star, user: str, user_region: DataFrame, columns: list[str]) -> Dat
     if fits_broadcast(user_region):
         mine = F.broadcast(mine)
     return _lines_of(star, star.dim_store.join(mine, "region", "left_semi"), columns)
+
+
+def as_region(star, region: str) -> ViewStar:
+    """The star as a static role sees it: measures, reports and detectors run on it unchanged."""
+    return ViewStar(star, {"region": [region]})
+
+
+def as_user(star, user: str, user_region: DataFrame) -> ViewStar:
+    """The star as a user sees it.  The user's regions are a short list; an unknown user has none."""
+    mine = user_region.where(F.col("email") == user).select("region").distinct()
+    return ViewStar(star, {"region": [r["region"] for r in mine.collect()]})
+
+
+def sliced(star, slicers: dict[str, object]) -> ViewStar:
+    """The star under slicers: a value or a list of values for each attribute or calendar column."""
+    return ViewStar(star, {c: list(v) if isinstance(v, (list, tuple, set)) else [v] for c, v in slicers.items()})

@@ -84,6 +84,18 @@ QUERIES = {
     "rls_dynamic": lambda star: _regions_seen(
         security.for_user(star, ROLE_USER, star.extracts.user_region(), ["region", "net_sales"])
     ),
+    "rls_kpi": lambda star: kpis.kpi(security.as_region(star, ROLE_REGION), ["category"]),
+    "rls_user_kpi": lambda star: kpis.kpi(
+        security.as_user(star, ROLE_USER, star.extracts.user_region()), ["region", "year"]
+    ),
+    "rls_anomalies": lambda star: anomalies.anomalies(security.as_region(star, ROLE_REGION)),
+    # report pages under slicers
+    "exec_trend_sliced": lambda star: reports.exec_trend(security.sliced(star, SLICERS)),
+    "product_matrix_sliced": lambda star: reports.product_matrix(security.sliced(star, SLICERS)),
+    "category_share_sliced": lambda star: analytics.category_share(
+        security.sliced(star, {"year": SLICER_YEAR, "region": SLICERS["region"]})
+    ),
+    "store_yoy_sliced": lambda star: reports.store_yoy(security.sliced(star, SLICERS)),
     # daily series
     "daily_sales": series.daily_sales,
     "store_daily": series.store_daily,

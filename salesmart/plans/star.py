@@ -259,6 +259,12 @@ class WarehouseStar(Star):
         return lines.select(*[_column(c, {}).alias(c) for c in columns])
 
 
+def _kept(lines: DataFrame, allowed: dict[str, list]) -> DataFrame:
+    for column, values in allowed.items():
+        lines = lines.where(F.col(column).isin(values))
+    return lines
+
+
 class ScenarioStar(Star):
     """A star whose sale lines went through ``change``; ``reads`` are the columns it needs."""
 
@@ -298,3 +304,27 @@ class ScenarioStar(Star):
             ["_line" if c == "sale_key" else c for c in self.line_id],
             "sale_key",
         ).select(*FACT_SALES.names)
+
+
+class ViewStar(ScenarioStar):
+    """A star restricted to some values of attributes, as slicers and security roles do.
+
+    Every query takes it.  Lines and the dimensions that own the attributes are restricted; the
+    calendar stays that of the whole star, so a period without visible sales is blank.
+    """
+
+    def __init__(self, base: Star, allowed: dict[str, list]):
+        super().__init__(base, list(allowed), lambda lines: _kept(lines, allowed))
+        self.allowed = allowed
+
+    def _build_dim(self, name: str) -> DataFrame:
+        own = {c: v for c, v in self.allowed.items() if c in [KEYS[name], *DIMENSIONS[name]]}
+        return _kept(self.base.dim(name), own)
+
+    def span(self) -> DataFrame:
+        return self.base.span()
+
+    @property
+    def dim_date(self) -> DataFrame:
+        own = {c: v for c, v in self.allowed.items() if c in self.base.dim_date.columns}
+        return _kept(self.base.dim_date, own)
