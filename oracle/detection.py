@@ -188,6 +188,21 @@ SQL = {
         **panel("region", "kept"),
         **scores("region"),
     ),
+    "detector_recall_surge": star_sql(
+        "fact span dim_store",
+        f"""SELECT CAST(count(*) AS BIGINT) AS planted_days,
+                   CAST(count(*) FILTER (is_anomaly = 1 AND direction = 'spike') AS BIGINT)
+                       AS flagged_days,
+                   CAST(count(*) FILTER (is_anomaly = 1 AND direction = 'spike') AS DOUBLE)
+                       / nullif(count(*), 0) AS recall
+            FROM (SELECT DISTINCT date FROM rfact WHERE region = 'ASIA' AND {CLOSED}) p
+            LEFT JOIN (SELECT * FROM found WHERE region = 'ASIA') USING (date)""",
+        rfact=REGION_FACT,
+        kept=f"""SELECT rfact.* FROM rfact UNION ALL
+                 SELECT rfact.* FROM rfact, generate_series(2, 20) WHERE region = 'ASIA' AND {CLOSED}""",
+        **panel("region", "kept"),
+        **scores("region"),
+    ),
     "load_audit": star_sql(
         "fact dim_date dim_store dim_customer",
         " UNION ALL ".join(

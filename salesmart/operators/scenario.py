@@ -42,6 +42,17 @@ def spike(star, period: Period, factor: int) -> ScenarioStar:
     )
 
 
+def surge(star, column: str, value, period: Period, factor: int) -> ScenarioStar:
+    """Multiply the lines of one store (or any other entity) in a period."""
+    hot = period.covers(F.col("date")) & F.col(column).eqNullSafe(F.lit(value))
+    copies = F.when(hot, factor).otherwise(1)
+    return ScenarioStar(
+        star,
+        ["date", column],
+        lambda lines: lines.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))),
+    )
+
+
 def _share(columns: list[str], types: dict[str, str], seed: int) -> Column:
     """A number in [0, 1) that depends only on the line and the seed."""
     texts = [
@@ -113,11 +124,13 @@ def promo_sales(star) -> DataFrame:
     )
 
 
-def detector_recall(star, column: str, value, period: Period) -> DataFrame:
-    """Plant a closure, run the detector, and count the planted days it flags as dips.
+def detector_recall(star, column: str, value, period: Period, factor: int = 0) -> DataFrame:
+    """Plant a closure or a surge, run the detector, and count the planted days that it flags.
 
-    Planted days are those on which the entity had lines before the closure.
+    Without a factor the entity is closed and its days should be dips; with one its lines are
+    multiplied and its days should be spikes.  Planted days are those on which the entity had lines.
     """
+    changed = surge(star, column, value, period, factor) if factor else closure(star, column, value, period)
     planted = (
         star.sales("date", column)
         .where(period.covers(F.col("date")) & (F.col(column) == value))
@@ -125,11 +138,11 @@ def detector_recall(star, column: str, value, period: Period) -> DataFrame:
         .distinct()
     )
     found = (
-        entity_anomalies(closure(star, column, value, period), column)
+        entity_anomalies(changed, column)
         .where((F.col(column) == value) & period.covers(F.col("date")))
         .select("date", "is_anomaly", "direction")
     )
-    hit = (F.col("is_anomaly") == 1) & (F.col("direction") == "dip")
+    hit = (F.col("is_anomaly") == 1) & (F.col("direction") == ("spike" if factor else "dip"))
     return (
         planted.join(found, "date", "left")
         .agg(

@@ -137,6 +137,9 @@ QUERIES = {
     ),
     "promo_tag": scenario.promo_sales,
     "detector_recall": lambda star: scenario.detector_recall(star, "region", ROLE_REGION, PERIOD),
+    "detector_recall_surge": lambda star: scenario.detector_recall(
+        star, "region", ROLE_REGION, PERIOD, factor=20
+    ),
     # data quality
     "load_audit": quality.load_audit,
     "raw_profile": lambda star: extracts.profile(

@@ -196,3 +196,19 @@ def test_one_fit_per_series(build):
     mart = forecast.forecast_daily(star, ("store_key",))
     counts = mart.where("segment = 'forecast'").groupBy("store_key").count().collect()
     assert {r.store_key: r["count"] for r in counts} == {1: 14, 2: 14}
+
+
+def test_planted_surge_is_found(build):
+    sales = daily_sales_rows(90, lambda i: 1 + (3 * i) % 4)
+    period = Period(START + datetime.timedelta(60), START + datetime.timedelta(66))
+    found = scenario.detector_recall(build(sales), "store_key", 1, period, factor=30).first()
+    assert (found.planted_days, found.recall) == (7, 1.0)
+
+
+def test_forecast_beats_repeating_the_last_week(build):
+    star, rows = fitted(build, 150, lambda i: WEEK[i % 7] + (i * 7919) % 5)
+    days = sorted((r for r in rows.collect() if r.segment == "actual"), key=lambda r: r.date)
+    held = star.settings.backtest_days
+    week = [r.actual for r in days[-held - 7 : -held]]
+    miss = lambda guess: sum(abs(r.actual - g) / r.actual for r, g in zip(days[-held:], guess, strict=True))
+    assert miss([r.held_out for r in days[-held:]]) <= miss([week[i % 7] for i in range(held)])
