@@ -74,6 +74,10 @@ class Star:
         """The lines' references to a dimension before any look-up, the dimension, the column."""
         raise NotImplementedError
 
+    def reference_columns(self) -> DataFrame:
+        """The lines' references to all dimensions and their day, in one scan."""
+        return self.sales(*KEYS.values(), "date_key")
+
     def fact_sales(self) -> DataFrame:
         raise NotImplementedError
 
@@ -171,6 +175,11 @@ class ExtractStar(Star):
         on = key if key in lines.columns else natural_id
         return lines.select(on), self.dim(name).select(on), on
 
+    def reference_columns(self) -> DataFrame:
+        lines = self.extracts.lines({*KEYS.values(), "date"})
+        on = [k if k in lines.columns else DIMENSIONS[n][0] for n, k in KEYS.items()]
+        return lines.select(*on, CALENDAR["date_key"](F.col("date")).alias("date_key"))
+
     def fact_sales(self, during: Period | None = None, after: int = 0) -> DataFrame:
         """The fact with dense keys in date order, ties by the lines' own identity."""
         identity = self.line_id[1:]
