@@ -288,7 +288,7 @@ def rare_words(words: DataFrame, last: tuple[int, str] | None) -> DataFrame:
 
 
 _KEYS = ["id", "mark"]
-_SENT = "part bigint, cell bigint, ids binary, marks binary, pairs binary, owners binary"
+_SENT = "piece bigint, part bigint, cell bigint, ids binary, marks binary, pairs binary, owners binary"
 _SUMS = ["copies", "n_tokens", "n_known", "base_score", "score"]
 
 
@@ -329,14 +329,16 @@ def _local_sums(frame: DataFrame, model: Model) -> tuple[DataFrame, DataFrame, D
         marks = piece.column("mark").to_numpy()
         ends = [0, *np.searchsorted(mixed, edges), len(mixed)]
         rows = []
+        # where the sums of a piece's texts come together again; they carry their own keys
+        own = int(ids[0] ^ marks[0]) if len(ids) else 0
         for c, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
             if b > a:
                 met, local = np.unique(owner[a:b], return_inverse=True)
-                rows.append((int(marks[met[0]]) % parts, c, ids[met].tobytes(), marks[met].tobytes(), _packed(mixed[a:b]), local.astype(np.uint16).tobytes()))
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
+                rows.append((own, int(marks[met[0]]) % parts, c, ids[met].tobytes(), marks[met].tobytes(), _packed(mixed[a:b]), local.astype(np.uint16).tobytes()))
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
+        kinds = [*[pa.int64()] * 3, *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["part", "cell", "ids", "marks", "pairs", "owners"]
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["piece", "part", "cell", "ids", "marks", "pairs", "owners"]
         )
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,7 +362,11 @@ def _local_sums(frame: DataFrame, model: Model) -> tuple[DataFrame, DataFrame, D
 
 
 def _cell_sums(sent: DataFrame, table: DataFrame, model: Model, factors: list[float]) -> DataFrame:
-    """(id, mark, score): sums of log10 P(symbol | history) by text, cell and part."""
+    """(id, mark, score): sums of log10 P(symbol | history) by text and piece.
+
+    A cell returns one row for each piece that sent to it, and the sums meet by piece: the number of
+    rows does not grow with texts times cells.
+    """
     n, weight = histories(table, model, factors)
     with np.errstate(divide="ignore"):
         back, shares = np.log10(np.maximum(weight, 0)), np.log10(symbol_shares(model))
@@ -374,23 +380,33 @@ def _cell_sums(sent: DataFrame, table: DataFrame, model: Model, factors: list[fl
         else:
             known, logs = np.zeros(1, np.uint32), np.zeros(1)
         out = []
-        for ids, marks, pairs, owners in zip(*(texts.column(c) for c in ("ids", "marks", "pairs", "owners")), strict=True):
+        for piece, number, ids, marks, pairs, owners in zip(*(texts.column(c) for c in columns), strict=True):
             mixed, owner = _unpacked(pairs.as_py()), np.frombuffer(owners.as_py(), np.uint16)
             at = np.minimum(np.searchsorted(known, mixed), len(known) - 1)
             seen = (known[at] == mixed) & (cell.num_rows > 0)
             history, symbol = _unmixed(mixed)
             values = np.where(seen, logs[at], back[history] + shares[symbol])
-            marks = np.frombuffer(marks.as_py(), np.int64)
-            out.append((np.frombuffer(ids.as_py(), np.int64), marks, np.bincount(owner, values, len(marks))))
-        if not out:
-            return pa.table({"id": [], "mark": [], "score": []}, kinds)
-        columns = [np.concatenate(x) for x in zip(*out, strict=True)]
-        return pa.table(dict(zip(["id", "mark", "score"], columns, strict=True)), kinds)
-
-    kinds = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("score", pa.float64())])
-    spread_table = table.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(model.parts - 1).cast("bigint"))))
-    both = sent.groupBy("cell", "part").cogroup(spread_table.groupBy("cell", "part"))
-    return both.applyInArrow(score, "id bigint, mark bigint, score double")
+            sums = np.bincount(owner, values, len(marks.as_py()) // 8)
+            out.append((piece.as_py(), number.as_py(), ids.as_py(), marks.as_py(), sums.tobytes()))
+        return pa.table({k: [r[i] for r in out] for i, k in enumerate(kinds.names)}, kinds)
+
+    def by_text(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("cell", "ids", "marks", "sums")), strict=True))
+        ids, marks = (np.concatenate([np.frombuffer(r[i], np.int64) for r in rows]) for i in (1, 2))
+        sums = np.concatenate([np.frombuffer(r[3], np.float64) for r in rows])
+        order = np.lexsort((marks, ids))
+        ids, marks, sums = ids[order], marks[order], sums[order]
+        starts = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])))
+        return pa.table({"id": ids[starts], "mark": marks[starts], "score": np.add.reduceat(sums, starts)})
+
+    columns = ["piece", "cell", "ids", "marks", "pairs", "owners"]
+    kinds = pa.schema(
+        [("piece", pa.int64()), ("cell", pa.int64()), ("ids", pa.binary()), ("marks", pa.binary()), ("sums", pa.binary())]
+    )
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(model.parts - 1).cast("bigint")))
+    both = sent.groupBy("cell", "part").cogroup(table.withColumn("part", parts).groupBy("cell", "part"))
+    found = both.applyInArrow(score, "piece bigint, cell bigint, ids binary, marks binary, sums binary")
+    return found.groupBy("piece").applyInArrow(by_text, "id bigint, mark bigint, score double")
 
 
 def held_out(id: Column) -> Column:
