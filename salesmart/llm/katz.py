@@ -42,8 +42,10 @@ START, END, RARE, FIRST_WORD = 0, 1, 2, 3
 #: Counts up to this are discounted.
 K_MAX = 5
 #: Tokens that a cell, and a part of a cell, is meant to hold; most cells (beyond, parts only grow in number).
-CELL_TOKENS = 6_000_000
+CELL_TOKENS = 2_000_000
 MOST_CELLS = 4096
+#: Bytes of text whose pairs a task sorts at a time.
+PIECE = 8 << 20
 #: Partial pair tables that one task adds up.
 FAN = 8
 
@@ -136,7 +138,7 @@ def count_words(frame: DataFrame, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, text, 16 << 20):
+            for piece in pieces(batch, text, PIECE):
                 found, at, _ = _token_codes(piece, text)
                 n = np.bincount(at, minlength=len(found))
                 seen = n > 0
@@ -153,7 +155,7 @@ def count_pairs(frame: DataFrame, text: str, book: dict[str, int], cells: int, p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, piece in enumerate(pieces(batch, text, 16 << 20)):
+            for number, piece in enumerate(pieces(batch, text, PIECE)):
                 found, at, sizes = _token_codes(piece, text)
                 mixed, n = np.unique(_pairs(_symbols(found, at, spread.value), sizes)[0], return_counts=True)
                 ends = [0, *np.searchsorted(mixed, edges), len(mixed)]
@@ -316,7 +318,7 @@ def _local_sums(frame: DataFrame, model: Model) -> tuple[DataFrame, DataFrame, D
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # at most 2 ** 16 texts at a time, whose numbers fit two bytes
-            for piece in pieces(batch, "text", 16 << 20):
+            for piece in pieces(batch, "text", PIECE):
                 for a in range(0, piece.num_rows, 1 << 16):
                     yield sent(piece.slice(a, 1 << 16))
 
