@@ -30,7 +30,9 @@ from salesmart.llm.common import pieces, schema_with, texts, with_columns
 
 LABELLED = 3000
 POOL = 3000
-SAMPLE_BYTES = 1 << 15
+SAMPLE_BYTES = 1 << 14
+#: Texts whose features are computed at a time.
+PART = 128
 ROUNDS = 3
 #: Guesses of either kind that a view hands over in a round, and the least confidence for that.
 HANDED = 60
@@ -83,7 +85,7 @@ def content_features(batch: list[str]) -> np.ndarray:
     bucket = (mixed * np.uint32(2654435761)) >> np.uint32(32 - CONTENT_BITS)
     whole = owner[:-2] == owner[2:]
     cells = owner[:-2][whole] * CONTENT + bucket[whole]
-    counts = np.bincount(cells, minlength=len(batch) * CONTENT).astype(np.float32).reshape(len(batch), CONTENT)
+    counts = np.bincount(cells, minlength=len(batch) * CONTENT).reshape(len(batch), CONTENT).astype(np.float32)
     return np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1))
 
 
@@ -170,8 +172,12 @@ def fit(sample: list[tuple[str, str | None, str | None, int | None]], aside: flo
     labels = [r[3] for r in sample if r[3] is not None]
     if len(set(labels)) < 2:
         return Views(np.zeros(0), np.zeros(0), np.zeros(0), np.zeros(0), float(np.mean(labels)) if labels else 1.0)
-    texts_, source, lang = [r[0] or "" for r in sample], [r[1] for r in sample], [r[2] for r in sample]
-    both = [content_features(texts_), metadata_features(texts_, source, lang)]
+    # in parts, so that only the features of the whole sample are held at once
+    parts = [sample[a : a + PART] for a in range(0, len(sample), PART)]
+    both = [
+        np.concatenate([content_features([r[0] or "" for r in p]) for p in parts]),
+        np.concatenate([metadata_features([r[0] or "" for r in p], [r[1] for r in p], [r[2] for r in p]) for p in parts]),
+    ]
     known = np.array([r[3] is not None for r in sample])
     held = known & (np.cumsum(known) % round(1 / aside) == 0)
     y = np.array([r[3] or 0 for r in sample], float)
