@@ -3,9 +3,8 @@
 1. Words of the benchmark are the terms; every text becomes the sequence of its term numbers.
 2. Inverse document frequencies are counted over passages of 2 * HALF words of all documents.
 3. A randomised SVD of the TF-IDF passages, distributed: each task adds up its part of
-   A'A times a random matrix (one power step); an orthonormal basis of the sum gives, in a second
-   pass, a small matrix whose eigenvectors turn the basis into right singular vectors.  The items
-   are rows of A too, weighted to count as much as the documents, so that the space tells them apart.
+   A'A times a random matrix.  Of that sum alone the Nystrom form of A'A follows, and its
+   eigenvectors are right singular vectors of A: one pass.  The items are rows of A too, weighted to count as much as the documents, so that the space tells them apart.
 4. Windows of 2 * HALF words, HALF apart, whose cosine to an item in that space is high enough are
    candidates.
 5. A candidate is a leak if the longest common subsequence of the item and the words around the
@@ -47,7 +46,7 @@ ITEMS = 2_000
 TERM_BLOCK = 512
 FAN = 32
 #: Terms whose columns are dense: those in the most passages.
-DENSE_TERMS = 256
+DENSE_TERMS = 128
 #: Bytes of numbered words that a task works on at a time.
 PIECE = 1 << 21
 #: Gathered numbers held at a time.
@@ -129,16 +128,15 @@ def _halves(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, np.repeat(first[:-1], sizes) + place // HALF, first
 
 
-def _passages(batch: pa.RecordBatch, terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(passage, term, times) of the batch's passages that don't overlap, and their number."""
+def _passages(batch: pa.RecordBatch, terms: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(passage, term) of each known word of the batch's passages that don't overlap, and their number."""
     words, half, first = _halves(batch)
     sizes = np.diff(first)
     of_document = np.cumsum(-(-sizes // 2)) - -(-sizes // 2)
     shift = np.repeat(of_document, sizes)  # by half
     passage_of_half = shift + (np.arange(first[-1]) - np.repeat(first[:-1], sizes)) // 2
     known = words < terms
-    pairs, times = np.unique(passage_of_half[half[known]] * terms + words[known], return_counts=True)
-    return pairs // terms, pairs % terms, times, int((-(-sizes // 2)).sum())
+    return passage_of_half[half[known]], words[known], int((-(-sizes // 2)).sum())
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,8 +150,8 @@ def document_frequencies(coded: DataFrame, terms: int) -> tuple[np.ndarray, int]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(terms + 1, np.int64)
         for batch in _pieces(batches):
-            _, term, _, n = _passages(batch, terms)
-            counts[:-1] += np.bincount(term, minlength=terms)
+            row, term, n = _passages(batch, terms)
+            counts[:-1] += np.bincount(np.unique(row * terms + term) % terms, minlength=terms)
             counts[-1] += n
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["term", "n"])
@@ -199,17 +197,28 @@ def _tree_sum(coded: DataFrame, of_task: Callable[[Iterator[pa.RecordBatch]], np
 class Sparse:
     """A sparse matrix of passages by terms: the frequent terms' columns are dense, the rest is listed."""
 
-    def __init__(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int, frequent: np.ndarray):
+    def __init__(self, row: np.ndarray, term: np.ndarray, n: int, terms: int, frequent: np.ndarray, idf: np.ndarray):
+        """Each word (row, term), sorted by row, counts once, times the frequency weight of its term."""
         column = np.full(terms, -1)
         column[frequent] = np.arange(len(frequent))
         at = column[term]
         is_dense = at >= 0
         cells = row[is_dense] * len(frequent) + at[is_dense]
-        dense = np.bincount(cells, weight[is_dense], n * len(frequent)) if len(frequent) else np.zeros(0)
-        self.dense = dense.astype(np.float32).reshape(n, len(frequent))
-        self.row, self.term, self.weight = row[~is_dense], term[~is_dense], weight[~is_dense]
+        dense = np.bincount(cells, minlength=n * len(frequent)).astype(np.float32).reshape(n, len(frequent))
+        self.dense = dense * idf[frequent].astype(np.float32)
+        pairs, times = np.unique(row[~is_dense].astype(np.int64) * terms + term[~is_dense], return_counts=True)
+        self.row, self.term = pairs // terms, pairs % terms
+        self.weight = (times * idf[self.term]).astype(np.float32)
         self.n, self.terms, self.frequent = n, terms, frequent
 
+    def normalised(self) -> Sparse:
+        """The matrix with rows of length one."""
+        square = np.einsum("ij,ij->i", self.dense, self.dense) + np.bincount(self.row, self.weight**2, self.n)
+        scale = (1 / np.sqrt(np.maximum(square, 1e-24))).astype(np.float32)
+        self.dense *= scale[:, None]
+        self.weight *= scale[self.row]
+        return self
+
     @staticmethod
     def _add_up(out: np.ndarray, to: np.ndarray, of: np.ndarray, weight: np.ndarray, x: np.ndarray) -> None:
         """out[to] += x[of] * weight, for sorted `to`."""
@@ -232,58 +241,35 @@ class Sparse:
         return out
 
 
-def _weighted(row: np.ndarray, term: np.ndarray, times: np.ndarray, n: int, idf: np.ndarray) -> np.ndarray:
-    """TF-IDF weights, each row of length one."""
-    weight = times * idf[term]
-    norm = np.sqrt(np.bincount(row, weight**2, n))
-    return (weight / np.maximum(norm[row], 1e-12)).astype(np.float32)
-
-
 def latent_space(coded: DataFrame, items: Items, idf: np.ndarray, frequent: np.ndarray, rank: int = RANK) -> np.ndarray:
     """Right singular vectors (terms x rank) of the TF-IDF passages of documents and items."""
     terms, width = len(idf), min(rank + OVERSAMPLE, len(idf))
-    rows = [np.unique(w, return_counts=True) for w in items.words]
-    own_row = np.repeat(np.arange(len(rows)), [len(t) for t, _ in rows])
-    own_term, own_times = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
-    own = Sparse(own_row, own_term, _weighted(own_row, own_term, own_times, len(rows), idf), len(rows), terms, frequent[:0])
-
-    def matrix(batch: pa.RecordBatch, weights: np.ndarray) -> Sparse:
-        row, term, times, n = _passages(batch, terms)
-        return Sparse(row, term, _weighted(row, term, times, n, weights), n, terms, frequent)
-
-    context = coded.sparkSession.sparkContext
+    row = np.repeat(np.arange(len(items.words)), [len(w) for w in items.words])
+    own = Sparse(row, np.concatenate(items.words), len(items.words), terms, frequent[:0], idf).normalised()
     start = np.random.default_rng(0).standard_normal((terms, width)).astype(np.float32)
-    spread = context.broadcast((start, idf))
+    spread = coded.sparkSession.sparkContext.broadcast((start, idf, frequent))
 
-    def range_part(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        basis, weights = spread.value
+    def part(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        start, idf, frequent = spread.value
         total = np.zeros((terms + 1, width))
         for batch in _pieces(batches):
-            passages = matrix(batch, weights)
-            total[:-1] += passages.transposed_times(passages.times(basis))
-            total[-1, 0] += passages.n
+            row, term, n = _passages(batch, terms)
+            matrix = Sparse(row, term, n, terms, frequent, idf).normalised()
+            total[:-1] += matrix.transposed_times(matrix.times(start))
+            total[-1, 0] += n
         return total
 
-    total = _tree_sum(coded, range_part, (terms + 1, width))
+    total = _tree_sum(coded, part, (terms + 1, width))
     # the items together weigh as much as all passages
-    beta = max(1.0, total[-1, 0]) / max(1, len(rows))
-    spanned = total[:-1] + beta * own.transposed_times(own.times(start))
-    basis = np.linalg.qr(spanned)[0].astype(np.float32)
-    spread_basis = context.broadcast((basis, idf))
-
-    def small_part(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        q, weights = spread_basis.value
-        total = np.zeros((q.shape[1], q.shape[1]))
-        for batch in _pieces(batches):
-            y = matrix(batch, weights).times(q)
-            total += y.T @ y
-        return total
-
-    small = _tree_sum(coded, small_part, (basis.shape[1], basis.shape[1]))
-    y = own.times(basis)
-    values, vectors = np.linalg.eigh(small + beta * (y.T @ y))
-    top = np.argsort(values)[::-1][: min(rank, len(values))]
-    return (basis @ vectors[:, top]).astype(np.float32)
+    beta = max(1.0, total[-1, 0]) / len(items.words)
+    sketch = total[:-1] + beta * own.transposed_times(own.times(start))
+    # a small multiple of the identity keeps the form stable where A'A has few directions
+    sketch += np.sqrt(terms) * np.finfo(np.float32).eps * np.linalg.norm(sketch) / np.sqrt(width) * start
+    small = start.T.astype(np.float64) @ sketch
+    values, vectors = np.linalg.eigh((small + small.T) / 2)
+    kept = values > values[-1] * 1e-7
+    left, _, _ = np.linalg.svd(sketch @ (vectors[:, kept] / np.sqrt(values[kept])), full_matrices=False)
+    return left[:, :rank].astype(np.float32)
 
 
 def common_lengths(items: list[np.ndarray], regions: list[np.ndarray], other: int) -> np.ndarray:
@@ -319,13 +305,12 @@ def search(
 ) -> DataFrame:
     """(id, item_id, cosine, overlap, answer_overlap) of every leak."""
     terms = len(idf)
-    weighted = (space * idf[:, None]).astype(np.float32)
-    own = np.stack([weighted[w].sum(axis=0) for w in items.words])
+    own = np.stack([(space[w] * idf[w, None]).sum(axis=0) for w in items.words]).astype(np.float32)
     own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
-    spread = coded.sparkSession.sparkContext.broadcast((weighted, own, items._replace(terms={})))
+    spread = coded.sparkSession.sparkContext.broadcast((space, own, items._replace(terms={}), idf))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        basis, targets, known = spread.value
+        basis, targets, known, weights = spread.value
         reach = max(map(len, known.words))
         for batch in _pieces(batches):
             words, half, first = _halves(batch)
@@ -333,8 +318,7 @@ def search(
                 continue
             inside = words < terms
             n = int(first[-1])
-            ones = np.ones(int(inside.sum()), np.float32)
-            halves = Sparse(half[inside], words[inside], ones, n, terms, frequent).times(basis)
+            halves = Sparse(half[inside], words[inside], n, terms, frequent, weights).times(basis)
             # a window is a half and the next one of its document
             last = np.zeros(n, bool)
             last[first[1:][np.diff(first) > 0] - 1] = True
