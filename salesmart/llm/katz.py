@@ -1,21 +1,24 @@
 """Katz backoff language model, learnt and applied by distributed counting.
 
-Tokens are words and one end for each text.  The WORDS most frequent words, the end and the start
-of a text are symbols of their own; all other words share the symbol "rare" and are told apart by
-their own probability within it, so that every word keeps an exact count and probability.
+Tokens are words and one end for each text; every word is a symbol, and every pair of neighbours seen
+in training is counted, whatever the size of the vocabulary.
 
-    P(w | h) = P(symbol of w | symbol of h) * (1, or P(w | rare) if w is rare)
+    P(w | h) = d(r) * r / n        for a pair seen r times after a history seen n times
+    P(w | h) = a(h) * P(w)         for others
 
-For a pair of symbols seen r times after a history seen n times, P = d(r) * r / n, with Good-Turing
-discounts d(1) .. d(K_MAX).  For others it backs off: P = a(h) * P(symbol), where a(h) hands out
-exactly what the discounts left over: (1 - sum of seen P) / (1 - sum of seen P(symbol)).  Within
-"rare", word counts are discounted likewise and what is left over is the probability of an unknown
-word.
+with Good-Turing discounts d(1) .. d(K_MAX).  a(h) hands out exactly what the discounts left over:
+(1 - sum of seen P) / (1 - sum of the seen words' P).  After a history whose pairs were all seen too often
+to be discounted, n is one more, so that something is left.  One token more than was seen is the place of
+unknown words.
 
-Pairs are known by 32 bits, mixed one to one so that they spread evenly, and dealt by these into
-cells.  The pair counts are a table of cells in the shared folder.  Tasks of the corpus send sorted
-pairs to the cells, in compressible form; each cell is looked up part by part, so that no group
-grows with the corpus, and no pair, word or history is a group of its own.
+With WORDS given, only so many words are symbols, the most frequent ones; all others share the symbol
+"rare" and have a discounted probability of their own within it.
+
+Words are known by 64-bit hashes and dealt by these into cells.  A cell holds all pairs that end in its
+words, so their counts are known there.  Sums over a text are taken where the data is: in the cell of the
+word what depends on the pair and the word; in the cell of the history, for unseen pairs only, its weight.
+Tasks of the corpus send (pair, text, count), added up; a cell that holds many tokens is looked up in several
+parts, each with its own copy of the cell's table, so that no frequent pair or word is a task of its own.
 
 Cases: null is the empty text, whose only token is the end; rows without an id count as training
 text; rows that repeat both id and text give as many equal rows; an empty table gives an empty one.
@@ -29,28 +32,32 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import cut, pieces
 
-#: Words with a symbol of their own; with the other symbols they fit 16 bits.
-WORDS = 65_000
+#: Words with a symbol of their own; None: all.
+WORDS: int | None = None
 START, END, RARE, FIRST_WORD = 0, 1, 2, 3
 #: Counts up to this are discounted.
 K_MAX = 5
 #: Tokens that a cell, and a part of a cell, is meant to hold; most cells (beyond, parts only grow in number).
 CELL_TOKENS = 2_000_000
 MOST_CELLS = 4096
+#: Bytes of text for each token, to choose the number of cells.
+TOKEN_BYTES = 6
 #: Bytes of text whose pairs a task sorts at a time.
-PIECE = 8 << 20
+PIECE = 4 << 20
 #: Partial pair tables that one task adds up.
 FAN = 8
 
-_MIX = 2654435761
-_UNMIX = pow(_MIX, -1, 1 << 32)
+_LOW = np.uint64((1 << 32) - 1)
+_HALF = np.uint64(32)
 
 
 def discounts(ones: list[int], most: int = K_MAX) -> list[float]:
@@ -71,16 +78,28 @@ def discounts(ones: list[int], most: int = K_MAX) -> list[float]:
 
 
 class Model(NamedTuple):
-    words: list[str]  # with symbols FIRST_WORD ..
-    counts: np.ndarray  # of symbols, as predicted tokens
     total: int  # training tokens
     distinct: int
+    cells: int
+    parts: list[int]  # of each cell
+    factors: list[float]  # discounts of pairs
+    book: np.ndarray | None  # keys of the words with a symbol, if others have none
+    last: tuple[int, str] | None  # count and word of the last of these
     rare_total: int
     rare_discounts: list[float]
     unknown: float  # P(unknown word | rare)
-    last: tuple[int, str] | None  # count and word of the last word with a symbol, if there are others
-    cells: int
-    parts: int
+
+
+class Pairs(NamedTuple):
+    """Pairs sorted by word and history: distinct sorted keys, and the place of each pair's among them."""
+
+    words: np.ndarray
+    word: np.ndarray
+    histories: np.ndarray
+    history: np.ndarray
+
+    def codes(self) -> np.ndarray:
+        return self.word.astype(np.uint64) << _HALF | self.history.astype(np.uint64)
 
 
 def _token_codes(piece: pa.RecordBatch, text: str) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -97,40 +116,91 @@ def _token_codes(piece: pa.RecordBatch, text: str) -> tuple[pa.Array, np.ndarray
     return coded.dictionary, at, sizes
 
 
-def _symbols(found: pa.Array, at: np.ndarray, book: dict[str, int]) -> np.ndarray:
-    codes = np.array([book.get(w, RARE) for w in found.to_pylist()], np.uint32)
-    return codes[at] if len(at) else np.zeros(0, np.uint32)
+def word_keys(found: pa.Array) -> np.ndarray:
+    """64-bit hashes of words, above the keys of the other symbols."""
+    keys = pd.util.hash_array(np.array(found.to_pylist(), object), categorize=False)
+    return np.maximum(keys, np.uint64(FIRST_WORD))
 
 
-def _pairs(symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Mixed (history, symbol) pairs of all tokens, ends included; the symbols; and the text of each."""
+def _tokens(piece: pa.RecordBatch, text: str, book: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys; the pair of every token, ends included, as places (word, history) among them; owners; sizes."""
+    found, at, sizes = _token_codes(piece, text)
+    keys = word_keys(found) if len(found) else np.zeros(0, np.uint64)
+    if book is not None:
+        keys = np.where(np.isin(keys, book), keys, np.uint64(RARE))
+    ranked, place = np.unique(np.append(np.array([START, END], np.uint64), keys), return_inverse=True)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    sequence = np.full(len(symbols) + len(sizes), END, np.uint32)
-    sequence[np.arange(len(symbols)) + owner] = symbols
-    history = np.append(np.uint32(START), sequence[:-1]).astype(np.uint32)
+    sequence = np.full(len(at) + len(sizes), END, np.uint64)
+    sequence[np.arange(len(at)) + owner] = place[2:][at]
+    history = np.append(np.uint64(START), sequence[:-1]).astype(np.uint64)
     history[np.cumsum(sizes + 1) - sizes - 1] = START
-    return (history << np.uint32(16) | sequence) * np.uint32(_MIX), sequence, np.repeat(np.arange(len(sizes)), sizes + 1)
+    return ranked, sequence << _HALF | history, np.repeat(np.arange(len(sizes)), sizes + 1), sizes
+
 
+def _planes(numbers: np.ndarray, kind: str) -> bytes:
+    """Numbers byte by byte, as the high bytes are mostly zero, and compressed; the size comes first."""
+    x = np.ascontiguousarray(numbers.astype(kind))
+    data = x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
-def _unmixed(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    pair = mixed * np.uint32(_UNMIX)
-    return pair >> np.uint32(16), pair & np.uint32(0xFFFF)
 
+def _unplanes(data: bytes, kind: str) -> np.ndarray:
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
-def _packed(sorted_numbers: np.ndarray) -> bytes:
-    """Steps between sorted 32-bit numbers, byte by byte: the high bytes are mostly zero."""
-    steps = np.diff(sorted_numbers, prepend=np.uint32(0)).astype("<u4")
-    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Steps between sorted keys."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)), "<u8")
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
-    return np.cumsum(steps, dtype=np.uint64).astype(np.uint32)
+    return np.cumsum(_unplanes(data, "<u8"), dtype=np.uint64)
+
+
+_PACKED = {"words": "binary", "runs": "binary", "histories": "binary", "history": "binary"}
+
+
+def _packed_pairs(ranked: np.ndarray, codes: np.ndarray) -> dict[str, bytes]:
+    """Sorted pairs (places of word and history among the ranked keys), packed; repeated ones stay."""
+    word = codes >> _HALF
+    starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+    met, history = np.unique(codes & _LOW, return_inverse=True)
+    return {
+        "words": _packed(ranked[word[starts]]),
+        "runs": _planes(np.diff(np.append(starts, len(word))), "<u4"),
+        "histories": _packed(ranked[met]),
+        "history": _planes(history, "<u4"),
+    }
+
+
+def _pairs_of(row: dict) -> Pairs:
+    words, histories = _unpacked(row["words"]), _unpacked(row["histories"])
+    return Pairs(words, np.repeat(np.arange(len(words)), _unplanes(row["runs"], "<u4")), histories, _unplanes(row["history"], "<u4"))
+
+
+def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each wanted key among the sorted ones, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
 
 
 def _cell_edges(cells: int) -> np.ndarray:
-    """Where cells 1 .. begin among the mixed pairs."""
-    return np.array([-(-(c << 32) // cells) for c in range(1, cells)], np.uint64).astype(np.uint32)
+    """Where cells 1 .. begin among the keys."""
+    return np.array([-(-(c << 64) // cells) for c in range(1, cells)], np.uint64)
+
+
+def _by_cell(keys: np.ndarray, edges: np.ndarray) -> list[tuple[int, int, int]]:
+    """(cell, from, to) of the cells that sorted keys fall into."""
+    ends = [0, *np.searchsorted(keys, edges), len(keys)]
+    return [(c, int(a), int(b)) for c, (a, b) in enumerate(zip(ends, ends[1:], strict=False)) if b > a]
+
+
+def _schema(kinds: dict[str, str]) -> tuple[pa.Schema, str]:
+    of = {"bigint": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
+    return pa.schema([(n, of[k]) for n, k in kinds.items()]), ", ".join(f"{n} {k}" for n, k in kinds.items())
 
 
 def count_words(frame: DataFrame, text: str) -> DataFrame:
@@ -148,64 +218,63 @@ def count_words(frame: DataFrame, text: str) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def count_pairs(frame: DataFrame, text: str, book: dict[str, int], cells: int, parts: int) -> DataFrame:
-    """(cell, size, pairs, counts): for every cell one row, the sorted mixed pairs and 8-byte counts."""
+def count_pairs(frame: DataFrame, text: str, book: np.ndarray | None, cells: int, parts: int) -> DataFrame:
+    """For every cell one row: its packed pairs and their 8-byte counts."""
     spread = frame.sparkSession.sparkContext.broadcast(book)
     edges = _cell_edges(cells)
+    kinds, sql = _schema({"cell": "bigint", "part": "bigint", **_PACKED, "counts": "binary"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, piece in enumerate(pieces(batch, text, PIECE)):
-                found, at, sizes = _token_codes(piece, text)
-                mixed, n = np.unique(_pairs(_symbols(found, at, spread.value), sizes)[0], return_counts=True)
-                ends = [0, *np.searchsorted(mixed, edges), len(mixed)]
-                rows = [(c, a, b) for c, (a, b) in enumerate(zip(ends, ends[1:], strict=False)) if b > a]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "cell": [c for c, _, _ in rows],
-                        "part": [(number * 31 + int(mixed[a]) % 1009) % parts for _, a, _ in rows],
-                        "pairs": [_packed(mixed[a:b]) for _, a, b in rows],
-                        "counts": [n[a:b].astype(np.int64).tobytes() for _, a, b in rows],
-                    },
-                    schema=kinds,
-                )
+            for piece in pieces(batch, text, PIECE):
+                ranked, codes, _, _ = _tokens(piece, text, spread.value)
+                codes, n = np.unique(codes, return_counts=True)
+                part = int(codes.sum() % np.uint64(parts))
+                rows = [
+                    {"cell": c, "part": part, **_packed_pairs(ranked, codes[a:b]), "counts": _planes(n[a:b], "<i8")}
+                    for c, a, b in _by_cell(ranked[codes >> _HALF], edges)
+                ]
+                yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
     def add(table: pa.Table) -> pa.Table:
-        mixed = np.concatenate([_unpacked(p.as_py()) for p in table.column("pairs")])
-        n = np.concatenate([np.frombuffer(c.as_py(), np.int64) for c in table.column("counts")])
-        order = np.argsort(mixed, kind="stable")
-        mixed, n = mixed[order], n[order]
-        starts = np.flatnonzero(np.append(True, mixed[1:] != mixed[:-1]))
-        return pa.table(
-            {
-                "cell": [table.column("cell")[0].as_py()],
-                "part": [table.column("part")[0].as_py()],
-                "pairs": [_packed(mixed[starts])],
-                "counts": [np.add.reduceat(n, starts).tobytes()],
-            },
-            kinds,
-        )
-
-    kinds = pa.schema([("cell", pa.int64()), ("part", pa.int64()), ("pairs", pa.binary()), ("counts", pa.binary())])
-    sql = "cell bigint, part bigint, pairs binary, counts binary"
+        ranked = np.unique(np.concatenate([_unpacked(k.as_py()) for c in ("words", "histories") for k in table.column(c)]))
+        codes, n = [], []
+        for i in range(table.num_rows):
+            row = table.slice(i, 1).to_pylist()[0]
+            r = _pairs_of(row)
+            places = (np.searchsorted(ranked, k).astype(np.uint32) for k in (r.words, r.histories))
+            codes.append(Pairs(r.words, next(places)[r.word], r.histories, next(places)[r.history]).codes())
+            n.append(_unplanes(row["counts"], "<i8"))
+        codes, n = np.concatenate(codes), np.concatenate(n)
+        order = np.argsort(codes)
+        codes, n = codes[order], n[order]
+        del order
+        starts = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+        row = {"cell": table.column("cell")[0].as_py(), "part": table.column("part")[0].as_py()}
+        row |= {**_packed_pairs(ranked, codes[starts]), "counts": _planes(np.add.reduceat(n, starts), "<i8")}
+        return pa.Table.from_pylist([row], schema=kinds)
+
     rows = frame.select(text).mapInArrow(run, sql).groupBy("cell", "part").applyInArrow(add, sql)
     while parts > 1:
         parts = -(-parts // FAN)
         rows = rows.withColumn("part", F.floor(F.col("part") / FAN)).groupBy("cell", "part").applyInArrow(add, sql)
-    return rows.select("cell", "pairs", "counts")
+    return rows.drop("part")
+
 
+def _cell_figures(table: DataFrame) -> list[dict]:
+    """Tokens, distinct words and pairs seen 1 .. K_MAX + 1 times of every cell."""
+    names = ["cell", "tokens", "distinct", *(f"n{r}" for r in range(1, K_MAX + 2))]
 
-def _count_counts(table: DataFrame) -> list[int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for counts in batch.column("counts"):
-                n = np.bincount(np.minimum(np.frombuffer(counts.as_py(), np.int64), K_MAX + 2), minlength=K_MAX + 3)
-                yield pa.RecordBatch.from_pydict({"r": list(range(K_MAX + 3)), "n": n.tolist()}, schema=kinds)
+            for row in batch.to_pylist():
+                n = _unplanes(row["counts"], "<i8")
+                ones = np.bincount(np.minimum(n, K_MAX + 2), minlength=K_MAX + 3)[1 : K_MAX + 2]
+                values = [row["cell"], int(n.sum()), len(_unpacked(row["words"])), *ones.tolist()]
+                yield pa.RecordBatch.from_pydict({k: [v] for k, v in zip(names, values, strict=True)}, schema=kinds)
 
-    kinds = pa.schema([("r", pa.int64()), ("n", pa.int64())])
-    found = table.mapInArrow(run, "r bigint, n bigint").groupBy("r").agg(F.sum("n").alias("n")).collect()
-    by = {r["r"]: r["n"] for r in found}
-    return [by.get(r, 0) for r in range(1, K_MAX + 2)]
+    kinds, sql = _schema(dict.fromkeys(names, "bigint"))
+    return [r.asDict() for r in table.select("cell", "words", "counts").mapInArrow(run, sql).collect()]
 
 
 def _discount(counts: np.ndarray, factors: list[float]) -> np.ndarray:
@@ -213,72 +282,77 @@ def _discount(counts: np.ndarray, factors: list[float]) -> np.ndarray:
     return counts * np.append(factors, 1.0)[np.minimum(counts, K_MAX + 1)]
 
 
-def symbol_shares(model: Model) -> np.ndarray:
-    """P(symbol); one more is counted for rare, so that unknown words have a place."""
-    shares = model.counts.astype(np.float64)
-    shares[RARE] += 1
-    return shares / shares.sum()
-
-
-def histories(table: DataFrame, model: Model, factors: list[float]) -> tuple[np.ndarray, np.ndarray]:
-    """How often each symbol is a history, and its backoff weight."""
-    size = len(model.counts)
-    spread = table.sparkSession.sparkContext.broadcast(symbol_shares(model))
+def histories(table: DataFrame, model: Model) -> DataFrame:
+    """(cell, keys, every, unseen): of each history the log10 of what scales all its pairs, and, for unseen pairs,
+    of its backoff weight times how often it was seen, without that scale."""
+    edges, width = _cell_edges(model.cells), K_MAX + 2
+    sent, sent_sql = _schema({"cell": "bigint", "keys": "binary", "sums": "binary"})
+    kinds, sql = _schema({"cell": "bigint", "keys": "binary", "every": "binary", "unseen": "binary"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for packed, counts in zip(batch.column("pairs"), batch.column("counts"), strict=True):
-                history, symbol = _unmixed(_unpacked(packed.as_py()))
-                n = np.frombuffer(counts.as_py(), np.int64)
-                sums = [np.bincount(history, x, size) for x in (n, _discount(n, factors), spread.value[symbol])]
-                seen = np.flatnonzero(sums[0])
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (seen, *(s[seen] for s in sums))], names=names)
-
-    names = ["history", "n", "kept", "share"]
-    rows = table.select("pairs", "counts").mapInArrow(run, "history bigint, n double, kept double, share double")
-    rows = rows.groupBy("history").agg(*[F.sum(c).alias(c) for c in names[1:]]).collect()
-    n, weight = np.zeros(size), np.ones(size)
-    for r in rows:
-        n[r["history"]] = r["n"]
-        left, unseen = 1 - r["kept"] / r["n"], 1 - r["share"]
-        # A history that every symbol has followed has nowhere to back off to; there no share is left
-        # unseen but what rounding leaves, and discounts are undone by scaling (see `pair_logs`).
-        weight[r["history"]] = left / unseen if unseen > 1e-12 else -1.0 / (r["kept"] / r["n"])
-    return n, weight
-
-
-def pair_logs(mixed: np.ndarray, counts: np.ndarray, n: np.ndarray, weight: np.ndarray, factors: list[float]) -> np.ndarray:
-    """log10 P(symbol | history) of seen pairs."""
-    history, _ = _unmixed(mixed)
-    scale = np.where(weight < 0, -weight, 1.0)
-    return np.log10(_discount(counts, factors) * scale[history] / n[history])
-
-
-def train(frame: DataFrame, text: str) -> tuple[Model, DataFrame, DataFrame]:
-    """The model's bounded part, the (word, n) table and the pair table, of all texts of the frame."""
-    words = cut(count_words(frame, text))
-    texts_ = frame.count()
-    in_words, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = words.orderBy(F.desc("n"), "word").limit(WORDS).collect()
-    counts = np.zeros(FIRST_WORD + len(top), np.int64)
-    counts[END] = texts_
-    counts[FIRST_WORD:] = [r["n"] for r in top]
-    rare_total = in_words - int(counts[FIRST_WORD:].sum())
-    counts[RARE] = rare_total
-    last = (top[-1]["n"], top[-1]["word"]) if len(top) == WORDS else None
-    few = rare_words(words, last).where(F.col("n") <= K_MAX + 1).groupBy("n").agg(F.count("*").alias("k"))
-    by = {r["n"]: r["k"] for r in few.collect()}
-    factors = discounts([by.get(r, 0) for r in range(1, K_MAX + 2)])
-    kept = rare_total - sum(r * by.get(r, 0) * (1 - factors[r]) for r in range(1, K_MAX + 1))
-    total = in_words + texts_
-    cells = max(1, min(MOST_CELLS, -(-total // CELL_TOKENS)))
-    parts = max(1, -(-total // (cells * CELL_TOKENS)))
-    model = Model(
-        [r["word"] for r in top], counts, total, distinct + (texts_ > 0), rare_total, factors,
-        1 - kept / (rare_total + 1), last, cells, parts,
-    )
-    book = {w: FIRST_WORD + i for i, w in enumerate(model.words)}
-    return model, words, cut(count_pairs(frame, text, book, cells, parts))
+            for row in batch.to_pylist():
+                pairs, n = _pairs_of(row), _unplanes(row["counts"], "<i8")
+                size = len(pairs.histories)
+                share = np.zeros(len(pairs.words), np.int64)
+                np.add.at(share, pairs.word, n)
+                share += pairs.words == RARE
+                # whole numbers: how often it was seen, the seen words' counts, and its pairs seen 1 .. K_MAX times
+                sums = np.zeros((size, width), np.int64)
+                np.add.at(sums[:, 0], pairs.history, n)
+                np.add.at(sums[:, 1], pairs.history, share[pairs.word])
+                few = n <= K_MAX
+                sums[:, 2:] = np.bincount(pairs.history[few] * np.int64(K_MAX) + n[few] - 1, minlength=size * K_MAX).reshape(size, K_MAX)
+                rows = [{"cell": c, "keys": _packed(pairs.histories[a:b]), "sums": _planes(sums[a:b].ravel(), "<i8")} for c, a, b in _by_cell(pairs.histories, edges)]
+                yield pa.RecordBatch.from_pylist(rows, schema=sent)
+
+    def weigh(table: pa.Table) -> pa.Table:
+        found = [_unpacked(k.as_py()) for k in table.column("keys")]
+        keys = np.unique(np.concatenate(found))
+        sums = np.zeros((len(keys), width), np.int64)
+        for k, x in zip(found, table.column("sums"), strict=True):
+            sums[np.searchsorted(keys, k)] += _unplanes(x.as_py(), "<i8").reshape(-1, width)
+        n, unseen = sums[:, 0], model.total + 1 - sums[:, 1]
+        left = sums[:, 2:] @ (np.arange(1, K_MAX + 1) * (1 - np.array(model.factors[1:])))
+        none = (left <= 0) & (unseen > 0)
+        counted, left = n + none, np.where(none, 1.0, left)
+        # A history that every symbol has followed has nowhere to back off to; its discounts are undone by scaling.
+        every = np.log10(n / np.where(unseen > 0, counted, n - left))
+        weight = np.where(unseen > 0, left / counted * (model.total + 1) / np.maximum(unseen, 1), 1)
+        row = {"cell": table.column("cell")[0].as_py(), "keys": _packed(keys), "every": every.tobytes()}
+        row["unseen"] = (np.log10(weight * n) - every).tobytes()
+        return pa.Table.from_pylist([row], schema=kinds)
+
+    return table.mapInArrow(run, sent_sql).groupBy("cell").applyInArrow(weigh, sql)
+
+
+def train(frame: DataFrame, text: str) -> tuple[Model, DataFrame | None, DataFrame]:
+    """The model's bounded part, the (word, n) table if some words have no symbol, and the pair table."""
+    size, texts_ = frame.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)), F.count("*")).first()
+    cells = max(1, min(MOST_CELLS, -(-size // (TOKEN_BYTES * CELL_TOKENS))))
+    book = last = words = None
+    rare_total, rare_discounts, unknown = 0, [1.0], 1.0
+    if WORDS is not None:
+        words = cut(count_words(frame, text))
+        distinct = words.count()
+        if distinct > WORDS:
+            top = words.orderBy(F.desc("n"), "word").limit(WORDS).collect()
+            book = np.sort(word_keys(pa.array([r["word"] for r in top], pa.string())))
+            last = (top[-1]["n"], top[-1]["word"])
+            others = rare_words(words, last)
+            rare_total = others.agg(F.sum("n")).first()[0]
+            few = others.where(F.col("n") <= K_MAX + 1).groupBy("n").agg(F.count("*").alias("k"))
+            by = {r["n"]: r["k"] for r in few.collect()}
+            rare_discounts = discounts([by.get(r, 0) for r in range(1, K_MAX + 2)])
+            kept = rare_total - sum(r * by.get(r, 0) * (1 - rare_discounts[r]) for r in range(1, K_MAX + 1))
+            unknown = 1 - kept / (rare_total + 1)
+    table = cut(count_pairs(frame, text, book, cells, max(1, -(-size // (TOKEN_BYTES * CELL_TOKENS * cells)))))
+    figures = _cell_figures(table)
+    factors = discounts([sum(f[f"n{r}"] for f in figures) for r in range(1, K_MAX + 2)])
+    total = sum(f["tokens"] for f in figures)
+    known = sum(f["distinct"] for f in figures) if book is None else distinct + (texts_ > 0)
+    parts = [max(1, -(-total // (cells * CELL_TOKENS)))] * cells
+    return Model(total, known, cells, parts, factors, book, last, rare_total, rare_discounts, unknown), words, table
 
 
 def rare_words(words: DataFrame, last: tuple[int, str] | None) -> DataFrame:
@@ -290,125 +364,169 @@ def rare_words(words: DataFrame, last: tuple[int, str] | None) -> DataFrame:
 
 
 _KEYS = ["id", "mark"]
-_SENT = "piece bigint, part bigint, cell bigint, ids binary, marks binary, pairs binary, owners binary"
 _SUMS = ["copies", "n_tokens", "n_known", "base_score", "score"]
+_TEXTS = {"ids": "binary", "marks": "binary", "sizes": "binary"}
+_SENT = {"piece": "bigint", "cell": "bigint", "part": "bigint", **_TEXTS, **_PACKED, "counts": "binary", "owners": "binary"}
+#: Sums of texts (owners), and unseen pairs' histories with texts and counts.
+_FOUND = {"piece": "bigint", "cell": "bigint", **_TEXTS, "owners": "binary", "sums": "binary", "keys": "binary", "history": "binary", "texts": "binary", "counts": "binary"}
 
 
-def _local_sums(frame: DataFrame, model: Model) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """From (id, mark, text): sums over the tokens with symbols of their own, pairs for the cells, rare words."""
-    book = {w: FIRST_WORD + i for i, w in enumerate(model.words)}
-    base = np.log10((model.counts + 1) / (model.total + model.distinct + 1))
-    spread = frame.sparkSession.sparkContext.broadcast((book, base, model.counts > 0))
+def _sent(frame: DataFrame, model: Model) -> DataFrame:
+    """From (id, mark, text): (pair, text, count) for the cells, by piece of the corpus."""
+    spread = frame.sparkSession.sparkContext.broadcast(model.book)
     edges, parts = _cell_edges(model.cells), model.parts
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                found, at, sizes = _token_codes(piece, "text")
-                _, symbols, owner = _pairs(_symbols(found, at, spread.value[0]), sizes)
-                known = symbols != RARE
-                sums = [
-                    np.bincount(owner[known], x[symbols[known]], len(sizes)) for x in (spread.value[2].astype(float), spread.value[1])
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(k) for k in _KEYS), pa.array(sizes + 1), pa.array(sums[0].astype(np.int64)), pa.array(sums[1])],
-                    names=[*_KEYS, *_SUMS[1:4]],
-                )
+    kinds, sql = _schema(_SENT)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
             # at most 2 ** 16 texts at a time, whose numbers fit two bytes
             for piece in pieces(batch, "text", PIECE):
                 for a in range(0, piece.num_rows, 1 << 16):
-                    yield sent(piece.slice(a, 1 << 16))
-
-    def sent(piece: pa.RecordBatch) -> pa.RecordBatch:
-        found, at, sizes = _token_codes(piece, "text")
-        mixed, _, owner = _pairs(_symbols(found, at, spread.value[0]), sizes)
-        order = np.argsort(mixed, kind="stable")
-        mixed, owner = mixed[order], owner[order]
-        ids = pc.fill_null(piece.column("id"), 0).to_numpy()
-        marks = piece.column("mark").to_numpy()
-        ends = [0, *np.searchsorted(mixed, edges), len(mixed)]
+                    yield sent(piece.slice(a, 1 << 16), number)
+                    number += 1
+
+    def sent(piece: pa.RecordBatch, number: int) -> pa.RecordBatch:
+        ranked, codes, owner, sizes = _tokens(piece, "text", spread.value)
+        codes, which = np.unique(codes, return_inverse=True)
+        entries, n = np.unique(which * np.int64(len(sizes)) + owner, return_counts=True)
+        codes, owner = codes[entries // len(sizes)], entries % len(sizes)
+        # the first row brings the texts themselves; every text has an end, in the first cell
+        texts = {k: np.ascontiguousarray(x, np.int64).tobytes() for k, x in zip(_TEXTS, (*(piece.column(k).to_numpy() for k in _KEYS), sizes + 1), strict=True)}
         rows = []
-        # where the sums of a piece's texts come together again; they carry their own keys
-        own = int(ids[0] ^ marks[0]) if len(ids) else 0
-        for c, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
-            if b > a:
-                met, local = np.unique(owner[a:b], return_inverse=True)
-                rows.append((own, int(marks[met[0]]) % parts, c, ids[met].tobytes(), marks[met].tobytes(), _packed(mixed[a:b]), local.astype(np.uint16).tobytes()))
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
-        kinds = [*[pa.int64()] * 3, *[pa.binary()] * 4]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["piece", "part", "cell", "ids", "marks", "pairs", "owners"]
-        )
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c, a, b in _by_cell(ranked[codes >> _HALF], edges):
+            row = {"piece": number, "cell": c, "part": (number ^ number >> 32) % parts[c], **_packed_pairs(ranked, codes[a:b])}
+            rows.append(row | {"counts": _planes(n[a:b], "<u4"), "owners": _planes(owner[a:b], "<u2")} | (texts if not rows else {}))
+        return pa.RecordBatch.from_pylist(rows, schema=kinds)
+
+    return frame.mapInArrow(send, sql)
+
+
+def _rare(frame: DataFrame, model: Model) -> DataFrame:
+    """(id, mark, word, times) of the words without a symbol."""
+    spread = frame.sparkSession.sparkContext.broadcast(model.book)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
                 found, at, sizes = _token_codes(piece, "text")
-                codes = _symbols(found, at, spread.value[0])
-                owner = np.repeat(np.arange(len(sizes)), sizes)[codes == RARE]
-                which, n = np.unique(owner * (len(found) + 1) + at[codes == RARE], return_counts=True)
+                rare = ~np.isin(word_keys(found), spread.value)[at] if len(found) else np.zeros(0, bool)
+                owner = np.repeat(np.arange(len(sizes)), sizes)[rare]
+                which, n = np.unique(owner * (len(found) + 1) + at[rare], return_counts=True)
                 rows = pa.array(which // (len(found) + 1))
                 yield pa.RecordBatch.from_arrays(
                     [*(piece.column(k).take(rows) for k in _KEYS), found.take(pa.array(which % (len(found) + 1))), pa.array(n)],
                     names=[*_KEYS, "word", "times"],
                 )
 
-    return (
-        frame.mapInArrow(own, "id bigint, mark bigint, n_tokens bigint, n_known bigint, base_score double"),
-        frame.mapInArrow(send, _SENT),
-        frame.mapInArrow(rare, "id bigint, mark bigint, word string, times bigint"),
-    )
+    return frame.mapInArrow(run, "id bigint, mark bigint, word string, times bigint")
 
 
-def _cell_sums(sent: DataFrame, table: DataFrame, model: Model, factors: list[float]) -> DataFrame:
-    """(id, mark, score): sums of log10 P(symbol | history) by text and piece.
+def _text_sums(sent: DataFrame, table: DataFrame, model: Model) -> DataFrame:
+    """(id, mark, n_tokens, n_known, base_score, score) of every text.
 
-    A cell returns one row for each piece that sent to it, and the sums meet by piece: the number of
-    rows does not grow with texts times cells.
+    A cell returns one row for each piece that sent to it; a piece's rows meet, and its unseen pairs go on to the
+    cells of their histories: the number of rows does not grow with texts times cells.
     """
-    n, weight = histories(table, model, factors)
-    with np.errstate(divide="ignore"):
-        back, shares = np.log10(np.maximum(weight, 0)), np.log10(symbol_shares(model))
-    spread = table.sparkSession.sparkContext.broadcast((n, weight, back, shares))
+    weights = cut(histories(table, model))
+    edges = _cell_edges(model.cells)
+    kinds, sql = _schema(_FOUND)
+    whole = math.log10(model.total + 1)
 
     def score(texts: pa.Table, cell: pa.Table) -> pa.Table:
-        n, weight, back, shares = spread.value
-        if cell.num_rows:
-            known = _unpacked(cell.column("pairs")[0].as_py())
-            logs = pair_logs(known, np.frombuffer(cell.column("counts")[0].as_py(), np.int64), n, weight, factors)
-        else:
-            known, logs = np.zeros(1, np.uint32), np.zeros(1)
+        rows = cell.to_pylist()
+        pairs, n = Pairs(*[np.zeros(0, np.uint64)] * 4), np.zeros(0, np.int64)
+        keys, every = np.zeros(0, np.uint64), np.zeros(0)
+        for row in rows:
+            if row["words"] is not None:
+                pairs, n = _pairs_of(row), _unplanes(row["counts"], "<i8")
+            else:
+                keys, every = _unpacked(row["keys"]), np.frombuffer(row["every"])
+        codes, logs = pairs.codes(), np.log10(np.maximum(_discount(n, model.factors), 1e-300))
+        times = np.zeros(len(pairs.words), np.int64)
+        np.add.at(times, pairs.word.astype(np.int64), n)
+        out = []
+        for i in range(texts.num_rows):
+            row = texts.slice(i, 1).to_pylist()[0]
+            own, many = _pairs_of(row), _unplanes(row["counts"], "<u4").astype(np.int64)
+            owner = _unplanes(row["owners"], "<u2")
+            at, there = _places(pairs.words, own.words)
+            count = np.where(there, times[at] if len(times) else 0, 0)
+            # as a history, a word was seen as often as itself; the start as often as the end
+            place, scaled = _places(keys, np.where(own.words == END, np.uint64(START), own.words))
+            scale = np.where(scaled, every[place] if len(every) else 0, 0) - np.log10(np.maximum(count, 1))
+            plain = np.log10(np.maximum(count, 1) + ((own.words == RARE) & (count > 0))) - whole
+            before, met = _places(pairs.histories, own.histories)
+            wanted = at.astype(np.uint64)[own.word] << _HALF | before.astype(np.uint64)[own.history]
+            found, seen = _places(codes, wanted)
+            seen &= there[own.word] & met[own.history]
+            values = scale[own.word] + np.where(seen, logs[found] if len(logs) else 0, plain[own.word])
+            symbol = (own.words != RARE)[own.word]
+            last = int(owner.max()) + 1
+            sums = [np.bincount(owner, many * x, last) for x in (symbol * (count > 0)[own.word], symbol * np.log10(count + 1)[own.word], values)]
+            local = np.unique(owner)
+            answer = {"piece": row["piece"], **{k: row[k] for k in _TEXTS}, "owners": _planes(local, "<u2"), "sums": np.stack(sums)[:, local].tobytes()}
+            if not seen.all():
+                left, history = np.unique(own.history[~seen], return_inverse=True)
+                answer |= {"keys": _packed(own.histories[left]), "history": _planes(history, "<u4")}
+                answer |= {"texts": _planes(owner[~seen], "<u2"), "counts": _planes(many[~seen], "<u4")}
+            out.append(answer)
+        return pa.Table.from_pylist(out, schema=kinds)
+
+    def by_piece(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: (r["ids"] is None, r["owners"], r["sums"]))
+        texts = {k: rows[0][k] for k in _TEXTS}
+        sums = np.zeros((3, len(texts["ids"]) // 8))
+        for row in rows:
+            local = _unplanes(row["owners"], "<u2")
+            sums[:, local] += np.frombuffer(row["sums"]).reshape(3, -1)
+        out = [{"piece": rows[0]["piece"], **texts, "sums": sums.tobytes()}]
+        unseen = [r for r in rows if r["keys"] is not None]
+        if unseen:
+            found = [_unpacked(r["keys"]) for r in unseen]
+            keys = np.unique(np.concatenate(found))
+            history = np.concatenate([np.searchsorted(keys, k)[_unplanes(r["history"], "<u4")] for k, r in zip(found, unseen, strict=True)])
+            owner = np.concatenate([_unplanes(r["texts"], "<u2") for r in unseen]).astype(np.int64)
+            many = np.concatenate([_unplanes(r["counts"], "<u4") for r in unseen])
+            order = np.lexsort((owner, history))
+            history, owner, many = history[order], owner[order], many[order]
+            for c, a, b in _by_cell(keys, edges):
+                part = slice(*np.searchsorted(history, [a, b]))
+                out.append({"piece": rows[0]["piece"], "cell": c, "keys": _packed(keys[a:b]), "history": _planes(history[part] - a, "<u4"), "texts": _planes(owner[part], "<u2"), "counts": _planes(many[part], "<u4")})
+        return pa.Table.from_pylist(out, schema=kinds)
+
+    def back_off(asked: pa.Table, cell: pa.Table) -> pa.Table:
+        keys, unseen = np.zeros(0, np.uint64), np.zeros(0)
+        for row in cell.to_pylist():
+            keys, unseen = _unpacked(row["keys"]), np.frombuffer(row["unseen"])
         out = []
-        for piece, number, ids, marks, pairs, owners in zip(*(texts.column(c) for c in columns), strict=True):
-            mixed, owner = _unpacked(pairs.as_py()), np.frombuffer(owners.as_py(), np.uint16)
-            at = np.minimum(np.searchsorted(known, mixed), len(known) - 1)
-            seen = (known[at] == mixed) & (cell.num_rows > 0)
-            history, symbol = _unmixed(mixed)
-            values = np.where(seen, logs[at], back[history] + shares[symbol])
-            sums = np.bincount(owner, values, len(marks.as_py()) // 8)
-            out.append((piece.as_py(), number.as_py(), ids.as_py(), marks.as_py(), sums.tobytes()))
-        return pa.table({k: [r[i] for r in out] for i, k in enumerate(kinds.names)}, kinds)
+        for row in asked.to_pylist():
+            at, there = _places(keys, _unpacked(row["keys"]))
+            values = np.where(there, unseen[at] if len(unseen) else 0, 0)[_unplanes(row["history"], "<u4")]
+            owner = _unplanes(row["texts"], "<u2")
+            local = np.unique(owner)
+            sums = np.bincount(owner, values * _unplanes(row["counts"], "<u4"))[local]
+            out.append({"piece": row["piece"], "owners": _planes(local, "<u2"), "sums": sums.tobytes()})
+        return pa.Table.from_pylist(out, schema=kinds)
 
     def by_text(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("cell", "ids", "marks", "sums")), strict=True))
-        ids, marks = (np.concatenate([np.frombuffer(r[i], np.int64) for r in rows]) for i in (1, 2))
-        sums = np.concatenate([np.frombuffer(r[3], np.float64) for r in rows])
-        order = np.lexsort((marks, ids))
-        ids, marks, sums = ids[order], marks[order], sums[order]
-        starts = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])))
-        return pa.table({"id": ids[starts], "mark": marks[starts], "score": np.add.reduceat(sums, starts)})
-
-    columns = ["piece", "cell", "ids", "marks", "pairs", "owners"]
-    kinds = pa.schema(
-        [("piece", pa.int64()), ("cell", pa.int64()), ("ids", pa.binary()), ("marks", pa.binary()), ("sums", pa.binary())]
-    )
-    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(model.parts - 1).cast("bigint")))
-    both = sent.groupBy("cell", "part").cogroup(table.withColumn("part", parts).groupBy("cell", "part"))
-    found = both.applyInArrow(score, "piece bigint, cell bigint, ids binary, marks binary, sums binary")
-    return found.groupBy("piece").applyInArrow(by_text, "id bigint, mark bigint, score double")
+        rows = sorted(table.to_pylist(), key=lambda r: (r["ids"] is None, r["owners"] or b"", r["sums"]))
+        ids, marks, sizes = (np.frombuffer(rows[0][k], np.int64) for k in _TEXTS)
+        known, base, score = np.frombuffer(rows[0]["sums"]).reshape(3, -1).copy()
+        for row in rows[1:]:
+            score[_unplanes(row["owners"], "<u2")] += np.frombuffer(row["sums"])
+        base -= sizes * math.log10(model.total + model.distinct + 1)
+        return pa.table({"id": ids, "mark": marks, "n_tokens": sizes, "n_known": np.rint(known).astype(np.int64), "base_score": base, "score": score})
+
+    parts = F.array(*[F.lit(p).cast("bigint") for p in model.parts])
+    tables = table.unionByName(weights.drop("unseen"), allowMissingColumns=True)
+    last = F.get(parts, F.col("cell").cast("int")) - 1
+    tables = tables.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    found = sent.groupBy("cell", "part").cogroup(tables.groupBy("cell", "part")).applyInArrow(score, sql)
+    found = cut(found.groupBy("piece").applyInArrow(by_piece, sql))
+    asked = found.where("cell is not null").groupBy("cell").cogroup(weights.groupBy("cell")).applyInArrow(back_off, sql)
+    both = found.where("cell is null").unionByName(asked).groupBy("piece")
+    return both.applyInArrow(by_text, "id bigint, mark bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def held_out(id: Column) -> Column:
@@ -420,13 +538,26 @@ def score(frame: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     rows = frame.select(F.col(id).cast("bigint").alias("own"), F.col(text).alias("text"))
     model, words, table = train(rows.where(~held_out(F.col("own"))), "text")
-    factors = discounts(_count_counts(table))
     # A text is known by its id and a mark, a hash whose last bit says that the id is null.
     mark = F.xxhash64("text").bitwiseAND(F.lit(-2)).bitwiseOR(F.col("own").isNull().cast("bigint"))
     marked = rows.select(F.coalesce("own", F.lit(0)).alias("id"), mark.alias("mark"), "text")
-    own, sent, rare = _local_sums(marked, model)
-    cells = _cell_sums(sent, table, model, factors)
-    missing = math.log10(1 / (model.total + model.distinct + 1))
+    sums = _text_sums(_sent(marked, model), table, model)
+    own_id = F.when(F.col("mark").bitwiseAND(1) == 0, F.col("id"))
+    if model.book is not None:
+        sums = _with_rare(sums, _rare(marked, model), words, model)
+    return sums.select(
+        own_id.alias(id),
+        held_out(own_id).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.total).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
+def _with_rare(sums: DataFrame, rare: DataFrame, words: DataFrame, model: Model) -> DataFrame:
+    """The sums with those over the words without a symbol."""
     by_word = rare.join(rare_words(words, model.last), "word", "left")
     count = F.coalesce(F.col("n"), F.lit(0))
     kept = F.coalesce(F.get(F.array(*[F.lit(d) for d in model.rare_discounts]), count.cast("int")), F.lit(1.0))
@@ -435,7 +566,7 @@ def score(frame: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     by_word = by_word.select(
         *_KEYS,
         F.when(count > 0, F.col("times")).otherwise(0).alias("n_known"),
-        (F.col("times") * F.when(count == 0, missing).otherwise(F.log10((count + 1) / F.lit(model.total + model.distinct + 1.0)))).alias("base_score"),
+        (F.col("times") * F.log10(count + 1)).alias("base_score"),
         (F.col("times") * within).alias("score"),
     )
     whole = lambda part: part.select(
@@ -447,16 +578,7 @@ def score(frame: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
             for c in _SUMS
         ],
     )
-    sums = whole(own).union(whole(cells)).union(whole(by_word)).groupBy(*_KEYS).agg(*[F.sum(c).alias(c) for c in _SUMS])
-    sums = sums.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    both = whole(sums).union(whole(by_word)).groupBy(*_KEYS).agg(*[F.sum(c).alias(c) for c in _SUMS])
+    both = both.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     shared = lambda c: (F.col(c) / F.col("copies")).cast("double" if "score" in c else "bigint").alias(c)
-    own_id = F.when(F.col("mark").bitwiseAND(1) == 0, F.col("id"))
-    return sums.select(
-        own_id.alias(id),
-        held_out(own_id).alias("held_out"),
-        shared("n_tokens"),
-        shared("n_known"),
-        F.lit(model.total).cast("bigint").alias("train_tokens"),
-        shared("base_score"),
-        shared("score"),
-    )
+    return both.select(*_KEYS, *[shared(c) for c in _SUMS[1:]])

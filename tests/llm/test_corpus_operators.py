@@ -233,6 +233,28 @@ def test_katz_equals_brute_force(documents, monkeypatch, words, cell):
     assert sorted(rows, key=str) == plain_katz(docs, words)
 
 
+def test_katz_counts_pairs_of_every_word(documents):
+    """More distinct words than any book of symbols would hold; a pair of two of the rarest is known as such."""
+    docs = [(i, " ".join(f"w{40 * i + k}" for k in range(40))) for i in range(2_000)]  # 80,000 words, seen once
+    docs += [(5_000 + i, "left right") for i in range(4)]
+    aside = next(i for i in range(9_000, 9_100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    held = [j for j in range(aside, aside + 300) if zlib.crc32(str(j).encode()) % 7 == 2][:3]
+    first = next(i for i, _ in docs if zlib.crc32(str(i).encode()) % 7 != 2)
+    a, b = f"w{40 * first + 1}", f"w{40 * first + 2}"
+    docs += [(held[0], f"{a} {b}"), (held[1], f"{b} {a}"), (held[2], "left right")]
+    found = katz.score(documents(docs)).collect()
+    rows = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in found]
+    assert sorted(rows, key=str) == plain_katz(docs, 10**9)
+    score = {r.doc_id: r.score for r in found}
+    assert score[held[0]] > score[held[1]] + 2
+
+
+def test_katz_of_often_seen_pairs_leaves_something_to_others(documents):
+    docs = [(i, "left right") for i in range(100)]
+    found = katz.score(documents([*docs, *[(i, "left unheard right") for i in range(200, 230)]])).collect()
+    assert all(math.isfinite(r.score) for r in found)
+
+
 def test_katz_of_an_empty_table(documents):
     assert katz.score(documents([(1, "a")]).limit(0)).count() == 0
 
