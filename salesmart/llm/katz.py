@@ -348,10 +348,12 @@ def train(frame: DataFrame, text: str) -> tuple[Model, DataFrame | None, DataFra
             unknown = 1 - kept / (rare_total + 1)
     table = cut(count_pairs(frame, text, book, cells, max(1, -(-size // (TOKEN_BYTES * CELL_TOKENS * cells)))))
     figures = _cell_figures(table)
+    parts = [1] * cells
+    for f in figures:
+        parts[f["cell"]] = max(1, -(-f["tokens"] // CELL_TOKENS))
     factors = discounts([sum(f[f"n{r}"] for f in figures) for r in range(1, K_MAX + 2)])
     total = sum(f["tokens"] for f in figures)
     known = sum(f["distinct"] for f in figures) if book is None else distinct + (texts_ > 0)
-    parts = [max(1, -(-total // (cells * CELL_TOKENS)))] * cells
     return Model(total, known, cells, parts, factors, book, last, rare_total, rare_discounts, unknown), words, table
 
 

@@ -255,6 +255,22 @@ def test_katz_of_often_seen_pairs_leaves_something_to_others(documents):
     assert all(math.isfinite(r.score) for r in found)
 
 
+def test_katz_splits_the_cell_of_a_frequent_pair(documents, monkeypatch):
+    monkeypatch.setattr(katz, "CELL_TOKENS", 1_000)
+    monkeypatch.setattr(katz, "PIECE", 500)
+    docs = [(i, "hot " * 50) for i in range(80)] + [(100 + i, " ".join(f"w{20 * i + k}" for k in range(40))) for i in range(80)]
+    docs += [(300 + i, f"hot once{i}") for i in range(3)]
+    frame = documents(docs).withColumn("id", F.col("doc_id")).withColumn("mark", F.col("doc_id")).coalesce(1)
+    model, _, _ = katz.train(frame, "text")
+    busy = max(range(model.cells), key=lambda c: model.parts[c])
+    rows = [r.asDict() for r in katz._sent(frame, model).collect() if r.cell == busy]
+    assert model.cells > 1 and len({r["part"] for r in rows}) > 1
+    counts = [n for r in rows for n in katz._unplanes(r["counts"], "<u4").tolist()]
+    assert counts.count(49) == 80 and sum(counts) < 80 * 50 + 80 * 41 + 160  # one entry for a pair of a text
+    found = {r.doc_id: round(r.score, 6) for r in katz.score(documents(docs)).collect()}
+    assert found == {r[0]: r[-1] for r in plain_katz(docs, 10**9)}
+
+
 def test_katz_of_an_empty_table(documents):
     assert katz.score(documents([(1, "a")]).limit(0)).count() == 0
 
