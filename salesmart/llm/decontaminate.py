@@ -8,13 +8,13 @@
 4. Windows of 2 * HALF words, HALF apart, whose cosine to an item in that space is high enough are
    candidates.
 5. A candidate is a leak if the longest common subsequence of the item and the words around the
-   window covers enough of the item, and that of the item's answer enough of the answer.  Both
-   survive reworded, inserted and dropped words.
+   window covers enough of the item, and, for items with an announced answer or a question, that of
+   the answer enough of the answer.  Both survive reworded, inserted and dropped words.
 
 Items are taken in blocks, so that what tasks hold of the benchmark is bounded.
 
 Cases: null texts and texts without words have no leaks, items without words match nothing; texts
-are read whole; a row is returned once for each document id and item, repeated rows or not; empty
+are read whole; answer_overlap is null for an item without an answer; a row is returned once for each document id and item, repeated rows or not; empty
 tables give an empty one.
 """
 
@@ -55,13 +55,12 @@ NUMBERS = 1 << 23
 _EDGES = string.punctuation + "«»„“”‚‘’¿¡…–—"
 # What announces the answer of an item.
 _ANSWER = re.compile(r"(?:^|\W)(?:answer|antwort|réponse|respuesta|a)\s*:\s*", re.I)
-_SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
 class Items(NamedTuple):
     ids: list[int]
     words: list[np.ndarray]  # term numbers
-    answers: list[np.ndarray]
+    answers: list[np.ndarray]  # empty for items without one
     terms: dict[str, int]
 
 
@@ -71,16 +70,13 @@ def word_list(text: str) -> list[str]:
 
 
 def answer_of(text: str) -> str:
-    """What follows an announced answer or the last question mark, else the last sentence of three words or more."""
+    """What follows an announced answer or the last question mark; empty for a plain passage, which has none."""
     if parts := list(_ANSWER.finditer(text)):
         tail = text[parts[-1].end() :]
         if word_list(tail):
             return tail
-    head, mark, tail = text.rpartition("?")
-    if mark and word_list(tail):
-        return tail
-    sentences = [s for s in _SENTENCE.split(text.strip()) if len(word_list(s)) >= 3]
-    return sentences[-1] if sentences else text
+    _, mark, tail = text.rpartition("?")
+    return tail if mark and word_list(tail) else ""
 
 
 def items_of(rows: list[tuple[int, str]]) -> Items:
@@ -349,11 +345,11 @@ def search(
                     sound = np.flatnonzero(share >= overlap)
                     if len(sound):
                         said = common_lengths([answers[s] for s in sound], [regions[s] for s in sound], terms)
-                        said = said / [len(answers[s]) for s in sound]
                         for s, q in zip(sound, said, strict=True):
-                            if q >= answer:
+                            part_said = float(q) / len(answers[s]) if len(answers[s]) else None
+                            if part_said is None or part_said >= answer:
                                 x = p + s
-                                found.append((int(document[x]), known.ids[k[x]], float(cosine[w[x], k[x]]), float(share[s]), float(q)))
+                                found.append((int(document[x]), known.ids[k[x]], float(cosine[w[x], k[x]]), float(share[s]), part_said))
             if found:
                 columns = list(zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays(

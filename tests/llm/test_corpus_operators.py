@@ -329,6 +329,21 @@ def test_leaks_are_found_and_others_left_alone(spark, documents, tables):
     assert decontaminate.leaks(documents(clean[:3]), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_leaks_without_the_last_sentence(spark, documents):
+    """A plain passage has no answer to look for; a question's answer still decides."""
+    draw = random.Random(9)
+    words = ["".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(3_000)]
+    sentence = lambda n: " ".join(draw.choices(words, k=n)).capitalize() + "."
+    plain = [(i, f"{sentence(14)} {sentence(12)} {sentence(8)}") for i in range(20)]
+    asked = [(100 + i, f"{sentence(20)[:-1]}? {sentence(8)}") for i in range(20)]
+    docs = [(i, f"{sentence(40)} {text.rpartition('. ')[0]}. {sentence(40)}") for i, text in plain]
+    docs += [(100 + i, f"{sentence(40)} {text.partition('? ')[0]}? {sentence(40)}") for i, text in asked]
+    docs += [(500 + i, sentence(90)) for i in range(40)]
+    found = decontaminate.leaks(documents(docs), spark.createDataFrame([*plain, *asked], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, i) for i, _ in plain}
+    assert all(r.answer_overlap is None and r.overlap >= 0.7 for r in found)
+
+
 def test_common_subsequences():
     import numpy as np
 
