@@ -3,12 +3,17 @@
 One view is the text's content: hashed letter and sign trigrams.  The other is what is known about
 the page without reading it: source, declared language, size, and the shape of the text (lines,
 kinds of characters, repeated words).  Each view has a logistic classifier, fitted on labelled rows.
-In every round each classifier hands its most confident guesses on unlabelled rows to the other one
-as labels.  On labelled rows kept aside, the views' log odds are then calibrated and combined, by a
-logistic fit on both; with these weights all documents are scored.
+In every round all other rows are scored by both, and every guess of CONFIDENT certainty is a label for
+the other view, which is fitted anew to these and the labelled rows.  On labelled rows kept aside, the
+views' log odds are then calibrated and combined, by a logistic fit on both; with these weights all
+documents are scored.
 
-The samples that the fit sees are bounded by parameters: LABELLED rows with labels and POOL without,
-taken by a hash of the id, texts of up to SAMPLE_BYTES.  Scoring reads all documents whole.
+What a round learns from the guesses is a sum over all rows, the slope of their log loss at the weights
+before.  The fit takes the curvature from the labelled rows and corrects their slope by the difference
+to that of all rows (surrogate likelihood), so one pass a round reads every row and holds none.
+
+The driver holds only the features of LABELLED rows with labels, taken by a hash of the id, of whatever
+size their texts are; features are computed in tasks.  Other labelled rows count as rows without a label.
 
 Cases: null is the empty text; null source, language and id are values like others; labels other
 than 0 and 1 and rows without a document are left out of the fit; without labels of both kinds every
@@ -23,20 +28,22 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import pieces, schema_with, texts, with_columns
 
 LABELLED = 3000
-POOL = 3000
-SAMPLE_BYTES = 1 << 14
 #: Texts whose features are computed at a time.
 PART = 128
 ROUNDS = 3
-#: Guesses of either kind that a view hands over in a round, and the least confidence for that.
-HANDED = 60
+#: The least confidence of a guess that a view hands over.
 CONFIDENT = 0.95
+#: What holds the weights of a round to those before, where the labelled rows have little curvature.
+NEAR = 0.05
+#: Partial sums of tasks that one task adds up.
+FAN = 32
 CONTENT_BITS = 11
 CONTENT = 1 << CONTENT_BITS
 #: Hashed values of source and language, and steps of each number of the metadata view.
@@ -134,78 +141,122 @@ def _chance(odds: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, decay: float = 1e-3, rounds: int = 80, rate: float = 0.5) -> np.ndarray:
-    """Weights of least regularised log loss, by gradient steps of their own size for each weight."""
+def _slope(x: np.ndarray, y: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The slope of the summed log loss."""
+    miss = _chance(_odds(x, weights)) - y
+    return np.append(miss.astype(x.dtype) @ x, miss.sum()).astype(np.float64)
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, decay: float = 1e-3, rounds: int = 80, rate: float = 0.5, tilt: np.ndarray | float = 0.0, near: np.ndarray | None = None) -> np.ndarray:
+    """Weights of least regularised log loss, by gradient steps of their own size for each weight.
+
+    The tilt is added to the slope, and NEAR times the distance from the weights to stay near.
+    """
     weights, seen = np.zeros(x.shape[1] + 1), np.full(x.shape[1] + 1, 1e-8)
     for _ in range(rounds):
-        miss = (_chance(_odds(x, weights)) - y) / len(y)
-        slope = np.append(miss.astype(x.dtype) @ x, miss.sum()) + decay * np.append(weights[:-1], 0) / len(y)
+        slope = (_slope(x, y, weights) + decay * np.append(weights[:-1], 0)) / len(y) + tilt
+        if near is not None:
+            slope += NEAR * (weights - near)
         seen += slope**2
         weights -= rate * slope / np.sqrt(seen)
     return weights
 
 
-def co_train(views: list[np.ndarray], labels: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS) -> list[np.ndarray]:
-    """The weights of both views after they have taught each other with the pool."""
-    taught = [(np.zeros(0, int), np.zeros(0)) for _ in views]  # rows of the pool and their guessed labels
+def _features(batch: pa.RecordBatch) -> list[np.ndarray]:
+    t = texts(batch, "t")
+    return [content_features(t), metadata_features(t, batch.column("s").to_pylist(), batch.column("l").to_pylist())]
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for piece in pieces(batch, "t"):
+            for a in range(0, piece.num_rows, PART):
+                yield piece.slice(a, PART)
+
+
+def guessed_slopes(rows: DataFrame, chosen: set, weights: list[np.ndarray]) -> list[tuple[np.ndarray, int]]:
+    """For each view the slope of the log loss over all rows that the other view is sure of, and their number.
+
+    Rows with a chosen key are left out.
+    """
+    spread = rows.sparkSession.sparkContext.broadcast((chosen, weights))
+    kinds = pa.schema([("part", pa.int64()), ("payload", pa.binary())])
+    ends = np.cumsum([len(w) + 1 for w in weights])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen, weights = spread.value
+        total = np.zeros(ends[-1])
+        for part in _parts(batches):
+            free = np.array([k not in chosen for k in part.column("key").to_pylist()])
+            views = _features(part)
+            odds = [_odds(x, w) for x, w in zip(views, weights, strict=True)]
+            for pupil, teacher in ((0, 1), (1, 0)):
+                chance = _chance(odds[teacher])
+                sure = free & (np.maximum(chance, 1 - chance) >= CONFIDENT)
+                slope = _slope(views[pupil][sure], (chance[sure] > 0.5).astype(float), weights[pupil])
+                total[ends[pupil] - len(slope) - 1 : ends[pupil]] += np.append(slope, sure.sum())
+        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "payload": [total.tobytes()]}, schema=kinds)
+
+    def add(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("part").to_numpy())  # the same order, the same sum
+        total = sum(np.frombuffer(table.column("payload")[int(i)].as_py()) for i in order)
+        return pa.Table.from_pydict({"part": [int(table.column("part").to_numpy().min())], "payload": [total.tobytes()]}, schema=kinds)
+
+    sums = rows.mapInArrow(run, "part bigint, payload binary")
+    sums = sums.groupBy(F.pmod("part", F.lit(FAN)).alias("of")).applyInArrow(add, "part bigint, payload binary")
+    found = sorted(sums.collect(), key=lambda r: r["part"])
+    total = sum((np.frombuffer(r["payload"]) for r in found), np.zeros(ends[-1]))
+    return [(v[:-1], int(v[-1])) for v in np.split(total, ends[:-1])]
+
+
+def co_train(views: list[np.ndarray], labels: np.ndarray, rows: DataFrame, chosen: set, rounds: int = ROUNDS) -> list[np.ndarray]:
+    """The weights of both views after they have taught each other with all rows that are not chosen."""
     weights = [fit_logistic(x, labels) for x in views]
-    for _ in range(rounds if len(pool[0]) else 0):
-        for teacher, pupil in ((0, 1), (1, 0)):
-            chance = _chance(_odds(pool[teacher], weights[teacher]))
-            rows, guesses = taught[pupil]
-            free = np.ones(len(chance), bool)
-            free[rows] = False
-            for label, sure in ((1, chance), (0, 1 - chance)):
-                best = np.argsort(-sure, kind="stable")
-                best = best[free[best] & (sure[best] >= CONFIDENT)][:HANDED]
-                rows, guesses = np.append(rows, best), np.append(guesses, np.full(len(best), label))
-            taught[pupil] = rows, guesses
-        weights = [
-            fit_logistic(np.concatenate([x, p[r]]), np.append(labels, g))
-            for x, p, (r, g) in zip(views, pool, taught, strict=True)
-        ]
+    for _ in range(rounds):
+        taught = guessed_slopes(rows, chosen, weights)
+        fitted = []
+        for x, w, (slope, n) in zip(views, weights, taught, strict=True):
+            own = _slope(x, labels, w)
+            fitted.append(fit_logistic(x, labels, tilt=(own + slope) / (len(labels) + n) - own / len(labels), near=w))
+        weights = fitted
     return weights
 
 
-def fit(sample: list[tuple[str, str | None, str | None, int | None]], aside: float = 0.25) -> Views:
-    """The classifiers, from (text, source, lang, label); rows without a label are the pool."""
-    labels = [r[3] for r in sample if r[3] is not None]
-    if len(set(labels)) < 2:
-        return Views(np.zeros(0), np.zeros(0), np.zeros(0), np.zeros(0), float(np.mean(labels)) if labels else 1.0)
-    # in parts, so that only the features of the whole sample are held at once
-    parts = [sample[a : a + PART] for a in range(0, len(sample), PART)]
-    both = [
-        np.concatenate([content_features([r[0] or "" for r in p]) for p in parts]),
-        np.concatenate([metadata_features([r[0] or "" for r in p], [r[1] for r in p], [r[2] for r in p]) for p in parts]),
-    ]
-    known = np.array([r[3] is not None for r in sample])
-    held = known & (np.cumsum(known) % round(1 / aside) == 0)
-    y = np.array([r[3] or 0 for r in sample], float)
-    if len(set(y[known & ~held])) < 2:
+def learn(documents: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", label: str = "quality", aside: float = 0.25) -> Views:
+    """Fit on a bounded sample of the labelled documents and on all others."""
+    rows = documents.select(F.col(id).alias("key"), F.col(text).alias("t"), F.col(source).cast("string").alias("s"), F.col(lang).cast("string").alias("l"))
+    place = F.xxhash64("key", F.lit("sample"))
+    known = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(id).alias("key")).agg(F.max(label).alias("y"))
+    # The least hashes of the labelled ids that have documents; their features come by a join with few rows.
+    known = known.join(rows.select("key").distinct(), "key", "left_semi")
+    wanted = known.orderBy(place, "key").limit(LABELLED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            views = [pa.array([row.tobytes() for row in x], pa.binary()) for x in _features(part)]
+            yield pa.RecordBatch.from_arrays([part.column("key"), part.column("y"), *views], names=["key", "y", "content", "metadata"])
+
+    sample = rows.join(F.broadcast(wanted), "key").select("key", F.col("y").cast("bigint").alias("y"), "t", "s", "l")
+    sample = sample.mapInArrow(run, schema_with(sample, ["key", "y"], {"content": "binary", "metadata": "binary"}))
+    found = sample.orderBy(place, "key", "content", "metadata").limit(2 * LABELLED).collect()
+    y = np.array([r["y"] for r in found], float)
+    if len(set(y)) < 2:
+        return Views(np.zeros(0), np.zeros(0), np.zeros(0), np.zeros(0), float(np.mean(y)) if len(y) else 1.0)
+    both = [np.stack([np.frombuffer(r[c], np.float32) for r in found]) for c in ("content", "metadata")]
+    chosen = {r["key"] for r in found}
+    del found
+    held = np.arange(1, len(y) + 1) % round(1 / aside) == 0
+    if len(set(y[~held])) < 2:
         held[:] = False
-    fitting = known & ~held
+    fitting = ~held
     held = held if held.any() else fitting
-    weights = co_train([x[fitting] for x in both], y[fitting], [x[~known] for x in both])
+    weights = co_train([x[fitting] for x in both], y[fitting], rows, chosen)
     odds = np.stack([_odds(x[held], w) for x, w in zip(both, weights, strict=True)], axis=1)
     calibration = np.stack([fit_logistic(odds[:, i : i + 1], y[held], 0.1, 400) for i in range(2)])
     stack = fit_logistic(odds, y[held], 0.1, 400)
     return Views(weights[0], weights[1], stack, calibration, None)
 
 
-def learn(documents: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", label: str = "quality") -> Views:
-    """Fit on bounded samples of the labelled and of the other documents."""
-    rows = documents.select(F.col(id).alias("key"), F.col(text).alias("t"), F.col(source).cast("string").alias("s"), F.col(lang).cast("string").alias("l"))
-    rows = rows.where(F.coalesce(F.octet_length("t"), F.lit(0)) <= SAMPLE_BYTES)
-    place = F.xxhash64("key", F.lit("sample"))
-    known = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(id).alias("key")).agg(F.max(label).alias("y"))
-    # The least hashes of the labelled ids; their texts, and those of the pool, come by a join with few rows.
-    chosen = known.orderBy(place, "key").limit(LABELLED)
-    others = rows.select("key").join(known, "key", "left_anti").orderBy(place, "key").limit(POOL)
-    wanted = chosen.select("key", "y").union(others.select("key", F.lit(None).cast("int")))
-    found = rows.join(F.broadcast(wanted), "key").orderBy(place, "key").limit(2 * (LABELLED + POOL)).collect()
-    return fit([(r["t"], r["s"], r["l"], r["y"]) for r in found])
-
-
 def score(documents: DataFrame, views: Views, text: str = "text", source: str = "source", lang: str = "lang", keep_text: bool = True) -> DataFrame:
     """The documents with the calibrated score of each view, the combined score, and keep."""
     kept = [c for c in documents.columns if c not in RESULT and (keep_text or c != text)]

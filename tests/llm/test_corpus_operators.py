@@ -292,6 +292,23 @@ def test_co_training_on_held_out_labels(spark):
     assert sum(found[i].keep for i in good) >= 0.98 * len(good)
 
 
+def test_co_training_reads_long_labelled_texts_and_all_other_rows(spark, monkeypatch):
+    draw = random.Random(4)
+    text = lambda good, n: " ".join(draw.choices(["river", "stone", "meadow", "lamp"] if good else ["$$$", "WIN!!", "zzzz", "777"], k=n))
+    labelled = [(i, text(i % 2, 4_000), f"s{i % 2}", "en") for i in range(40)]  # all longer than 16 KB
+    others = [(100 + i, text(i % 2, 20), f"s{i % 2}", "en") for i in range(7_000)]
+    frame = spark.createDataFrame([*labelled, *others], "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(r[0], r[0] % 2) for r in labelled], "doc_id long, quality int")
+    taught = []
+    slopes = cotrain.guessed_slopes
+    monkeypatch.setattr(cotrain, "guessed_slopes", lambda *a: taught.append(slopes(*a)) or taught[-1])
+    views = cotrain.learn(frame, labels)
+    found = {r.doc_id: r.keep for r in cotrain.score(frame, views).collect()}
+    assert views.prior is None
+    assert all(found[r[0]] == bool(r[0] % 2) for r in [*labelled, *others])
+    assert max(n for round in taught for _, n in round) == len(others)  # not 360 of 3,000
+
+
 def test_quality_edge_cases(spark, documents):
     frame = documents([(1, None, None, None, None), (1, "", "en", "s", 0), (None, "x " * 50_000, "en", "s", 1)]).withColumn("score", F.lit("x"))
     labels = spark.createDataFrame([(1, 1), (2, 0), (1, 7)], "doc_id long, quality int")
