@@ -181,7 +181,7 @@ SQL = {
         news=NEW,
     ),
     "kpi_labels": star_sql(
-        "fact",
+        "fact dim_date",
         f"""SELECT ym,
                    CASE WHEN g IS NULL THEN '' ELSE
                      (CASE WHEN g >= 0 THEN '▲ ' ELSE '▼ ' END)
@@ -189,12 +189,12 @@ SQL = {
                    CASE WHEN margin_pct >= 0.40 THEN '🟢 Healthy'
                         WHEN margin_pct >= 0.30 THEN '🟡 Watch' ELSE '🔴 Low' END
                        AS margin_status
-            FROM (SELECT m.ym, (m.net_sales - y.net_sales) / nullif(y.net_sales, 0) AS g,
-                         m.margin / nullif(m.net_sales, 0) AS margin_pct
-                  FROM grid m LEFT JOIN monthly y ON y.month_idx = m.month_idx - 12)""",
-        monthly=f"""SELECT month_idx, strftime(min(date), '%Y-%m') AS ym,
-                           {money('net_sales')} AS net_sales, {money('gross_margin')} AS margin
-                    FROM fact GROUP BY month_idx""",
+            FROM (SELECT m.ym, sales_yoy_pct AS g, s.margin / nullif(m.net_sales, 0) AS margin_pct
+                  FROM months m LEFT JOIN margins s USING (month_idx))""",
+        monthly=MONTHLY,
+        margins=f"SELECT month_idx, {money('gross_margin')} AS margin FROM fact GROUP BY month_idx",
+        grid=GRID,
+        months=TIME,
     ),
     "exec_cards": star_sql(
         "fact dim_date",

@@ -219,22 +219,26 @@ def new_returning(star) -> DataFrame:
 
 
 def kpi_labels(star) -> DataFrame:
-    """Per month: growth against the prior year as text, and the margin's traffic light."""
+    """Per month of the calendar: growth against the prior year as text, and the margin's light."""
     daily = star.sales("date", "net_sales", "gross_margin").groupBy("date").agg(
         money_sum(F.col("net_sales")).alias("net_sales"),
         money_sum(F.col("gross_margin")).alias("gross_margin"),
     )
-    monthly = daily.groupBy(
-        month_index(F.col("date")).alias("month_idx"), year_month(F.col("date")).alias("ym")
-    ).agg(
+    day = F.col("date")
+    sums = daily.groupBy(month_index(day).alias("month_idx")).agg(
         money_sum(F.col("net_sales")).alias("net_sales"),
         money_sum(F.col("gross_margin")).alias("gross_margin"),
     )
+    months = star.dim_date.select(month_index(day).alias("month_idx"), year_month(day).alias("ym"))
     year_ago = F.col("sales_py")
-    growth = ratio(F.col("net_sales") - year_ago, year_ago)
-    margin_pct = ratio(F.col("gross_margin"), F.col("net_sales"))
-    return monthly.withColumn("sales_py", _months_back(12, 12)).select(
-        "ym",
-        trend_label(growth).alias("yoy_arrow"),
-        margin_status(margin_pct).alias("margin_status"),
+    growth = ratio(_difference(F.col("net_sales"), year_ago), year_ago)
+    return (
+        months.distinct()
+        .join(sums, "month_idx", "left")
+        .withColumn("sales_py", _months_back(12, 12))
+        .select(
+            "ym",
+            trend_label(growth).alias("yoy_arrow"),
+            margin_status(ratio(F.col("gross_margin"), F.col("net_sales"))).alias("margin_status"),
+        )
     )
