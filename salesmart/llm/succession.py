@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text of a range, about, and the most ranges (ranges grow beyond).
-RANGE_BYTES, MOST_RANGES = 64 << 20, 100_000
+RANGE_BYTES, MOST_RANGES = 16 << 20, 100_000
 _KEY = "decimal(38,0)"
 
 
@@ -76,7 +76,8 @@ def in_ranges(frame: DataFrame, id: str, text: str, range_bytes: int = RANGE_BYT
     sent = keyed.select(
         "id", "text", "key", F.explode(F.when(starts, F.array(as_own, as_guest)).otherwise(F.array(as_own))).alias("to")
     ).select("id", "text", "key", "to.part", "to.guest")
-    return sent.repartition(len(firsts), "part").sortWithinPartitions("part", "guest", "key", "text")
+    # a range is a partition; a hash of the range would put several into one
+    return sent.repartitionById(len(cuts) + 1, F.col("part")).sortWithinPartitions("part", "guest", "key", "text")
 
 
 def successors(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, str, str]]:

@@ -11,8 +11,9 @@ generalised Jaccard similarity, sum of least weights over sum of greatest.  The
 is the share of samples that agree.  A sample is kept as 16 bits of a hash of (word, t), so that two different
 ones agree by chance once in 65,536.
 
-Draws are hashes of (word, sample, number), so they are the same in every task and run.  The sample itself
-is a minimum of 64-bit numbers: the upper half orders by a, the lower half is the hash of (word, t).
+Draws are quantiles of the gamma distribution (tables, made once and sent to the tasks) at shares that are
+the bits of a hash of (word, sample): the same in every task and run.  The sample itself is a minimum of
+64-bit numbers: the upper half orders by a, the lower half is the hash of (word, t).
 
 Cases: null is the empty text; texts without words have the same fingerprint, likeness 1 to each other and
 0 to others; equal texts have equal fingerprints; rows with null ids come last in the order, repeated ids go
@@ -23,6 +24,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +34,14 @@ from pyspark.sql import DataFrame
 from salesmart.llm.succession import RANGE_BYTES, in_ranges, successors
 from salesmart.llm.words import SPACE, counted, hashes, kinds, split_words
 
-SAMPLES = 128
+SAMPLES = 96
 SEED = 11
+#: Bits of the shares that r, c and b are drawn at.
+R_BITS, C_BITS, B_BITS = 16, 16, 24
 #: Characters of text that a task works on at a time.
-PIECE = 1 << 20
+PIECE = 2 << 20
 
 _KIND = kinds(SPACE)
-_NONE = np.uint64((1 << 64) - 1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -48,37 +52,50 @@ def _scrambled(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two numbers in (0, 1) from the bits of a hash."""
-    scale = 2.0**-32
-    return ((x >> np.uint64(32)) + 0.5) * scale, ((x & np.uint64(0xFFFFFFFF)) + 0.5) * scale
+class Quantiles(NamedTuple):
+    """Quantiles of Gamma(2, 1): of r, and of c as logarithms, at the middles of equal shares."""
 
+    r: np.ndarray
+    log_c: np.ndarray
 
-def draws(keys: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c and b of every word (by its hash) in one sample."""
-    keys = keys.view(np.uint64)
-    first = np.uint64((3 * sample + 1) * int(_STEP) & 0xFFFFFFFFFFFFFFFF)
-    second = np.uint64((3 * sample + 2) * int(_STEP) & 0xFFFFFFFFFFFFFFFF)
-    third = np.uint64((3 * sample + 3) * int(_STEP) & 0xFFFFFFFFFFFFFFFF)
-    u1, u2 = _halves(_scrambled(keys + first))
-    v1, v2 = _halves(_scrambled(keys + second))
-    b, _ = _halves(_scrambled(keys + third))
-    # the sum of two exponential draws has the distribution Gamma(2, 1)
-    return -np.log(u1 * u2), np.log(-np.log(v1 * v2)), b
 
+@cache
+def quantiles() -> Quantiles:
+    """Distribution 1 - (1 + x) exp(-x), inverted on a fine grid of ln x."""
+    log_x = np.linspace(np.log(1e-5), np.log(60.0), 1 << 21)
+    x = np.exp(log_x)
+    # for small x the difference of nearly equal numbers is replaced by its series
+    share = np.where(x < 1e-3, x**2 / 2 - x**3 / 3, 1 - (1 + x) * np.exp(-x))
 
-def ranks(keys: np.ndarray, weights: np.ndarray, sample: int) -> np.ndarray:
+    def at(bits: int) -> np.ndarray:
+        return np.interp((np.arange(1 << bits) + 0.5) / (1 << bits), share, log_x)
+
+    return Quantiles(np.exp(at(R_BITS)).astype(np.float32), at(C_BITS).astype(np.float32))
+
+
+def draws(keys: np.ndarray, sample: int, table: Quantiles) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """r, ln c and b of every word (by its hash) in one sample: three shares from the bits of one hash."""
+    x = _scrambled(keys.view(np.uint64) + np.uint64((sample + 1) * int(_STEP) & 0xFFFFFFFFFFFFFFFF))
+    r = np.take(table.r, (x & np.uint64((1 << R_BITS) - 1)).view(np.int64), mode="clip")
+    log_c = np.take(table.log_c, (x >> np.uint64(64 - C_BITS)).view(np.int64), mode="clip")
+    b = ((x >> np.uint64(R_BITS)) & np.uint64((1 << B_BITS) - 1)).astype(np.float32)
+    return r, log_c, (b + np.float32(0.5)) * np.float32(2.0**-B_BITS)
+
+
+def ranks(keys: np.ndarray, log_weight: np.ndarray, sample: int, table: Quantiles) -> np.ndarray:
     """For weighted words: a number that orders them by a, with the hash of (word, t) in its lower half."""
-    r, log_c, b = draws(keys, sample)
-    t = np.floor(np.log(weights) / r + b)
-    # rising in a, and positive, so that its bits order as numbers
-    a = np.exp((log_c - r * (t - b + 1.0)) / 64.0).astype(np.float32)
-    drawn = _scrambled(keys.view(np.uint64) ^ (t.astype(np.int64).view(np.uint64) * _STEP))
-    return (a.view(np.uint32).astype(np.uint64) << np.uint64(32)) | (drawn >> np.uint64(32))
+    r, log_c, b = draws(keys, sample, table)
+    t = np.floor(log_weight / r + b)
+    log_a = log_c - r * (t - b + np.float32(1))
+    bits = log_a.view(np.int32)
+    order = bits ^ ((bits >> 31) & np.int32(0x7FFFFFFF))  # orders like the number
+    drawn = keys.view(np.uint64).astype(np.uint32) ^ (t.astype(np.int32).view(np.uint32) * np.uint32(0x9E3779B1))
+    return (order.astype(np.int64) << 32) | drawn
 
 
-def signatures(texts: pa.Array, samples: int = SAMPLES) -> np.ndarray:
+def signatures(texts: pa.Array, samples: int = SAMPLES, table: Quantiles | None = None) -> np.ndarray:
     """A row of 16-bit samples for each text."""
+    table = table or quantiles()
     words = split_words(texts, _KIND)
     out = np.zeros((len(texts), samples), np.uint16)
     if not len(words.code):
@@ -89,12 +106,14 @@ def signatures(texts: pa.Array, samples: int = SAMPLES) -> np.ndarray:
     # equal words of equal weight draw alike in every text
     kinds_of, place = np.unique(weights * size + code, return_inverse=True)
     keys = hashes(words.distinct, SEED)[kinds_of % size]
-    weight = (kinds_of // size).astype(np.float64)
+    log_weight = np.log(kinds_of // size).astype(np.float32)
     starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
     filled = owner[starts]
+    found, gathered = np.zeros((samples, len(starts)), np.uint16), np.empty(len(place), np.int64)
     for sample in range(samples):
-        least = np.minimum.reduceat(ranks(keys, weight, sample)[place], starts)
-        out[filled, sample] = least.astype(np.uint16)
+        np.take(ranks(keys, log_weight, sample, table), place, out=gathered, mode="clip")
+        found[sample] = np.minimum.reduceat(gathered, starts).astype(np.uint16)
+    out[filled] = found.T
     return out
 
 
@@ -127,12 +146,12 @@ _FOUND = (
 )
 
 
-def _report(ids: list, texts: list[str], after: list[str], samples: int) -> pa.RecordBatch:
+def _report(ids: list, texts: list[str], after: list[str], samples: int, table: Quantiles | None = None) -> pa.RecordBatch:
     changed = [edited(t, a) for t, a in zip(texts, after, strict=True)]
     # the text after a row is mostly the next row's text, whose signature is there already
     distinct = list(dict.fromkeys([*texts, *after]))
     place = {t: i for i, t in enumerate(distinct)}
-    found = signatures(_encoded([*distinct, *changed]), samples)
+    found = signatures(_encoded([*distinct, *changed]), samples, table)
     own = found[[place[t] for t in texts]]
     following = found[[place[t] for t in after]]
     other = found[len(distinct) :]
@@ -154,6 +173,7 @@ def fingerprints(
     docs: DataFrame, id: str = "doc_id", text: str = "text", samples: int = SAMPLES, range_bytes: int = RANGE_BYTES
 ) -> DataFrame:
     """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row."""
+    table = docs.sparkSession.sparkContext.broadcast(quantiles())  # 0.5 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, after, held = [], [], [], 0
@@ -163,10 +183,10 @@ def fingerprints(
             after.append(following)
             held += len(own) + len(following)
             if held >= 2 * PIECE:
-                yield _report(ids, texts, after, samples)
+                yield _report(ids, texts, after, samples, table.value)
                 ids, texts, after, held = [], [], [], 0
         if ids:
-            yield _report(ids, texts, after, samples)
+            yield _report(ids, texts, after, samples, table.value)
 
     ranges = in_ranges(docs, id, text, range_bytes)
     if ranges is None:

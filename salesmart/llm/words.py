@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterable
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 
 #: What a byte is: part of a word, a gap between words, or the end of a piece of text.
 WORD, GAP, BREAK = 0, 1, 2
@@ -78,9 +77,9 @@ def split_words(column: pa.Array, kind: np.ndarray) -> Words:
 
 
 def hashes(values: pa.Array, seed: int) -> np.ndarray:
-    """64-bit hashes of binary values, as signed numbers."""
-    one = functools.partial(xxhash.xxh64_intdigest, seed=seed)
-    return np.array([one(v) for v in values.to_pylist()], np.uint64).view(np.int64)
+    """64-bit hashes (SipHash with a key from the seed) of binary values, as signed numbers."""
+    found = values.to_numpy(zero_copy_only=False)
+    return pd.util.hash_array(found, hash_key=f"{seed:016x}", categorize=False).view(np.int64)
 
 
 def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
