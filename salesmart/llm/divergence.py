@@ -43,15 +43,17 @@ SCALE, ADDED = 1_000_000_000, 5
 FIRST_LEVEL = 4
 #: Sources of a block and terms of a chunk, about.
 BLOCK, CHUNK = 128, 8192
-#: Bytes of text, and documents, that a task works on at a time.
-PIECE, DOCUMENTS = 4 << 20, 2048
+#: Bytes of text, or of terms, that a task works on at a time.
+PIECE = 1 << 20
 
 _KIND = kinds([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
-_TERMS = "lang string, source string, terms array<binary>, counts array<int>"
+_BLANK = kinds(b" ")
+_TERMS = "lang string, source string, terms binary, counts binary"
 
 
 def document_terms(texts: DataFrame) -> DataFrame:
-    """(lang, source, terms, counts): the distinct terms of every document and their occurrences."""
+    """(lang, source, terms, counts): the distinct terms of every document, with blanks between them, and
+    their occurrences as 4-byte numbers; one value for each document, however many terms it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,16 +61,13 @@ def document_terms(texts: DataFrame) -> DataFrame:
                 words = split_words(piece.column("text"), _KIND)
                 size = max(1, len(words.distinct))
                 codes, n = counted(words.owner.astype(np.int64) * size + words.code)
-                ends = np.searchsorted(codes, np.arange(piece.num_rows + 1, dtype=np.int64) * size).astype(np.int32)
-                terms = words.distinct.take(pa.array(codes % size))
+                ends = np.searchsorted(codes, np.arange(piece.num_rows + 1, dtype=np.int64) * size)
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), words.distinct.take(pa.array(codes % size)))
+                raw = n.astype(np.int32).tobytes()
+                counts = pa.array([raw[4 * a : 4 * b] for a, b in zip(ends, ends[1:], strict=False)], pa.binary())
+                joined = pc.binary_join(lists, pa.scalar(b" ", pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        piece.column("lang"),
-                        piece.column("source"),
-                        pa.ListArray.from_arrays(pa.array(ends), terms),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(n.astype(np.int32))),
-                    ],
-                    names=["lang", "source", "terms", "counts"],
+                    [piece.column("lang"), piece.column("source"), joined, counts], names=["lang", "source", "terms", "counts"]
                 )
 
     return texts.mapInArrow(run, _TERMS)
@@ -76,8 +75,7 @@ def document_terms(texts: DataFrame) -> DataFrame:
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for start in range(0, batch.num_rows, DOCUMENTS):
-            yield batch.slice(start, DOCUMENTS)
+        yield from pieces(batch, "terms", PIECE)
 
 
 def _mixed(lang: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -93,10 +91,9 @@ def _coded(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def _entries(piece: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Distinct terms of some documents; of every (document, term) the document and the term's place."""
-    lists = piece.column("terms")
-    owner = np.repeat(np.arange(piece.num_rows), pc.list_value_length(lists).to_numpy())
-    return *_coded(pc.list_flatten(lists)), owner
+    """Distinct terms of some documents; of every (document, term) the term's place and the document."""
+    found = split_words(piece.column("terms"), _BLANK)
+    return found.distinct, found.code, found.owner.astype(np.int64)
 
 
 def level_counts(documents: DataFrame, shorter: int, length: int, survivors: np.ndarray | None) -> DataFrame:
@@ -175,7 +172,7 @@ def group_counts(documents: DataFrame, terms: DataFrame) -> DataFrame:
                 continue
             langs, lang = _coded(piece.column("lang"))
             sources, source = _coded(piece.column("source"))
-            n = pc.list_flatten(piece.column("counts")).to_numpy().astype(np.int64)
+            n = np.frombuffer(b"".join(piece.column("counts").to_pylist()), np.int32).astype(np.int64)
             own = hashes(langs.cast(pa.binary()), 0)[lang][owner]
             kept = found(known.value, _mixed(own, hashes(distinct, 0)[code]))
             code, owner, n = code[kept], owner[kept], n[kept]

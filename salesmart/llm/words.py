@@ -45,7 +45,7 @@ class Words(NamedTuple):
 
 def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column without its nulls, and the offsets of its texts in them."""
-    raw = pc.fill_null(column, "").cast(pa.large_binary())
+    raw = pc.fill_null(column.cast(pa.large_binary()), b"")
     _, offsets, data = raw.buffers()
     ends = np.frombuffer(offsets, np.int64, len(raw) + 1, raw.offset * 8)
     if data is None:
