@@ -49,7 +49,7 @@ SHARE = 50
 TOP = 2000
 NO_LANG = "und"
 #: Bytes of text, or of a relation, that a task works on at a time.
-PIECE, RELATION_PIECE = 2 << 20, 4 << 20
+PIECE, RELATION_PIECE = 1 << 20, 2 << 20
 SEEDS = 16
 
 _KIND = kinds(GAPS, BREAKS)
