@@ -1,7 +1,10 @@
 """A small HTML reader: the tree of block elements of a page, with its text in blocks.
 
 Inline elements leave no node; a stretch of text between block boundaries is a leaf.  Contents of
-scripts, styles and the like are skipped, end tags may be missing, and a page may stop anywhere.
+scripts, styles and the like are skipped, end tags may be missing, and a page may stop anywhere.  A
+skipped element without an end tag ends with the element around it; only raw text, such as a script's,
+runs to its end tag wherever that is.  Time is in proportion to the page: what is open is known by name,
+so that no tag walks past elements that stay open.
 """
 
 from __future__ import annotations
@@ -20,8 +23,9 @@ INLINE = set(
     "span strike strong sub sup time tt u var wbr".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = set("script style head title noscript template svg math iframe object textarea canvas audio video select".split())
+SKIPPED = set("script style title noscript template svg math iframe object textarea canvas audio video select".split())
 _RAW = set("script style title textarea iframe noscript".split())
+_DRAWN = ("svg", "math")  # a block element ends these
 _ENDS_P = set(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
     "h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split()
@@ -35,7 +39,6 @@ _CLOSES = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
-    "body": ({"head"}, set()),
 }
 
 
@@ -58,10 +61,43 @@ class Tree:
         return len(self.tag) - 1
 
 
+class _Open:
+    """The open elements, and where those of each name stand among them."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = [""]
+        self.nodes: list[int] = [0]
+        self.at: dict[str, list[int]] = {}
+        self.muted = 0  # open skipped elements
+
+    def push(self, name: str, node: int) -> None:
+        self.at.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+        self.nodes.append(node)
+        self.muted += name in SKIPPED
+
+    def close(self, depth: int) -> None:
+        """Close all elements from this depth on."""
+        while len(self.names) > depth:
+            name = self.names.pop()
+            self.nodes.pop()
+            self.at[name].pop()
+            self.muted -= name in SKIPPED
+
+    def last(self, names) -> int:
+        """The depth of the innermost open element of these names; 0 for none."""
+        return max((self.at[n][-1] for n in names if self.at.get(n)), default=0)
+
+    def close_within(self, closed, until) -> None:
+        """Close the innermost of the first names, unless one of the others is open within it."""
+        depth = self.last(closed)
+        if depth > self.last(until):
+            self.close(depth)
+
+
 def parse(page: str) -> Tree:
     """The tree of a page; node 0 stands above all."""
-    tree = Tree()
-    stack: list[tuple[str, int]] = [("", 0)]  # open block elements
+    tree, still = Tree(), _Open()
     run: list[str] = []
     in_links = links = 0  # characters in links; open links
 
@@ -70,12 +106,14 @@ def parse(page: str) -> Tree:
         if run:
             text = " ".join("".join(run).split())
             if text:
-                tree.add("#text", "", stack[-1][1], text, min(1.0, in_links / len(text)))
+                tree.add("#text", "", still.nodes[-1], text, min(1.0, in_links / len(text)))
             run.clear()
         in_links = 0
 
     def take(text: str) -> None:
         nonlocal in_links
+        if still.muted:
+            return
         text = html.unescape(text) if "&" in text else text
         run.append(text)
         if links:
@@ -98,53 +136,39 @@ def parse(page: str) -> Tree:
             if name == "a":
                 links = max(0, links - 1)
             elif name == "br":
-                run.append(" ")
+                take(" ")
             elif name not in INLINE:
-                depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
+                depth = still.last((name,))
                 flush()
                 if depth:
-                    del stack[depth:]
+                    still.close(depth)
                     links = 0
             continue
         attributes = m[2]
-        if name in SKIPPED:
-            if name != "head":
-                flush()
-            if attributes.endswith("/") and name not in _RAW:
-                continue
-            if name == "head":
-                end = re.compile(r"</head\s*>|(?=<body[\s>])", re.I).search(page, at)
-                at = end.end() if end else at
-            else:
-                end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                at = end.end() if end else size
+        if name in _RAW:
+            flush()
+            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            at = end.end() if end else size
             continue
         if name in INLINE:
-            if name == "a":
+            if name == "a" and not still.muted:
                 links += 1
             elif name == "br":
-                run.append(" ")
+                take(" ")
+            continue
+        if name == "head":
             continue
         flush()
         if name in _ENDS_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p":
-                    del stack[i:]
-                    break
-                if stack[i][0] in ("table", "td", "th", "button"):
-                    break
+            if still.muted:
+                still.close_within(_DRAWN, ())
+            still.close_within(("p",), ("table", "td", "th", "button"))
         if name in _CLOSES:
-            closed, until = _CLOSES[name]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in closed:
-                    del stack[i:]
-                    break
-                if stack[i][0] in until:
-                    break
+            still.close_within(*_CLOSES[name])
         links = 0
-        node = tree.add(name, attributes, stack[-1][1])
+        node = still.nodes[-1] if still.muted or name in SKIPPED else tree.add(name, attributes, still.nodes[-1])
         if name not in VOID and not attributes.endswith("/"):
-            stack.append((name, node))
+            still.push(name, node)
     flush()
     return tree
 
