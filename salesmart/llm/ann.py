@@ -16,6 +16,7 @@ count once, with the least vector; ties go to the smaller id; an empty table giv
 from __future__ import annotations
 
 import heapq
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ NEAREST = 10
 BLOCK = 4096
 #: Tiles whose results one merge takes together.
 FAN = 64
-#: Pairs recomputed at a time.
-PAIRS = 1 << 18
+#: Queries of a tile whose bounds are held at a time, and pairs recomputed at a time.
+STRIP, PAIRS = 256, 1 << 16
 
 _RESULT = "query_id bigint, part bigint, vec_id bigint, score double"
 
@@ -40,19 +41,34 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return form, scale, np.sqrt(((x - scale[:, None] * form) ** 2).sum(axis=1))
 
 
+class Quantised(NamedTuple):
+    form: np.ndarray  # int8 products are whole numbers: held in a float type that is exact for them
+    scale: np.ndarray
+    error: np.ndarray
+    square: np.ndarray  # of the length of scale * form
+
+
+def prepared(x: np.ndarray) -> Quantised:
+    form, scale, error = quantised(x)
+    kind = np.float32 if x.shape[1] * 127 * 127 < 1 << 24 else np.float64
+    return Quantised(form.astype(kind), scale, error, (form.astype(np.float64) ** 2).sum(axis=1) * scale**2)
+
+
 def bounds(q: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Least and greatest possible distance of each query to each candidate."""
-    (qf, qs, qe), (cf, cs, ce) = quantised(q), quantised(c)
-    # Sums of int8 products are whole numbers, exact in the float type as long as they fit its mantissa.
-    kind = np.float32 if q.shape[1] * 127 * 127 < 1 << 24 else np.float64
-    dot = (qf.astype(kind) @ cf.astype(kind).T).astype(np.float64)
-    qn, cn = (qf.astype(np.float64) ** 2).sum(axis=1) * qs**2, (cf.astype(np.float64) ** 2).sum(axis=1) * cs**2
-    square = qn[:, None] + cn[None, :] - 2 * qs[:, None] * cs[None, :] * dot
+    return _bounds(prepared(q), prepared(c))
+
+
+def _bounds(q: Quantised, c: Quantised) -> tuple[np.ndarray, np.ndarray]:
+    square = (q.form @ c.form.T).astype(np.float64)
+    square *= -2 * q.scale[:, None] * c.scale[None, :]
+    norms = q.square[:, None] + c.square[None, :]
+    square += norms
     # What rounding of these doubles may add: a part of the squared norms under the root.
-    rounding = 1e-12 * (qn[:, None] + cn[None, :])
-    error = qe[:, None] + ce[None, :]
-    low = np.sqrt(np.maximum(square - rounding, 0)) - error * (1 + 1e-9)
-    return low, np.sqrt(np.maximum(square, 0) + rounding) + error * (1 + 1e-9)
+    norms *= 1e-12
+    error = (q.error[:, None] + c.error[None, :]) * (1 + 1e-9)
+    low = np.sqrt(np.maximum(square - norms, 0)) - error
+    return low, np.sqrt(np.maximum(square, 0) + norms) + error
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -87,12 +103,16 @@ def tile(queries: pa.Table, candidates: pa.Table, nearest: int) -> pa.Table:
         return pa.Table.from_pylist([], _schema())
     block = candidates.column("cb")[0].as_py()
     (qi, q), (ci, c) = _matrix(queries), _matrix(candidates)
-    low, high = bounds(q, c)
-    own = qi[:, None] == ci[None, :]
-    low[own] = high[own] = np.inf
-    k = min(nearest, len(ci))
-    worst = np.partition(high, k - 1, axis=1)[:, k - 1 : k]
-    rows, columns = np.nonzero((low <= worst) & ~own)
+    k, parts, known = min(nearest, len(ci)), [], prepared(c)
+    for a in range(0, len(qi), STRIP):
+        strip = slice(a, a + STRIP)
+        low, high = _bounds(prepared(q[strip]), known)
+        own = qi[strip, None] == ci[None, :]
+        low[own] = high[own] = np.inf
+        worst = np.partition(high, k - 1, axis=1)[:, k - 1 : k]
+        parts.append(np.nonzero((low <= worst) & ~own))
+    rows = np.concatenate([r + a for a, (r, _) in zip(range(0, len(qi), STRIP), parts, strict=True)])
+    columns = np.concatenate([x for _, x in parts])
     score = np.empty(len(rows))
     for a in range(0, len(rows), PAIRS):
         part = slice(a, a + PAIRS)
