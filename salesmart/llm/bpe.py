@@ -17,7 +17,6 @@ import itertools
 import json
 import re
 from collections.abc import Iterator
-from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +33,16 @@ LATIN_PRE_TOKEN = (
     r" ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+| ?[0-9²³¹¼½¾]+|'s|'t|'re|'ve|'m|'ll|'d"
     r"| ?[^\t-\r \x85\xa0A-Za-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼½¾]+|[\t-\r \x85\xa0]+(?![^\t-\r \x85\xa0])|[\t-\r \x85\xa0]+"
 )
-#: Words whose ids a worker keeps between batches.
-CACHE_WORDS = 300_000
+#: Letters and numbers that the matcher's Unicode version has and the encoders' version 16 has not.
+NEWER = """
+558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7
+10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6
+187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81
+1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E
+2CEA2-2CEAD 323B0-33479 3D000-3FC3F
+"""
+#: Words whose ids a worker keeps between batches, and bytes of text that it works on at a time.
+CACHE_WORDS, PIECE = 150_000, 1 << 20
 
 
 def byte_symbols() -> dict[str, int]:
@@ -60,8 +67,8 @@ class Vocabulary:
         )
         self.pre_token = regex.compile(PRE_TOKEN).findall
         # The library's character classes are those of an older Unicode than the matcher's.
-        every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-        newer = "".join(c for c in regex.findall(r"[\p{L}\p{N}]", every) if category(c) == "Cn")
+        ends = [r.split("-") for r in NEWER.split()]
+        newer = "".join(rf"\U{int(r[0], 16):08x}-\U{int(r[-1], 16):08x}" for r in ends)
         older = PRE_TOKEN
         for kind in (r"\p{L}", r"\p{N}"):
             older = older.replace(rf" ?{kind}+", rf" ?[{kind}--[{newer}]]+")
@@ -219,7 +226,7 @@ def encode(frame: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     """The frame with an array column of token ids; a column of that name gives way."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, text):
+            for piece in pieces(batch, text, PIECE):
                 found, sizes = encoder(path).encode(texts(piece, text))
                 ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(ends), pa.array(found.astype(np.int32)))
@@ -266,7 +273,7 @@ def digests(frame: DataFrame, path: str, text: str = "text", with_ids: str | Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            for piece in pieces(batch, text):
+            for piece in pieces(batch, text, PIECE):
                 ids, sizes = encoder(path).encode(texts(piece, text))
                 ends = np.append(0, np.cumsum(sizes))
                 raw = ids.astype("<u4")
