@@ -1,12 +1,15 @@
 """Language of documents by fusing what their text says with what is declared about them.
 
 The evidence of a row, all as likelihoods of a language:
-* its text: hashed letter trigrams, learnt from a bounded sample of rows for each declared language,
-  against a class "other" for which every trigram is equally likely;
+* its text: hashed letter trigrams, learnt from a bounded sample of rows for each declared language
+  (counts are summed in tasks; no text leaves them), against a class "other" for which every trigram is
+  equally likely;
 * the declared (markup) language, and the suffix of its address: how often each value goes with each
   language, by grouped aggregation over all rows;
 * its host: a prior from the languages of the host's other rows, smoothed towards those of the
   suffix, these towards those of all rows.
+What a text says is computed once and written without the text unless that is asked for; the tables of
+declared values, suffixes and hosts are aggregates of it and meet it again, narrow as it is.
 The posterior is their normalised product.  A row is kept if the best language is not "other", has
 at least the given posterior, and the text holds letters at all.
 
@@ -28,11 +31,12 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.common import cut, pieces, schema_with, texts, with_columns
 
-#: Rows of each declared language that the trigrams are learnt from, and the longest such text.
+#: Rows of each declared language that the trigrams are learnt from, about.
 SAMPLE_ROWS = 2000
-SAMPLE_BYTES = 1 << 15
-#: Declared languages that are told apart: the most frequent ones.
-LANGUAGES = 64
+#: Declared languages that are told apart, the most frequent ones: 64 MB of trigram weights in a task.
+LANGUAGES = 256
+#: Bytes of text that a task works on at a time.
+PIECE = 1 << 20
 OTHER = "other"
 BUCKETS = 1 << 16
 #: Trigrams of a text count as independent up to about so many.
@@ -47,7 +51,7 @@ _OWN = "__language_evidence"
 
 class Trigrams(NamedTuple):
     languages: list[str]  # with OTHER last
-    logs: np.ndarray  # BUCKETS x languages
+    logs: np.ndarray  # languages x BUCKETS
 
 
 @functools.lru_cache(maxsize=1)
@@ -80,23 +84,22 @@ def evidence(batch: list[str], model: Trigrams) -> tuple[np.ndarray, np.ndarray]
     """Log likelihood of each language for each text, the best at 0, and the texts' trigrams."""
     found, owner = trigrams(batch)
     n = np.bincount(owner, minlength=len(batch))
-    sums = np.stack(
-        [np.bincount(owner, model.logs[found, i], len(batch)) for i in range(len(model.languages))], axis=1
-    )
+    sums = np.zeros((len(batch), len(model.languages)))
+    filled = np.flatnonzero(n)
+    starts = (np.cumsum(n) - n)[filled]
+    for i, logs in enumerate(model.logs):
+        if len(filled):
+            sums[filled, i] = np.add.reduceat(np.take(logs, found), starts, dtype=np.float64)
     sums /= (1 + n / INDEPENDENT)[:, None]
     return sums - sums.max(axis=1, keepdims=True), n
 
 
-def learn(batch: list[str], declared: list[str]) -> Trigrams:
-    """Smoothed logs of the trigram shares of each declared language, and of OTHER."""
-    names = sorted(set(declared))
-    logs = []
-    for name in names:
-        found, _ = trigrams([t for t, d in zip(batch, declared, strict=True) if d == name])
-        counts = np.bincount(found, minlength=BUCKETS) + 0.5
-        logs.append(np.log(counts / counts.sum()))
-    logs.append(np.full(BUCKETS, -np.log(BUCKETS)))
-    return Trigrams([*names, OTHER], np.stack(logs, axis=1).astype(np.float32))
+def learn(counts: dict[str, np.ndarray]) -> Trigrams:
+    """Smoothed logs of the trigram shares of each language, and of OTHER."""
+    names = sorted(counts)
+    shares = [counts[name] + 0.5 for name in names]
+    logs = [np.log(x / x.sum()) for x in shares] + [np.full(BUCKETS, -np.log(BUCKETS))]
+    return Trigrams([*names, OTHER], np.stack(logs).astype(np.float32))
 
 
 def primary(declared: Column) -> Column:
@@ -105,30 +108,51 @@ def primary(declared: Column) -> Column:
 
 
 def train(frame: DataFrame, text: str, declared: Column) -> Trigrams:
-    """Trigrams of the most frequent declared languages, from a bounded sample of rows of each.
+    """Trigrams of the declared languages, from a bounded sample of rows of each, texts of any length.
 
     The sample is what a hash of the text puts below a share that makes SAMPLE_ROWS of a language.
     """
     rows = frame.select(primary(declared).alias("declared"), F.col(text).alias("text"))
-    rows = rows.where(F.octet_length("text").between(1, SAMPLE_BYTES)).where("declared is not null")
-    counts = rows.groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(LANGUAGES).collect()
-    if not counts:
-        return learn([], [])
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["declared"], min(1.0, SAMPLE_ROWS / r["count"]))])
+    rows = rows.where((F.octet_length("text") > 0) & F.col("declared").isNotNull())
+    seen = rows.groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(LANGUAGES).collect()
+    if not seen:
+        return learn({})
+    share = F.create_map(*[F.lit(x) for r in seen for x in (r["declared"], min(1.0, SAMPLE_ROWS / r["count"]))])
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    # equal texts hash alike: a limit bounds the sample even if one text is very frequent
-    chosen = rows.where(place < share[F.col("declared")]).limit(2 * SAMPLE_ROWS * len(counts)).collect()
-    return learn([r["text"] for r in chosen], [r["declared"] for r in chosen])
+    chosen = rows.where(place < share[F.col("declared")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "text", PIECE):
+                coded = piece.column("declared").dictionary_encode()
+                found, owner = trigrams(texts(piece, "text"))
+                both = coded.indices.to_numpy()[owner].astype(np.int64) * BUCKETS + found
+                keys, n = np.unique(both, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [coded.dictionary.take(pa.array(keys // BUCKETS)), pa.array((keys % BUCKETS).astype(np.int32)), pa.array(n)],
+                    names=["declared", "bucket", "n"],
+                )
+
+    sums = chosen.mapInArrow(run, "declared string, bucket int, n bigint").groupBy("declared", "bucket").agg(F.sum("n").alias("n"))
+    table = sums.toArrow()  # LANGUAGES * BUCKETS rows at most, whatever the corpus
+    counts = {r["declared"]: np.zeros(BUCKETS) for r in seen}
+    code = table.column("declared").combine_chunks().dictionary_encode()
+    bucket, n = table.column("bucket").to_numpy(), table.column("n").to_numpy()
+    for i, name in enumerate(code.dictionary.to_pylist()):
+        own = code.indices.to_numpy() == i
+        counts[name][bucket[own]] = n[own]
+    return learn(counts)
 
 
 def _with_evidence(frame: DataFrame, text: str, model: Trigrams, keep_text: bool) -> DataFrame:
     kept = [c for c in frame.columns if keep_text or c != text]
+    spread = frame.sparkSession.sparkContext.broadcast(model)  # LANGUAGES * BUCKETS numbers at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = len(model.languages)
+        size = len(spread.value.languages)
         for batch in batches:
-            for piece in pieces(batch, text):
-                logs, n = evidence(texts(piece, text), model)
+            for piece in pieces(batch, text, PIECE):
+                logs, n = evidence(texts(piece, text), spread.value)
                 flat = pa.array(np.round(logs, 6).ravel())
                 column = pa.FixedSizeListArray.from_arrays(flat, size).cast(pa.list_(pa.float64()))
                 column = pa.array(column.to_pylist(), pa.list_(pa.float64()), mask=n == 0)
@@ -191,16 +215,14 @@ def identify(
     model = model or train(frame, text, declared)
     size = len(model.languages)
     keys = {"declared": declared, "host": host, "suffix": suffix}
-    narrow = frame.select(F.col(text), *[c.alias(f"__{k}") for k, c in keys.items()])
-    narrow = _with_evidence(narrow.withColumnsRenamed({f"__{k}": k for k in keys} | {text: "__text"}), "__text", model, False)
+    names = [c for c in frame.columns if c not in RESULT]
+    rows = frame.select(*names, F.col(text).alias("__text"), *[c.alias(f"__{k}") for k, c in keys.items()])
+    rows = rows if keep_text else rows.drop(text)
+    rows = cut(_with_evidence(rows, "__text", model, False))
     best = F.array_position(_OWN, F.array_max(_OWN)) - 1
-    seen = cut(
-        narrow.where(F.col(_OWN).isNotNull()).groupBy(*keys, best.alias("best")).agg(F.count("*").alias("n"))
-    )
+    seen = rows.where(F.col(_OWN).isNotNull()).groupBy(*[F.col(f"__{k}").alias(k) for k in keys], best.alias("best"))
+    seen = cut(seen.agg(F.count("*").alias("n")))
     hosts, suffixes, declarations = (cut(t) for t in _tables(seen, size))
-
-    names = [c for c in frame.columns if c not in RESULT]
-    rows = _with_evidence(frame.select(*names, *[c.alias(f"__{k}") for k, c in keys.items()]), text, model, keep_text)
     for table, key in ((hosts, "host"), (suffixes, "suffix"), (declarations, "declared")):
         rows = rows.join(table.withColumnsRenamed({c: f"__t_{c}" for c in table.columns}), F.col(f"__{key}") == F.col(f"__t_{key}"), "left")
     zeros = F.array_repeat(F.lit(0.0), size)
