@@ -6,7 +6,9 @@
    A'A times a random matrix.  Of that sum alone the Nystrom form of A'A follows, and its
    eigenvectors are right singular vectors of A: one pass.  The items are rows of A too, weighted to count as much as the documents, so that the space tells them apart.
 4. Windows of 2 * HALF words, HALF apart, whose cosine to an item in that space is high enough are
-   candidates.
+   candidates.  A window blurs an item much shorter than itself, and a space of fixed rank many items; so
+   places of an item's ANCHORS rarest words with enough of its other words around are candidates as well.
+   Every verbatim copy has such a place, whatever its cosine.
 5. A candidate is a leak if the longest common subsequence of the item and the words around the
    window covers enough of the item, and, for items with an announced answer or a question, that of
    the answer enough of the answer.  Both survive reworded, inserted and dropped words.
@@ -23,6 +25,7 @@ from __future__ import annotations
 import re
 import string
 from collections.abc import Callable, Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -47,10 +50,12 @@ TERM_BLOCK = 512
 FAN = 32
 #: Terms whose columns are dense: those in the most passages.
 DENSE_TERMS = 128
-#: Bytes of numbered words that a task works on at a time.
-PIECE = 1 << 21
+#: Rarest words of an item that mark where it may stand.
+ANCHORS = 3
+#: Bytes of text, and of numbered words, that a task works on at a time.
+TEXT_PIECE, PIECE = 2 << 20, 1 << 20
 #: Gathered numbers held at a time.
-NUMBERS = 1 << 23
+NUMBERS = 1 << 21
 
 _EDGES = string.punctuation + "«»„“”‚‘’¿¡…–—"
 # What announces the answer of an item.
@@ -87,13 +92,18 @@ def items_of(rows: list[tuple[int, str]]) -> Items:
 
 
 def numbered(documents: DataFrame, terms: dict[str, int], id: str, text: str) -> DataFrame:
-    """(id, size, words): the term number of every word as 4-byte integers; other words have len(terms)."""
+    """(id, size, words): the term number of every word as 4-byte integers; other words have len(terms).
+
+    Beside them, with `passages` filled: for the term `size` the passages of a task that hold it, and for
+    len(terms) all its passages.
+    """
     spread = documents.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, other = spread.value, len(spread.value)
+        counts, kind = np.zeros(other + 1, np.int64), None
         for batch in batches:
-            for piece in pieces(batch, text):
+            for piece in pieces(batch, text, TEXT_PIECE):
                 split = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(piece.column(text), "")))
                 coded = pc.list_flatten(split).dictionary_encode()
                 # -1 marks what is no word
@@ -105,34 +115,48 @@ def numbered(documents: DataFrame, terms: dict[str, int], id: str, text: str) ->
                 keep = words >= 0
                 ends = np.append(0, np.cumsum(keep))[ends]
                 words, sizes = words[keep], np.diff(ends)
-                raw = words.tobytes()
+                row, term, n = _passages(words, sizes, other)
+                counts[:-1] += np.bincount(np.unique(row * other + term) % other, minlength=other)
+                counts[-1] += n
+                raw, kind = words.tobytes(), piece.column(id).type
                 column = [raw[4 * a : 4 * b] for a, b in zip(ends, ends[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(id), pa.array(sizes, pa.int64()), pa.array(column, pa.binary())], names=[id, "size", "words"]
+                    [piece.column(id), pa.array(sizes, pa.int64()), pa.array(column, pa.binary()), pa.nulls(len(sizes), pa.int64())],
+                    names=[id, "size", "words", "passages"],
                 )
+        found = np.flatnonzero(counts)
+        if len(found):
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(found), kind), pa.array(found), pa.nulls(len(found), pa.binary()), pa.array(counts[found])],
+                names=[id, "size", "words", "passages"],
+            )
 
-    return documents.select(id, text).mapInArrow(run, schema_with(documents, [id], {"size": "bigint", "words": "binary"}))
+    added = {"size": "bigint", "words": "binary", "passages": "bigint"}
+    return documents.select(id, text).mapInArrow(run, schema_with(documents, [id], added))
 
 
-def _halves(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All words of a batch, the half window of each, and the first half of each document (and the end)."""
-    words = np.frombuffer(b"".join(batch.column("words").to_pylist()), np.int32)
-    sizes = batch.column("size").to_numpy()
+def _half_windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The half window of every word of texts of these sizes, and the first half of each text (and the end)."""
     first = np.append(0, np.cumsum(-(-sizes // HALF)))
     starts = np.cumsum(sizes) - sizes
-    place = np.arange(len(words)) - np.repeat(starts, sizes)
-    return words, np.repeat(first[:-1], sizes) + place // HALF, first
+    place = np.arange(int(sizes.sum())) - np.repeat(starts, sizes)
+    return np.repeat(first[:-1], sizes) + place // HALF, first
 
 
-def _passages(batch: pa.RecordBatch, terms: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """(passage, term) of each known word of the batch's passages that don't overlap, and their number."""
-    words, half, first = _halves(batch)
-    sizes = np.diff(first)
-    of_document = np.cumsum(-(-sizes // 2)) - -(-sizes // 2)
-    shift = np.repeat(of_document, sizes)  # by half
-    passage_of_half = shift + (np.arange(first[-1]) - np.repeat(first[:-1], sizes)) // 2
+def _passages(words: np.ndarray, sizes: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(passage, term) of each known word of the texts' passages, which don't overlap, and their number."""
+    half, first = _half_windows(sizes)
+    halves = np.diff(first)
+    of_document = np.cumsum(-(-halves // 2)) - -(-halves // 2)
+    shift = np.repeat(of_document, halves)  # by half
+    passage_of_half = shift + (np.arange(first[-1]) - np.repeat(first[:-1], halves)) // 2
     known = words < terms
-    return passage_of_half[half[known]], words[known], int((-(-sizes // 2)).sum())
+    return passage_of_half[half[known]], words[known], int((-(-halves // 2)).sum())
+
+
+def _numbers(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """All words of a batch, and how many each document has."""
+    return np.frombuffer(b"".join(batch.column("words").to_pylist()), np.int32), batch.column("size").to_numpy()
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,21 +165,11 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def document_frequencies(coded: DataFrame, terms: int) -> tuple[np.ndarray, int]:
-    """Passages that hold each term, and the number of passages."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(terms + 1, np.int64)
-        for batch in _pieces(batches):
-            row, term, n = _passages(batch, terms)
-            counts[:-1] += np.bincount(np.unique(row * terms + term) % terms, minlength=terms)
-            counts[-1] += n
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["term", "n"])
-
-    rows = coded.mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    """Passages that hold each term, and the number of passages, from the sums of the numbering."""
+    sums = coded.where(F.col("passages").isNotNull()).groupBy("size").agg(F.sum("passages").alias("n"))
     out = np.zeros(terms + 1, np.int64)
-    for r in rows:
-        out[r["term"]] = r["n"]
+    for r in sums.collect():  # a row per term of the benchmark
+        out[r["size"]] = r["n"]
     return out[:-1], int(out[-1])
 
 
@@ -166,13 +180,13 @@ def _tree_sum(coded: DataFrame, of_task: Callable[[Iterator[pa.RecordBatch]], np
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, part = of_task(batches), TaskContext.get().partitionId()
         for b in range(0, rows, TERM_BLOCK):
-            payload = total[b : b + TERM_BLOCK].astype(np.float64).tobytes()
+            payload = total[b : b + TERM_BLOCK].astype(np.float32).tobytes()
             yield pa.RecordBatch.from_pydict({"part": [part], "block": [b], "payload": [payload]}, schema=kinds)
 
     def add(table: pa.Table) -> pa.Table:
         order = np.argsort(table.column("part").to_numpy())  # the same order, the same sum
         payloads = table.column("payload")
-        total = sum(np.frombuffer(payloads[int(i)].as_py(), np.float64) for i in order)
+        total = sum(np.frombuffer(payloads[int(i)].as_py(), np.float32).astype(np.float64) for i in order).astype(np.float32)
         return pa.table({"part": [int(table.column("part").to_numpy().min()) // FAN], "block": [table.column("block")[0].as_py()], "payload": [total.tobytes()]}, kinds)
 
     kinds = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("payload", pa.binary())])
@@ -185,80 +199,84 @@ def _tree_sum(coded: DataFrame, of_task: Callable[[Iterator[pa.RecordBatch]], np
         parts = -(-parts // FAN)
     out = np.zeros(shape)
     for r in sums.collect():
-        block = np.frombuffer(r["payload"], np.float64).reshape(-1, width)
+        block = np.frombuffer(r["payload"], np.float32).reshape(-1, width)
         out[r["block"] : r["block"] + len(block)] += block
     return out
 
 
-class Sparse:
-    """A sparse matrix of passages by terms: the frequent terms' columns are dense, the rest is listed."""
+class Counts:
+    """A sparse matrix of word counts, rows by terms: frequent terms are dense columns, other words are listed.
 
-    def __init__(self, row: np.ndarray, term: np.ndarray, n: int, terms: int, frequent: np.ndarray, idf: np.ndarray):
-        """Each word (row, term), sorted by row, counts once, times the frequency weight of its term."""
+    Weights of terms go into what it is multiplied by, so that a listed word costs one gathered row and one
+    addition, repeated or not.
+    """
+
+    def __init__(self, row: np.ndarray, term: np.ndarray, n: int, terms: int, frequent: np.ndarray):
+        """Of each word its row, rising, and its term."""
         column = np.full(terms, -1)
         column[frequent] = np.arange(len(frequent))
         at = column[term]
         is_dense = at >= 0
         cells = row[is_dense] * len(frequent) + at[is_dense]
-        dense = np.bincount(cells, minlength=n * len(frequent)).astype(np.float32).reshape(n, len(frequent))
-        self.dense = dense * idf[frequent].astype(np.float32)
-        pairs, times = np.unique(row[~is_dense].astype(np.int64) * terms + term[~is_dense], return_counts=True)
-        self.row, self.term = pairs // terms, pairs % terms
-        self.weight = (times * idf[self.term]).astype(np.float32)
+        self.dense = np.bincount(cells, minlength=n * len(frequent)).astype(np.float32).reshape(n, len(frequent))
+        self.row, self.term = row[~is_dense], term[~is_dense]
         self.n, self.terms, self.frequent = n, terms, frequent
 
-    def normalised(self) -> Sparse:
-        """The matrix with rows of length one."""
-        square = np.einsum("ij,ij->i", self.dense, self.dense) + np.bincount(self.row, self.weight**2, self.n)
-        scale = (1 / np.sqrt(np.maximum(square, 1e-24))).astype(np.float32)
-        self.dense *= scale[:, None]
-        self.weight *= scale[self.row]
-        return self
+    def squares(self, idf: np.ndarray) -> np.ndarray:
+        """The squared length of each row, weighted by the frequency weights of the terms."""
+        pairs, times = np.unique(self.row.astype(np.int64) * self.terms + self.term, return_counts=True)
+        listed = np.bincount(pairs // self.terms, (times * idf[pairs % self.terms]) ** 2, self.n)
+        return listed + (self.dense**2) @ (idf[self.frequent] ** 2)
 
     @staticmethod
-    def _add_up(out: np.ndarray, to: np.ndarray, of: np.ndarray, weight: np.ndarray, x: np.ndarray) -> None:
-        """out[to] += x[of] * weight, for sorted `to`."""
+    def _add_up(out: np.ndarray, to: np.ndarray, of: np.ndarray, x: np.ndarray) -> None:
+        """out[to] += x[of], for sorted `to`."""
         step = max(1, NUMBERS // x.shape[1])
         for a in range(0, len(to), step):
             part = to[a : a + step]
             starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-            out[part[starts]] += np.add.reduceat(x[of[a : a + step]] * weight[a : a + step, None], starts, axis=0)
+            out[part[starts]] += np.add.reduceat(np.take(x, of[a : a + step], axis=0), starts, axis=0)
 
     def times(self, x: np.ndarray) -> np.ndarray:
         out = self.dense @ x[self.frequent]
-        self._add_up(out, self.row, self.term, self.weight, x)
+        self._add_up(out, self.row, self.term, x)
         return out
 
-    def transposed_times(self, y: np.ndarray) -> np.ndarray:
-        out = np.zeros((self.terms, y.shape[1]))
-        out[self.frequent] = self.dense.T @ y
+    def add_transposed_times(self, y: np.ndarray, out: np.ndarray) -> None:
+        out[self.frequent] += self.dense.T @ y
         order = np.argsort(self.term, kind="stable")
-        self._add_up(out, self.term[order], self.row[order], self.weight[order], y)
-        return out
+        self._add_up(out, self.term[order], self.row[order], y)
+
+    def add_gram_times(self, weighted: np.ndarray, idf: np.ndarray, out: np.ndarray) -> None:
+        """out += C' N C times x, for rows of length one by N; the weights of x are in it, those of out are not."""
+        squared = np.maximum(self.squares(idf), 1e-24).astype(np.float32)
+        self.add_transposed_times(self.times(weighted) / squared[:, None], out)
 
 
 def latent_space(coded: DataFrame, items: Items, idf: np.ndarray, frequent: np.ndarray, rank: int = RANK) -> np.ndarray:
     """Right singular vectors (terms x rank) of the TF-IDF passages of documents and items."""
     terms, width = len(idf), min(rank + OVERSAMPLE, len(idf))
     row = np.repeat(np.arange(len(items.words)), [len(w) for w in items.words])
-    own = Sparse(row, np.concatenate(items.words), len(items.words), terms, frequent[:0], idf).normalised()
+    own = Counts(row, np.concatenate(items.words), len(items.words), terms, frequent[:0])
     start = np.random.default_rng(0).standard_normal((terms, width)).astype(np.float32)
-    spread = coded.sparkSession.sparkContext.broadcast((start, idf, frequent))
+    weighted = (idf[:, None] * start).astype(np.float32)
+    spread = coded.sparkSession.sparkContext.broadcast((weighted, idf, frequent))
 
     def part(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        start, idf, frequent = spread.value
+        weighted, idf, frequent = spread.value
         total = np.zeros((terms + 1, width))
         for batch in _pieces(batches):
-            row, term, n = _passages(batch, terms)
-            matrix = Sparse(row, term, n, terms, frequent, idf).normalised()
-            total[:-1] += matrix.transposed_times(matrix.times(start))
+            row, term, n = _passages(*_numbers(batch), terms)
+            Counts(row, term, n, terms, frequent).add_gram_times(weighted, idf, total[:-1])
             total[-1, 0] += n
         return total
 
-    total = _tree_sum(coded, part, (terms + 1, width))
+    total = _tree_sum(coded.where(F.col("words").isNotNull()).select("words", "size"), part, (terms + 1, width))
+    mine = np.zeros((terms, width))
+    own.add_gram_times(weighted, idf, mine)
     # the items together weigh as much as all passages
     beta = max(1.0, total[-1, 0]) / len(items.words)
-    sketch = total[:-1] + beta * own.transposed_times(own.times(start))
+    sketch = idf[:, None] * (total[:-1] + beta * mine)
     # a small multiple of the identity keeps the form stable where A'A has few directions
     sketch += np.sqrt(terms) * np.finfo(np.float32).eps * np.linalg.norm(sketch) / np.sqrt(width) * start
     small = start.T.astype(np.float64) @ sketch
@@ -268,6 +286,63 @@ def latent_space(coded: DataFrame, items: Items, idf: np.ndarray, frequent: np.n
     return left[:, :rank].astype(np.float32)
 
 
+def anchors_of(items: Items, df: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+    """Of each term that is one of the rarest of an item: (item, the word's place in it)."""
+    out: dict[int, list[tuple[int, int]]] = {}
+    for i, words in enumerate(items.words):
+        distinct, place = np.unique(words, return_index=True)
+        for k in np.lexsort((distinct, df[distinct]))[:ANCHORS]:
+            out.setdefault(int(distinct[k]), []).append((i, int(place[k])))
+    return out
+
+
+class Candidates(NamedTuple):
+    """Items that may stand between two places of the words of a batch, and a half window there."""
+
+    item: np.ndarray
+    half: np.ndarray
+    document: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+
+def _by_anchors(words: np.ndarray, half: np.ndarray, owner: np.ndarray, begins: np.ndarray, sizes: np.ndarray, anchors: dict, members: Callable[[int], np.ndarray], known: list[np.ndarray], overlap: float) -> list[Candidates]:
+    """Where a rarest word of an item stands among enough other words of it.
+
+    A verbatim copy holds all rarest words of its item, in whatever text it stands and however short it
+    is, and so is always among these; the bound on the words around is what an overlap needs at least.
+    """
+    rare = np.zeros(int(words.max(initial=0)) + 1, bool)
+    rare[[t for t in anchors if t < len(rare)]] = True
+    places = np.flatnonzero(rare[words])
+    out = []
+    for term, at in _grouped(words[places], places):
+        for item, offset in anchors[term]:
+            size = len(known[item])
+            width = 2 * size
+            for a in range(0, len(at), max(1, NUMBERS // width)):
+                q = at[a : a + max(1, NUMBERS // width)]
+                d = owner[q]
+                low = np.maximum(begins[d], q - offset - size // 2)
+                high = np.minimum(begins[d] + sizes[d], low + width)
+                spot = low[:, None] + np.arange(width)
+                inside = members(item)[words[np.minimum(spot, len(words) - 1)]] & (spot < high[:, None])
+                enough = inside.sum(axis=1) >= overlap * size
+                q, d, low, high = q[enough], d[enough], low[enough], high[enough]
+                out.append(Candidates(np.full(len(q), item), half[q], d, low, high))
+    return out
+
+
+def _grouped(keys: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    if not len(keys):
+        return
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    for a, b in zip(starts, np.r_[starts[1:], len(keys)], strict=True):
+        yield int(keys[a]), values[a:b]
+
+
 def common_lengths(items: list[np.ndarray], regions: list[np.ndarray], other: int) -> np.ndarray:
     """Length of the longest common subsequence of each item and its region; words numbered `other` match nothing."""
     if not items:
@@ -293,6 +368,7 @@ def search(
     items: Items,
     space: np.ndarray,
     idf: np.ndarray,
+    df: np.ndarray,
     frequent: np.ndarray,
     id: str,
     least: float,
@@ -301,55 +377,61 @@ def search(
 ) -> DataFrame:
     """(id, item_id, cosine, overlap, answer_overlap) of every leak."""
     terms = len(idf)
-    own = np.stack([(space[w] * idf[w, None]).sum(axis=0) for w in items.words]).astype(np.float32)
+    basis = (space * idf[:, None]).astype(np.float32)
+    own = np.stack([basis[w].sum(axis=0) for w in items.words]).astype(np.float32)
     own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
-    spread = coded.sparkSession.sparkContext.broadcast((space, own, items._replace(terms={}), idf))
+    spread = coded.sparkSession.sparkContext.broadcast((basis, own, items._replace(terms={}), anchors_of(items, df)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        basis, targets, known, weights = spread.value
-        reach = max(map(len, known.words))
+        basis, targets, known, anchors = spread.value
+
+        @cache
+        def members(item: int) -> np.ndarray:
+            found = np.zeros(terms + 1, bool)
+            found[known.words[item]] = True
+            return found
+
         for batch in _pieces(batches):
-            words, half, first = _halves(batch)
+            words, sizes = _numbers(batch)
             if not len(words):
                 continue
+            half, first = _half_windows(sizes)
             inside = words < terms
             n = int(first[-1])
-            halves = Sparse(half[inside], words[inside], n, terms, frequent, weights).times(basis)
+            halves = Counts(half[inside], words[inside], n, terms, frequent).times(basis)
             # a window is a half and the next one of its document
             last = np.zeros(n, bool)
             last[first[1:][np.diff(first) > 0] - 1] = True
-            windows = halves + np.where(last[:, None], 0, np.append(halves[1:], halves[:1], axis=0))
-            norm = np.linalg.norm(windows, axis=1, keepdims=True)
-            windows /= np.maximum(norm, 1e-12)
-            sizes = batch.column("size").to_numpy()
-            begins = np.cumsum(sizes) - sizes
-            step = max(1, NUMBERS // len(targets))
+            halves[:-1] += np.where(last[:-1, None], np.float32(0), halves[1:])
+            halves /= np.maximum(np.linalg.norm(halves, axis=1, keepdims=True), 1e-12)
+            windows, begins = halves, np.cumsum(sizes) - sizes
+            owner = np.repeat(np.arange(len(sizes)), sizes)
             found: list[tuple] = []
+            some = _by_anchors(words, half, owner, begins, sizes, anchors, members, known.words, overlap)
+            lengths = np.array([len(w) for w in known.words])
+            step = max(1, NUMBERS // len(targets))
             for a in range(0, n, step):
-                cosine = windows[a : a + step] @ targets.T
-                w, k = np.nonzero(cosine >= least)
-                if not len(w):
-                    continue
-                document = np.searchsorted(first, a + w, side="right") - 1
-                for p in range(0, len(w), 4096):
-                    part = slice(p, p + 4096)
-                    regions, wanted, answers = [], [], []
-                    for x, i, d in zip(w[part], k[part], document[part], strict=True):
-                        at = begins[d] + (a + x - first[d]) * HALF
-                        size = len(known.words[i])
-                        low = max(begins[d], at - size)
-                        regions.append(words[low : min(begins[d] + sizes[d], at + 2 * HALF + size)])
-                        wanted.append(known.words[i])
-                        answers.append(known.answers[i])
-                    share = common_lengths(wanted, regions, terms) / [len(x) for x in wanted]
+                w, k = np.nonzero(windows[a : a + step] @ targets.T >= least)
+                if len(w):
+                    w = a + w
+                    document = np.searchsorted(first, w, side="right") - 1
+                    at = begins[document] + (w - first[document]) * HALF
+                    low = np.maximum(begins[document], at - lengths[k])
+                    high = np.minimum(begins[document] + sizes[document], at + 2 * HALF + lengths[k])
+                    some.append(Candidates(k, w, document, low, high))
+            for part in some:
+                for p in range(0, len(part.item), 4096):
+                    c = Candidates(*[x[p : p + 4096] for x in part])
+                    regions = [words[x:y] for x, y in zip(c.low, c.high, strict=True)]
+                    share = common_lengths([known.words[i] for i in c.item], regions, terms) / lengths[c.item]
                     sound = np.flatnonzero(share >= overlap)
-                    if len(sound):
-                        said = common_lengths([answers[s] for s in sound], [regions[s] for s in sound], terms)
-                        for s, q in zip(sound, said, strict=True):
-                            part_said = float(q) / len(answers[s]) if len(answers[s]) else None
-                            if part_said is None or part_said >= answer:
-                                x = p + s
-                                found.append((int(document[x]), known.ids[k[x]], float(cosine[w[x], k[x]]), float(share[s]), part_said))
+                    said = common_lengths([known.answers[c.item[x]] for x in sound], [regions[x] for x in sound], terms)
+                    for x, q in zip(sound, said, strict=True):
+                        i = int(c.item[x])
+                        part_said = float(q) / len(known.answers[i]) if len(known.answers[i]) else None
+                        if part_said is None or part_said >= answer:
+                            cosine = float(windows[c.half[x]] @ targets[i])
+                            found.append((int(c.document[x]), known.ids[i], cosine, float(share[x]), part_said))
             if found:
                 columns = list(zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays(
@@ -357,7 +439,8 @@ def search(
                     names=[id, *LEAKS],
                 )
 
-    rows = coded.mapInArrow(run, schema_with(coded, [id], LEAKS))
+    documents = coded.where(F.col("words").isNotNull()).select(id, "size", "words")
+    rows = documents.mapInArrow(run, schema_with(coded, [id], LEAKS))
     return rows.groupBy(id, "item_id").agg(*[F.round(F.max(c), 6).alias(c) for c in list(LEAKS)[1:]])
 
 
@@ -387,5 +470,5 @@ def leaks(
         idf = np.log((n + 1) / (df + 1)) + 1
         frequent = np.sort(np.argsort(-df, kind="stable")[:DENSE_TERMS])
         space = latent_space(coded, items, idf, frequent, rank)
-        out = out.union(search(coded, items, space, idf, frequent, id, least, overlap, answer))
+        out = out.union(search(coded, items, space, idf, df, frequent, id, least, overlap, answer))
     return out
