@@ -3,47 +3,68 @@
 Every stage takes (spark, docs, sf_dir) and returns a frame.  All but the last return the columns of
 their input.  Nothing is learnt from rows that an earlier stage has dropped.
 
-Rows without an id take part in every stage; stages that drop rows by id keep them.  Rows that
-repeat an id are copies of one document: near_duplicates keeps the first of them by text.
+Stages that drop rows judge each row by itself, known by its id and a hash of all its columns, whether
+the id is null or repeats.  What is to go is a narrow table written first; texts meet it by a broadcast
+where it is small.  Rows equal in every column are one document, of which near_duplicates keeps one.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm import bpe, decontaminate, language, pii, simhash
 from salesmart.llm.common import cut
 
 VOCABULARY = "byte_bpe_50k.json"
+_ROW = "__row"
+
+
+def row_key(docs: DataFrame) -> Column:
+    """A text that orders as the id, rows without one last, and tells apart rows that differ at all."""
+    columns = [F.col(c) for c in docs.columns]
+    # the id's bits with the sign turned, so that hex digits order as the numbers
+    place = F.lpad(F.hex(F.col("doc_id").cast("bigint").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    own = F.when(F.col("doc_id").isNull(), F.lit("n")).otherwise(place)
+    hashes = [F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)]
+    return F.concat(own, *[F.lpad(F.hex(h), 16, "0") for h in hashes])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(_ROW, row_key(docs))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows whose key is not in a column of keys."""
+    gone = cut(gone.toDF(_ROW).distinct())
+    return _keyed(docs).join(gone, _ROW, "left_anti").select(docs.columns)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; the declared one and the source are evidence."""
-    found = language.identify(docs, declared=F.col("lang"), host=F.col("source"))
-    return found.where("keep").select(docs.columns)
+    rows = _keyed(docs).select(_ROW, F.col("text").alias("__body"), F.col("lang").alias("__lang"), F.col("source").alias("__source"))
+    found = language.identify(rows, "__body", declared=F.col("__lang"), host=F.col("__source"), keep_text=False)
+    return _without(docs, found.where(~F.col("keep")).select(_ROW))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id."""
-    found = cut(simhash.near_duplicates(docs).select("doc_id", "component_id"))
-    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti")
-    repeated = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    if not repeated.isEmpty():
-        least = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id")
-        first = least.agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("r"))
-        kept = kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(
-            first.select("doc_id", "r.*").select(docs.columns)
-        )
-    return kept.select(docs.columns)
+    found = cut(simhash.near_duplicates(_keyed(docs), _ROW).select(_ROW, "component_id"))
+    kept = _without(docs, found.where(F.col(_ROW) != F.col("component_id")).select(_ROW))
+    # rows equal in every column have one key; of these few, one stays
+    repeated = cut(found.groupBy(_ROW).count().where("count > 1").select(_ROW))
+    if repeated.isEmpty():
+        return kept
+    rows = _keyed(kept)
+    once = rows.join(repeated, _ROW, "left_semi").dropDuplicates([_ROW])
+    return rows.join(repeated, _ROW, "left_anti").unionByName(once).select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
-    leaks = decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    leaks = decontaminate.leaks(_keyed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id=_ROW)
+    return _without(docs, leaks.select(_ROW))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
