@@ -92,7 +92,7 @@ def test_components_of_a_long_path(spark):
 @pytest.fixture(scope="module")
 def con():
     con = duckdb.connect()
-    for name in ("embeddings", "pages"):
+    for name in ("documents", "embeddings", "pages"):
         con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     return con
 
@@ -317,6 +317,34 @@ def test_quality_edge_cases(spark, documents):
     assert cotrain.score(frame.limit(0), cotrain.learn(frame.limit(0), labels.limit(0))).count() == 0
 
 
+def test_a_full_tile_needs_little_memory():
+    """4,096 queries against 4,096 vectors in strips: what bounds hold at a time stays small, results are the same."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    x = np.random.default_rng(0).standard_normal((2 * 4096, 64))
+    table = lambda first: pa.table({"vec_id": range(first, first + 4096), "embedding": list(x[first : first + 4096]), "cb": [0] * 4096})
+    queries, candidates = table(0), table(4096)
+    tracemalloc.start()
+    found = ann.tile(queries, candidates, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows == 40_960 and peak < 300e6
+    for q in (0, 255, 256, 4095):
+        exact = np.sqrt(((x[4096:] - x[q]) ** 2).sum(axis=1))
+        own = found.filter(pa.compute.equal(found.column("query_id"), q))
+        assert own.column("vec_id").to_pylist() == (4096 + np.argsort(exact)[:10]).tolist()
+
+
+def test_neighbours_leave_clashing_columns_alone(spark):
+    rows = [(i, [float(i), 1.0], "x", 7) for i in range(0, 900, 50)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string, rank int").withColumn("part", F.lit(1))
+    found = ann.neighbours(frame.withColumn("dim", F.lit("a")).withColumn("cb", F.lit(2)), nearest=2).collect()
+    assert {r.query_id for r in found} == set(range(0, 900, 100)) and len(found) == 18
+
+
 # --- decontamination -------------------------------------------------------------------------
 
 
@@ -346,6 +374,59 @@ def test_leaks_are_found_and_others_left_alone(spark, documents, tables):
     assert decontaminate.leaks(documents(clean[:3]), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_no_verbatim_copy_is_lost(spark, documents, tables):
+    """Short items among 2,000: a window of 32 words blurs them and the space has fewer dimensions than items."""
+    draw = random.Random(12)
+    pool = [decontaminate.word_list(r[1]) for r in tables("documents") if len(r[1].split()) > 80]
+    items = []
+    for i in range(2_000):
+        words, n = draw.choice(pool), draw.choice([8, 9, 10, 12, 15, 25, 40])
+        at = draw.randrange(len(words) - n)
+        items.append((i, " ".join(words[at : at + n])))
+    copies, changed = {}, {}
+    for k, (item, text) in enumerate(draw.sample(items, 240)):
+        words, host = text.split(), draw.choice(pool)
+        if k % 2:  # reworded: about a fifth of the words replaced
+            words = [draw.choice(host) if draw.random() < 0.2 else w for w in words]
+        at = draw.randrange(len(host))
+        (changed if k % 2 else copies)[50_000 + k] = (item, " ".join([*host[:at], *words, *host[at:]]))
+    docs = [(i, t) for i, (_, t) in (copies | changed).items()]
+    found = decontaminate.leaks(documents(docs * 2), spark.createDataFrame(items, "item_id long, text string"))
+    rows = found.collect()
+    pairs = {(r.doc_id, r.item_id) for r in rows}
+    assert len(rows) == len(pairs)  # repeated rows give a leak once
+    assert {(i, item) for i, (item, _) in copies.items()} <= pairs
+    near = {(i, item) for i, (item, _) in changed.items()}
+    kept = {
+        (i, item)
+        for i, (item, text) in changed.items()
+        if plain_overlap(decontaminate.word_list(items[item][1]), decontaminate.word_list(text)) >= 0.6
+    }
+    assert len(near & pairs) >= 0.9 * len(near) and len(kept & pairs) >= 0.97 * len(kept)
+
+
+def plain_overlap(a, b):
+    best = [0] * (len(b) + 1)
+    for x in a:
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(max(row[-1], best[j + 1], best[j] + (x == y)))
+        best = row
+    return best[-1] / len(a)
+
+
+def test_leaks_of_long_texts_and_blocks_of_items(spark, documents, tables, monkeypatch):
+    words = [w for r in tables("documents") for w in decontaminate.word_list(r[1])]
+    items = [(i, " ".join(words[97 * i : 97 * i + 20])) for i in range(30)]
+    long = " ".join([*words[:40_000], *words[97 * 7 : 97 * 7 + 20], *words[5_000:30_000]])
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    held = {i for i, t in items if f" {t} " in f" {long} "}
+    whole = {(r.doc_id, r.item_id) for r in decontaminate.leaks(documents([(1, long)]), frame).collect()}
+    assert {(1, i) for i in held} <= whole
+    monkeypatch.setattr(decontaminate, "ITEMS", 8)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(documents([(1, long)]), frame).collect()} >= {(1, i) for i in held}
+
+
 def test_leaks_without_the_last_sentence(spark, documents):
     """A plain passage has no answer to look for; a question's answer still decides."""
     draw = random.Random(9)
@@ -415,7 +496,46 @@ def test_pipeline_keeps_one_of_repeated_ids(documents):
     assert sorted((r.doc_id for r in found), key=str) == [1, 2, 3, None]
 
 
+def test_pipeline_judges_rows_by_themselves(spark, documents, tables):
+    """Rows without an id are dropped like others; of rows that share an id only the one that is meant."""
+    benchmark = tables("benchmark")
+    texts = [r[1] for r in tables("documents")][:6]
+    leak = f"{texts[3]} {benchmark[0][1]} {texts[3]}"
+    rows = [(1, texts[0]), (None, texts[0]), (2, texts[1]), (2, texts[2]), (7, texts[2]), (None, texts[4]), (None, texts[4])]
+    once = corpus_pipeline.near_duplicates(spark, documents(rows), SF_DIR).collect()
+    assert sorted(((r.doc_id, r.text) for r in once), key=str) == sorted(
+        [(1, texts[0]), (2, texts[1]), (2, texts[2]), (None, texts[4])], key=str
+    )
+    rows = [(None, leak), (None, "words of one's own"), (3, leak), (3, "other words of one's own"), (4, None)]
+    clean = corpus_pipeline.without_benchmark(spark, documents(rows), SF_DIR).collect()
+    assert sorted(r.text or "" for r in clean) == ["", "other words of one's own", "words of one's own"]
+    rows = [(None, texts[0]), (5, ""), (5, texts[1]), (None, "123 456")]
+    known = corpus_pipeline.known_language(spark, documents(rows), SF_DIR).collect()
+    assert sorted(r.text for r in known) == sorted([texts[0], texts[1]])
+
+
+def test_pipeline_stages_of_an_empty_table_and_of_clashing_columns(spark, documents):
+    names = ["keep", "language", "component_id", "item_id", "host", "declared"]
+    one = documents([(1, "the words of a text in a language that is known")])
+    for n in names:
+        one = one.withColumn(n, F.lit("own"))
+    for docs, n in ((documents([]), 0), (one, 1)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF_DIR)
+            assert out.count() == n, name
+            if name != "tokens":
+                assert out.columns == docs.columns
+
+
+def test_ids_order_as_numbers(spark, documents):
+    ids = [None, -(1 << 63), -5, -1, 0, 3, 20, (1 << 63) - 1]
+    rows = documents([(i, "x") for i in ids]).collect()
+    frame = documents([(r.doc_id, r.text) for r in rows])
+    keyed = frame.withColumn("k", corpus_pipeline.row_key(frame)).orderBy("k").collect()
+    assert [r.doc_id for r in keyed] == [*ids[1:], None]
+
+
 def test_queries_are_registered():
     numbers = [int(re.match(r"op(\d+)_", n)[1]) for n in registry.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(registry.QUERIES) | {"pipeline"} <= set(entry_points.queries())

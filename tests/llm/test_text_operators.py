@@ -50,6 +50,18 @@ def test_bpe_equals_the_library(spark, tables):
     assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
 
 
+def test_bpe_knows_every_character_as_the_library_does():
+    """Every code point beside a letter, a digit and an apostrophe gives the library's ids."""
+    library, own = Tokenizer.from_file(PATH), bpe.encoder(PATH)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    blocks = [points[i : i + 64] for i in range(0, len(points), 64)]
+    texts = [" ".join(f"{chr(c)}'s a{chr(c)}1{chr(c)}!" for c in block) for block in blocks]
+    ids, sizes = own.encode(texts)
+    expected = library.encode_batch(texts, add_special_tokens=False)
+    assert sizes.tolist() == [len(e.ids) for e in expected]
+    assert ids.tolist() == [i for e in expected for i in e.ids]
+
+
 def test_bpe_round_trip_keeps_columns(spark):
     frame = spark.createDataFrame([(t, "x") for t in ODD], "text string, ids string")
     back = bpe.decode(bpe.encode(frame, PATH), PATH).collect()
@@ -169,6 +181,23 @@ def test_declared_language_and_host_speak_where_the_text_does_not(documents):
     assert found[200] == "it" and found[201] == "es"
 
 
+def test_seventy_languages(documents):
+    """Each declared language is told apart, and a text without a declared one is known by its trigrams."""
+    draw = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [a + b for a in "klmnopq" for b in "abcdefghij"]
+    words = {n: ["".join(draw.choices(letters, k=5)) for _ in range(40)] for n in names}
+    text = lambda n: " ".join(draw.choices(words[n], k=60))
+    rows = [(100 * i + k, text(n), n, None, 1) for i, n in enumerate(names) for k in range(6)]
+    rows += [(100_000 + i, text(n), None, None, 1) for i, n in enumerate(names)]
+    rows += [(200_000, text("ka") + " " + "lang " * 300_000 + text("ka") * 3_000, "ka", None, 1)]  # very long
+    found = {r.doc_id: r for r in language.identify(documents(rows), declared=F.col("lang"), keep_text=False).collect()}
+    assert len(found) == len(rows)
+    for i, n in enumerate(names):
+        assert found[100_000 + i].language == n and found[100_000 + i].keep
+        assert found[100 * i].language == n
+
+
 def test_page_evidence(spark):
     frame = spark.createDataFrame([("https://www.Example.de:80/a?b", '<html lang="DE-at"><p>'), ("mailto:x", "<p>")], "url string, html string")
     rows = frame.select(*[c.alias(k) for k, c in language.page_evidence().items()]).collect()
@@ -210,6 +239,24 @@ def test_main_text_of_held_out_layouts():
     assert right >= 0.95 * total
 
 
+@pytest.mark.parametrize("tag", ["svg", "math", "object", "select", "video", "canvas", "template"])
+def test_unclosed_skipped_elements_end_with_the_element_around_them(tag):
+    page = f"<article><p>First one is here.</p><p>Second one <{tag}><path>lost</p><p>Third is here too.</p></article>"
+    assert main_text.extract(page, main_text.default_weights()) == "First one is here.\n\nSecond one\n\nThird is here too."
+    closed = page.replace("<path>lost", f"<b>lost</b></{tag}> goes on")
+    assert main_text.extract(closed, main_text.default_weights()).split("\n\n")[1:-1] == ["Second one", "goes on"]
+
+
+def test_pages_of_very_many_tags_take_time_in_proportion():
+    import time
+
+    main_text.default_weights()
+    for page in ("<div>", "<div></span2>", "<p><div>", "<li>", "<table><tr><td>", "<svg>", "<head>", "</p>"):
+        started = time.time()
+        main_text.extract(page * 100_000 + "<p>The end of it.", main_text.default_weights())
+        assert time.time() - started < 60
+
+
 def test_messages_give_exact_marginals():
     import itertools
     import math
