@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.calendar import month_index, year_month
-from salesmart.functions.rounding import money_over, money_sum, ratio, round_half_up
+from salesmart.functions.rounding import cents, money_over, money_sum, ratio, round_half_up
 from salesmart.operators.lookup import attach
-from salesmart.operators.ranking import add_rank, add_tile
+from salesmart.operators.ranking import add_rank, written
+from salesmart.operators.selection import add_tiles
 from salesmart.operators.series import daily_sales
 
 
@@ -118,7 +119,8 @@ def rfm_scores(star) -> DataFrame:
     """Recency, frequency and monetary scores of every customer with a non-return line.
 
     Recency counts from the end of the calendar, which lies a forecast horizon after the
-    last sale.  All ties are broken by the customer key.
+    last sale.  All ties are broken by the customer key.  The customers are written once and not
+    sorted: the borders of all three scores come from the same scans.
     """
     bought = star.sales("customer_key", "date", "net_sales", "is_return").where(
         F.col("is_return") == 0
@@ -139,15 +141,12 @@ def rfm_scores(star) -> DataFrame:
             "monetary",
         )
     )
-    tie = F.asc("customer_key")
-    tiles = star.settings.rfm_tiles
-    for name, order in [
-        ("r_score", F.desc("recency_days")),
-        ("f_score", F.asc("frequency")),
-        ("m_score", F.asc("monetary")),
-    ]:
-        customers = add_tile(customers, [order, tie], tiles, name)
-    return customers
+    orders = {
+        "r_score": -F.col("recency_days"),
+        "f_score": F.col("frequency"),
+        "m_score": cents(F.col("monetary")),
+    }
+    return add_tiles(written(customers), orders, "customer_key", star.settings.rfm_tiles)
 
 
 def rfm_segments(star) -> DataFrame:
