@@ -142,6 +142,16 @@ SQL = {
         f"""SELECT category, month_idx, {measures()}
             FROM fact JOIN dim_product USING (product_key) GROUP BY category, month_idx""",
     ),
+    "kpi_matrix": star_sql(
+        "fact dim_store",
+        f"""SELECT CAST(CASE grouping(region, category, year)
+                     WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 3 THEN 1 ELSE 0 END AS INTEGER) AS level,
+                   region, category, year,
+                   {measures('total_net_sales', 'gross_margin_pct', 'customer_count', 'sales_per_customer')}
+            FROM (SELECT f.*, region, category, CAST(year(date) AS INTEGER) AS year
+                  FROM fact f JOIN dim_product USING (product_key) JOIN dim_store USING (store_key))
+            GROUP BY ROLLUP (region, category, year)""",
+    ),
     "kpi_sliced": star_sql(
         "fact dim_store",
         f"""SELECT CAST(month(date) AS INTEGER) AS month,

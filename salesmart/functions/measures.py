@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from salesmart.functions.rounding import money_sum, ratio, round_half_up
-
-# name -> (fact columns it reads, aggregate); all of them add up from partial results
-SUMS = {
-    "net": ({"net_sales"}, lambda: money_sum(F.col("net_sales"))),
-    "gross": ({"gross_sales"}, lambda: money_sum(F.col("gross_sales"))),
-    "cost": ({"cost_amount"}, lambda: money_sum(F.col("cost_amount"))),
-    "margin": ({"gross_margin"}, lambda: money_sum(F.col("gross_margin"))),
-    "discount": ({"discount_amount"}, lambda: money_sum(F.col("discount_amount"))),
+from salesmart.functions.rounding import cents, ratio, round_half_up
+
+# base -> the fact column whose cents it sums
+MONEY = {
+    "net": "net_sales",
+    "gross": "gross_sales",
+    "cost": "cost_amount",
+    "margin": "gross_margin",
+    "discount": "discount_amount",
+}
+# base -> (fact columns it reads, aggregate over lines); all of them add up from partial results
+COUNTS = {
     "units": ({"quantity"}, lambda: F.sum("quantity")),
     "lines": (set(), lambda: F.count(F.lit(1))),
     "returns": ({"is_return"}, lambda: F.count_if(F.col("is_return") == 1)),
 }
+SUMS = [*MONEY, *COUNTS]
 # the one base that does not add up: distinct customers
 CUSTOMERS = "customers"
 
@@ -40,6 +44,29 @@ MEASURES = {
 }
 
 
+def columns_of(bases: list[str]) -> list[str]:
+    """The fact columns that the sums of these bases read."""
+    read = {MONEY[b] for b in bases if b in MONEY}
+    return sorted(read.union(*[COUNTS[b][0] for b in bases if b in COUNTS]))
+
+
+def partial(base: str) -> Column:
+    """A base summed over lines: money in whole cents, so that sums of sums stay exact."""
+    value = F.sum(cents(F.col(MONEY[base]))) if base in MONEY else COUNTS[base][1]()
+    return value.cast("bigint").alias(base)
+
+
+def merged(base: str) -> Column:
+    """Partial sums of a base added up, still in whole cents; nothing counted is 0, nothing summed is blank."""
+    total = F.sum(base)
+    return (F.coalesce(total, F.lit(0).cast("bigint")) if base in ("lines", "returns") else total).alias(base)
+
+
+def final(base: str) -> Column:
+    """A base as reports show it."""
+    return (F.col(base) / F.lit(100.0) if base in MONEY else F.col(base)).alias(base)
+
+
 def bases_of(names: list[str]) -> list[str]:
     """The bases the named measures are made of, each once."""
     parts = [base for name in names for base in MEASURES[name] if base]

@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.functions.measures import final, merged
 from salesmart.functions.rounding import money_sum
 from salesmart.operators.lookup import attach
 
 
 def daily_sales(star) -> DataFrame:
     """Net sales per day with sales."""
-    return star.sales("date", "net_sales").groupBy("date").agg(
-        money_sum(F.col("net_sales")).alias("net_sales")
-    )
+    return daily_by(star, [])
 
 
 def daily_by(star, by: list[str]) -> DataFrame:
-    """Net sales per day and any keys or attributes of the star."""
+    """Net sales per day and any keys or attributes of the star, from its day totals where it has them."""
+    totals = star.day_totals(by, ["net"])
+    if totals is not None:
+        return totals.groupBy("date", *by).agg(merged("net")).select("date", *by, final("net").alias("net_sales"))
     return star.sales("date", *by, "net_sales").groupBy("date", *by).agg(
         money_sum(F.col("net_sales")).alias("net_sales")
     )

@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 import datetime
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.calendar import Period, month_index, year_month
+from salesmart.functions.bitmaps import BITS, WORD, bit_of, members, word_of
+from salesmart.functions.bitmaps import merged as merged_bits
 from salesmart.functions.measures import (
     CUSTOMERS,
     MEASURES,
-    SUMS,
     bases_of,
+    columns_of,
+    final,
     margin_status,
     measure,
+    merged,
+    partial,
     trend_label,
 )
-from salesmart.functions.rounding import money_over, money_sum, ratio, side_by_side
+from salesmart.functions.rounding import money_over, ratio
 from salesmart.operators.series import daily_sales
 from salesmart.plans.analytics import monthly_sales
 
@@ -35,50 +38,73 @@ def kpi(
     ``by`` and the slicers take any key, attribute or calendar column of the star.  Only the
     columns the measures read are scanned, and only the dimensions named are joined.
 
-    Distinct customers are counted in a pass of their own over nothing but the groups and the
-    customer.  In one pass with the sums, every amount would be shuffled per customer; apart,
-    the sums shrink to the groups before they are shuffled.
+    Lines are read once.  With distinct customers, they are summed per group and word of 64
+    customers, whose bits tell who bought; these rows are then added up and their bits counted.
+    Sums alone come from the star's day totals where these know all columns asked for.
+    """
+    names = measures or list(MEASURES)
+    bases = bases_of(names)
+    return _final(_by_word(star, by, bases, slicers, during), by, bases).select(*by, *[measure(n) for n in names])
+
+
+def kpi_rollup(star, by: list[str], measures: list[str] | None = None, slicers=None, during=None) -> DataFrame:
+    """Measures at every level of ``by``: the groups, their subtotals from the right, and the total.
+
+    ``level`` is the number of columns that a row has a value of.  A customer of several groups
+    counts once in their subtotal: sets are merged, not counts.
     """
     names = measures or list(MEASURES)
     bases = bases_of(names)
+    words = [F.col(WORD)] if CUSTOMERS in bases else []
+    rows = _by_word(star, by, bases, slicers, during)
+    columns = [*[F.col(c) for c in by], *words]
+    levels = [[*columns[:n], *words] for n in range(len(by), -1, -1)]
+    kinds = F.grouping_id(*columns).alias("_id")
+    sets = [merged_bits(F.col(BITS)).alias(BITS)] if words else []
+    summed = rows.groupingSets(levels, *columns).agg(kinds, *[merged(b) for b in bases if b != CUSTOMERS], *sets)
+    # the id has a bit for each column that is summed over, the last column's the lowest
+    shift = len(words)
+    level = F.lit(len(by)) - F.bit_count(F.shiftright("_id", shift))
+    total = _final(summed.withColumn("level", level.cast("int")).drop("_id"), ["level", *by], bases)
+    return total.select("level", *by, *[measure(n) for n in names])
+
+
+def _by_word(star, by: list[str], bases: list[str], slicers, during) -> DataFrame:
+    """Partial sums per group, and per word of customers if these are counted."""
     sums = [b for b in bases if b != CUSTOMERS]
-    parts = []
-    if sums:
-        columns = sorted(set().union(*[SUMS[b][0] for b in sums]) - set(by))
-        lines = _sliced(star, [*by, *columns], slicers, during)
-        parts.append(lines.groupBy(*by).agg(*[SUMS[b][1]().alias(b) for b in sums]))
-    if CUSTOMERS in bases:
-        lines = _sliced(star, list(dict.fromkeys([*by, "customer_key"])), slicers, during)
-        parts.append(
-            lines.distinct().groupBy(*by).agg(F.count("customer_key").alias(CUSTOMERS))
-        )
-    return _by_group(parts, by).select(*by, *[measure(n) for n in names])
+    if CUSTOMERS not in bases:
+        totals = star.day_totals([*by, *(slicers or {})], sums, during)
+        if totals is not None:
+            return _kept(totals, slicers).groupBy(*by).agg(*[merged(b) for b in sums])
+        lines = _sliced(star, list(dict.fromkeys([*by, *columns_of(sums)])), slicers, during)
+        return lines.groupBy(*by).agg(*[partial(b) for b in sums])
+    columns = list(dict.fromkeys([*by, *columns_of(sums), "customer_key"]))
+    customer = F.col("customer_key")
+    lines = _sliced(star, columns, slicers, during)
+    return lines.groupBy(*by, word_of(customer).alias(WORD)).agg(
+        *[partial(b) for b in sums], merged_bits(bit_of(customer)).alias(BITS)
+    )
+
+
+def _final(rows: DataFrame, by: list[str], bases: list[str]) -> DataFrame:
+    """Words added up to groups; money as an amount."""
+    aggregates = [members(F.col(BITS)).alias(b) if b == CUSTOMERS else merged(b) for b in bases]
+    groups = rows.groupBy(*by).agg(*aggregates)
+    return groups.select(*by, *[F.col(b) if b == CUSTOMERS else final(b) for b in bases])
+
+
+def _kept(rows: DataFrame, slicers: dict[str, object] | None) -> DataFrame:
+    for column, allowed in (slicers or {}).items():
+        values = allowed if isinstance(allowed, (list, tuple, set)) else [allowed]
+        rows = rows.where(F.col(column).isin(list(values)))
+    return rows
 
 
 def _sliced(
     star, columns: list[str], slicers: dict[str, object] | None, during: Period | None
 ) -> DataFrame:
-    slicers = slicers or {}
-    extra = [c for c in slicers if c not in columns]
-    lines = star.sales(*columns, *extra, during=during)
-    for column, allowed in slicers.items():
-        values = allowed if isinstance(allowed, (list, tuple, set)) else [allowed]
-        lines = lines.where(F.col(column).isin(list(values)))
-    return lines.select(*columns)
-
-
-def _by_group(parts: list[DataFrame], by: list[str]) -> DataFrame:
-    """Results over the same groups side by side; a group's key may be null."""
-    if len(parts) == 1:
-        return parts[0]
-    if not by:
-        return side_by_side(parts)
-    first, second = parts
-    second = second.withColumnsRenamed({c: f"_{c}" for c in by})
-    same = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
-    )
-    return first.join(second, same).drop(*[f"_{c}" for c in by])
+    extra = [c for c in slicers or {} if c not in columns]
+    return _kept(star.sales(*columns, *extra, during=during), slicers).select(*columns)
 
 
 def kpi_base(star) -> DataFrame:
@@ -198,37 +224,32 @@ def kpi_yoy_daily(star) -> DataFrame:
 def new_returning(star) -> DataFrame:
     """Customers per month: all, first-time and returning.
 
-    Customers and months are made distinct before the shuffle, and the first month comes from
-    a window over a customer's own months, so the lines are read once.
+    A month's customers are a set of bits.  Those of all months before, an OR over a window of
+    each word of 64 customers, leave the first-time ones; the lines are read once, or not at all
+    where the star keeps the sets.
     """
-    months = (
-        star.sales("customer_key", "date")
-        .groupBy("customer_key", month_index(F.col("date")).alias("month_idx"))
-        .agg(F.min("date").alias("date"))
-    )
-    first = F.min("month_idx").over(Window.partitionBy("customer_key"))
+    earlier = Window.partitionBy(WORD).orderBy("month_idx").rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.coalesce(F.bit_or(BITS).over(earlier), F.lit(0).cast("bigint"))
+    fresh = F.col(BITS).bitwiseAND(F.bitwise_not(seen))
+    month = F.col("month_idx") - 1
+    label = F.format_string("%d-%02d", F.floor(month / 12).cast("int"), (month % 12 + 1).cast("int"))
     return (
-        months.withColumn("is_first", first == F.col("month_idx"))
-        .groupBy(year_month(F.col("date")).alias("ym"))
-        .agg(
-            F.count("*").cast("bigint").alias("customer_count"),
-            F.count_if("is_first").cast("bigint").alias("new_customers"),
+        star.month_customers().where(F.col(WORD).isNotNull())
+        .withColumn("new", fresh)
+        .groupBy("month_idx")
+        .agg(members(F.col(BITS)).alias("customer_count"), members(F.col("new")).alias("new_customers"))
+        .select(
+            label.alias("ym"), "customer_count", "new_customers",
+            (F.col("customer_count") - F.col("new_customers")).alias("returning_customers"),
         )
-        .withColumn("returning_customers", F.col("customer_count") - F.col("new_customers"))
     )
 
 
 def kpi_labels(star) -> DataFrame:
     """Per month of the calendar: growth against the prior year as text, and the margin's light."""
-    daily = star.sales("date", "net_sales", "gross_margin").groupBy("date").agg(
-        money_sum(F.col("net_sales")).alias("net_sales"),
-        money_sum(F.col("gross_margin")).alias("gross_margin"),
-    )
+    sums = kpi(star, ["month_idx"], ["total_net_sales", "gross_margin"])
+    sums = sums.withColumnRenamed("total_net_sales", "net_sales")
     day = F.col("date")
-    sums = daily.groupBy(month_index(day).alias("month_idx")).agg(
-        money_sum(F.col("net_sales")).alias("net_sales"),
-        money_sum(F.col("gross_margin")).alias("gross_margin"),
-    )
     months = star.dim_date.select(month_index(day).alias("month_idx"), year_month(day).alias("ym"))
     year_ago = F.col("sales_py")
     growth = ratio(_difference(F.col("net_sales"), year_ago), year_ago)

@@ -62,6 +62,9 @@ QUERIES = {
     # measures and time intelligence
     "kpi_base": kpis.kpi_base,
     "kpi_sliced": lambda star: kpis.kpi_sliced(star, SLICER_YEAR, SLICERS),
+    "kpi_matrix": lambda star: kpis.kpi_rollup(
+        star, ["region", "category", "year"], ["total_net_sales", "gross_margin_pct", "customer_count", "sales_per_customer"]
+    ),
     "sales_to_date": kpis.sales_to_date,
     "kpi_yoy": kpis.kpi_yoy,
     "kpi_yoy_daily": kpis.kpi_yoy_daily,

@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.functions import bitmaps
 from salesmart.functions.calendar import CALENDAR, Period, build_dim_date, date_of_key
 from salesmart.functions.sale_line import INPUTS, LINE_MEASURES
 from salesmart.operators.lookup import attach
@@ -70,13 +71,18 @@ class Star:
         """Columns that together identify a sale line."""
         raise NotImplementedError
 
-    def references(self, name: str) -> tuple[DataFrame, DataFrame, str]:
-        """The lines' references to a dimension before any look-up, the dimension, the column."""
-        raise NotImplementedError
+    def line_references(self, calendar: bool) -> tuple[DataFrame, dict[str, str]]:
+        """The lines' references to all dimensions before any look-up, in one scan; the column of each.
+
+        With ``calendar`` also their day, of the dimension "date".
+        """
+        on = dict(KEYS) | ({"date": "date_key"} if calendar else {})
+        return self.sales(*on.values()), on
 
-    def reference_columns(self) -> DataFrame:
-        """The lines' references to all dimensions and their day, in one scan."""
-        return self.sales(*KEYS.values(), "date_key")
+    def identified_references(self) -> tuple[DataFrame, list[str]]:
+        """The lines' references and day with their identity, in one scan; the columns that refer."""
+        lines, on = self.line_references(True)
+        return self.sales(*dict.fromkeys([*on.values(), *self.line_id])), list(on.values())
 
     def fact_sales(self) -> DataFrame:
         raise NotImplementedError
@@ -100,6 +106,18 @@ class Star:
         """
         raise NotImplementedError
 
+    def day_totals(self, columns: list[str], bases: list[str], during: Period | None = None) -> DataFrame | None:
+        """Kept sums (in cents) per day and store with ``columns``; None where only lines can tell."""
+        return None
+
+    def month_customers(self) -> DataFrame:
+        """(month_idx, word, bits): who bought in each month, as sets of customer keys."""
+        customer = F.col("customer_key")
+        months = self.sales("date", "customer_key").groupBy(
+            CALENDAR["month_idx"](F.col("date")).alias("month_idx"), bitmaps.word_of(customer).alias(bitmaps.WORD)
+        )
+        return months.agg(bitmaps.merged(bitmaps.bit_of(customer)).alias(bitmaps.BITS))
+
     def span(self) -> DataFrame:
         """One row: first and last date of the sale lines."""
         return self.sales("date").agg(
@@ -169,16 +187,19 @@ class ExtractStar(Star):
     def line_id(self) -> list[str]:
         return ["date", *[c for c in self.extracts.line_order if c != "date"]]
 
-    def references(self, name: str) -> tuple[DataFrame, DataFrame, str]:
-        key, natural_id = KEYS[name], DIMENSIONS[name][0]
-        lines = self.extracts.lines({key})
-        on = key if key in lines.columns else natural_id
-        return lines.select(on), self.dim(name).select(on), on
+    def _references(self, also: list[str]) -> tuple[DataFrame, dict[str, str]]:
+        lines = self.extracts.lines({*KEYS.values(), "date", *also})
+        on = {n: k if k in lines.columns else DIMENSIONS[n][0] for n, k in KEYS.items()}
+        kept = dict.fromkeys([*on.values(), *[c for c in also if c != "date_key"]])
+        return lines.select(*kept, CALENDAR["date_key"](F.col("date")).alias("date_key")), on
 
-    def reference_columns(self) -> DataFrame:
-        lines = self.extracts.lines({*KEYS.values(), "date"})
-        on = [k if k in lines.columns else DIMENSIONS[n][0] for n, k in KEYS.items()]
-        return lines.select(*on, CALENDAR["date_key"](F.col("date")).alias("date_key"))
+    def line_references(self, calendar: bool) -> tuple[DataFrame, dict[str, str]]:
+        lines, on = self._references([])
+        return (lines, on | {"date": "date_key"}) if calendar else (lines.drop("date_key"), on)
+
+    def identified_references(self) -> tuple[DataFrame, list[str]]:
+        lines, on = self._references(self.line_id)
+        return lines, [*on.values(), "date_key"]
 
     def fact_sales(self, during: Period | None = None, after: int = 0) -> DataFrame:
         """The fact with dense keys in date order, ties by the lines' own identity."""
@@ -224,7 +245,8 @@ class WarehouseStar(Star):
         return self.tables["dim_date"]
 
     def span(self) -> DataFrame:
-        keys = self.tables["fact_sales"].agg(
+        kept = "day_totals" if "day_totals" in self.tables else "fact_sales"
+        keys = self.tables[kept].agg(
             F.min("date_key").alias("first"), F.max("date_key").alias("last")
         )
         return keys.select(
@@ -239,13 +261,32 @@ class WarehouseStar(Star):
     def line_id(self) -> list[str]:
         return ["sale_key"]
 
-    def references(self, name: str) -> tuple[DataFrame, DataFrame, str]:
-        key = KEYS[name]
-        return self.tables["fact_sales"].select(key), self.dim(name).select(key), key
-
     def fact_sales(self) -> DataFrame:
         return self.tables["fact_sales"].select(*FACT_SALES.names)
 
+    def day_totals(self, columns: list[str], bases: list[str], during: Period | None = None) -> DataFrame | None:
+        """The maintained totals answer for any calendar column, the store's key and its attributes."""
+        attributes = [c for c in STORE if c in columns]
+        if "day_totals" not in self.tables or not set(columns) <= {*CALENDAR, "store_key", *STORE}:
+            return None
+        kept = self.tables["day_totals"]
+        if during:
+            first, last = during.keys()
+            kept = kept.where(F.col("year_month").between(first // 100, last // 100))
+            kept = kept.where(F.col("date_key").between(first, last))
+        kept = kept.withColumn("date", date_of_key(F.col("date_key")))
+        if attributes:
+            kept = attach(kept, self.dim_store.select("store_key", *attributes), "store_key")
+        wanted = [c for c in dict.fromkeys(["date", *columns]) if c not in bases]
+        return kept.select(*[_column(c, {}).alias(c) for c in wanted], *bases)
+
+    def month_customers(self) -> DataFrame:
+        if "month_customers" not in self.tables:
+            return super().month_customers()
+        month = F.col("year_month")
+        index = F.floor(month / 100).cast("int") * 12 + month % 100
+        return self.tables["month_customers"].select(index.alias("month_idx"), bitmaps.WORD, bitmaps.BITS)
+
     def sales(self, *columns: str, during: Period | None = None) -> DataFrame:
         needed = set(columns) - set(CALENDAR)
         if any(c in CALENDAR for c in columns):
@@ -300,10 +341,6 @@ class ScenarioStar(Star):
         """The masters and raw lines stay those of the base."""
         return self.base.extracts
 
-    def references(self, name: str) -> tuple[DataFrame, DataFrame, str]:
-        key = KEYS[name]
-        return self.sales(key), self.dim(name).select(key), key
-
     def fact_sales(self) -> DataFrame:
         """The changed lines, numbered anew in date order."""
         extra = [c for c in self.line_id if c not in FACT_SALES.names[1:] and c != "date"]

@@ -48,6 +48,12 @@ FACT_SALES = _struct(
     "discount_amount double, net_sales double, cost_amount double, gross_margin double, "
     "is_return int"
 )
+# kept beside the star: sums per day and store in whole cents, and each month's customers as bits
+DAY_TOTALS = _struct(
+    "date_key int, store_key long, net long, gross long, cost long, margin long, discount long, "
+    "units long, lines long, returns long"
+)
+MONTH_CUSTOMERS = _struct("word long, bits long")
 FORECAST_DAILY = _struct(
     "date date, actual double, forecast double, lower_bound double, upper_bound double, "
     "segment string"
@@ -64,4 +70,5 @@ STAR_TABLES = {
     "dim_customer": DIM_CUSTOMER,
     "fact_sales": FACT_SALES,
 }
+MONTHLY_TABLES = {"fact_sales": FACT_SALES, "day_totals": DAY_TOTALS, "month_customers": MONTH_CUSTOMERS}
 MART_TABLES = {"forecast_daily": FORECAST_DAILY, "anomalies": ANOMALIES}

@@ -7,10 +7,10 @@ from conftest import CUSTOMERS, PRODUCTS, STORES, day, sale
 
 from salesmart import jobs, schema
 from salesmart.functions.calendar import Period
-from salesmart.operators import quality, scenario
+from salesmart.operators import anomalies, quality, scenario
 from salesmart.plans import analytics, kpis, reports
-from salesmart.plans.star import ExtractStar
-from salesmart.sources import extracts, warehouse
+from salesmart.plans.star import ExtractStar, WarehouseStar
+from salesmart.sources import extracts, snapshots, warehouse
 
 SALES = [
     sale(1, "2024-01-05"),
@@ -216,3 +216,105 @@ def test_pipeline(spark, tiny, tmp_path):
     check = quality.anomaly_checks(found).first()
     assert (check.bad_flags, check.bad_directions, check.has_anomaly) == (0, 0, 1)
     assert bad.count() == 0 and found.count() == result["anomalies"]["store_days"]
+
+
+FIRST = [sale(1, "2024-01-05", customer="C1"), sale(2, "2024-02-10", quantity=2), sale(3, "2024-02-20", product="P2", store="S2", price=100.0)]
+LATER = [sale(4, "2024-02-21", customer="C2", quantity=7), sale(5, "2024-03-02", customer="C3")]
+FEBRUARY_MARCH = Period(day("2024-02-01"), day("2024-03-31"))
+
+
+def contents(star):
+    return {name: sorted(frame.collect(), key=str) for name, frame in star.tables.items()}
+
+
+@pytest.mark.parametrize("fails_at", ["write_months", "commit"])
+def test_a_refresh_that_fails_leaves_the_old_version(spark, build, tmp_path, monkeypatch, fails_at):
+    path = str(tmp_path)
+    warehouse.write_star(build(FIRST), path)
+    before = contents(warehouse.read_star(spark, path))
+
+    def fail(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(snapshots, fails_at, fail)
+    with pytest.raises(OSError, match="lost"):
+        warehouse.refresh(build(LATER), path, FEBRUARY_MARCH)
+    monkeypatch.undo()
+    assert list((tmp_path / "dim_date").glob("commit=*"))[1:]  # the dimensions had been written
+    after = warehouse.read_star(spark, path)
+    assert contents(after) == before and snapshots.versions(spark, path) == [1]
+    assert quality.orphans(after).where("orphans > 0").count() == 0
+    gone = snapshots.remove_versions(spark, path)
+    assert any(g.startswith("dim_date/") for g in gone) and contents(after) == before
+    assert warehouse.refresh(build(LATER), path, FEBRUARY_MARCH) == [202402, 202403]
+    assert snapshots.versions(spark, path) == [1, 2]
+
+
+def test_a_reader_keeps_its_version(spark, build, tmp_path):
+    path = str(tmp_path)
+    held = warehouse.write_star(build(FIRST), path)
+    before = contents(held)
+    lines = held.sales("date", "net_sales", "customer_id", "store_name")
+    warehouse.refresh(build(LATER), path, FEBRUARY_MARCH)
+    warehouse.write_star(build(LATER), path)
+    assert contents(held) == before and lines.count() == 3
+    assert contents(warehouse.read_star(spark, path, version=1)) == before
+    assert snapshots.versions(spark, path) == [1, 2, 3]
+    second = contents(warehouse.read_star(spark, path, version=2))
+    gone = snapshots.remove_versions(spark, path, keep=2)
+    assert any(g.startswith("manifests/") for g in gone)
+    # version 2 still needs January as version 1 wrote it
+    assert contents(warehouse.read_star(spark, path, version=2)) == second
+    with pytest.raises(snapshots.NoVersion):
+        warehouse.read_star(spark, path, version=1)
+    assert snapshots.remove_versions(spark, path, keep=2) == []
+
+
+def test_two_writers_of_one_version(spark, build, tmp_path):
+    path = str(tmp_path)
+    warehouse.write_star(build(FIRST), path)
+    manifest = snapshots.read_manifest(spark, path)
+    snapshots.commit(spark, path, manifest)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        snapshots.commit(spark, path, manifest)
+    with pytest.raises(snapshots.NoVersion):
+        warehouse.read_star(spark, str(tmp_path / "elsewhere"))
+
+
+def test_kept_totals_equal_the_lines(spark, build, tmp_path):
+    """After a late correction, a deleted month and a full load, every kept sum is that of the lines."""
+    path = str(tmp_path)
+    star = build(SALES)
+    warehouse.write_star(star, path)
+    corrected = [sale(2, "2024-02-10", quantity=5, customer="C7"), sale(9, "2024-02-29", store="S2", discount=0.1)]
+    deleted = [sale(10, "2024-04-02")]
+    steps = [(corrected, Period(day("2024-02-01"), day("2024-02-29"))), (deleted, Period(day("2024-03-01"), day("2024-04-30")))]
+    for lines, period in steps:
+        warehouse.refresh(build(lines), path, period)
+        kept = warehouse.read_star(spark, path)
+        assert "day_totals" in kept.tables
+        plain = WarehouseStar(spark, {n: kept.tables[n] for n in schema.STAR_TABLES}, kept.settings)
+        for query in [
+            kpis.kpi_yoy, kpis.kpi_mom, kpis.rolling_months, kpis.sales_to_date, kpis.kpi_yoy_daily, kpis.new_returning,
+            kpis.kpi_labels, reports.store_yoy, reports.exec_trend, analytics.monthly_yoy, anomalies.anomalies,
+            lambda s: kpis.kpi(s, ["region", "year"], ["total_net_sales", "total_quantity", "return_rate_pct"]),
+            lambda s: kpis.kpi(s, ["store_name"], ["gross_margin_pct"], {"month": [2, 4]}, Period(day("2024-02-02"), day("2024-04-30"))),
+        ]:
+            assert sorted(query(kept).collect(), key=str) == sorted(query(plain).collect(), key=str)
+    months = {r.ym: r.customer_count for r in kpis.new_returning(kept).collect()}
+    assert months == {"2024-01": 1, "2024-02": 2, "2024-04": 1}
+
+
+def test_a_refresh_reads_no_line_outside_its_period(spark, build, tmp_path):
+    """The other months' files may even be gone; time intelligence reads totals only."""
+    path = str(tmp_path)
+    first = warehouse.write_star(build(SALES), path)
+    january = list((tmp_path / "fact_sales").glob("commit=*/year_month=202401"))
+    (january[0]).rename(tmp_path / "elsewhere")
+    warehouse.refresh(build(LATER), path, FEBRUARY_MARCH)
+    (tmp_path / "elsewhere").rename(january[0])
+    kept = warehouse.read_star(spark, path)
+    assert kept.fact_sales().count() == 3
+    files = kpis.rolling_months(kept).inputFiles()
+    assert files and not any("/fact_sales/" in f for f in files)
+    assert not any("/fact_sales/" in f for f in kpis.new_returning(first).inputFiles())
