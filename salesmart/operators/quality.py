@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions.rounding import side_by_side
 from salesmart.functions.typing import misfits, typed
 from salesmart.plans.star import DIMENSIONS, KEYS
 
@@ -33,37 +32,49 @@ def load_audit(star) -> DataFrame:
     )
 
 
-def orphans(star) -> DataFrame:
-    """Sale lines per dimension whose reference is not in the dimension.
+def _stacked(rows: DataFrame, on: dict[str, str]) -> DataFrame:
+    """(dimension, key) of several columns below each other, as text, in one scan; ``on`` maps names to columns."""
+    entries = [F.struct(F.lit(n).alias("dimension"), F.col(c).cast("string").alias("key")) for n, c in on.items()]
+    return rows.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+
+
+def references(star, calendar: bool) -> DataFrame:
+    """(dimension, lines, missing) of every dimension: lines, and those whose key it does not have.
 
-    References are counted per key first, so a key on very many lines travels as one row.
+    The lines are read once.  Their references are stacked and counted per dimension and key in each
+    task, so a key of very many lines travels as one row, and meet the stacked keys of all dimensions
+    in one join.  A null key is never found.
     """
-    parts = []
-    for name in DIMENSIONS:
-        lines, dim, on = star.references(name)
-        parts.append(_orphan_count(f"dim_{name}", lines, dim, on))
-    days = star.sales("date_key")
-    parts.append(_orphan_count("dim_date", days, star.dim_date.select("date_key"), "date_key"))
-    return _union(parts)
+    lines, on = star.line_references(calendar)
+    known = {n: _stacked(star.dim(n), {n: c}) for n, c in on.items()}
+    dims = _union(list(known.values())).where(F.col("key").isNotNull()).distinct().withColumn("known", F.lit(1))
+    counted = _stacked(lines, on).groupBy("dimension", "key").agg(F.count("*").alias("lines"))
+    met = counted.join(dims, ["dimension", "key"], "left")
+    missing = F.sum(F.when(F.col("known").isNull(), F.col("lines")).otherwise(0))
+    return met.groupBy("dimension").agg(F.sum("lines").alias("lines"), missing.alias("missing"))
 
 
-def _orphan_count(label: str, lines: DataFrame, dim: DataFrame, on: str) -> DataFrame:
-    per_key = lines.groupBy(on).agg(F.count("*").alias("lines"))
-    missing = per_key.join(dim, on, "left_anti")
-    total = F.coalesce(F.sum("lines"), F.lit(0)).cast("bigint").alias("orphans")
-    return missing.agg(total).select(F.lit(label).alias("dimension"), "orphans")
+def orphans(star) -> DataFrame:
+    """Sale lines per dimension whose reference is not in the dimension."""
+    names = star.spark.createDataFrame([(n,) for n in [*DIMENSIONS, "date"]], "dimension string")
+    found = names.join(references(star, calendar=True), "dimension", "left")
+    return found.select(
+        F.concat(F.lit("dim_"), "dimension").alias("dimension"),
+        F.coalesce("missing", F.lit(0)).cast("bigint").alias("orphans"),
+    )
 
 
 def lookup_audit(star) -> DataFrame:
     """One row: sale lines, and how many have no known product, store or customer."""
-    parts = {row: star.references(row) for row in DIMENSIONS}
-    counts = [
-        _orphan_count(name, *pair).select(F.col("orphans").alias(f"missing_{name}"))
-        for name, pair in parts.items()
-    ]
-    first = next(iter(parts.values()))[0]
-    total = first.agg(F.count("*").cast("bigint").alias("line_count"))
-    return side_by_side([total, *counts])
+    found = references(star, calendar=False)
+
+    def of(name: str, value: str):
+        return F.coalesce(F.sum(F.when(F.col("dimension") == name, F.col(value))), F.lit(0)).cast("bigint")
+
+    first = next(iter(DIMENSIONS))
+    return found.agg(
+        of(first, "lines").alias("line_count"), *[of(n, "missing").alias(f"missing_{n}") for n in DIMENSIONS]
+    )
 
 
 def returns_sign(star) -> DataFrame:
@@ -87,18 +98,6 @@ def calendar_cover(star) -> DataFrame:
     )
 
 
-def _null_checks(table: str, frame: DataFrame) -> DataFrame:
-    """Null rows of every column of a frame, in one scan."""
-    counts = frame.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in frame.columns])
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_count")) for c in frame.columns]
-    return counts.select(F.explode(F.array(*rows)).alias("r")).select(
-        F.lit(table).alias("table_name"),
-        "r.column_name",
-        F.col("r.null_count").cast("bigint").alias("null_count"),
-        F.lit(0).cast("bigint").alias("duplicate_count"),
-    )
-
-
 def _unique_check(table: str, frame: DataFrame, column: str) -> DataFrame:
     """Null and surplus rows of one column.  Values are counted per key before the shuffle."""
     per_value = frame.groupBy(column).agg(F.count("*").alias("n"))
@@ -114,18 +113,34 @@ def _unique_check(table: str, frame: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _identity_check(star) -> DataFrame:
-    """Lines that share their identity; the fact's key is numbered by it and must be unique."""
-    per_line = star.sales(*star.line_id).groupBy(*star.line_id).agg(F.count("*").alias("n"))
-    incomplete = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in star.line_id])
-    nulls = F.sum(F.when(incomplete, F.col("n")).otherwise(0))
+def _line_checks(star) -> DataFrame:
+    """Lines without a reference, and lines that share their identity, from one scan.
+
+    The fact's key is numbered by the identity, which must be whole and unique.  Null references are
+    counted with the lines of each identity, in the same partial sums.
+    """
+    lines, columns = star.identified_references()
+    identity = star.line_id
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(columns)]
+    per_line = lines.groupBy(*[F.col(c).alias(f"id_{i}") for i, c in enumerate(identity)]).agg(
+        F.count("*").alias("n"), *nulls
+    )
+    incomplete = reduce(lambda a, b: a | b, [F.col(f"id_{i}").isNull() for i in range(len(identity))])
+    checks = [(c, F.sum(f"null_{i}"), F.lit(0)) for i, c in enumerate(columns)]
     extra = F.sum(F.when(incomplete, 0).otherwise(F.col("n") - 1))
-    return per_line.agg(nulls.alias("nulls"), extra.alias("duplicates")).select(
-        F.lit("fact_sales").alias("table_name"),
-        F.lit("sale_key").alias("column_name"),
-        F.coalesce(F.col("nulls"), F.lit(0)).cast("bigint").alias("null_count"),
-        F.coalesce(F.col("duplicates"), F.lit(0)).cast("bigint").alias("duplicate_count"),
+    checks.append(("sale_key", F.sum(F.when(incomplete, F.col("n")).otherwise(0)), extra))
+    counted = per_line.agg(
+        *[f(value).alias(f"{kind}_{i}") for i, (_, a, b) in enumerate(checks) for kind, value, f in (("nulls", a, _or_zero), ("extra", b, _or_zero))]
     )
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.col(f"nulls_{i}").alias("null_count"), F.col(f"extra_{i}").alias("duplicate_count"))
+        for i, (c, _, _) in enumerate(checks)
+    ]
+    return counted.select(F.explode(F.array(*rows)).alias("r")).select(F.lit("fact_sales").alias("table_name"), "r.*")
+
+
+def _or_zero(value: Column) -> Column:
+    return F.coalesce(value, F.lit(0)).cast("bigint")
 
 
 def dimension_constraints(name: str, dim: DataFrame) -> DataFrame:
@@ -138,9 +153,7 @@ def constraints(star) -> DataFrame:
     """Primary keys and natural ids unique and present; the fact's references present."""
     parts = [dimension_constraints(name, star.dim(name)) for name in DIMENSIONS]
     parts += [_unique_check("dim_date", star.dim_date, c) for c in ["date_key", "date"]]
-    parts.append(_null_checks("fact_sales", star.reference_columns()))
-    parts.append(_identity_check(star))
-    return _union(parts)
+    return _union([*parts, _line_checks(star)])
 
 
 def anomaly_checks(found: DataFrame) -> DataFrame:
