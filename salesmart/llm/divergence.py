@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.bitmap import bitmap, found
 from salesmart.llm.common import cut, pieces
-from salesmart.llm.words import counted, hashes, kinds, split_words
+from salesmart.llm.words import counted, flat_bytes, hashes, kinds, split_words
 
 LEAST = 30
 TOP = 50
@@ -47,13 +47,12 @@ BLOCK, CHUNK = 128, 8192
 PIECE = 1 << 20
 
 _KIND = kinds([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
-_BLANK = kinds(b" ")
 _TERMS = "lang string, source string, terms binary, counts binary"
 
 
 def document_terms(texts: DataFrame) -> DataFrame:
-    """(lang, source, terms, counts): the distinct terms of every document, with blanks between them, and
-    their occurrences as 4-byte numbers; one value for each document, however many terms it has."""
+    """(lang, source, terms, counts): the distinct terms of every document, a blank after each, and their
+    occurrences as 4-byte numbers; one value for each document, however many terms it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,10 +61,11 @@ def document_terms(texts: DataFrame) -> DataFrame:
                 size = max(1, len(words.distinct))
                 codes, n = counted(words.owner.astype(np.int64) * size + words.code)
                 ends = np.searchsorted(codes, np.arange(piece.num_rows + 1, dtype=np.int64) * size)
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), words.distinct.take(pa.array(codes % size)))
+                ended = pc.binary_join_element_wise(words.distinct, pa.scalar(b" ", pa.binary()), pa.scalar(b"", pa.binary()))
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ended.take(pa.array(codes % size)))
                 raw = n.astype(np.int32).tobytes()
                 counts = pa.array([raw[4 * a : 4 * b] for a, b in zip(ends, ends[1:], strict=False)], pa.binary())
-                joined = pc.binary_join(lists, pa.scalar(b" ", pa.binary()))
+                joined = pc.binary_join(lists, pa.scalar(b"", pa.binary()))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("lang"), piece.column("source"), joined, counts], names=["lang", "source", "terms", "counts"]
                 )
@@ -92,8 +92,14 @@ def _coded(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 def _entries(piece: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct terms of some documents; of every (document, term) the term's place and the document."""
-    found = split_words(piece.column("terms"), _BLANK)
-    return found.distinct, found.code, found.owner.astype(np.int64)
+    data, ends = flat_bytes(piece.column("terms"))
+    stops = np.flatnonzero(data == ord(" ")) + 1
+    buffers = [None, pa.py_buffer(np.append(0, stops).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(stops), buffers).dictionary_encode()
+    sizes = np.diff(np.searchsorted(stops, ends, side="right"))
+    code = found.indices.to_numpy() if len(stops) else np.zeros(0, np.int32)
+    terms = pc.binary_slice(found.dictionary.cast(pa.binary()), 0, -1)  # without the blank
+    return terms, code, np.repeat(np.arange(piece.num_rows), sizes)
 
 
 def level_counts(documents: DataFrame, shorter: int, length: int, survivors: np.ndarray | None) -> DataFrame:
