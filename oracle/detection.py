@@ -96,6 +96,14 @@ REFS = """SELECT l_partkey AS product_key, l_suppkey AS store_key, o_custkey AS
 TYPES = {"date": "DATE", "product_key": "BIGINT", "quantity": "INTEGER", "net_sales": "DOUBLE"}
 SPARK_TYPES = {"date": "date", "product_key": "bigint", "quantity": "int", "net_sales": "double"}
 
+TEXTS = "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in TYPES) + " FROM fact"
+DEFECTIVE = """
+    SELECT CASE WHEN date LIKE '%-31' THEN '31/' || substr(date, 6, 2) ELSE date END AS date,
+           CASE WHEN product_key LIKE '%7' THEN 'P' || product_key ELSE product_key END AS product_key,
+           CASE quantity WHEN '13' THEN 'a dozen' WHEN '-13' THEN NULL ELSE quantity END AS quantity,
+           CASE WHEN quantity = '50' THEN net_sales || ' EUR' ELSE net_sales END AS net_sales
+    FROM texts"""
+
 SQL = {
     "store_daily": star_sql(
         "fact dim_store",
@@ -222,6 +230,12 @@ SQL = {
         FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM lineitem),
              (VALUES ('date'), ('product_key'), ('store_key'), ('customer_key'), ('quantity'))
                  AS c(column_name)""",
+    "raw_profile_header": """
+        SELECT column_name, CASE WHEN column_name = 'promo_code' THEN 0 ELSE 1 END AS is_present, n AS row_count,
+               CASE WHEN n > 1000000 THEN 1 ELSE 0 END AS has_enough_rows
+        FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM lineitem),
+             (VALUES ('date'), ('product_key'), ('store_key'), ('customer_key'), ('quantity'), ('promo_code'))
+                 AS c(column_name)""",
     "lookup_audit": star_sql(
         "dim_product dim_store dim_customer",
         """SELECT CAST(count(*) AS BIGINT) AS line_count,
@@ -304,4 +318,24 @@ SQL = {
         ),
         texts="SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in TYPES) + " FROM fact",
     ),
+    "mart_type_check_defects": star_sql(
+        "fact",
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, '{SPARK_TYPES[c]}' AS column_type,
+                       CAST(count({c}) AS BIGINT) AS filled,
+                       CAST(count({c}) - count(TRY_CAST({c} AS {t})) AS BIGINT) AS rejected
+                FROM defective"""
+            for c, t in TYPES.items()
+        ),
+        texts=TEXTS,
+        defective=DEFECTIVE,
+    ),
+    "mart_rejects": star_sql(
+        "fact",
+        "SELECT quantity, CAST(count(*) AS BIGINT) AS rejected_rows FROM defective WHERE "
+        + " OR ".join(f"({c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL)" for c, t in TYPES.items())
+        + " GROUP BY quantity",
+        texts=TEXTS,
+        defective=DEFECTIVE,
+    ),
 }

@@ -42,6 +42,20 @@ def _text_lines(star):
     lines = star.sales(*types)
     return lines.select(*[F.col(c).cast("string").alias(c) for c in types]), types
 
+
+def _defective_lines(star):
+    """The same text with what hand-kept extracts hold: words for numbers, other date formats, blanks."""
+    lines, types = _text_lines(star)
+    quantity, day = F.col("quantity"), F.col("date")
+    return lines.select(
+        F.when(F.substring(day, 9, 2) == "31", F.concat(F.lit("31/"), F.substring(day, 6, 2))).otherwise(day).alias("date"),
+        F.when(F.substring(F.col("product_key"), -1, 1) == "7", F.concat(F.lit("P"), "product_key"))
+        .otherwise(F.col("product_key")).alias("product_key"),
+        F.when(quantity == "13", "a dozen").when(quantity == "-13", None).otherwise(quantity).alias("quantity"),
+        F.when(quantity == "50", F.concat("net_sales", F.lit(" EUR"))).otherwise(F.col("net_sales")).alias("net_sales"),
+    ), types
+
+
 QUERIES = {
     # star tables
     "dim_date": lambda star: star.dim_date,
@@ -148,6 +162,9 @@ QUERIES = {
     "raw_profile": lambda star: extracts.profile(
         star.extracts.lines(set(REQUIRED)), REQUIRED, 1000
     ),
+    "raw_profile_header": lambda star: extracts.profile(
+        star.extracts.lines(set(REQUIRED)), [*REQUIRED, "promo_code"], 1_000_000, star.extracts.lines(set(REQUIRED)).columns
+    ),
     "lookup_audit": quality.lookup_audit,
     "dq_orphans": quality.orphans,
     "dq_returns_sign": quality.returns_sign,
@@ -155,4 +172,8 @@ QUERIES = {
     "dq_constraints": quality.constraints,
     "dq_anomalies": lambda star: quality.anomaly_checks(anomalies.anomalies(star)),
     "mart_type_check": lambda star: quality.type_check(*_text_lines(star)),
+    "mart_type_check_defects": lambda star: quality.type_check(*_defective_lines(star)),
+    "mart_rejects": lambda star: quality.typed_or_rejected(*_defective_lines(star))[1].groupBy("quantity").agg(
+        F.count("*").cast("bigint").alias("rejected_rows")
+    ),
 }

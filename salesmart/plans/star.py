@@ -309,9 +309,16 @@ class WarehouseStar(Star):
         return lines.select(*[_column(c, {}).alias(c) for c in columns])
 
 
-def _kept(lines: DataFrame, allowed: dict[str, list]) -> DataFrame:
+#: Values that a column may have: a list, or a frame with a column of that name and of any size.
+Allowed = list | DataFrame
+
+
+def _kept(lines: DataFrame, allowed: dict[str, Allowed]) -> DataFrame:
     for column, values in allowed.items():
-        lines = lines.where(F.col(column).isin(values))
+        if isinstance(values, DataFrame):
+            lines = lines.join(values.select(column).distinct(), column, "left_semi").select(lines.columns)
+        else:
+            lines = lines.where(F.col(column).isin(values))
     return lines
 
 
@@ -356,10 +363,12 @@ class ViewStar(ScenarioStar):
     """A star restricted to some values of attributes, as slicers and security roles do.
 
     Every query takes it.  Lines and the dimensions that own the attributes are restricted; the
-    calendar stays that of the whole star, so a period without visible sales is blank.
+    calendar stays that of the whole star, so a period without visible sales is blank.  Allowed
+    values that are a frame meet lines and dimensions in a semi join and never come to the driver.
+    A line has the same key under every role.
     """
 
-    def __init__(self, base: Star, allowed: dict[str, list]):
+    def __init__(self, base: Star, allowed: dict[str, Allowed]):
         super().__init__(base, list(allowed), lambda lines: _kept(lines, allowed))
         self.allowed = allowed
 
@@ -374,3 +383,19 @@ class ViewStar(ScenarioStar):
     def dim_date(self) -> DataFrame:
         own = {c: v for c, v in self.allowed.items() if c in self.base.dim_date.columns}
         return _kept(self.base.dim_date, own)
+
+    def fact_sales(self) -> DataFrame:
+        """The visible lines of the base's fact, with the keys that they have there.
+
+        A dimension that owns an allowed attribute is restricted already, so its keys decide.
+        """
+        fact = self.base.fact_sales()
+        lines = fact
+        for name, key in KEYS.items():
+            if any(c in [key, *DIMENSIONS[name]] for c in self.allowed):
+                lines = lines.join(self.dim(name).select(key), key, "left_semi")
+        days = [c for c in self.allowed if c in CALENDAR]
+        day = date_of_key(F.col("date_key"))
+        dated = lines.select("*", *[CALENDAR[c](day).alias(c) for c in days if c not in lines.columns])
+        own = [c for c in self.allowed if c in dated.columns and c not in KEYS.values()]
+        return _kept(dated, {c: self.allowed[c] for c in own}).select(*fact.columns)

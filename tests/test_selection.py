@@ -11,8 +11,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from salesmart.functions import bitmaps
-from salesmart.operators import quality, ranking, selection
+from salesmart.operators import quality, ranking, security, selection
 from salesmart.plans import analytics, kpis
+from salesmart.plans.star import ViewStar
 
 
 def plan_of(frame) -> str:
@@ -116,3 +117,28 @@ def test_integrity_counts_null_and_repeated_references(build):
     assert checks["product_id"] == (1, 0) and checks["sale_key"] == (0, 1)
     empty = {r.dimension: r.orphans for r in quality.orphans(build([])).collect()}
     assert set(empty.values()) == {0}
+
+
+def test_a_line_keeps_its_key_under_every_role(spark, build):
+    lines = [sale(i, f"2024-0{1 + i % 3}-{10 + i}", store=("S1", "S2")[i % 2], customer=f"C{1 + i % 5}") for i in range(8)]
+    star = build(lines)
+    keys = {tuple(r)[1:]: r.sale_key for r in star.fact_sales().collect()}
+    mapping = spark.createDataFrame([("a@x", "Campania"), ("b@x", "Campania"), ("b@x", "Lombardia"), ("b@x", "Lombardia")], "email string, region string")
+    many = spark.range(100_000).select(F.concat(F.lit("C"), F.col("id") * 2).alias("customer_id"))
+    for view, n in (
+        (security.as_user(star, "a@x", mapping), 4), (security.as_user(star, "b@x", mapping), 8), (security.as_user(star, "no@x", mapping), 0),
+        (security.as_region(star, "Lombardia"), 4), (ViewStar(star, {"customer_id": many}), 3), (security.sliced(star, {"month": [1, 3], "region": "Lombardia"}), 3),
+    ):
+        seen = view.fact_sales().collect()
+        assert len(seen) == n == view.sales("date").count()
+        assert {tuple(r)[1:]: r.sale_key for r in seen}.items() <= keys.items()
+        assert kpis.kpi(view, [], ["sales_line_count"]).first()[0] == n
+    assert ViewStar(star, {"customer_id": many}).dim_customer.count() == 3
+
+
+def test_as_user_collects_nothing(tiny, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    monkeypatch.setattr(DataFrame, "collect", lambda self: pytest.fail("collected"))
+    plan = plan_of(security.as_user(tiny, "nation_7@example.com", tiny.extracts.user_region()).sales("region", "net_sales"))
+    assert "LeftSemi" in plan
