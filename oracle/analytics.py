@@ -97,6 +97,14 @@ SQL = {
     "rfm_scores": star_sql(
         "fact dim_date", "SELECT * FROM rfm", customers=CUSTOMERS, rfm=RFM
     ),
+    "rfm_scores_as_of": star_sql(
+        "fact",
+        "SELECT * FROM rfm",
+        customers=CUSTOMERS.replace("(SELECT max(date) FROM dim_date)", "DATE '1998-06-30'").replace(
+            "is_return = 0", "is_return = 0 AND date <= DATE '1998-06-30'"
+        ),
+        rfm=RFM,
+    ),
     "rfm_matrix": star_sql(
         "fact dim_date",
         f"""SELECT r_score, f_score, m_score, CAST(count(*) AS BIGINT) AS customer_count,

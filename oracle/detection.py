@@ -20,11 +20,9 @@ def panel(entity: str, fact: str = "fact") -> dict[str, str]:
     }
 
 
-def scores(entity: str) -> dict[str, str]:
-    frame = (
-        f"PARTITION BY {entity} ORDER BY date "
-        f"ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW"
-    )
+def scores(entity: str, trailing: bool = False) -> dict[str, str]:
+    rows = f"{WINDOW} PRECEDING AND 1 PRECEDING" if trailing else f"{WINDOW - 1} PRECEDING AND CURRENT ROW"
+    frame = f"PARTITION BY {entity} ORDER BY date ROWS BETWEEN {rows}"
     return {
         "med": f"""SELECT *, CASE WHEN count(net_sales) OVER w >= {MIN_PERIODS}
                                   THEN median(net_sales) OVER w END AS expected
@@ -211,6 +209,28 @@ SQL = {
         **panel("region", "kept"),
         **scores("region"),
     ),
+    "detector_recall_trailing": star_sql(
+        "fact span dim_store",
+        f"""SELECT CAST(count(*) AS BIGINT) AS planted_days,
+                   CAST(count(*) FILTER (is_anomaly = 1 AND direction = 'spike') AS BIGINT)
+                       AS flagged_days,
+                   CAST(count(*) FILTER (is_anomaly = 1 AND direction = 'spike') AS DOUBLE)
+                       / nullif(count(*), 0) AS recall
+            FROM (SELECT DISTINCT date FROM rfact WHERE region = 'ASIA' AND {CLOSED}) p
+            LEFT JOIN (SELECT * FROM found WHERE region = 'ASIA') USING (date)""",
+        rfact=REGION_FACT,
+        kept=f"""SELECT rfact.* FROM rfact UNION ALL
+                 SELECT rfact.* FROM rfact, generate_series(2, 20) WHERE region = 'ASIA' AND {CLOSED}""",
+        **panel("region", "kept"),
+        **scores("region", trailing=True),
+    ),
+    "region_anomalies_trailing": star_sql(
+        "fact span dim_store",
+        "SELECT date, region, net_sales, expected, robust_z, is_anomaly, direction FROM found",
+        rfact=REGION_FACT,
+        **panel("region", "rfact"),
+        **scores("region", trailing=True),
+    ),
     "load_audit": star_sql(
         "fact dim_date dim_store dim_customer",
         " UNION ALL ".join(

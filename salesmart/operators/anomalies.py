@@ -15,15 +15,16 @@ def robust_scores(dense: DataFrame, entity: list[str], settings: Settings) -> Da
     """Score every day against the rolling median and the rolling MAD of its entity.
 
     Both windows share one shuffle by entity.  A deviation is measured against the median of
-    its own day; the score is null while the window is short or when the MAD is zero.
+    its own day; the score is null while the window is short or when the MAD is zero.  Windows
+    that end the day before (``trailing``) keep a long closure from becoming its own baseline.
     """
-    rows, least = settings.window_days, settings.min_periods
+    rows, least, lag = settings.window_days, settings.min_periods, int(settings.trailing)
     z = (F.col("net_sales") - F.col("expected")) / (
         settings.mad_scale * F.nullif("mad", F.lit(0.0))
     )
-    based = with_rolling_median(dense, "net_sales", "expected", entity, rows, least)
+    based = with_rolling_median(dense, "net_sales", "expected", entity, rows, least, lag)
     based = based.withColumn("deviation", F.abs(F.col("net_sales") - F.col("expected")))
-    return with_rolling_median(based, "deviation", "mad", entity, rows, least).withColumn("z", z)
+    return with_rolling_median(based, "deviation", "mad", entity, rows, least, lag).withColumn("z", z)
 
 
 def flagged(scored: DataFrame, entity: list[str], settings: Settings) -> DataFrame:

@@ -68,15 +68,17 @@ def dense_daily(
 
 
 def with_rolling_median(
-    df: DataFrame, value: str, name: str, entity: list[str], rows: int, min_periods: int
+    df: DataFrame, value: str, name: str, entity: list[str], rows: int, min_periods: int, lag: int = 0
 ) -> DataFrame:
     """Median of the last ``rows`` rows, null while fewer than ``min_periods`` are non-null.
 
+    With ``lag`` the window ends so many rows before the current one.
+
     The frame holds at most ``rows`` values, so it is collected and sorted.  The sorted array
     is a column of its own: as part of the median expression it would be sorted again for
     every use.  This takes a third of the time of the exact percentile aggregate.
     """
-    frame = Window.partitionBy(*entity).orderBy("date").rowsBetween(1 - rows, 0)
+    frame = Window.partitionBy(*entity).orderBy("date").rowsBetween(1 - rows - lag, -lag)
     ordered = df.withColumn("_sorted", F.sort_array(F.collect_list(value).over(frame)))
     count = F.size("_sorted")
     lower = F.get("_sorted", F.floor((count - 1) / 2).cast("int"))

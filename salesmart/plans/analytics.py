@@ -119,12 +119,17 @@ def rfm_scores(star) -> DataFrame:
     """Recency, frequency and monetary scores of every customer with a non-return line.
 
     Recency counts from the end of the calendar, which lies a forecast horizon after the
-    last sale.  All ties are broken by the customer key.  The customers are written once and not
+    last sale, or from ``as_of``, after which no line counts.  All ties are broken by the customer
+    key.  The customers are written once and not
     sorted: the borders of all three scores come from the same scans.
     """
     bought = star.sales("customer_key", "date", "net_sales", "is_return").where(
         F.col("is_return") == 0
     )
+    fixed = star.settings.as_of
+    as_of = star.calendar_end().scalar() if fixed is None else F.lit(fixed)
+    if fixed is not None:
+        bought = bought.where(F.col("date") <= as_of)
     customers = (
         bought.groupBy("customer_key")
         .agg(
@@ -134,7 +139,7 @@ def rfm_scores(star) -> DataFrame:
         )
         .select(
             "customer_key",
-            F.datediff(star.calendar_end().scalar(), "last_date")
+            F.datediff(as_of, "last_date")
             .cast("bigint")
             .alias("recency_days"),
             "frequency",

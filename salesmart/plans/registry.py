@@ -29,6 +29,7 @@ PERIOD = Period(date(1998, 3, 10), date(1998, 3, 24))
 SPIKE_PERIOD = Period(date(1997, 11, 15), date(1997, 12, 15))
 DIP_PERIOD = Period(date(1998, 9, 1), date(1998, 9, 10))
 CLOSED_STORE = 3
+AS_OF = date(1998, 6, 30)
 REQUIRED = ["date", "product_key", "store_key", "customer_key", "quantity"]
 
 
@@ -73,6 +74,7 @@ QUERIES = {
     "rfm_segments": analytics.rfm_segments,
     "rfm_scores": analytics.rfm_scores,
     "rfm_matrix": analytics.rfm_matrix,
+    "rfm_scores_as_of": lambda star: analytics.rfm_scores(star.with_settings(as_of=AS_OF)),
     # measures and time intelligence
     "kpi_base": kpis.kpi_base,
     "kpi_sliced": lambda star: kpis.kpi_sliced(star, SLICER_YEAR, SLICERS),
@@ -123,6 +125,7 @@ QUERIES = {
     # anomalies
     "anomalies": anomalies.anomalies,
     "region_anomalies": lambda star: anomalies.entity_anomalies(star, "region"),
+    "region_anomalies_trailing": lambda star: anomalies.entity_anomalies(star.with_settings(trailing=True), "region"),
     "anomaly_monitor": lambda star: anomalies.monitor(star, anomalies.anomalies(star)),
     "anomaly_line": lambda star: anomalies.expected_line(
         anomalies.anomalies(star), "region", ROLE_REGION
@@ -157,6 +160,9 @@ QUERIES = {
     "detector_recall_surge": lambda star: scenario.detector_recall(
         star, "region", ROLE_REGION, PERIOD, factor=20
     ),
+    "detector_recall_trailing": lambda star: scenario.detector_recall(
+        star.with_settings(trailing=True), "region", ROLE_REGION, PERIOD, factor=20
+    ),
     # data quality
     "load_audit": quality.load_audit,
     "raw_profile": lambda star: extracts.profile(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from copy import copy
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,12 @@ class Star:
         self.spark = spark
         self.settings = settings
 
+    def with_settings(self, **changes) -> Star:
+        """The same star under other settings."""
+        same = copy(self)
+        same.settings = replace(self.settings, **changes)
+        return same
+
     def _build_dim(self, name: str) -> DataFrame:
         raise NotImplementedError
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
 
 
@@ -17,10 +18,12 @@ class Settings:
     min_periods: int = 10
     z_threshold: float = 3.5
     mad_scale: float = 1.4826
+    trailing: bool = False  # a day is measured against the days before it, not also against itself
     # reports
     top_products: int = 10
     top_customers: int = 25
     rfm_tiles: int = 5
+    as_of: datetime.date | None = None  # recency counts from here; None: from the end of the calendar
 
 
 DEFAULTS = Settings()
