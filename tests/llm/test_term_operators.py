@@ -167,7 +167,7 @@ def test_audit_equals_sql(documents, block, chunk):
 
 
 def test_audit_of_one_hot_source_and_long_terms(documents):
-    rows = [(i, "longterm" * 500 + " common", "en", "hot" if i % 3 else "cold", 1) for i in range(60)]
+    rows = [(i, "longterm" * 500 + " common" if i % 3 else "common", "en", "hot" if i % 3 else "cold", 1) for i in range(60)]
     rows += [(100, "word " * 30_000, "en", "cold", 1)]
     found = rows_of(divergence.audit(documents(rows)), ["lang", "source", "part", "item", "value", "rank"])
     assert found == by_sql("op12_divergence", rows)
