@@ -35,9 +35,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn(_ROW, row_key(docs))
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows whose key is not in a column of keys."""
+def _without(docs: DataFrame, gone: DataFrame, many: bool = False) -> DataFrame:
+    """The rows whose key is not in a column of keys.
+
+    What grows with the corpus, as copies do, meets the rows in one shuffle at every size.
+    """
     gone = cut(gone.toDF(_ROW).distinct())
+    gone = gone.hint("merge") if many else gone
     return _keyed(docs).join(gone, _ROW, "left_anti").select(docs.columns)
 
 
@@ -51,7 +55,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id."""
     found = cut(simhash.near_duplicates(_keyed(docs), _ROW).select(_ROW, "component_id"))
-    kept = _without(docs, found.where(F.col(_ROW) != F.col("component_id")).select(_ROW))
+    kept = _without(docs, found.where(F.col(_ROW) != F.col("component_id")).select(_ROW), many=True)
     # rows equal in every column have one key; of these few, one stays
     repeated = cut(found.groupBy(_ROW).count().where("count > 1").select(_ROW))
     if repeated.isEmpty():
