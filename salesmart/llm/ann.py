@@ -172,9 +172,11 @@ def neighbours(
     is_query = F.col("vec_id") % every == 0
     n, m = vectors.agg(F.count("*"), F.count_if(is_query)).first()
     c_blocks, q_blocks = -(-n // block) or 1, -(-m // block) or 1
-    at, to = F.xxhash64("vec_id"), lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    candidates = vectors.select("*", F.pmod(at, F.lit(c_blocks)).alias("cb"), to(q_blocks).alias("qb"))
-    queries = vectors.where(is_query).select("*", F.pmod(at, F.lit(q_blocks)).alias("qb"), to(c_blocks).alias("cb"))
+    # Block numbers have one type on both sides: equal numbers of two types hash to different partitions.
+    of = lambda blocks: F.pmod(F.xxhash64("vec_id"), F.lit(blocks).cast("bigint"))
+    to = lambda blocks: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
+    candidates = vectors.select("*", of(c_blocks).alias("cb"), to(q_blocks).alias("qb"))
+    queries = vectors.where(is_query).select("*", of(q_blocks).alias("qb"), to(c_blocks).alias("cb"))
     # New names on one side: the grouped join must not mix up columns of one origin.
     queries, candidates = queries.toDF(*queries.columns), candidates.toDF(*candidates.columns)
     found = (

@@ -121,6 +121,26 @@ def test_neighbours_equal_brute_force(spark, block):
     assert ann.neighbours(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [40, 4096])
+def test_neighbours_meet_when_partitions_stay_apart(spark, block):
+    draw = random.Random(9)
+    rows = [(i, [draw.gauss(0, 1) for _ in range(6)]) for i in range(230)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    expected = [
+        (q, rank, i)
+        for q in (0, 100, 200)
+        for rank, (_, i) in enumerate(sorted((math.dist(rows[q][1], v), i) for i, v in rows if i != q)[:10], 1)
+    ]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        found = ann.neighbours(frame, block=block).select("query_id", "rank", "vec_id").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted(map(tuple, found)) == expected
+
+
 def test_bounds_hold():
     import numpy as np
 
