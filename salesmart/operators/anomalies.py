@@ -7,24 +7,25 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.rounding import money_sum, round_cents
 from salesmart.operators.lookup import attach
-from salesmart.operators.series import daily_by, dense_daily, with_rolling_median
+from salesmart.operators.series import daily_by, with_rolling_spread
 from salesmart.settings import Settings
 
 
-def robust_scores(dense: DataFrame, entity: list[str], settings: Settings) -> DataFrame:
+def robust_scores(daily: DataFrame, entity: list[str], settings: Settings, span: DataFrame | None = None) -> DataFrame:
     """Score every day against the rolling median and the rolling MAD of its entity.
 
-    Both windows share one shuffle by entity.  A deviation is measured against the median of
-    its own day; the score is null while the window is short or when the MAD is zero.  Windows
-    that end the day before (``trailing``) keep a long closure from becoming its own baseline.
+    With ``span`` the days may have gaps, which are filled with 0 over the whole span; without, they have none.
+
+    Both medians are found in one pass over an entity's days.  A deviation is measured against
+    the median of its own day; the score is null while the window is short or when the MAD is
+    zero.  Windows that end the day before (``trailing``) keep a long closure from becoming its
+    own baseline.
     """
     rows, least, lag = settings.window_days, settings.min_periods, int(settings.trailing)
     z = (F.col("net_sales") - F.col("expected")) / (
         settings.mad_scale * F.nullif("mad", F.lit(0.0))
     )
-    based = with_rolling_median(dense, "net_sales", "expected", entity, rows, least, lag)
-    based = based.withColumn("deviation", F.abs(F.col("net_sales") - F.col("expected")))
-    return with_rolling_median(based, "deviation", "mad", entity, rows, least, lag).withColumn("z", z)
+    return with_rolling_spread(daily, "net_sales", "expected", "mad", entity, rows, least, lag, span).withColumn("z", z)
 
 
 def flagged(scored: DataFrame, entity: list[str], settings: Settings) -> DataFrame:
@@ -43,8 +44,8 @@ def flagged(scored: DataFrame, entity: list[str], settings: Settings) -> DataFra
 
 def entity_anomalies(star, entity: str) -> DataFrame:
     """Anomalies of the daily sales of any key or attribute of the star."""
-    dense = dense_daily(daily_by(star, [entity]), [entity], star.span())
-    return flagged(robust_scores(dense, [entity], star.settings), [entity], star.settings)
+    scored = robust_scores(daily_by(star, [entity]), [entity], star.settings, star.span())
+    return flagged(scored, [entity], star.settings)
 
 
 def anomalies(star) -> DataFrame:

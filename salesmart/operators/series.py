@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from salesmart.functions.measures import final, merged
 from salesmart.functions.rounding import money_sum
 from salesmart.operators.lookup import attach
 
+#: Windows that are sorted at a time.
+WINDOWS = 1 << 14
+#: In place of a missing date; it comes first.
+NO_DAY = -(1 << 40)
+
 
 def daily_sales(star) -> DataFrame:
     """Net sales per day with sales."""
@@ -67,22 +77,87 @@ def dense_daily(
     )
 
 
-def with_rolling_median(
-    df: DataFrame, value: str, name: str, entity: list[str], rows: int, min_periods: int, lag: int = 0
+def rolling_median(values: np.ndarray, rows: int, min_periods: int, lag: int = 0) -> np.ndarray:
+    """Median of the last ``rows`` values of each place, blank (NaN) while fewer than ``min_periods`` are there.
+
+    With ``lag`` the window ends so many places before its own.  Windows are sorted a block at a time.
+    """
+    n = len(values)
+    padded = np.concatenate([np.full(rows - 1 + lag, np.nan), values])[: n + rows - 1]
+    there = np.concatenate([[0], np.cumsum(~np.isnan(padded))])
+    count = there[rows:] - there[:-rows]
+    found = np.full(n, np.nan)
+    for start in range(0, n, WINDOWS):
+        part = slice(start, start + WINDOWS)
+        ordered = np.sort(sliding_window_view(padded[start : start + WINDOWS + rows - 1], rows), axis=1)  # blanks last
+        at, of = np.arange(len(ordered)), count[part]
+        middle = (ordered[at, np.maximum(of - 1, 0) // 2] + ordered[at, np.minimum(of // 2, rows - 1)]) / 2
+        found[part] = np.where(of >= min_periods, middle, np.nan)
+    return found
+
+
+def filled_days(days: np.ndarray, values: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """``dense_daily`` of one entity, in arrays: every day from ``first`` to ``last``, 0 where there is no row.
+
+    Days are whole numbers in rising order; NO_DAY comes first and is no day's value.
+    """
+    start = np.append(first, days[1:])
+    end = np.append(days[1:] - 1, last)
+    sizes = np.abs(end - start) + 1
+    place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    day = np.repeat(start, sizes) + place * np.repeat(np.where(end < start, -1, 1), sizes)
+    value = np.where(day == np.repeat(days, sizes), np.repeat(values, sizes), 0.0)
+    order = np.argsort(day, kind="stable")
+    return day[order], value[order]
+
+
+def _with_spread(table: pa.Table, value: str, names: tuple[str, str], window: tuple[int, int, int]) -> pa.Table:
+    """The table, in the order of days, with its rolling median and the rolling median of the distances from it."""
+    values = table.column(value).to_numpy().astype(np.float64)
+    centre = rolling_median(values, *window)
+    for name, found in zip(names, (centre, rolling_median(np.abs(values - centre), *window)), strict=True):
+        table = table.append_column(name, pa.array(found, pa.float64(), from_pandas=True))
+    return table
+
+
+def with_rolling_spread(
+    df: DataFrame, value: str, middle: str, spread: str, entity: list[str], rows: int, min_periods: int, lag: int = 0,
+    span: DataFrame | None = None,
 ) -> DataFrame:
-    """Median of the last ``rows`` rows, null while fewer than ``min_periods`` are non-null.
+    """Rolling median of a value, and rolling median of its distance from the median of its own day.
 
-    With ``lag`` the window ends so many rows before the current one.
+    Each entity's days are one group of a task; the sorted windows are arrays of numbers there,
+    which takes a small part of the time of collecting and sorting them as window frames.
 
-    The frame holds at most ``rows`` values, so it is collected and sorted.  The sorted array
-    is a column of its own: as part of the median expression it would be sorted again for
-    every use.  This takes a third of the time of the exact percentile aggregate.
+    With ``span`` the rows are those of days with a value only, and the missing days are filled
+    with 0 in the same group, as ``dense_daily`` does: only what is there is shuffled and sorted.
     """
-    frame = Window.partitionBy(*entity).orderBy("date").rowsBetween(1 - rows - lag, -lag)
-    ordered = df.withColumn("_sorted", F.sort_array(F.collect_list(value).over(frame)))
-    count = F.size("_sorted")
-    lower = F.get("_sorted", F.floor((count - 1) / 2).cast("int"))
-    upper = F.get("_sorted", F.floor(count / 2).cast("int"))
-    return ordered.withColumn(
-        name, F.when(count >= min_periods, (lower + upper) / 2)
-    ).drop("_sorted")
+    names, window = (middle, spread), (rows, min_periods, lag)
+    added = [StructField(n, DoubleType()) for n in names]
+
+    def by_date(table: pa.Table) -> pa.Table:
+        return table.take(pc.sort_indices(table, sort_keys=[("date", "ascending")], null_placement="at_start"))
+
+    if span is None:
+        whole = StructType([*df.schema.fields, *added])
+        return df.groupBy(*entity).applyInArrow(lambda table: _with_spread(by_date(table), value, names, window), whole)
+
+    def fill(table: pa.Table) -> pa.Table:
+        table = by_date(table)
+        first, last = (table.column(c).cast(pa.int32())[0].as_py() for c in ("_first", "_last"))
+        if first is None:  # no row has a date
+            found = np.zeros(0, np.int64), np.zeros(0)
+        else:
+            days = pc.fill_null(table.column("date").cast(pa.int32()).cast(pa.int64()), NO_DAY).to_numpy()
+            found = filled_days(days, table.column(value).to_numpy().astype(np.float64), first, last)
+        day, values = pa.array(found[0].astype(np.int32)).cast(pa.date32()), pa.array(found[1], from_pandas=True)
+        kept = {e: pa.repeat(table.column(e)[0], len(day)) for e in entity}
+        return _with_spread(pa.table(kept | {"date": day, value: values}), value, names, window)
+
+    day = [span.select(f"{n}_date").scalar().alias(f"_{n}") for n in ("first", "last")]
+    rows_of = df.select(*entity, "date", F.col(value).cast("double").alias(value), *day)
+    schema = StructType([*rows_of.drop("_first", "_last").schema.fields, *added])
+    if entity:  # a fixed partition count, for the reason given in dense_daily
+        count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows_of = rows_of.repartition(count, *entity)
+    return rows_of.groupBy(*entity).applyInArrow(fill, schema)

@@ -93,6 +93,32 @@ def test_scores_follow_the_definition(spark):
         assert row.is_anomaly == int(abs(score_today) >= 3.5)
 
 
+def test_gaps_filled_while_scoring_equal_a_dense_series(spark):
+    rng = np.random.default_rng(5)
+    rows = [
+        (store, START + datetime.timedelta(days=int(i)), float(v))
+        for store, n in (("a", 120), ("b", 40), ("c", 1), (None, 60))
+        for i, v in zip(rng.choice(150, n, replace=False), rng.normal(500, 90, n).round(2), strict=True)
+    ]
+    # no date, beside dates and alone; a day without a price; the first day beside a row without a date
+    rows += [("a", None, 3.0), ("d", None, 4.0), ("c", START + datetime.timedelta(days=200), None), ("e", None, 1.0), ("e", START, 2.0)]
+    daily = spark.createDataFrame(rows, "store string, date date, net_sales double")
+    dense = dense_daily(daily, ["store"], span(spark, 150))
+    for settings in (DEFAULTS, Settings(trailing=True)):
+        expected = anomalies.robust_scores(dense, ["store"], settings)
+        found = anomalies.robust_scores(daily, ["store"], settings, span(spark, 150))
+        assert found.schema.simpleString() == expected.schema.simpleString()
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+    nothing = spark.createDataFrame([(None, None)], "first_date date, last_date date")
+    assert anomalies.robust_scores(daily.where("date is null"), ["store"], DEFAULTS, nothing).count() == 0
+
+
+def test_filled_days_are_neither_sorted_nor_framed(build):
+    star = build(daily_sales_rows(40, lambda i: 1 + i % 3, ("S1", "S2")))
+    plan = anomalies.entity_anomalies(star, "store_key")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Generate" not in plan
+
+
 def daily_sales_rows(days, quantity, stores=("S1",)):
     rows = []
     for i in range(days):
