@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from salesmart.functions import bitmaps
 from salesmart.functions.calendar import CALENDAR, Period, build_dim_date, date_of_key
 from salesmart.functions.sale_line import INPUTS, LINE_MEASURES
-from salesmart.operators.lookup import attach
+from salesmart.operators.lookup import attach, fits_broadcast
 from salesmart.operators.numbering import number_lines
 from salesmart.operators.ranking import with_surrogate_key
 from salesmart.schema import FACT_SALES
@@ -318,12 +318,28 @@ class WarehouseStar(Star):
 
 #: Values that a column may have: a list, or a frame with a column of that name and of any size.
 Allowed = list | DataFrame
+#: Parts of the lines of one value, where values are too many to broadcast.
+PARTS = 8
+
+
+def _among(lines: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """Semi join with values that are few or many, however many lines hold one value.
+
+    Few are broadcast and the lines stay where they are.  Many meet lines that are dealt over some parts
+    of every value, so that a sum per value does not go on in the join's own tasks, one for each value;
+    adaptive execution may then split a part that holds very many lines.
+    """
+    if fits_broadcast(values):
+        return lines.join(F.broadcast(values), column, "left_semi").select(lines.columns)
+    dealt = lines.withColumn("_part", F.pmod(F.xxhash64(*lines.columns), F.lit(PARTS)).cast("int"))
+    spread = values.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return dealt.join(spread, [column, "_part"], "left_semi").select(lines.columns)
 
 
 def _kept(lines: DataFrame, allowed: dict[str, Allowed]) -> DataFrame:
     for column, values in allowed.items():
         if isinstance(values, DataFrame):
-            lines = lines.join(values.select(column).distinct(), column, "left_semi").select(lines.columns)
+            lines = _among(lines, values.select(column).distinct(), column)
         else:
             lines = lines.where(F.col(column).isin(values))
     return lines

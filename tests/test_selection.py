@@ -142,3 +142,18 @@ def test_as_user_collects_nothing(tiny, monkeypatch):
     monkeypatch.setattr(DataFrame, "collect", lambda self: pytest.fail("collected"))
     plan = plan_of(security.as_user(tiny, "nation_7@example.com", tiny.extracts.user_region()).sales("region", "net_sales"))
     assert "LeftSemi" in plan
+
+
+@pytest.mark.parametrize("limit", ["20k", "-1"])  # the roles' source is below the first; its joins are estimated above
+def test_a_role_does_not_gather_a_region_in_one_task(tiny, limit):
+    conf, known = tiny.spark.conf, tiny.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        found = kpis.kpi(security.as_user(tiny, "nation_7@example.com", tiny.extracts.user_region()), ["region", "year"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        rows = found.collect()
+    finally:
+        conf.set("spark.sql.autoBroadcastJoinThreshold", known)
+    assert "LeftSemi" in plan and not re.search(r"SortMergeJoin \[region#\d+\]", plan)
+    expected = kpis.kpi(security.as_region(tiny, rows[0].region), ["region", "year"]).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, expected))
