@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.rounding import money_sum, round_cents
 from salesmart.operators.lookup import attach
-from salesmart.operators.series import daily_by, with_rolling_spread
+from salesmart.operators.series import Keep, daily_by, with_rolling_spread
 from salesmart.settings import Settings
 
 
-def robust_scores(daily: DataFrame, entity: list[str], settings: Settings, span: DataFrame | None = None) -> DataFrame:
+def robust_scores(
+    daily: DataFrame, entity: list[str], settings: Settings, span: DataFrame | None = None, hits_only: bool = False
+) -> DataFrame:
     """Score every day against the rolling median and the rolling MAD of its entity.
 
     With ``span`` the days may have gaps, which are filled with 0 over the whole span; without, they have none.
@@ -20,12 +23,29 @@ def robust_scores(daily: DataFrame, entity: list[str], settings: Settings, span:
     the median of its own day; the score is null while the window is short or when the MAD is
     zero.  Windows that end the day before (``trailing``) keep a long closure from becoming its
     own baseline.
+
+    With ``hits_only`` every day is scored, and those below the threshold are not given back.
     """
     rows, least, lag = settings.window_days, settings.min_periods, int(settings.trailing)
     z = (F.col("net_sales") - F.col("expected")) / (
         settings.mad_scale * F.nullif("mad", F.lit(0.0))
     )
-    return with_rolling_spread(daily, "net_sales", "expected", "mad", entity, rows, least, lag, span).withColumn("z", z)
+    keep = _hits(settings.mad_scale, settings.z_threshold) if hits_only else None
+    found = with_rolling_spread(daily, "net_sales", "expected", "mad", entity, rows, least, lag, span, keep)
+    return found.withColumn("z", z)
+
+
+def _hits(scale: float, threshold: float) -> Keep:
+    """The rows whose score, by the arithmetic of ``robust_scores``, reaches the threshold."""
+
+    def keep(values: np.ndarray, middle: np.ndarray, spread: np.ndarray) -> np.ndarray:
+        scored = np.flatnonzero(~np.isnan(values) & ~np.isnan(middle) & ~np.isnan(spread) & (spread != 0))
+        z = (values[scored] - middle[scored]) / (scale * spread[scored])
+        hit = np.zeros(len(values), bool)
+        hit[scored] = ~(np.abs(z) < threshold)  # as Spark does, not a number counts as large
+        return hit
+
+    return keep
 
 
 def flagged(scored: DataFrame, entity: list[str], settings: Settings) -> DataFrame:
@@ -42,16 +62,16 @@ def flagged(scored: DataFrame, entity: list[str], settings: Settings) -> DataFra
     )
 
 
-def entity_anomalies(star, entity: str) -> DataFrame:
-    """Anomalies of the daily sales of any key or attribute of the star."""
-    scored = robust_scores(daily_by(star, [entity]), [entity], star.settings, star.span())
+def entity_anomalies(star, entity: str, hits_only: bool = False) -> DataFrame:
+    """Scored daily sales of any key or attribute of the star; with ``hits_only`` the flagged days of them."""
+    scored = robust_scores(daily_by(star, [entity]), [entity], star.settings, star.span(), hits_only)
     return flagged(scored, [entity], star.settings)
 
 
-def anomalies(star) -> DataFrame:
+def anomalies(star, hits_only: bool = False) -> DataFrame:
     """Store-day anomalies over the whole calendar of sales, with the store's names."""
     names = star.dim_store.select("store_key", "store_id", "store_name", "region")
-    scored = entity_anomalies(star, "store_key")
+    scored = entity_anomalies(star, "store_key", hits_only)
     return attach(scored, names, "store_key").select(
         "date",
         "store_id",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,10 +16,20 @@ from salesmart.functions.measures import final, merged
 from salesmart.functions.rounding import money_sum
 from salesmart.operators.lookup import attach
 
+#: Which rows to give back, of their values, medians and spreads; a missing one is NaN.
+Keep = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 #: Windows that are sorted at a time.
 WINDOWS = 1 << 14
+#: Filled days of many entities that are measured at a time.
+DAYS = 1 << 17
 #: In place of a missing date; it comes first.
 NO_DAY = -(1 << 40)
+#: Columns that tell the members of a dimension apart.
+MEMBER_KEYS = {"product_key", "store_key", "customer_key"}
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def daily_sales(star) -> DataFrame:
@@ -26,11 +38,19 @@ def daily_sales(star) -> DataFrame:
 
 
 def daily_by(star, by: list[str]) -> DataFrame:
-    """Net sales per day and any keys or attributes of the star, from its day totals where it has them."""
+    """Net sales per day and any keys or attributes of the star, from its day totals where it has them.
+
+    A member's key and a day have few lines each, so lines are dealt by both first.  Summing them
+    before that shuffle would save few rows, and its hash table, as large as a task's lines, would
+    outgrow memory.  Attributes have few values; their lines are summed before the shuffle.
+    """
     totals = star.day_totals(by, ["net"])
     if totals is not None:
         return totals.groupBy("date", *by).agg(merged("net")).select("date", *by, final("net").alias("net_sales"))
-    return star.sales("date", *by, "net_sales").groupBy("date", *by).agg(
+    lines = star.sales("date", *by, "net_sales")
+    if MEMBER_KEYS & {*by}:
+        lines = lines.repartition("date", *by)
+    return lines.groupBy("date", *by).agg(
         money_sum(F.col("net_sales")).alias("net_sales")
     )
 
@@ -55,8 +75,7 @@ def dense_daily(
     if entity:
         # a fixed partition count: adaptive execution would merge these partitions by their
         # size before the days are filled in, and leave few tasks for many filled rows
-        count = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        daily = daily.repartition(count, *entity)
+        daily = daily.repartition(_partitions(daily), *entity)
     by_date = Window.partitionBy(*entity).orderBy("date")
     start = F.when(F.row_number().over(by_date) == 1, first_day).otherwise(F.col("date"))
     following = F.lead("date").over(by_date)
@@ -80,84 +99,154 @@ def dense_daily(
 def rolling_median(values: np.ndarray, rows: int, min_periods: int, lag: int = 0) -> np.ndarray:
     """Median of the last ``rows`` values of each place, blank (NaN) while fewer than ``min_periods`` are there.
 
-    With ``lag`` the window ends so many places before its own.  Windows are sorted a block at a time.
+    With ``lag`` the window ends so many places before its own.  Counts tell where zeros hold the
+    middle of a window, as in long gaps; the other windows are sorted, a block at a time.
     """
     n = len(values)
     padded = np.concatenate([np.full(rows - 1 + lag, np.nan), values])[: n + rows - 1]
-    there = np.concatenate([[0], np.cumsum(~np.isnan(padded))])
-    count = there[rows:] - there[:-rows]
-    found = np.full(n, np.nan)
-    for start in range(0, n, WINDOWS):
-        part = slice(start, start + WINDOWS)
-        ordered = np.sort(sliding_window_view(padded[start : start + WINDOWS + rows - 1], rows), axis=1)  # blanks last
-        at, of = np.arange(len(ordered)), count[part]
-        middle = (ordered[at, np.maximum(of - 1, 0) // 2] + ordered[at, np.minimum(of // 2, rows - 1)]) / 2
-        found[part] = np.where(of >= min_periods, middle, np.nan)
+
+    def of_windows(hit: np.ndarray) -> np.ndarray:
+        upto = np.concatenate([[0], np.cumsum(hit)])
+        return upto[rows:] - upto[:-rows]
+
+    count, below, zeros = of_windows(~np.isnan(padded)), of_windows(padded < 0), of_windows(padded == 0)
+    low, high = np.maximum(count - 1, 0) // 2, np.minimum(count // 2, rows - 1)
+    enough = count >= min_periods
+    found = np.where(enough, 0.0, np.nan)
+    other = np.flatnonzero(enough & ((below > low) | (high >= below + zeros)))
+    windows = sliding_window_view(padded, rows)
+    for start in range(0, len(other), WINDOWS):
+        part = other[start : start + WINDOWS]
+        ordered, at = np.sort(windows[part], axis=1), np.arange(len(part))  # blanks last
+        found[part] = (ordered[at, low[part]] + ordered[at, high[part]]) / 2
     return found
 
 
-def filled_days(days: np.ndarray, values: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
-    """``dense_daily`` of one entity, in arrays: every day from ``first`` to ``last``, 0 where there is no row.
+def filled_days(
+    days: np.ndarray, values: np.ndarray, heads: np.ndarray, first: int, last: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``dense_daily`` in arrays: every day from ``first`` to ``last``, 0 where there is no row.
 
-    Days are whole numbers in rising order; NO_DAY comes first and is no day's value.
+    An entity's rows begin at its place in ``heads``; its days are whole numbers in rising order,
+    where NO_DAY comes first and is no day's value.  Gives the entity's number, day and value.
     """
-    start = np.append(first, days[1:])
-    end = np.append(days[1:] - 1, last)
+    entity = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(days))))
+    start, end = days.copy(), np.append(days[1:] - 1, last)
+    start[heads] = first
+    end[heads[1:] - 1] = last
     sizes = np.abs(end - start) + 1
     place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     day = np.repeat(start, sizes) + place * np.repeat(np.where(end < start, -1, 1), sizes)
     value = np.where(day == np.repeat(days, sizes), np.repeat(values, sizes), 0.0)
-    order = np.argsort(day, kind="stable")
-    return day[order], value[order]
-
-
-def _with_spread(table: pa.Table, value: str, names: tuple[str, str], window: tuple[int, int, int]) -> pa.Table:
-    """The table, in the order of days, with its rolling median and the rolling median of the distances from it."""
-    values = table.column(value).to_numpy().astype(np.float64)
-    centre = rolling_median(values, *window)
-    for name, found in zip(names, (centre, rolling_median(np.abs(values - centre), *window)), strict=True):
-        table = table.append_column(name, pa.array(found, pa.float64(), from_pandas=True))
-    return table
+    entity = np.repeat(entity, sizes)
+    if np.any((np.diff(day) < 0) & (np.diff(entity) == 0)):
+        order = np.lexsort((day, entity))
+        day, value = day[order], value[order]
+    return entity, day, value
+
+
+def rolling_spread(
+    values: np.ndarray, entity: np.ndarray, rows: int, min_periods: int, lag: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rolling median, and rolling median of the distances from it, of each run of an entity's number."""
+    at = np.arange(len(values)) + entity * (rows - 1 + lag)  # blanks between, so that no window meets two
+    spaced = np.full(at[-1] + 1 if len(at) else 0, np.nan)
+    spaced[at] = values
+    centre = rolling_median(spaced, rows, min_periods, lag)
+    return centre[at], rolling_median(np.abs(spaced - centre), rows, min_periods, lag)[at]
+
+
+def _heads(table: pa.Table, entity: list[str]) -> np.ndarray:
+    """The rows at which another entity begins; nulls are alike, and so are NaNs."""
+    new = np.arange(len(table)) == 0
+    for name in entity:
+        column = table.column(name).combine_chunks()
+        blank = column.is_null(nan_is_null=True)
+        differs = pc.fill_null(pc.not_equal(column[1:], column[:-1]), False).to_numpy(zero_copy_only=False)
+        null, nan = (x.to_numpy(zero_copy_only=False) for x in (column.is_null(), blank))
+        new[1:] |= (differs & ~(nan[1:] & nan[:-1])) | (null[1:] != null[:-1])
+    return np.flatnonzero(new)
+
+
+def _whole_entities(batches: Iterable[pa.RecordBatch], entity: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Batches of rows sorted by entity, dealt anew so that all rows of an entity are in one; the heads of each."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        # the row before tells whether the batch goes on with its entity
+        seam = pa.Table.from_batches([held[-1].slice(held[-1].num_rows - 1), batch] if held else [batch])
+        heads = _heads(seam, entity)[1:] - (1 if held else 0)
+        if len(heads):
+            table = pa.Table.from_batches([*held, batch.slice(0, heads[-1])])
+            yield table, _heads(table, entity)
+            held = []
+        held.append(batch.slice(heads[-1] if len(heads) else 0))
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, _heads(table, entity)
 
 
 def with_rolling_spread(
     df: DataFrame, value: str, middle: str, spread: str, entity: list[str], rows: int, min_periods: int, lag: int = 0,
-    span: DataFrame | None = None,
+    span: DataFrame | None = None, keep: Keep | None = None,
 ) -> DataFrame:
     """Rolling median of a value, and rolling median of its distance from the median of its own day.
 
-    Each entity's days are one group of a task; the sorted windows are arrays of numbers there,
-    which takes a small part of the time of collecting and sorting them as window frames.
+    The sorted windows are arrays of numbers in a task, which takes a small part of the time of
+    collecting and sorting them as window frames.  Without ``span`` each entity is a group.
 
     With ``span`` the rows are those of days with a value only, and the missing days are filled
-    with 0 in the same group, as ``dense_daily`` does: only what is there is shuffled and sorted.
+    with 0 in the task, as ``dense_daily`` does: only what is there is shuffled and sorted.  A
+    task reads its entities one after the other and takes many at a time, bounded by their days.
+    With ``keep`` all days are filled and measured, and those that it picks leave the task.
     """
-    names, window = (middle, spread), (rows, min_periods, lag)
-    added = [StructField(n, DoubleType()) for n in names]
-
-    def by_date(table: pa.Table) -> pa.Table:
-        return table.take(pc.sort_indices(table, sort_keys=[("date", "ascending")], null_placement="at_start"))
+    window = (rows, min_periods, lag)
+    added = [StructField(n, DoubleType()) for n in (middle, spread)]
+
+    def measured(table: pa.Table, values: np.ndarray, number: np.ndarray) -> pa.Table:
+        found = rolling_spread(values, number, *window)
+        if keep is not None:
+            kept = np.flatnonzero(keep(values, *found))
+            table, found = table.take(pa.array(kept)), [f[kept] for f in found]
+        for name, column in zip((middle, spread), found, strict=True):
+            table = table.append_column(name, pa.array(column, pa.float64(), from_pandas=True))
+        return table
 
     if span is None:
-        whole = StructType([*df.schema.fields, *added])
-        return df.groupBy(*entity).applyInArrow(lambda table: _with_spread(by_date(table), value, names, window), whole)
-
-    def fill(table: pa.Table) -> pa.Table:
-        table = by_date(table)
-        first, last = (table.column(c).cast(pa.int32())[0].as_py() for c in ("_first", "_last"))
-        if first is None:  # no row has a date
-            found = np.zeros(0, np.int64), np.zeros(0)
-        else:
-            days = pc.fill_null(table.column("date").cast(pa.int32()).cast(pa.int64()), NO_DAY).to_numpy()
-            found = filled_days(days, table.column(value).to_numpy().astype(np.float64), first, last)
-        day, values = pa.array(found[0].astype(np.int32)).cast(pa.date32()), pa.array(found[1], from_pandas=True)
-        kept = {e: pa.repeat(table.column(e)[0], len(day)) for e in entity}
-        return _with_spread(pa.table(kept | {"date": day, value: values}), value, names, window)
+
+        def measure(table: pa.Table) -> pa.Table:
+            table = table.take(pc.sort_indices(table, sort_keys=[("date", "ascending")], null_placement="at_start"))
+            values = table.column(value).to_numpy().astype(np.float64)
+            return measured(table, values, np.zeros(len(values), np.int64))
+
+        return df.groupBy(*entity).applyInArrow(measure, StructType([*df.schema.fields, *added]))
+
+    def filled(table: pa.Table, heads: np.ndarray, first: int, last: int) -> pa.Table:
+        days = pc.fill_null(table.column("date").cast(pa.int32()).cast(pa.int64()), NO_DAY).to_numpy()
+        order = np.lexsort((days, np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(days))))))
+        there = table.column(value).to_numpy().astype(np.float64)
+        number, day, values = filled_days(days[order], there[order], heads, first, last)
+        kept = {"number": pa.array(number), "date": pa.array(day.astype(np.int32)).cast(pa.date32())}
+        found = measured(pa.table(kept | {value: pa.array(values, from_pandas=True)}), values, number)
+        names = table.select(entity).take(pa.array(heads)).take(found.column("number"))
+        columns = [*names.columns, *found.drop_columns("number").columns]
+        return pa.table(columns, names=[*entity, "date", value, middle, spread])
+
+    def fill(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, heads in _whole_entities(batches, entity):
+            first, last = (table.column(c).cast(pa.int32())[0].as_py() for c in ("_first", "_last"))
+            if first is None:  # no row has a date
+                continue
+            step = max(1, DAYS // (last - first + 1))
+            for at in range(0, len(heads), step):
+                end = heads[at + step] if at + step < len(heads) else len(table)
+                part = table.slice(heads[at], end - heads[at])
+                yield from filled(part, heads[at : at + step] - heads[at], first, last).to_batches()
 
     day = [span.select(f"{n}_date").scalar().alias(f"_{n}") for n in ("first", "last")]
-    rows_of = df.select(*entity, "date", F.col(value).cast("double").alias(value), *day)
-    schema = StructType([*rows_of.drop("_first", "_last").schema.fields, *added])
-    if entity:  # a fixed partition count, for the reason given in dense_daily
-        count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows_of = rows_of.repartition(count, *entity)
-    return rows_of.groupBy(*entity).applyInArrow(fill, schema)
+    rows_of = df.select(*entity, "date", F.col(value).cast("double").alias(value))
+    schema = StructType([*rows_of.schema.fields, *added])
+    # a fixed partition count, for the reason given in dense_daily
+    dealt = rows_of.repartition(_partitions(df), *entity) if entity else rows_of.repartition(1)
+    return (dealt.sortWithinPartitions(*entity) if entity else dealt).select("*", *day).mapInArrow(fill, schema)

@@ -126,13 +126,13 @@ QUERIES = {
     "anomalies": anomalies.anomalies,
     "region_anomalies": lambda star: anomalies.entity_anomalies(star, "region"),
     "region_anomalies_trailing": lambda star: anomalies.entity_anomalies(star.with_settings(trailing=True), "region"),
-    "anomaly_monitor": lambda star: anomalies.monitor(star, anomalies.anomalies(star)),
+    "anomaly_monitor": lambda star: anomalies.monitor(star, anomalies.anomalies(star, hits_only=True)),
     "anomaly_line": lambda star: anomalies.expected_line(
         anomalies.anomalies(star), "region", ROLE_REGION
     ),
     "anomaly_counts": lambda star: anomalies.counts(anomalies.anomalies(star), "region"),
     "top_anomaly_stores": lambda star: anomalies.top_entities(
-        anomalies.anomalies(star), "store_name"
+        anomalies.anomalies(star, hits_only=True), "store_name"
     ),
     "anomaly_summary": lambda star: anomalies.summary(anomalies.anomalies(star)),
     # forecast

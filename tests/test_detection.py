@@ -12,7 +12,7 @@ from conftest import day, sale
 
 from salesmart.functions.calendar import Period
 from salesmart.operators import anomalies, forecast, quality, scenario
-from salesmart.operators.series import dense_daily
+from salesmart.operators.series import daily_by, dense_daily, rolling_median
 from salesmart.settings import DEFAULTS, Settings
 
 START = datetime.date(2024, 1, 1)
@@ -119,6 +119,64 @@ def test_filled_days_are_neither_sorted_nor_framed(build):
     assert "collect_list" not in plan and "Generate" not in plan
 
 
+def test_entities_scored_in_batches_equal_each_alone(spark):
+    rng = np.random.default_rng(8)
+    rows = [
+        (part, key, START + datetime.timedelta(days=int(i)), float(v))
+        for part, key, n in [(float(k), str(k % 3), 1 + k * 5) for k in range(20)]
+        + [(None, "0", 30), (math.nan, None, 45), (math.nan, "0", 25), (None, None, 99)]
+        for i, v in zip(rng.choice(120, n, replace=False), rng.normal(500, 900, n).round(-2), strict=True)
+    ]
+    entity = ["part", "key"]
+    daily = spark.createDataFrame([*rows, (1.0, "1", None, 5.0)], "part double, key string, date date, net_sales double")
+    text = lambda frame: sorted(map(str, frame.collect()))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    for settings in (DEFAULTS, Settings(trailing=True)):
+        dense = anomalies.robust_scores(dense_daily(daily, entity, span(spark, 120)), entity, settings)
+        expected, hits = text(dense), text(dense.where(f"abs(z) >= {settings.z_threshold}"))
+        assert 0 < len(hits) < len(expected) == 24 * 120
+        for size in ("7", old):
+            spark.conf.set(name, size)
+            try:
+                assert text(anomalies.robust_scores(daily, entity, settings, span(spark, 120))) == expected
+                assert text(anomalies.robust_scores(daily, entity, settings, span(spark, 120), True)) == hits
+            finally:
+                spark.conf.set(name, old)
+
+
+def test_medians_of_windows_with_zeros():
+    rng = np.random.default_rng(9)
+    for lag in (0, 1):
+        for share in (0.0, 0.3, 0.5, 0.8, 1.0):
+            values = np.where(rng.random(300) < share, 0.0, rng.normal(0, 50, 300).round(1))
+            values[rng.random(300) < 0.1] = np.nan
+            found = rolling_median(values, 28, 10, lag)
+            for today in range(300):
+                window = values[max(0, today - 27 - lag) : max(0, today + 1 - lag)]
+                there = window[~np.isnan(window)]
+                assert math.isnan(found[today]) if len(there) < 10 else found[today] == statistics.median(there)
+
+
+def test_only_flagged_days_leave_the_detector_where_no_other_is_read(build):
+    star = build(daily_sales_rows(60, lambda i: 900 if i == 45 else 50 + (i * 5) % 7, ("S1", "S2")))
+    every = anomalies.anomalies(star)
+    some = anomalies.anomalies(star, hits_only=True)
+    assert every.count() == 120
+    assert sorted(map(str, some.collect())) == sorted(map(str, every.where("is_anomaly = 1").collect()))
+    assert some.count() >= 2 and some.schema == every.schema
+    top = anomalies.top_entities(some, "store_name").collect()
+    assert top == anomalies.top_entities(every, "store_name").collect() and len(top) == 2
+
+
+def test_lines_of_a_store_and_day_are_not_summed_before_their_shuffle(build):
+    star = build(daily_sales_rows(3, lambda i: 1 + i, ("S1", "S2")))
+    plan = lambda by: daily_by(star, by)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan(["store_key"]) and "RepartitionByExpression" not in plan(["region"])
+    found = {(r.store_key, r.date.day): r.net_sales for r in daily_by(star, ["store_key"]).collect()}
+    assert found == {(s, d): 10.0 * d for s in (1, 2) for d in (1, 2, 3)}
+
+
 def daily_sales_rows(days, quantity, stores=("S1",)):
     rows = []
     for i in range(days):
